@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "inkwell.plans.market_q",
+    "inkwell.plans.documents_q",
 ]
 
 

@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "inkwell.plans.market_q",
     "inkwell.plans.documents_q",
+    "inkwell.plans.metrics_q",
 ]
 
 

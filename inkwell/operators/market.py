@@ -273,3 +273,40 @@ def with_fallback(keys: DataFrame, live: DataFrame, reference: DataFrame, key: s
 def normalize_ticker(c: Column) -> Column:
     """Tickers are upper case."""
     return F.upper(c)
+
+
+# ------------------------------------------------------------------- S-7
+
+REPORT_LINE = r"^([^:：]+?) \(([^()]+)\): (.*)$"
+STANZA_HEAD = r"^● .* \(([^()]*)\)$"
+STANZA_LINE = r"^  ([^:：]+): (.*)$"
+NUMBER_PREFIX = r"^[+-]?[0-9]+(\.[0-9]+)?"
+
+
+def parse_report(docs: DataFrame, key: str = "doc_id", content: str = "content") -> DataFrame:
+    """Rendered reports back into a long table (key, label, metric, value,
+    unit).
+
+    Company reports: ``name (metric): value unit`` lines, label = the ticker
+    line.  Macro reports: ``●`` stanza heads give the label of the value
+    lines below them (``last(..., ignorenulls)`` over line order inside the
+    document).  A value that is not a number (the missing marker) is NULL.
+    """
+    lines = docs.select(key, F.posexplode(F.split(F.col(content), "\n")).alias("pos", "line"))
+    ticker = F.regexp_extract("line", r"^股票代码: (.*)$", 1)
+    head = F.regexp_extract("line", STANZA_HEAD, 1)
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    l2 = lines.withColumn("label", F.last(F.when(ticker != "", ticker).when(head != "", head), True).over(w))
+    m1 = F.regexp_extract("line", REPORT_LINE, 2)
+    r1 = F.regexp_extract("line", REPORT_LINE, 3)
+    m2 = F.regexp_extract("line", STANZA_LINE, 1)
+    r2 = F.regexp_extract("line", STANZA_LINE, 2)
+    metric = F.when(m1 != "", m1).when(m2 != "", m2)
+    raw = F.when(m1 != "", r1).when(m2 != "", r2)
+    num = F.regexp_extract(raw, NUMBER_PREFIX, 0)
+    out = l2.select(key, "pos", "label", metric.alias("metric"), raw.alias("raw"), num.alias("num")) \
+        .filter(F.col("metric").isNotNull())
+    unit = F.regexp_replace(F.regexp_replace(F.col("raw"), NUMBER_PREFIX, ""), r"\A\s+|\s+\z", "")
+    return out.select(key, "pos", "label", "metric",
+                      F.when(F.col("num") != "", F.col("num").try_cast("double")).alias("value"),
+                      F.when(F.col("num") != "", unit).alias("unit"))

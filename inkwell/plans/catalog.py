@@ -8,6 +8,7 @@ _MODULES = [
     "inkwell.plans.market_q",
     "inkwell.plans.documents_q",
     "inkwell.plans.metrics_q",
+    "inkwell.plans.company_q",
 ]
 
 

@@ -122,19 +122,23 @@ mrows AS (
 
 _FOOTER = "".join(line + "\n" for line in M.MACRO_FOOTER)
 
-ORACLE = {
-    "last_two_closes": f"WITH {_DAILY}, {_CLOSES} SELECT * FROM closes",
-    "macro_quotes": f"""WITH {_DAILY}, {_CLOSES}, {_DIM}
-        SELECT CAST(ord AS BIGINT) AS ord, symbol, description, price_str, change_str FROM mrows""",
-    "macro_report": f"""WITH {_DAILY}, {_CLOSES}, {_DIM}
-        SELECT CAST(count(*) AS BIGINT) AS n_symbols,
+_MACRO_SELECT = f"""        SELECT CAST(count(*) AS BIGINT) AS n_symbols,
           '{M.MACRO_TITLE}' || chr(10) || '数据抓取时间: ' || strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M:%S') || chr(10)
           || '{M.RULE_72}' || chr(10) || chr(10)
           || string_agg('● ' || description || ' (' || CAST(symbol AS VARCHAR) || ')' || chr(10)
                || '{M.MACRO_PRICE}' || price_str || chr(10) || '{M.MACRO_CHANGE}' || change_str || chr(10)
                || '  {M.RULE_40}' || chr(10), '' ORDER BY ord)
           || chr(10) || '{M.MACRO_FOOTER_TITLE}' || chr(10) || '{_FOOTER}' AS content
-        FROM mrows""",
+        FROM mrows"""
+
+MACRO_CTES = f"{_DAILY}, {_CLOSES}, {_DIM}, macro AS ({_MACRO_SELECT})"
+
+ORACLE = {
+    "last_two_closes": f"WITH {_DAILY}, {_CLOSES} SELECT * FROM closes",
+    "macro_quotes": f"""WITH {_DAILY}, {_CLOSES}, {_DIM}
+        SELECT CAST(ord AS BIGINT) AS ord, symbol, description, price_str, change_str FROM mrows""",
+    "macro_report": f"""WITH {_DAILY}, {_CLOSES}, {_DIM}
+{_MACRO_SELECT}""",
     "quote_fallback": f"""WITH {_DAILY}, {_CLOSES},
       o AS (SELECT o_custkey, o_totalprice,
                    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) rn FROM orders),

@@ -9,6 +9,7 @@ _MODULES = [
     "inkwell.plans.documents_q",
     "inkwell.plans.metrics_q",
     "inkwell.plans.company_q",
+    "inkwell.plans.rules_q",
 ]
 
 

@@ -10,6 +10,7 @@ _MODULES = [
     "inkwell.plans.metrics_q",
     "inkwell.plans.company_q",
     "inkwell.plans.rules_q",
+    "inkwell.plans.indicators_q",
 ]
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.fmt import fixed
+from inkwell.functions.text import ustrip
 
 # ---------------------------------------------------------------- fixed values
 DEFAULT_METRICS = [("views", "12000"), ("retention_5s", "0.45"), ("completion_rate", "0.18")]
@@ -33,8 +34,8 @@ def _csv_map(c: Column) -> Column:
     """Header line + first data line split on ',' (no quoting); short rows
     truncate the pairing; fewer than two lines give NULL."""
     lines = F.split(F.regexp_replace(c, r"\n\z", ""), "\n")
-    hdr = F.split(F.regexp_replace(F.element_at(lines, 1), r"\A\s+|\s+\z", ""), ",")
-    val = F.split(F.regexp_replace(F.element_at(lines, 2), r"\A\s+|\s+\z", ""), ",")
+    hdr = F.split(ustrip(F.element_at(lines, 1)), ",")
+    val = F.split(ustrip(F.element_at(lines, 2)), ",")
     n = F.least(F.size(hdr), F.size(val))
     pairs = F.map_from_arrays(F.slice(hdr, 1, n), F.slice(val, 1, n))
     return F.when(F.size(lines) > 1, pairs)

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import PY_SPACE, count_literal, split_sentences
+from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
 
 # ---------------------------------------------------------------- fixed values
 # The rulebook's forbidden phrases by class, with the recommended
@@ -221,8 +221,7 @@ def style_ratios(text, first_person: str = FIRST_PERSON) -> dict[str, Column]:
     """Share of sentences that ask a question; share holding the first-person
     token."""
     t = F.col(text) if isinstance(text, str) else text
-    sents = F.filter(F.transform(F.regexp_extract_all(t, F.lit(SENTENCE_WITH_END), 0),
-                                 lambda x: F.regexp_replace(x, rf"\A{PY_SPACE}+|{PY_SPACE}+\z", "")),
+    sents = F.filter(F.transform(F.regexp_extract_all(t, F.lit(SENTENCE_WITH_END), 0), lambda x: ustrip(x)),
                      lambda x: F.length(x) > 0)
     n = F.size(sents)
     q = F.size(F.filter(sents, lambda x: x.endswith(QUESTION_MARKS[0]) | x.endswith(QUESTION_MARKS[1])))

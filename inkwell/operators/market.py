@@ -197,15 +197,15 @@ COMPANY_SCHEMA = (
 )
 
 
-def company_metrics(company: DataFrame) -> DataFrame:
+def company_metrics(company: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Defaults for missing fields and the unit conversions of the report.
 
     A missing or NULL number counts as 0; PE and debt ratio are shown raw or
-    as the missing marker.
+    as the missing marker.  ``keep`` columns are passed through.
     """
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     return company.select(
-        F.col("ticker"),
+        F.col("ticker"), *(keep or []),
         F.coalesce("longName", "ticker").alias("company_name"),
         F.coalesce("sector", F.lit(UNKNOWN)).alias("sector"),
         F.coalesce("industry", F.lit(UNKNOWN)).alias("industry"),
@@ -221,8 +221,8 @@ def company_metrics(company: DataFrame) -> DataFrame:
     )
 
 
-def company_report(metrics: DataFrame, run_ts: Column) -> DataFrame:
-    """Render the fixed 18-line company report (ticker, content)."""
+def company_report(metrics: DataFrame, run_ts: Column, keep: list[str] | None = None) -> DataFrame:
+    """Render the fixed 18-line company report (ticker, keep..., content)."""
     L = COMPANY_LABELS
     lines = [
         F.lit(COMPANY_TITLE),
@@ -245,7 +245,7 @@ def company_report(metrics: DataFrame, run_ts: Column) -> DataFrame:
         F.col("summary"),
     ]
     content = F.concat(F.concat_ws("\n", *lines), F.lit("\n"))
-    return metrics.select("ticker", content.alias("content"))
+    return metrics.select("ticker", *(keep or []), content.alias("content"))
 
 
 def with_fallback(keys: DataFrame, live: DataFrame, reference: DataFrame, key: str = "ticker") -> DataFrame:

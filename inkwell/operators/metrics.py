@@ -49,15 +49,19 @@ def scan_metrics(metrics: DataFrame, key: str = "video_id", inline: str = "inlin
     no rows (they keep the defaults in ``merge_metrics``).
     """
     inl = F.nullif(F.col(inline), F.lit(""))
-    js = _json_map(F.col(file_content))
-    cs = _csv_map(F.col(file_content))
-    src = (F.when(inl.isNotNull(), F.lit("inline"))
-           .when(F.col(file_content).isNull(), F.lit(None))
-           .when(js.isNotNull(), F.lit("json")).otherwise(F.lit("csv")))
-    parsed = (F.when(inl.isNotNull(), _json_map(inl))
-              .when(js.isNotNull(), js).otherwise(cs))
-    m = metrics.select(F.col(key), src.alias("source"), parsed.alias("m"))
-    return m.select(key, "source", F.explode("m").alias("metric", "value"))
+    # choose the text first, parse it once: the JSON parse is referenced
+    # several times below, so Catalyst keeps it in its own projection
+    chosen = metrics.select(F.col(key), inl.isNotNull().alias("_inl"), F.col(file_content).alias("_file"),
+                            F.coalesce(inl, F.col(file_content)).alias("_txt"))
+    parsed = chosen.select(key, "_inl", "_file", _json_map(F.col("_txt")).alias("_js"))
+    src = (F.when(F.col("_inl"), F.lit("inline")).when(F.col("_file").isNull(), F.lit(None))
+           .when(F.col("_js").isNotNull(), F.lit("json")).otherwise(F.lit("csv")))
+    m = F.when(F.col("_inl") | F.col("_js").isNotNull(), F.col("_js")).otherwise(_csv_map(F.col("_file")))
+    out = parsed.select(key, src.alias("source"), m.alias("m"))
+    # explode_outer + filter: a plain explode would make the optimizer infer
+    # a size(m) > 0 filter and re-evaluate the parse below the generator
+    return out.select(key, "source", F.explode_outer("m").alias("metric", "value")) \
+        .filter(F.col("metric").isNotNull())
 
 
 def infer_scalar(value) -> dict[str, Column]:

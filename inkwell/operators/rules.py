@@ -159,8 +159,22 @@ def strip_fillers(text, fillers: list[str] = FILLERS) -> tuple[Column, Column]:
 
 # ------------------------------------------------------------------------ R-4
 
+def sentence_arrays(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Project the two sentence arrays once (``_s``: split on sentence ends;
+    ``_se``: sentences with their end mark).  Higher-order functions are
+    evaluated without codegen, so every metric reads these columns instead
+    of re-splitting; Catalyst keeps the projection because the arrays are
+    referenced several times."""
+    keep = keep if keep is not None else [c for c in df.columns if c != text]
+    se = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(SENTENCE_WITH_END), 0), lambda x: ustrip(x)),
+                  lambda x: F.length(x) > 0)
+    return df.select(*keep, F.col(text), split_sentences(text).alias("_s"), se.alias("_se"))
+
+
 def long_sentences(text, max_len: int = 25) -> dict[str, Column]:
-    s = split_sentences(text)
+    """Sentence counts; pass the ``_s`` column of ``sentence_arrays`` as
+    ``text`` to reuse a split, or a text column to split here."""
+    s = F.col("_s") if isinstance(text, str) and text == "_s" else split_sentences(text)
     n = F.size(s)
     n_long = F.size(F.filter(s, lambda x: F.length(x) > max_len))
     return {"n_sent": n, "n_long": n_long,
@@ -220,9 +234,12 @@ SENTENCE_WITH_END = r"[^。！？!?.\n]+[。！？!?.]?"
 def style_ratios(text, first_person: str = FIRST_PERSON) -> dict[str, Column]:
     """Share of sentences that ask a question; share holding the first-person
     token."""
-    t = F.col(text) if isinstance(text, str) else text
-    sents = F.filter(F.transform(F.regexp_extract_all(t, F.lit(SENTENCE_WITH_END), 0), lambda x: ustrip(x)),
-                     lambda x: F.length(x) > 0)
+    if isinstance(text, str) and text == "_se":
+        sents = F.col("_se")
+    else:
+        t = F.col(text) if isinstance(text, str) else text
+        sents = F.filter(F.transform(F.regexp_extract_all(t, F.lit(SENTENCE_WITH_END), 0), lambda x: ustrip(x)),
+                         lambda x: F.length(x) > 0)
     n = F.size(sents)
     q = F.size(F.filter(sents, lambda x: x.endswith(QUESTION_MARKS[0]) | x.endswith(QUESTION_MARKS[1])))
     fp = F.size(F.filter(sents, lambda x: x.contains(first_person)))
@@ -241,6 +258,19 @@ def scorecard(checks: DataFrame, key: str, names: list[str]) -> DataFrame:
     return out.withColumn("n_passed", total.cast("long"))
 
 
+def scorecard_wide(df: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """Checks computed on the same row (boolean columns ``names``): no
+    union, no pivot, no shuffle — one projection."""
+    total = sum((F.coalesce(F.col(n), F.lit(False)).cast("int") for n in names), F.lit(0))
+    return df.select(key, *[F.coalesce(F.col(n), F.lit(False)).alias(n) for n in names],
+                     total.cast("long").alias("n_passed"))
+
+
+def phrase_total(text, phrases: list[str]) -> Column:
+    """Total occurrences of all phrases in a text (inline counts)."""
+    return sum((count_literal(text, p) for p in dict.fromkeys(phrases)), F.lit(0).cast("long"))
+
+
 def recurring_phrases(hits: DataFrame, key: str = "script_id", k: int = 10) -> DataFrame:
     """The k phrases hit in most scripts (then most often), over all scripts."""
     g = hits.groupBy("rule_class", "phrase").agg(F.countDistinct(key).alias("n_scripts"),

@@ -18,22 +18,28 @@ from inkwell.plans.tables import load
 _DEC = "decimal(18,2)"
 
 
-def _records(spark, d, live: bool) -> DataFrame:
+def _agg(spark, d) -> DataFrame:
+    """One aggregation of the orders per (customer, is_live): the live and
+    the reference record both read it, so the exchange is computed once."""
     o = load(spark, d, "orders")
     cutoff = F.date_sub(o.select(F.max("o_orderdate")).scalar(), 365)
-    cond = F.col("o_orderdate") > cutoff if live else F.col("o_orderdate") <= cutoff
-    agg = o.filter(cond).groupBy("o_custkey").agg(
+    dec = F.col("o_totalprice").cast(_DEC)
+    zero = F.lit(0).cast(_DEC)
+    agg = o.groupBy("o_custkey", (F.col("o_orderdate") > cutoff).alias("is_live")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("o_totalprice").cast(_DEC)).cast("double").alias("tot"),
-        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice").cast(_DEC)).otherwise(F.lit(0).cast(_DEC)))
-         .cast("double").alias("tot_f"),
-        F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice").cast(_DEC)).otherwise(F.lit(0).cast(_DEC)))
-         .cast("double").alias("tot_o"),
-        F.countDistinct("o_orderpriority").alias("n_prio"))
+        F.sum(dec).cast("double").alias("tot"),
+        F.sum(F.when(F.col("o_orderstatus") == "F", dec).otherwise(zero)).cast("double").alias("tot_f"),
+        F.sum(F.when(F.col("o_orderstatus") == "O", dec).otherwise(zero)).cast("double").alias("tot_o"),
+        # a bounded set (the priority codes): one aggregate, no distinct expansion
+        F.size(F.collect_set("o_orderpriority")).alias("n_prio"))
     c = load(spark, d, "customer")
     n = load(spark, d, "nation")
-    j = agg.join(c, F.col("o_custkey") == F.col("c_custkey")) \
+    return agg.join(c, F.col("o_custkey") == F.col("c_custkey")) \
         .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+
+
+def _records(j: DataFrame, live: bool) -> DataFrame:
+    j = j.filter(F.col("is_live") == live)
     return j.select(
         F.col("c_name").alias("ticker"),
         (F.concat(F.col("c_name"), F.lit(" Inc.")) if live else F.lit(None).cast("string")).alias("longName"),
@@ -56,9 +62,10 @@ def _run_ts(spark, d):
 
 def _reports(spark, d) -> DataFrame:
     keys = load(spark, d, "customer").select(F.col("c_name").alias("ticker"))
-    rec = M.with_fallback(keys, _records(spark, d, True), _records(spark, d, False), key="ticker")
-    rep = M.company_report(M.company_metrics(rec), _run_ts(spark, d))
-    return rep.join(rec.select("ticker", "record_source", "is_fallback"), "ticker")
+    j = _agg(spark, d)
+    rec = M.with_fallback(keys, _records(j, True), _records(j, False), key="ticker")
+    keep = ["record_source", "is_fallback"]
+    return M.company_report(M.company_metrics(rec, keep), _run_ts(spark, d), keep)
 
 
 def q_company_reports(spark, d) -> DataFrame:

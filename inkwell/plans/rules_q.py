@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import PY_SPACE
+from inkwell.functions.text import PY_SPACE, split_sentences
 from inkwell.operators import rules as R
 from inkwell.plans.tables import load
 
@@ -65,8 +65,9 @@ def q_strip_fillers(spark, d) -> DataFrame:
 
 
 def q_long_sentences(spark, d) -> DataFrame:
-    c = R.long_sentences("text", MAX_SENTENCE)
-    return _docs(spark, d).select("script_id", c["n_sent"].cast("long").alias("n_sent"),
+    c = R.long_sentences("_s", MAX_SENTENCE)
+    docs = _docs(spark, d).select("script_id", "text", split_sentences("text").alias("_s"))
+    return docs.select("script_id", c["n_sent"].cast("long").alias("n_sent"),
                                   c["n_long"].cast("long").alias("n_long"), c["long_share"].alias("long_share"))
 
 
@@ -77,8 +78,8 @@ def q_info_density(spark, d) -> DataFrame:
 
 
 def q_style_ratios(spark, d) -> DataFrame:
-    c = R.style_ratios("text", FIRST_PERSON_STAND_IN)
-    return _docs(spark, d).select("script_id", c["n_sent"].cast("long").alias("n_sent"),
+    c = R.style_ratios("_se", FIRST_PERSON_STAND_IN)
+    return R.sentence_arrays(_docs(spark, d)).select("script_id", c["n_sent"].cast("long").alias("n_sent"),
                                   c["question_share"].alias("question_share"),
                                   c["first_person_share"].alias("first_person_share"))
 
@@ -87,19 +88,16 @@ CHECKS = ["no_forbidden", "short_sentences", "has_numbers", "asks_questions"]
 
 
 def q_scorecard(spark, d) -> DataFrame:
-    docs = _docs(spark, d)
-    hits = R.phrase_hits(docs, stand_in_rules(spark)).groupBy("script_id").agg(F.sum("n").alias("n_hits"))
-    ls = R.long_sentences("text", MAX_SENTENCE)
+    """All checks of a document come from its own row: one projection."""
+    ls = R.long_sentences("_s", MAX_SENTENCE)
     dn = R.info_density("text")
-    st = R.style_ratios("text", FIRST_PERSON_STAND_IN)
-    base = docs.select("script_id", (ls["n_long"] == 0).alias("short_sentences"),
-                       (dn["n_numbers"] > 0).alias("has_numbers"),
-                       F.coalesce(st["question_share"] > 0, F.lit(False)).alias("asks_questions"))
-    nf = docs.select("script_id").join(hits, "script_id", "left") \
-        .select("script_id", F.lit("no_forbidden").alias("check"), F.col("n_hits").isNull().alias("passed"))
-    longf = base.select("script_id", F.expr("stack(3, 'short_sentences', short_sentences, 'has_numbers', has_numbers, "
-                                            "'asks_questions', asks_questions) AS (check, passed)"))
-    return R.scorecard(nf.unionByName(longf), "script_id", CHECKS)
+    st = R.style_ratios("_se", FIRST_PERSON_STAND_IN)
+    phrases = [p for _, p, _ in STAND_IN_RULES]
+    checks = R.sentence_arrays(_docs(spark, d)).select(
+        "script_id", (R.phrase_total(F.col("text"), phrases) == 0).alias("no_forbidden"),
+        (ls["n_long"] == 0).alias("short_sentences"), (dn["n_numbers"] > 0).alias("has_numbers"),
+        F.coalesce(st["question_share"] > 0, F.lit(False)).alias("asks_questions"))
+    return R.scorecard_wide(checks, "script_id", CHECKS)
 
 
 def q_recurring_phrases(spark, d) -> DataFrame:

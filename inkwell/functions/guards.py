@@ -1,0 +1,22 @@
+"""Size guards for broadcasts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be broadcast (each row is a short
+# key/label; 1M rows stay well under the broadcast memory of an executor).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most
+    ``max_rows + 1`` rows to find out)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only behind a checked size; otherwise leave the join
+    strategy to the optimizer (shuffle join, AQE)."""
+    return F.broadcast(df) if bounded(df, max_rows) else df

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkwell.functions.guards import bounded
 from inkwell.functions.text import source_label, squeeze_newlines, ustrip
 
 # ---------------------------------------------------------------- fixed values
@@ -170,7 +171,7 @@ def pair_essence(labels: DataFrame, essences: DataFrame, broadcast_keywords: int
     lab = labels.select("label").distinct()
     lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label"))).alias("kw"))
     kw = lk.select("kw").distinct()
-    small = kw.limit(broadcast_keywords + 1).count() <= broadcast_keywords
+    small = bounded(kw, broadcast_keywords)
     if small:
         hits = essences.select("name").join(
             F.broadcast(kw), F.lower(F.col("name")).contains(F.col("kw"))).select("name", "kw")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.fmt import MISSING, fixed, raw_or_missing, signed
+from inkwell.functions.guards import broadcast_if_small
 
 # ---------------------------------------------------------------- fixed values
 # Report layout strings of the company and macro reports.
@@ -150,7 +151,7 @@ def dim_left_join(dim: DataFrame, quotes: DataFrame, key: str = "symbol") -> Dat
     semi join (streaming the big side once), and only that handful of rows
     meets the dimension in the outer join.
     """
-    matched = quotes.join(F.broadcast(dim.select(key)), key, "left_semi")
+    matched = quotes.join(broadcast_if_small(dim.select(key)), key, "left_semi")
     return dim.join(matched, key, "left")
 
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.functions.guards import broadcast_if_small
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
 
 # ---------------------------------------------------------------- fixed values
@@ -138,7 +139,7 @@ def phrase_suggestions(hits: DataFrame, rules: DataFrame, key: str = "script_id"
     """Attach the sorted alternatives of every hit phrase (advice only)."""
     alts = rules.filter(F.col("replacement").isNotNull()).groupBy("rule_class", "phrase") \
         .agg(F.array_join(F.sort_array(F.collect_set("replacement")), " / ").alias("suggestions"))
-    return hits.join(F.broadcast(alts), ["rule_class", "phrase"], "left")
+    return hits.join(broadcast_if_small(alts), ["rule_class", "phrase"], "left")
 
 
 def regex_literal(s: str) -> str:
@@ -197,7 +198,7 @@ def hashtag_matrix(tags: DataFrame, key: str, tag_dim: DataFrame, order: list[st
     met in order.  ``tags``: key, tags array; ``tag_dim``: tag, tag_class
     (a vocabulary-sized dimension, broadcast)."""
     u = tags.select(key, F.posexplode("tags").alias("pos", "tag"))
-    c = u.join(F.broadcast(tag_dim), "tag", "left") \
+    c = u.join(broadcast_if_small(tag_dim), "tag", "left") \
         .withColumn("cls", F.coalesce("tag_class", F.lit("unknown")))
     seq = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "cls"))), lambda x: x["cls"]), ",")
     cnt = lambda k: F.count(F.when(F.col("cls") == k, 1)).alias(f"n_{k}")
@@ -285,5 +286,5 @@ def rulebook_candidates(scripts: DataFrame, rules: DataFrame, text: str = "text"
     words = scripts.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(token), 0)).alias("phrase"))
     counts = words.groupBy("phrase").agg(F.count(F.lit(1)).alias("n_hits"))
     known = rules.select(F.lower("phrase").alias("phrase")).distinct()
-    return counts.join(F.broadcast(known), "phrase", "left_anti") \
+    return counts.join(broadcast_if_small(known), "phrase", "left_anti") \
         .orderBy(F.col("n_hits").desc(), "phrase").limit(k)

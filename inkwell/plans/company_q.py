@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.functions.guards import broadcast_if_small
 from inkwell.operators import documents as D
 from inkwell.operators import market as M
 from inkwell.plans.tables import load
@@ -35,7 +36,7 @@ def _agg(spark, d) -> DataFrame:
     c = load(spark, d, "customer")
     n = load(spark, d, "nation")
     return agg.join(c, F.col("o_custkey") == F.col("c_custkey")) \
-        .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
 def _records(j: DataFrame, live: bool) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.functions.guards import broadcast_if_small
 from inkwell.operators import indicators as I
 from inkwell.plans.tables import load
 
@@ -48,7 +49,7 @@ def q_per_capita_monthly(spark, d) -> DataFrame:
     annual = o.join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
         .groupBy("c_nationkey", F.year("o_orderdate").cast("long").alias("year")) \
         .agg(F.sum(F.col("o_totalprice").cast(_P)).cast("double").alias("annual"))
-    j = annual.join(pop, "c_nationkey").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = annual.join(pop, "c_nationkey").join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"))
     return j.select("n_name", "year", "annual", "population",
                     I.per_capita_monthly(F.col("annual"), F.col("population")).alias("per_capita_monthly"))
 

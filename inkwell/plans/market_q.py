@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.functions.guards import broadcast_if_small
 from inkwell.operators import market as M
 from inkwell.plans.tables import load
 
@@ -47,7 +48,7 @@ def _macro_rows(spark, d) -> DataFrame:
     dim = _dim(spark, d)
     daily = _daily(spark, d)
     # the dimension's symbols only: broadcast semi join before the window
-    closes = M.last_two_closes(daily.join(F.broadcast(dim.select("symbol")), "symbol", "left_semi"),
+    closes = M.last_two_closes(daily.join(broadcast_if_small(dim.select("symbol")), "symbol", "left_semi"),
                                as_of=daily.select(F.max("day")).scalar())
     rows = M.dim_left_join(dim, closes)
     price, change = M.quote_format(F.col("close_now"), F.col("pct_change"), F.col("is_yield"))

@@ -246,7 +246,23 @@ def q_prompt_assembly(spark, d) -> DataFrame:
                        F.md5(prompt).alias("prompt_md5"), F.length(prompt).cast("long").alias("prompt_chars"))
 
 
+def q_union_sources(spark, d) -> DataFrame:
+    """Two listings (``*.txt`` documents, ``*.md`` pages) as one document
+    table."""
+    from inkwell.sources.files import union_sources
+    a = load(spark, d, "documents").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"),
+        F.col("text").alias("content"), F.lit("raw").alias("kind"))
+    b = load(spark, d, "pages").select(
+        F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".md")).alias("name"),
+        F.col("html").alias("content"))
+    u = union_sources(a, b)
+    return u.select("name", source_label("name").alias("label"), F.coalesce("kind", F.lit("page")).alias("kind"),
+                    F.length("content").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "union_sources": q_union_sources,
     "source_labels": q_source_labels,
     "latest_per_label": q_latest_per_label,
     "essence_pairing": q_essence_pairing,
@@ -374,6 +390,11 @@ def _fill_sql(template: str, values: dict) -> str:
 
 
 ORACLE = {
+    "union_sources": f"""WITH u AS (
+          SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS name, text AS content, 'raw' AS kind FROM documents
+          UNION ALL SELECT 'page_' || CAST(page_id AS VARCHAR) || '.md', html, NULL FROM pages)
+        SELECT name, {_label('name')} AS label, coalesce(kind, 'page') AS kind, CAST(length(content) AS BIGINT) AS n_chars
+        FROM u""",
     "source_labels": f"""SELECT event_id, {_EVENT_NAME} AS name, {_label(_EVENT_NAME)} AS label,
                             upper(event_type) AS ticker FROM events""",
     "latest_per_label": f"""WITH docs AS (SELECT {_EVENT_NAME} AS name, ts AS mtime, {_label(_EVENT_NAME)} AS label FROM events),

@@ -13,10 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _micros(c: str) -> Column:
-    """Epoch microseconds of a TIMESTAMP or TIMESTAMP_NTZ column."""
-    return F.unix_micros(F.col(c).cast("timestamp"))
+from inkwell.functions.text import epoch_micros
 
 
 def sessions(events: DataFrame, viewer: str = "viewer", ts: str = "ts", event_type: str = "event_type",
@@ -25,11 +22,12 @@ def sessions(events: DataFrame, viewer: str = "viewer", ts: str = "ts", event_ty
     reached_end, duration_us).  A new session starts when the next event is
     more than ``gap`` after the previous one."""
     by = by or []
+    dtype = events.schema[ts].dataType
     g = events.groupBy(*by, viewer, F.session_window(F.col(ts), gap).alias("sw")).agg(
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n_events"),
         F.max((F.col(event_type) == end_event).cast("int")).alias("_end"))
     return g.select(*by, viewer, "start", "end", "n_events", (F.col("_end") == 1).alias("reached_end"),
-                    (_micros("end") - _micros("start")).alias("duration_us"))
+                    (epoch_micros("end", dtype) - epoch_micros("start", dtype)).alias("duration_us"))
 
 
 def playback_metrics(sess: DataFrame, horizon_s: int = 5, by: list[str] | None = None) -> DataFrame:

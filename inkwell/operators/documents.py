@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.guards import bounded
-from inkwell.functions.text import source_label, squeeze_newlines, ustrip
+from inkwell.functions.text import epoch_micros, source_label, squeeze_newlines, ustrip
 
 # ---------------------------------------------------------------- fixed values
 NO_ESSENCE_NAME = "无"
@@ -93,7 +93,7 @@ def _desc_key(df: DataFrame, col: str) -> Column:
     """A column that sorts ascending in the order ``col`` sorts descending."""
     dt = df.schema[col].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(F.col(col).cast("timestamp"))
+        return -epoch_micros(col, dt)
     if isinstance(dt, T.DateType):
         return -F.unix_date(F.col(col))
     return -F.col(col)

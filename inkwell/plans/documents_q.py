@@ -11,8 +11,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +19,8 @@ from inkwell.operators import documents as D
 from inkwell.operators import rules as R
 from inkwell.plans.tables import load
 
-RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
+# run stamp parameter (wall clock, no zone: independent of the session zone)
+RUN_TS = "2026-01-01 00:00:00"
 _RUN_TS_SQL = "TIMESTAMP '2026-01-01 00:00:00'"
 
 
@@ -123,7 +122,7 @@ def q_card_documents(spark, d) -> DataFrame:
     p = load(spark, d, "pages")
     cards = D.tagged_spans("html", TAG)
     label = F.concat(F.lit("PAGE_"), F.col("page_id").cast("string"))
-    content = D.card_document_text(label, F.lit(RUN_TS), cards)
+    content = D.card_document_text(label, F.lit(RUN_TS).cast("timestamp_ntz"), cards)
     return p.select("page_id", F.size(cards).cast("long").alias("n_cards"), content.alias("content")) \
         .filter(F.col("content").isNotNull())
 

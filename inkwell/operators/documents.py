@@ -145,14 +145,14 @@ def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
     substring fan-out per name is bounded by ``len(name) * max_kw_len``.
     """
     # one bounded number (the longest keyword) drives the fan-out
-    max_len = F.lit(kw.select(F.max(F.length("kw"))).first()[0] or 2)
+    max_len = kw.select(F.max(F.length("kw"))).first()[0] or 2
     low = F.lower(F.col("name"))
-    n = F.length(low)
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(max_len, n))),
-        lambda L: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - L + 1)),
-                              lambda p: F.substring(low, p, L))))
-    exploded = essences.select("name", F.explode(F.array_distinct(subs)).alias("kw"))
+    # generators, not nested lambdas: explode start positions, then lengths
+    pos = essences.select("name", low.alias("_low"),
+                          F.explode(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1)))).alias("_p"))
+    sub = pos.select("name", "_low", "_p", F.explode(F.sequence(
+        F.lit(2), F.greatest(F.lit(2), F.least(F.lit(max_len), F.length("_low") - F.col("_p") + 1)))).alias("_l"))
+    exploded = sub.select("name", F.substring(F.col("_low"), F.col("_p"), F.col("_l")).alias("kw"))
     return exploded.join(kw, "kw", "inner").select("name", "kw").distinct()
 
 

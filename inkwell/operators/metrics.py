@@ -104,12 +104,12 @@ def metrics_json(merged: DataFrame, key: str = "video_id") -> DataFrame:
     return merged.select(key, F.to_json(m, {"pretty": "true"}).alias("metrics_json"))
 
 
-def audit_overview(merged: DataFrame, key: str = "video_id") -> DataFrame:
+def audit_overview(merged: DataFrame, key: str = "video_id", keep: list[str] | None = None) -> DataFrame:
     """views, retention %, loss % (100 − retention×100), completion %,
     1 decimal each."""
     r = F.col("retention_5s") * 100
     return merged.select(
-        key, F.col("views"),
+        key, *(keep or []), F.col("views"),
         fixed(r, 1).alias("retention_pct"),
         fixed(F.lit(100.0) - r, 1).alias("loss_pct"),
         fixed(F.col("completion_rate") * 100, 1).alias("completion_pct"))

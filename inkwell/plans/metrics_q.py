@@ -105,20 +105,24 @@ def q_pacing(spark, d) -> DataFrame:
 
 
 def q_audit_report(spark, d) -> DataFrame:
+    """One report over all playback: the report key is the month of the
+    newest event (a data-derived key, so overview and findings meet in a
+    real equi-join)."""
+    from pyspark.sql import Window
+    run_ts = load(spark, d, "events").select(F.max("ts")).scalar()
+    key = F.date_format(run_ts, "yyyy-MM")
     sess = _sessions(spark, d)
     pm = A.playback_metrics(sess, HORIZON_S).select(
-        F.lit("all").alias("video"), "views", F.col("retention_h").alias("retention_5s"), "completion_rate")
+        key.alias("video"), "views", F.col("retention_h").alias("retention_5s"), "completion_rate")
     grade, _ = M.benchmark_grade(F.col("retention_5s"))
-    ov = M.audit_overview(pm, key="video").join(pm.select("video", grade.alias("grade")), "video")
+    ov = M.audit_overview(pm.withColumn("grade", grade), key="video", keep=["grade"])
     seg = A.segment_findings(A.retention_curve(sess, BUCKET_S), BUCKET_S, HORIZON_S)
-    from pyspark.sql import Window
     f = seg.select(
-        F.lit("all").alias("video"),
+        key.alias("video"),
         F.row_number().over(Window.orderBy("from_bucket")).alias("seq"), "kind",
         A.fmt_offset(F.col("from_bucket") * BUCKET_S).alias("from_s"),
         A.fmt_offset((F.col("to_bucket") + 1) * BUCKET_S).alias("to_s"),
         F.concat(F.lit("sessions lost: "), F.col("total_drop").cast("string")).alias("detail"))
-    run_ts = load(spark, d, "events").select(F.max("ts")).scalar()
     r = M.audit_report(ov, f, "video", run_ts)
     return r.select("video", "n_findings", F.length("content").cast("long").alias("n_chars"),
                     F.md5("content").alias("content_md5"))
@@ -256,6 +260,6 @@ ORACLE = {
               || '## 2. 多模态表达诊断 (Speech & Tone Diagnostics)' || chr(10) || coalesce(sections, '')
               || '---' || chr(10) || chr(10) || '## 3. 下期迭代优化动作清单 (Action Items for Next Week)' || chr(10) || coalesce(actions, '') AS content,
               n_findings FROM pm, fa)
-        SELECT 'all' AS video, CAST(n_findings AS BIGINT) AS n_findings, CAST(length(content) AS BIGINT) AS n_chars,
+        SELECT strftime((SELECT max(ts) FROM events), '%Y-%m') AS video, CAST(n_findings AS BIGINT) AS n_findings, CAST(length(content) AS BIGINT) AS n_chars,
                md5(content) AS content_md5 FROM rep""",
 }

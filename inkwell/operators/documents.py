@@ -156,7 +156,7 @@ def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
     return exploded.join(kw, "kw", "inner").select("name", "kw").distinct()
 
 
-def pair_essence(labels: DataFrame, essences: DataFrame, broadcast_keywords: int = 10000) -> DataFrame:
+def pair_essence(labels: DataFrame, essences: DataFrame, broadcast_keywords: int = 256) -> DataFrame:
     """Pair each label with an essence document (substring theta join).
 
     A label matches an essence when any of its keywords occurs in the
@@ -165,8 +165,10 @@ def pair_essence(labels: DataFrame, essences: DataFrame, broadcast_keywords: int
 
     The distinct keyword set is small in practice (a vocabulary), and its
     size is checked: up to ``broadcast_keywords`` it is broadcast and matched
-    with ``contains`` (a broadcast nested loop over names × keywords);
-    beyond that the exact substring equi-join takes over.
+    with ``contains`` (a broadcast nested loop: names × keywords checks, so
+    the bound keeps the per-name cost small); beyond that the exact
+    substring equi-join takes over (cost per name ∝ name length × longest
+    keyword, independent of the keyword count).
     """
     lab = labels.select("label").distinct()
     lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label"))).alias("kw"))

@@ -80,7 +80,7 @@ def _phrase_list(rules: DataFrame, max_rules: int) -> tuple[list, bool]:
 # ------------------------------------------------------------------------ R-1
 
 def phrase_hits(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text",
-                max_inline: int = 256) -> DataFrame:
+                max_inline: int = 64) -> DataFrame:
     """(key, rule_class, phrase, n) for every phrase found n > 0 times
     (non-overlapping literal occurrences, like ``str.count``).
 

@@ -225,6 +225,29 @@ def resolve_input(requests: DataFrame, docs: DataFrame, default_text: str = NO_R
     )
 
 
+def resolve_essence(requests: DataFrame, essences: DataFrame, broadcast_keywords: int = 256) -> DataFrame:
+    """Essence side of the input chain, per request (label, explicit):
+    the explicitly named essence if it exists and is non-empty, else the
+    paired essence of the label (J-1: newest match, else newest overall),
+    else the fixed placeholder text.  Output: label, essence_source,
+    essence_name, essence."""
+    e = essences.select(F.col("name").alias("x_name"), F.col("content").alias("x_content"))
+    pairing = pair_essence(requests.select("label"), essences.select("name", "mtime"), broadcast_keywords)
+    p = pairing.join(essences.select(F.col("name").alias("essence_name"), F.col("content").alias("p_content")),
+                     "essence_name", "left").select("label", "essence_name", "p_content")
+    j = requests.join(e, F.col("explicit") == F.col("x_name"), "left").join(p, "label", "left")
+    explicit_ok = F.nullif(F.col("x_content"), F.lit("")).isNotNull()
+    paired_ok = F.nullif(F.col("p_content"), F.lit("")).isNotNull()
+    return j.select(
+        "label",
+        F.when(explicit_ok, F.lit("explicit")).when(paired_ok, F.lit("paired")).otherwise(F.lit("default"))
+         .alias("essence_source"),
+        F.when(explicit_ok, F.col("x_name")).when(paired_ok, F.col("essence_name"))
+         .otherwise(F.lit(NO_ESSENCE_FILE)).alias("essence_name"),
+        F.when(explicit_ok, F.col("x_content")).when(paired_ok, F.col("p_content"))
+         .otherwise(F.lit(NO_ESSENCE_TEXT)).alias("essence"))
+
+
 # ------------------------------------------------------------ P-7 / P-8 / P-9
 
 def tag_pattern(tag: str, capture: bool = True) -> str:

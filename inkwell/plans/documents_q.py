@@ -78,6 +78,31 @@ def q_essence_pairing_equijoin(spark, d) -> DataFrame:
     return res.select("label", "essence_name", "essence_mtime", "matched")
 
 
+def _essence_files(spark, d) -> DataFrame:
+    """Essence folder: one file per part (content = p_type, mtime =
+    p_partkey) plus one ``essence_<type>.md`` file per part type (mtime -1,
+    the PROMO one empty)."""
+    p = load(spark, d, "part")
+    per_part = _essences(spark, d).join(p.select(
+        F.concat(F.lit("essence_"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"),
+                 F.col("p_partkey").cast("string"), F.lit(".md")).alias("name"),
+        F.col("p_type").alias("content")), "name")
+    per_type = p.select(F.concat(F.lit("essence_"), F.lower("p_type"), F.lit(".md")).alias("name"),
+                        F.lit(-1).cast("long").alias("mtime"),
+                        F.when(F.col("p_type") == "PROMO", F.lit("")).otherwise(F.col("p_type")).alias("content")) \
+        .distinct()
+    return per_part.unionByName(per_type)
+
+
+def q_resolve_essence(spark, d) -> DataFrame:
+    """Explicit essence = ``essence_<first label word>.md`` (exists for some
+    labels, empty for one), else the label's paired essence."""
+    req = _labels(spark, d).select(
+        "label", F.concat(F.lit("essence_"), F.lower(F.split("label", "_").getItem(0)), F.lit(".md")).alias("explicit"))
+    res = D.resolve_essence(req, _essence_files(spark, d))
+    return res.select("label", "essence_source", "essence_name", F.md5("essence").alias("essence_md5"))
+
+
 def _turn_docs(spark, d) -> DataFrame:
     c = load(spark, d, "conversations")
     return c.select(
@@ -267,6 +292,7 @@ QUERIES = {
     "essence_pairing": q_essence_pairing,
     "essence_pairing_equijoin": q_essence_pairing_equijoin,
     "resolve_input": q_resolve_input,
+    "resolve_essence": q_resolve_essence,
     "tagged_spans": q_tagged_spans,
     "clean_pages": q_clean_pages,
     "card_documents": q_card_documents,
@@ -324,6 +350,15 @@ res AS (SELECT l.label, coalesce(b.name, (SELECT name FROM newest), '无') AS es
                coalesce(b.mtime, (SELECT mtime FROM newest)) AS essence_mtime, b.name IS NOT NULL AS matched
         FROM lab l LEFT JOIN best b ON b.label = l.label)"""
 
+_PAIRING_FILES = _PAIRING.replace(
+    """ess AS (SELECT 'essence_' || replace(p_name, ' ', '_') || '_' || CAST(p_partkey AS VARCHAR) || '.md' AS name,
+               p_partkey AS mtime FROM part),""",
+    """ess AS (SELECT 'essence_' || replace(p_name, ' ', '_') || '_' || CAST(p_partkey AS VARCHAR) || '.md' AS name,
+               p_partkey AS mtime, p_type AS content FROM part
+           UNION ALL SELECT DISTINCT 'essence_' || lower(p_type) || '.md', -1,
+               CASE WHEN p_type = 'PROMO' THEN '' ELSE p_type END FROM part),""")
+assert _PAIRING_FILES != _PAIRING
+
 _TURN_DOCS = """
 docs AS (SELECT 'turn_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) || '.md' AS name,
                 conv_id * 100 + turn AS mtime,
@@ -405,6 +440,20 @@ ORACLE = {
         SELECT r.label, array_to_string(kl.kws, ',') AS keywords, essence_name, essence_mtime, matched
         FROM res r JOIN kl ON kl.label = r.label""",
     "essence_pairing_equijoin": f"""WITH {_PAIRING} SELECT label, essence_name, essence_mtime, matched FROM res""",
+    "resolve_essence": f"""WITH {_PAIRING_FILES},
+        req AS (SELECT label, 'essence_' || lower(string_split(label, '_')[1]) || '.md' AS explicit FROM lab),
+        j AS (SELECT r.label, x.name AS x_name, x.content AS x_content, res.essence_name AS p_name, pc.content AS p_content
+              FROM req r LEFT JOIN ess x ON x.name = r.explicit
+              LEFT JOIN res ON res.label = r.label LEFT JOIN ess pc ON pc.name = res.essence_name),
+        o AS (SELECT label,
+                CASE WHEN nullif(x_content, '') IS NOT NULL THEN 'explicit'
+                     WHEN nullif(p_content, '') IS NOT NULL THEN 'paired' ELSE 'default' END AS essence_source,
+                CASE WHEN nullif(x_content, '') IS NOT NULL THEN x_name
+                     WHEN nullif(p_content, '') IS NOT NULL THEN p_name ELSE {_q(D.NO_ESSENCE_FILE)} END AS essence_name,
+                CASE WHEN nullif(x_content, '') IS NOT NULL THEN x_content
+                     WHEN nullif(p_content, '') IS NOT NULL THEN p_content ELSE {_q(D.NO_ESSENCE_TEXT)} END AS essence
+              FROM j)
+        SELECT label, essence_source, essence_name, md5(essence) AS essence_md5 FROM o""",
     "resolve_input": f"""WITH {_TURN_DOCS},
         req AS (SELECT conv_id * 100 + turn AS req_id,
                        'turn_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn + 1 AS VARCHAR) || '.md' AS explicit FROM docs),

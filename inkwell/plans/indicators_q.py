@@ -74,7 +74,7 @@ def q_coverage_flag(spark, d) -> DataFrame:
     li = load(spark, d, "lineitem")
     s = load(spark, d, "supplier")
     interest = li.groupBy("l_suppkey").agg(
-        (F.sum(F.col("l_extendedprice").cast(_P) * F.col("l_tax").cast(_R)).cast("double") / 100.0).alias("interest"))
+        (F.sum(F.col("l_extendedprice").cast(_P) * F.col("l_tax").cast(_R)).cast("double") / 1000.0).alias("interest"))
     j = s.join(interest, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     ratio, flag = I.coverage_flag(F.col("s_acctbal"), F.col("interest"))
     return j.select("s_suppkey", F.col("s_acctbal").alias("ebit"), "interest", ratio.alias("coverage"),
@@ -161,7 +161,7 @@ ORACLE = {
           / count(earnings_x) OVER (PARTITION BY entity ORDER BY idx RANGE BETWEEN 119 PRECEDING AND CURRENT ROW), 0)
           AS cyclical_ratio FROM e""",
     "coverage_flag": """WITH i AS (SELECT l_suppkey,
-            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE) / 100.0 AS interest
+            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE) / 1000.0 AS interest
             FROM lineitem GROUP BY 1)
         SELECT s.s_suppkey, s.s_acctbal AS ebit, i.interest, s.s_acctbal / nullif(i.interest, 0) AS coverage,
                s.s_acctbal / nullif(i.interest, 0) < 1.5 AS flag

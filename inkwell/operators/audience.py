@@ -1,11 +1,9 @@
 """Audience analytics from playback events: sessions, retention at a
 horizon, completion, the survival curve, segment findings and pacing.
 
-Sessionisation uses ``session_window``; with
-``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` on
-(see ``inkwell.session``) Spark merges sessions inside each map partition
-before the shuffle, so a viewer holding a large share of the events ships
-sessions, not raw events.
+Sessionisation runs ``session_window`` per (viewer, time chunk) and then
+stitches the partial sessions per viewer, so a viewer holding a large share
+of the events is spread over many tasks (see ``sessions``).
 """
 
 from __future__ import annotations
@@ -16,16 +14,47 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import epoch_micros
 
 
+def _interval_us(spec: str) -> int:
+    n, unit = spec.split()
+    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
+            "day": 86400, "days": 86400}[unit.lower()]
+    return int(n) * mult * 1_000_000
+
+
 def sessions(events: DataFrame, viewer: str = "viewer", ts: str = "ts", event_type: str = "event_type",
-             gap: str = "12 hours", end_event: str = "purchase", by: list[str] | None = None) -> DataFrame:
+             gap: str = "12 hours", end_event: str = "purchase", by: list[str] | None = None,
+             chunk: str = "1 hour") -> DataFrame:
     """One row per session: (by..., viewer, start, end, n_events,
     reached_end, duration_us).  A new session starts when the next event is
-    more than ``gap`` after the previous one."""
+    more than ``gap`` after the previous one.
+
+    Two phases, so that one viewer holding a large share of the events is
+    not sorted in a single task:
+
+    1. sessions inside each (viewer, time chunk) with ``session_window`` —
+       the shuffle key includes the chunk, so a hot viewer spreads over
+       many tasks;
+    2. the partial sessions (far fewer than events) are stitched across
+       chunk borders per viewer: a partial starts a new session when it
+       begins more than ``gap`` after the previous partial ended.
+    """
     by = by or []
     dtype = events.schema[ts].dataType
-    g = events.groupBy(*by, viewer, F.session_window(F.col(ts), gap).alias("sw")).agg(
-        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n_events"),
+    gap_us = _interval_us(gap)
+    chunk_us = _interval_us(chunk)
+    ev = events.withColumn("_chunk", F.floor(epoch_micros(ts, dtype) / chunk_us))
+    part = ev.groupBy(*by, viewer, "_chunk", F.session_window(F.col(ts), gap).alias("sw")).agg(
+        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n"),
         F.max((F.col(event_type) == end_event).cast("int")).alias("_end"))
+    part = part.withColumn("_s", epoch_micros("start", dtype)).withColumn("_e", epoch_micros("end", dtype))
+    w = Window.partitionBy(*by, viewer).orderBy("_s", "_e")
+    prev_end = F.lag("_e").over(w)
+    new = F.when(prev_end.isNull() | (F.col("_s") - prev_end > gap_us), 1).otherwise(0)
+    marked = part.withColumn("_new", new)
+    sid = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    g = marked.withColumn("_sid", sid).groupBy(*by, viewer, "_sid").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n_events"),
+        F.max("_end").alias("_end"))
     return g.select(*by, viewer, "start", "end", "n_events", (F.col("_end") == 1).alias("reached_end"),
                     (epoch_micros("end", dtype) - epoch_micros("start", dtype)).alias("duration_us"))
 

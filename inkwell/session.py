@@ -8,9 +8,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Configs the operators are written against.  AQE re-plans joins and
-# coalesces/splits partitions at runtime; the session-window flag lets Spark
-# merge sessions inside each map partition before the shuffle, so one hot
-# user does not ship every raw event to a single task.
+# coalesces/splits partitions at runtime (and splits skewed join
+# partitions); the session-window flag merges sessions inside a partition
+# where Spark supports it (streaming).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",

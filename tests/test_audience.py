@@ -38,3 +38,40 @@ def test_pacing_ratio(spark):
     p = A.pacing(_ev(spark), bucket="1 hour").collect()
     assert abs(sum(r.ratio for r in p) / len(p) - 1.0) < 1e-12
     assert spark.range(1).select(A.fmt_offset(F.lit(3725))).first()[0] == "01:02:05"
+
+
+def _python_sessions(rows, gap_s):
+    out = []
+    by_viewer = {}
+    for v, t, e in rows:
+        by_viewer.setdefault(v, []).append((t, e))
+    for v, evs in by_viewer.items():
+        evs.sort()
+        cur = None
+        for t, e in evs:
+            if cur is None or (t - cur[1]).total_seconds() > gap_s:
+                if cur:
+                    out.append((v,) + tuple(cur))
+                cur = [t, t, 0, False]
+            cur[1] = t
+            cur[2] += 1
+            cur[3] = cur[3] or e == "purchase"
+        out.append((v,) + tuple(cur))
+    return sorted(out)
+
+
+def test_chunked_sessions_equal_global_sessionisation(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for v in range(5):
+        t = T0
+        for _ in range(rnd.randint(1, 60)):
+            t = t + dt.timedelta(seconds=rnd.choice([1, 30, 59, 60, 61, 600, 3600, 7200]))
+            rows.append((v, t, rnd.choice(["view", "purchase"])))
+    ev = spark.createDataFrame(rows, "viewer int, ts timestamp, event_type string")
+    expect = _python_sessions(rows, 60)
+    for chunk in ["1 minutes", "1 hours", "1000 days"]:
+        got = sorted((r.viewer, r.start, r.end, r.n_events, r.reached_end)
+                     for r in A.sessions(ev, gap="60 seconds", chunk=chunk).collect())
+        assert got == expect, chunk

@@ -180,7 +180,13 @@ def pair_essence(labels: DataFrame, essences: DataFrame, broadcast_keywords: int
     else:
         hits = _substring_matches(essences.select("name"), kw)
     ess = essences.select("name", "mtime")
-    cand = lk.join(hits, "kw").select("label", "name").distinct().join(ess, "name")
+    order = F.struct(_desc_key(ess, "mtime"), F.col("name"))
+    # newest match per keyword first (partial aggregate), then per label over
+    # its keywords: a keyword that matches a large share of the files (a
+    # year, say) never pairs every such file with every label holding it
+    per_kw = hits.join(ess, "name").groupBy("kw").agg(
+        F.min_by(F.struct("name", "mtime"), order).alias("k"))
+    cand = lk.join(per_kw, "kw").select("label", F.col("k.name").alias("name"), F.col("k.mtime").alias("mtime"))
     best = cand.groupBy("label").agg(
         F.min_by(F.struct("name", "mtime"), F.struct(_desc_key(ess, "mtime"), F.col("name"))).alias("b"))
     newest = ess.orderBy(F.col("mtime").desc(), F.col("name").asc()).limit(1)

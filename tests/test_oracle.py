@@ -14,6 +14,8 @@ from inkwell.plans.tables import TABLES
 from .conftest import SF_SMALL
 
 NAMES = sorted(E.queries())
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 @pytest.fixture(scope="module")
@@ -54,10 +56,13 @@ def test_query_matches_oracle(spark, con, name):
     if name not in E.oracle_sql():
         assert len(rows) >= 0
         return
-    cur = con.execute(E.oracle_sql()[name])
-    drows = cur.fetchall()
-    dcols = [c[0] for c in cur.description]
+    rel = con.sql(E.oracle_sql()[name])
+    dcols = rel.columns
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    drows = rel.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    for f in df.schema.fields:   # same column types in both engines
+        assert _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) == dtypes[f.name], f.name
     assert len(rows) == len(drows)
     assert _canon(df.columns, rows) == _canon(dcols, drows)
 

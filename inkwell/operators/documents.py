@@ -231,12 +231,13 @@ def resolve_input(requests: DataFrame, docs: DataFrame, default_text: str = NO_R
     )
 
 
-def resolve_essence(requests: DataFrame, essences: DataFrame, broadcast_keywords: int = 256) -> DataFrame:
+def resolve_essence(requests: DataFrame, essences: DataFrame, broadcast_keywords: int = 256,
+                    keep: list[str] | None = None) -> DataFrame:
     """Essence side of the input chain, per request (label, explicit):
     the explicitly named essence if it exists and is non-empty, else the
     paired essence of the label (J-1: newest match, else newest overall),
-    else the fixed placeholder text.  Output: label, essence_source,
-    essence_name, essence."""
+    else the fixed placeholder text.  Output: keep..., label,
+    essence_source, essence_name, essence."""
     e = essences.select(F.col("name").alias("x_name"), F.col("content").alias("x_content"))
     pairing = pair_essence(requests.select("label"), essences.select("name", "mtime"), broadcast_keywords)
     p = pairing.join(essences.select(F.col("name").alias("essence_name"), F.col("content").alias("p_content")),
@@ -245,7 +246,7 @@ def resolve_essence(requests: DataFrame, essences: DataFrame, broadcast_keywords
     explicit_ok = F.nullif(F.col("x_content"), F.lit("")).isNotNull()
     paired_ok = F.nullif(F.col("p_content"), F.lit("")).isNotNull()
     return j.select(
-        "label",
+        *(keep or []), "label",
         F.when(explicit_ok, F.lit("explicit")).when(paired_ok, F.lit("paired")).otherwise(F.lit("default"))
          .alias("essence_source"),
         F.when(explicit_ok, F.col("x_name")).when(paired_ok, F.col("essence_name"))
@@ -319,7 +320,7 @@ def response_parts(text) -> dict[str, Column]:
     t = _c(text)
     line = lambda key: ustrip(F.regexp_extract(t, re.escape(key) + r"[^\n]*?[：:]([^\n]*)", 1))
     tags_line = F.regexp_extract(t, re.escape(HASHTAG_LINE) + r"[^\n]*?[：:]([^\n]*)", 1)
-    sections = F.split(t, r"\n-{3,}[ \t]*\n")
+    sections = F.split(t, r"\n-{3,}[ \t]*(\n|\z)")
     spoken = ustrip(F.regexp_replace(ustrip(F.element_at(sections, 2)), r"^[0-9]+\.[^\n]*\n", ""))
     return {
         "cover": line(COVER_LINE),

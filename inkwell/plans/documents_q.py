@@ -383,7 +383,7 @@ parts AS (SELECT p_partkey, text,
   regexp_extract(text, '视频封面文字[^\n]*?[：:]([^\n]*)', 1) AS cover0,
   regexp_extract(text, '吸睛发布标题[^\n]*?[：:]([^\n]*)', 1) AS title0,
   regexp_extract_all(regexp_extract(text, 'Hashtags[^\n]*?[：:]([^\n]*)', 1), '#([^\s#]+)', 1) AS tags,
-  regexp_split_to_array(text, '\n-{3,}[ \t]*\n') AS sections FROM resp)"""
+  regexp_split_to_array(text, '\n-{3,}[ \t]*(\n|\z)') AS sections FROM resp)"""
 
 _FOLDER = """
 files AS (SELECT conv_id AS dir,

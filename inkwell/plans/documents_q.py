@@ -387,19 +387,19 @@ parts AS (SELECT p_partkey, text,
 
 _FOLDER = """
 files AS (SELECT conv_id AS dir,
-                 CASE WHEN turn = 2 THEN 'v1_AI.md' WHEN turn = 3 THEN 'v2_Ryan.md'
+                 CASE WHEN turn = 2 THEN '""" + D.DRAFT_NAME + """' WHEN turn = 3 THEN '""" + D.FINAL_NAME + """'
                       ELSE 'turn_' || CAST(turn AS VARCHAR) || '.md' END AS name,
                  conv_id AS mtime, text AS content FROM conversations),
 top AS (SELECT dir, max(mtime) AS group_mtime FROM files GROUP BY dir ORDER BY group_mtime DESC, dir LIMIT 3),
 ranked AS (SELECT *, row_number() OVER (ORDER BY group_mtime DESC, dir) AS rank FROM top),
 pairs AS (SELECT a.dir, a.content AS v1, b.content AS v2 FROM files a JOIN files b
-          ON a.dir = b.dir AND a.name = 'v1_AI.md' AND b.name = 'v2_Ryan.md'),
+          ON a.dir = b.dir AND a.name = '""" + D.DRAFT_NAME + """' AND b.name = '""" + D.FINAL_NAME + """'),
 kept AS (SELECT p.*, row_number() OVER (ORDER BY r.rank) AS n FROM ranked r JOIN pairs p ON p.dir = r.dir),
 fs AS (SELECT CAST(count(*) AS BIGINT) AS n_pairs,
               CASE WHEN count(*) > 0 THEN """ + _q(D.FEW_SHOT_HEADER) + """ || string_agg(
                  '【修改对照案例 ' || CAST(n AS VARCHAR) || '：' || CAST(dir AS VARCHAR) || '】' || chr(10)
-                 || '--- 你的粗糙初稿 (v1_AI.md) ---' || chr(10) || v1 || chr(10) || chr(10)
-                 || '--- 我的发布终稿 (v2_Ryan.md) ---' || chr(10) || v2 || chr(10)
+                 || """ + _q(D.FEW_SHOT_V1) + """ || v1 || chr(10) || chr(10)
+                 || """ + _q(D.FEW_SHOT_V2) + """ || v2 || chr(10)
                  || '""" + D.RULE_72 + """' || chr(10) || chr(10), '' ORDER BY n)
               ELSE '' END AS few_shot FROM kept)"""
 

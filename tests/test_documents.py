@@ -67,10 +67,10 @@ def test_tags_cards_and_clean(spark):
 
 def test_few_shot_incomplete_folder_uses_a_slot(spark):
     files = spark.createDataFrame([
-        ("d4", "v1_AI.md", 40, "a4"),                             # newest, no v2: uses a slot
-        ("d3", "v1_AI.md", 30, "a3"), ("d3", "v2_Ryan.md", 31, "b3"),
-        ("d2", "v1_AI.md", 20, "a2"), ("d2", "v2_Ryan.md", 21, "b2"),
-        ("d1", "v1_AI.md", 10, "a1"), ("d1", "v2_Ryan.md", 11, "b1"),
+        ("d4", D.DRAFT_NAME, 40, "a4"),                             # newest, no v2: uses a slot
+        ("d3", D.DRAFT_NAME, 30, "a3"), ("d3", D.FINAL_NAME, 31, "b3"),
+        ("d2", D.DRAFT_NAME, 20, "a2"), ("d2", D.FINAL_NAME, 21, "b2"),
+        ("d1", D.DRAFT_NAME, 10, "a1"), ("d1", D.FINAL_NAME, 11, "b1"),
     ], "dir string, name string, mtime long, content string")
     pairs = D.few_shot_pairs(files, 3)
     assert [(r.dir, r.n) for r in pairs.orderBy("n").collect()] == [("d3", 1), ("d2", 2)]

@@ -3,6 +3,8 @@ import time
 
 from pyspark.sql import functions as F
 
+from inkwell.operators import documents as D
+
 from inkwell.sinks import write_reports
 from inkwell.sources import files as S
 from inkwell.streaming.ingest import ingest_stream, read_newest
@@ -33,11 +35,11 @@ def test_scan_documents_and_listing(spark, tmp_path):
 
 def test_scan_pairs_skips_dot_folders(spark, tmp_path):
     h = tmp_path / "hist"
-    _write(str(h / "A解析_1" / "v1_AI.md"), "draft")
-    _write(str(h / "A解析_1" / "v2_Ryan.md"), "final")
-    _write(str(h / ".hidden" / "v1_AI.md"), "x")
+    _write(str(h / "A解析_1" / D.DRAFT_NAME), "draft")
+    _write(str(h / "A解析_1" / D.FINAL_NAME), "final")
+    _write(str(h / ".hidden" / D.DRAFT_NAME), "x")
     rows = {(r.dir, r.name) for r in S.scan_pairs(spark, str(h)).collect()}
-    assert rows == {("A解析_1", "v1_AI.md"), ("A解析_1", "v2_Ryan.md")}
+    assert rows == {("A解析_1", D.DRAFT_NAME), ("A解析_1", D.FINAL_NAME)}
 
 
 def test_required_documents_and_metric_files(spark, tmp_path):

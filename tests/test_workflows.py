@@ -3,6 +3,8 @@ import os
 
 from pyspark.sql import functions as F
 
+from inkwell.operators import documents as D
+
 from inkwell.operators import market as M
 from inkwell.operators import rules as R
 from inkwell.plans import workflows as W
@@ -45,8 +47,8 @@ def test_generation_prompts_and_split(spark, tmp_path):
     _w(f"{base}/raw/LULU_raw.md", "lulu numbers", 200)
     _w(f"{base}/ess/walmart_essence_20260524.txt", "walmart essence", 50)
     _w(f"{base}/ess/LULU_essence.md", "lulu essence", 60)
-    _w(f"{base}/hist/A解析_1/v1_AI.md", "draft a", 10)
-    _w(f"{base}/hist/A解析_1/v2_Ryan.md", "final a", 11)
+    _w(f"{base}/hist/A解析_1/{D.DRAFT_NAME}", "draft a", 10)
+    _w(f"{base}/hist/A解析_1/{D.FINAL_NAME}", "final a", 11)
     raw = S.scan_documents(spark, f"{base}/raw").select("name", "mtime", "content")
     ess = S.scan_documents(spark, f"{base}/ess").select("name", "mtime", "content")
     hist = S.scan_pairs(spark, f"{base}/hist")

@@ -305,10 +305,13 @@ def card_document_text(label, run_ts, cards) -> Column:
     return F.when(F.size(_c(cards)) > 0, content)
 
 
-def card_document(cards: DataFrame, by: list[str] = ("label", "run_ts")) -> DataFrame:
-    """Grouped form over a card table (by..., idx, body): one document per
-    group with n_cards."""
+def card_document(cards: DataFrame, by: list[str] = ("label", "run_ts"), drop_fallback: bool = True) -> DataFrame:
+    """Grouped form over a card table (by..., idx, body[, is_fallback]): one
+    document per group with n_cards; cards from fallback output are left
+    out unless ``drop_fallback`` is False."""
     by = list(by)
+    if drop_fallback and "is_fallback" in cards.columns:
+        cards = cards.filter(~F.coalesce(F.col("is_fallback"), F.lit(False)))
     arr = F.transform(F.sort_array(F.collect_list(F.struct("idx", "body"))), lambda x: x["body"])
     g = cards.groupBy(*by).agg(arr.alias("cards"))
     return g.select(*by, F.size("cards").alias("n_cards"),

@@ -112,3 +112,28 @@ def test_prompt_and_log(spark):
     assert "\nraw\n" in r.u and D.DEFAULT_IDEA in r.u
     assert r.log.startswith("=== SYSTEM INSTRUCTION ===\n" + r.s + "\n\n=== USER PROMPT ===\n")
     assert r.log.endswith("=== MODEL RAW RESPONSE ===\nresp\n")
+
+
+def test_properties_strip_idempotent_and_counts_agree(spark):
+    import random
+    from inkwell.operators import rules as R
+    rnd = random.Random(11)
+    pieces = ["<CognitiveCard>", "</CognitiveCard>", "x", "\n", " ", "卡", "　"]
+    texts = [("".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 40))),) for _ in range(300)]
+    df = spark.createDataFrame(texts, "t string")
+    once = D.strip_tagged("t")
+    n, _ = R.card_count("t")
+    rows = df.select(once.alias("a"), D.strip_tagged(once).alias("b"), F.size(D.tagged_spans("t")).alias("k"),
+                     n.alias("n")).collect()
+    for r in rows:
+        assert r.a == r.b          # cleaning twice changes nothing
+        assert r.k == r.n          # extracted spans == counted cards
+
+
+def test_card_document_grouped_drops_fallback(spark):
+    cards = spark.createDataFrame([("L", dt.datetime(2026, 1, 1), 2, "b", False), ("L", dt.datetime(2026, 1, 1), 1, "a", False),
+                                   ("M", dt.datetime(2026, 1, 1), 1, "mock", True)],
+                                  "label string, run_ts timestamp, idx int, body string, is_fallback boolean")
+    got = {r.label: r for r in D.card_document(cards).collect()}
+    assert set(got) == {"L"} and got["L"].n_cards == 2
+    assert got["L"].content.index("### 💡 硬核认知卡片 1\na") < got["L"].content.index("### 💡 硬核认知卡片 2\nb")

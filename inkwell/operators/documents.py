@@ -353,7 +353,9 @@ def few_shot_pairs(files: DataFrame, k: int = 3, group: str = "dir") -> DataFram
     """Rank the newest ``k`` folders first, then keep complete pairs and
     number them in newest-first order (an incomplete folder uses a slot)."""
     top = latest_k_groups(files, k, group)
-    kept = top.join(pair_versions(files, group), group, "inner")
+    # only the k chosen folders are paired (a k-row broadcast semi join)
+    chosen = files.join(F.broadcast(top.select(group)), group, "left_semi")
+    kept = top.join(pair_versions(chosen, group), group, "inner")
     return number_rows(kept, [], [F.col("rank")], "n")
 
 

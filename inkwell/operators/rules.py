@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.functions.guards import broadcast_if_small
+from inkwell.functions.guards import bounded, broadcast_if_small
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
 
 # ---------------------------------------------------------------- fixed values
@@ -45,6 +45,7 @@ FIRST_PERSON = "我"
 # -----------------------------------------------------------------------------
 
 RULES_SCHEMA = "rule_class string, phrase string, replacement string, limit int"
+MAX_AUTOMATON_PHRASES = 2_000_000
 
 
 def rules_dim(spark: SparkSession) -> DataFrame:
@@ -101,7 +102,10 @@ def _phrase_hits_automaton(scripts: DataFrame, rules: DataFrame, key: str, text:
     import ahocorasick  # baked into the image; only needed for big rule sets
 
     ph = rules.filter(F.col("rule_class") != "limit").select("rule_class", "phrase").distinct()
-    # rule sets are dimensions: distribute them as a broadcast variable
+    # rule sets are dimensions: distribute them as a broadcast variable, after
+    # checking that the set has a dimension's size
+    if not bounded(ph, MAX_AUTOMATON_PHRASES):
+        raise ValueError(f"rule table has more than {MAX_AUTOMATON_PHRASES} phrases")
     spark = scripts.sparkSession
     table = spark.sparkContext.broadcast([(r[0], r[1]) for r in ph.toLocalIterator()])
     key_type = scripts.schema[key].dataType.simpleString()

@@ -39,6 +39,18 @@ def scan_listing(spark: SparkSession, path: str, glob: str = DOC_GLOB) -> DataFr
                      F.col("modificationTime").alias("mtime"), F.col("length"))
 
 
+def read_latest(spark: SparkSession, path: str, glob: str = DOC_GLOB) -> DataFrame:
+    """The newest document of a folder, reading only that file's content.
+
+    Step 1 lists names and mtimes (``binaryFile`` with the content column
+    pruned); step 2 reads the one chosen path.  Output as ``scan_documents``
+    (empty when the folder has no matching file)."""
+    top = scan_listing(spark, path, glob).orderBy(F.col("mtime").desc(), F.col("name").asc()).limit(1).collect()
+    if not top:
+        return scan_documents(spark, path, glob).limit(0)
+    return scan_documents(spark, top[0]["path"], glob="*")
+
+
 def scan_pairs(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """(dir, name, mtime, content) of every file one level below ``path``;
     dot- and underscore-folders are skipped by Spark's listing."""

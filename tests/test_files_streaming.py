@@ -29,6 +29,8 @@ def test_scan_documents_and_listing(spark, tmp_path):
     assert docs["WMT_raw_20260524_171003.txt"].label == "WMT"
     listing = S.scan_listing(spark, str(d)).orderBy(F.col("mtime").desc()).first()
     assert listing.name == "LULU_raw.md"
+    latest = S.read_latest(spark, str(d)).collect()
+    assert [(r.name, r.content, r.label) for r in latest] == [("LULU_raw.md", "lulu", "LULU")]
     both = S.union_sources(S.scan_documents(spark, str(d), glob="*.txt"), S.scan_documents(spark, str(d), glob="*.md"))
     assert both.count() == 2
 

@@ -54,7 +54,15 @@ def test_generation_prompts_and_split(spark, tmp_path):
     hist = S.scan_pairs(spark, f"{base}/hist")
     req = spark.createDataFrame([(1, "WMT_raw_20260524_171003.txt", None, "idea"), (2, None, None, None)],
                                 "req_id int, explicit string, explicit_essence string, idea string")
-    out = {r.req_id: r for r in W.generation_prompts(req, raw, ess, hist, F.lit("P"), F.lit("F"), F.lit("R")).collect()}
+    _w(f"{base}/config/persona.md", "P", 1)
+    _w(f"{base}/config/frameworks.md", "F", 1)
+    _w(f"{base}/config/Master_Rulebook.md", "R", 1)
+    cfg = S.required_documents(spark, f"{base}/config", ["persona.md", "frameworks.md", "Master_Rulebook.md"])
+    assert all(r.ok for r in cfg.collect())
+    persona, frameworks, rulebook = (cfg.filter(F.col("name") == n).select("content").scalar()
+                                     for n in ["persona.md", "frameworks.md", "Master_Rulebook.md"])
+    out = {r.req_id: r for r in W.generation_prompts(req, raw, ess, hist, persona, frameworks, rulebook).collect()}
+    assert "\nP\nF\n" in out[1].system
     assert (out[1].label, out[1].essence_name) == ("WMT", "walmart_essence_20260524.txt")
     assert (out[2].label, out[2].raw_source, out[2].essence_name) == ("LULU", "latest", "LULU_essence.md")
     assert "wmt numbers" in out[1].prompt and "walmart essence" in out[1].prompt and "draft a" in out[1].prompt

@@ -7,11 +7,15 @@ group key and the whole universe is one job.
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkwell.functions.fmt import MISSING, fixed, raw_or_missing, signed
 from inkwell.functions.guards import broadcast_if_small
+from inkwell.functions.text import epoch_micros
 
 # ---------------------------------------------------------------- fixed values
 # Report layout strings of the company and macro reports.
@@ -67,16 +71,36 @@ def macro_dim(spark) -> DataFrame:
 
 def daily_closes(prices: DataFrame, symbol: str = "symbol", ts: str = "ts",
                  close: str = "close", tiebreak: str | None = None) -> DataFrame:
-    """One close per (symbol, day): the last price of the day.
+    """One close per (symbol, day): the last price of the day, ties on the
+    timestamp broken by the largest ``tiebreak``.
 
     ``max_by`` is an ordinary aggregate, so Spark combines it map-side: a hot
-    symbol is reduced inside every input partition before the shuffle.
+    symbol is reduced inside every input partition before the shuffle.  The
+    (timestamp, integer tiebreak) order is packed into one DECIMAL(38,0)
+    (micros · 2^64 + tiebreak + 2^63, order-preserving and exact), which
+    keeps the aggregation on the hash path; a struct key would force a
+    sort-based aggregate.
     """
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    dtype = prices.schema[ts].dataType
+    if tiebreak and isinstance(prices.schema[tiebreak].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        order = lexicographic_key(epoch_micros(ts, dtype), F.col(tiebreak))
+    elif tiebreak:
+        order = F.struct(F.col(ts), F.col(tiebreak))
+    else:
+        order = F.col(ts)
     return (prices.groupBy(F.col(symbol).alias("symbol"), F.to_date(F.col(ts)).alias("day"))
             .agg(F.max_by(F.col(close), order).alias("close")))
 
 
+_D38 = "decimal(38,0)"
+
+
+def lexicographic_key(hi: Column, lo: Column) -> Column:
+    """Order-preserving exact key of a pair of 64-bit integers."""
+    return (hi.cast(_D38) * F.lit(decimal.Decimal(2 ** 64)).cast(_D38)
+            + (lo.cast(_D38) + F.lit(decimal.Decimal(2 ** 63)).cast(_D38)))
+
+
 def last_two_closes(daily: DataFrame, days: int = 5, as_of: Column | None = None) -> DataFrame:
     """Last and previous daily close inside the last ``days`` days.
 

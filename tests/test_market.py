@@ -92,3 +92,12 @@ def test_macro_report_layout(spark):
     assert "● 美国10年期国债收益率 (US 10Y Yield) (^TNX)\n  最新价格/数值: 4.435%\n  日内涨跌幅: -0.01%\n" in r.content
     assert r.content.count("暂无") == 22
     assert r.content.endswith(M.MACRO_FOOTER[-1] + "\n")
+
+
+def test_lexicographic_key_orders_pairs(spark):
+    import itertools
+    vals = [-2**63, -5, -1, 0, 1, 7, 2**63 - 1]
+    pairs = list(itertools.product([-3, 0, 1, 1_700_000_000_000_000], vals))
+    df = spark.createDataFrame(pairs, "hi long, lo long")
+    got = [(r.hi, r.lo) for r in df.orderBy(M.lexicographic_key(F.col("hi"), F.col("lo"))).collect()]
+    assert got == sorted(pairs)

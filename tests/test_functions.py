@@ -51,3 +51,25 @@ def test_fixed_rounds_like_python(spark):
 def test_split_sentences(spark):
     df = spark.createDataFrame([("一。二！三？ four. five\n\n six",)], "t string")
     assert df.select(split_sentences("t")).first()[0] == ["一", "二", "三", "four", "five", "six"]
+
+
+def _label_rule(name: str) -> str:
+    """The label rule as SURVEY Q3 states it (plain Python, for comparison)."""
+    import re
+    s = name.lower()
+    for lit in [".txt", ".md", "_raw", "dialogue_log_", "essence_"]:
+        s = s.replace(lit, "")
+    s = re.sub(r"[0-9]{8}(_[0-9]{6})?", "", s)
+    s = re.sub(r"_+", "_", s).strip("_")
+    return s.upper() if s else "TOPIC"
+
+
+def test_source_label_random_names(spark):
+    import random
+    rnd = random.Random(5)
+    atoms = ["_", "__", ".txt", ".md", "_raw", "dialogue_log_", "essence_", "20260524", "_171003", "1234567",
+             "wmt", "LULU", "a", "B", "9", "macro", "-", "."]
+    names = ["".join(rnd.choice(atoms) for _ in range(rnd.randint(0, 8))) for _ in range(500)]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = [r[0] for r in df.select(source_label("name")).collect()]
+    assert got == [_label_rule(n) for n in names]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import PY_SPACE, source_label, split_sentences, ustrip
+from inkwell.functions.text import PY_SPACE, source_label
 from inkwell.operators import documents as D
 from inkwell.operators import rules as R
 from inkwell.plans.tables import load

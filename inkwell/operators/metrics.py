@@ -89,7 +89,7 @@ def merge_metrics(keys: DataFrame, parsed: DataFrame, key: str = "video_id") ->
         *[F.max(F.when(F.col("metric") == k, F.col("num"))).alias(k) for k in known],
         F.map_from_entries(F.sort_array(F.collect_list(F.when(~F.col("metric").isin(known),
                                                              F.struct("metric", "value"))))).alias("extra"),
-        F.first("metric").isNotNull().alias("_any"))
+        (F.count("metric") > 0).alias("_any"))
     j = keys.select(key).join(agg, key, "left")
     cols = [F.coalesce(F.col(k), F.lit(float(v))).alias(k) for k, v in DEFAULT_METRICS]
     return j.select(key, *cols, F.coalesce(F.col("extra"), F.create_map().cast(_MAP)).alias("extra"),

@@ -97,8 +97,8 @@ def segment_findings(curve: DataFrame, bucket_s: int, horizon_s: int) -> DataFra
     no float rounding decides a class.
     """
     c = curve.filter(F.col("bucket") >= 1)
-    tot = Window.partitionBy()
-    s = c.withColumn("_sum", F.sum("drop").over(tot)).withColumn("_n", F.count(F.lit(1)).over(tot))
+    tot = c.agg(F.struct(F.sum("drop").alias("s"), F.count(F.lit(1)).alias("n")).alias("t")).scalar()
+    s = c.withColumn("_sum", tot.getField("s")).withColumn("_n", tot.getField("n"))
     opening_last = -(-horizon_s // bucket_s)  # ceil
     kind = (F.when(F.col("bucket") <= opening_last, F.lit("opening_loss"))
             .when(F.col("drop") * F.col("_n") > F.col("_sum"), F.lit("sag"))
@@ -113,11 +113,12 @@ def segment_findings(curve: DataFrame, bucket_s: int, horizon_s: int) -> DataFra
 
 def pacing(events: DataFrame, ts: str = "ts", bucket: str = "1 hour") -> DataFrame:
     """Events per time bucket and the ratio to the mean bucket (computed as
-    n · buckets / total, exact in integers until the final division)."""
+    n · buckets / total, exact in integers until the final division).  The
+    two totals come from one scalar subquery, not a single-partition window."""
     g = events.groupBy(F.window(F.col(ts), bucket).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    all_ = Window.partitionBy()
+    tot = g.agg(F.struct(F.count(F.lit(1)).alias("b"), F.sum("n").alias("t")).alias("s")).scalar()
     return g.select(F.col("w.start").alias("bucket_start"), F.col("n"),
-                    (F.col("n") * F.count(F.lit(1)).over(all_) / F.sum("n").over(all_)).alias("ratio"))
+                    (F.col("n") * tot.getField("b") / tot.getField("t")).alias("ratio"))
 
 
 def fmt_offset(seconds: Column) -> Column:

@@ -271,6 +271,15 @@ def scorecard_wide(df: DataFrame, key: str, names: list[str]) -> DataFrame:
                      total.cast("long").alias("n_passed"))
 
 
+def any_phrase(text, phrases: list[str]) -> Column:
+    """True when any phrase occurs in the text: one regex search that stops
+    at the first hit (equivalent to ``phrase_total(...) > 0``)."""
+    from inkwell.functions.text import quote_literal
+    pat = "|".join(quote_literal(p) for p in dict.fromkeys(phrases))
+    t = F.col(text) if isinstance(text, str) else text
+    return t.rlike(pat) if phrases else F.lit(False)
+
+
 def phrase_total(text, phrases: list[str]) -> Column:
     """Total occurrences of all phrases in a text (inline counts)."""
     return sum((count_literal(text, p) for p in dict.fromkeys(phrases)), F.lit(0).cast("long"))

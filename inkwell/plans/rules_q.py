@@ -94,7 +94,7 @@ def q_scorecard(spark, d) -> DataFrame:
     st = R.style_ratios("_se", FIRST_PERSON_STAND_IN)
     phrases = [p for _, p, _ in STAND_IN_RULES]
     checks = R.sentence_arrays(_docs(spark, d)).select(
-        "script_id", (R.phrase_total(F.col("text"), phrases) == 0).alias("no_forbidden"),
+        "script_id", (~R.any_phrase(F.col("text"), phrases)).alias("no_forbidden"),
         (ls["n_long"] == 0).alias("short_sentences"), (dn["n_numbers"] > 0).alias("has_numbers"),
         F.coalesce(st["question_share"] > 0, F.lit(False)).alias("asks_questions"))
     return R.scorecard_wide(checks, "script_id", CHECKS)

@@ -128,7 +128,7 @@ def script_audit(scripts: DataFrame, rules: DataFrame, key: str = "script_id", t
         hits = R.phrase_hits(scripts, rules, key, text).groupBy(key).agg(F.sum("n").alias("_hits"))
         base = scripts.join(hits, key, "left").withColumn("_hits", F.coalesce("_hits", F.lit(0)))
     else:
-        base = scripts.withColumn("_hits", R.phrase_total(F.col(text), phrases))
+        base = scripts.withColumn("_hits", F.when(R.any_phrase(F.col(text), phrases), 1).otherwise(0))
     arr = R.sentence_arrays(base, text)
     ls = R.long_sentences("_s")
     dn = R.info_density(text)

@@ -137,3 +137,12 @@ def test_card_document_grouped_drops_fallback(spark):
     got = {r.label: r for r in D.card_document(cards).collect()}
     assert set(got) == {"L"} and got["L"].n_cards == 2
     assert got["L"].content.index("### 💡 硬核认知卡片 1\na") < got["L"].content.index("### 💡 硬核认知卡片 2\nb")
+
+
+def test_pairing_substring_false_positive_is_kept(spark):
+    # Q4: a label token like "2026" matches every file dated 2026 (kept on purpose)
+    labels = spark.createDataFrame([("2026_04_PCE_MACRO_DEDUCTION_LOG",)], "label string")
+    ess = spark.createDataFrame([("essence_20260524_macro_split.txt", 5), ("walmart_essence_20250101.txt", 9)],
+                                "name string, mtime long")
+    r = D.pair_essence(labels, ess).first()
+    assert (r.essence_name, r.matched) == ("essence_20260524_macro_split.txt", True)

@@ -171,9 +171,19 @@ def sentence_arrays(df: DataFrame, text: str = "text", keep: list[str] | None =
     of re-splitting; Catalyst keeps the projection because the arrays are
     referenced several times."""
     keep = keep if keep is not None else [c for c in df.columns if c != text]
-    se = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(SENTENCE_WITH_END), 0), lambda x: ustrip(x)),
+    # one regex pass: the pieces with their end mark; the split form is the
+    # same pieces without the mark (a piece holds no mark but its last char)
+    raw = df.select(*keep, F.col(text),
+                    F.regexp_extract_all(F.col(text), F.lit(SENTENCE_WITH_END), 0).alias("_raw"))
+    se = F.filter(F.transform("_raw", lambda x: ustrip(x)), lambda x: F.length(x) > 0)
+    ends = list(SENTENCE_MARKS)
+    s_ = F.filter(F.transform("_raw", lambda x: ustrip(F.coalesce(_drop_last_mark(x, ends), x))),
                   lambda x: F.length(x) > 0)
-    return df.select(*keep, F.col(text), split_sentences(text).alias("_s"), se.alias("_se"))
+    return raw.select(*keep, F.col(text), s_.alias("_s"), se.alias("_se"))
+
+
+def _drop_last_mark(x: Column, ends: list[str]) -> Column:
+    return F.when(F.substring(x, -1, 1).isin(ends), F.substring(x, F.lit(1), F.length(x) - 1))
 
 
 def long_sentences(text, max_len: int = 25) -> dict[str, Column]:
@@ -233,6 +243,7 @@ def info_density(text) -> dict[str, Column]:
     return {"n_numbers": n, "numbers_per_100": F.when(ln > 0, n * 100.0 / ln)}
 
 
+SENTENCE_MARKS = "。！？!?."
 SENTENCE_WITH_END = r"[^。！？!?.\n]+[。！？!?.]?"
 
 

@@ -71,3 +71,14 @@ def test_scorecard_and_feedback(spark):
                                  "script_id int, rule_class string, phrase string, n long")
     top = [r.phrase for r in R.recurring_phrases(hits, k=2).collect()]
     assert top == ["x", "y"]
+
+
+def test_sentence_arrays_split_form_equals_split_sentences(spark):
+    from inkwell.functions.text import split_sentences
+    rnd = random.Random(13)
+    alphabet = ["a", "b", " ", "。", "！", "？", "!", "?", ".", "\n", "　", "中"]
+    texts = [(i, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 50)))) for i in range(400)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    rows = R.sentence_arrays(df).select("_s", split_sentences("text").alias("ref")).collect()
+    for r in rows:
+        assert r["_s"] == r["ref"]

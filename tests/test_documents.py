@@ -146,3 +146,12 @@ def test_pairing_substring_false_positive_is_kept(spark):
                                 "name string, mtime long")
     r = D.pair_essence(labels, ess).first()
     assert (r.essence_name, r.matched) == ("essence_20260524_macro_split.txt", True)
+
+
+def test_append_attachment_status_and_kind(spark):
+    rep = spark.createDataFrame([("A", "report A"), ("B", "report B"), ("C", "report C")], "k string, content string")
+    att = spark.createDataFrame([("A", "ok", "pdf text"), ("B", "error", "[解析 PDF 出错：x]"), ("C", "ok", "")],
+                                "k string, status string, text string")
+    got = {r.k: (r.content, r.attached) for r in D.append_attachment(rep, att, "k", "macro").collect()}
+    assert got["A"] == ("report A" + D.ATTACH_MACRO + "pdf text", True)
+    assert got["B"] == ("report B", False) and got["C"] == ("report C", False)

@@ -83,10 +83,9 @@ def _essence_files(spark, d) -> DataFrame:
     p_partkey) plus one ``essence_<type>.md`` file per part type (mtime -1,
     the PROMO one empty)."""
     p = load(spark, d, "part")
-    per_part = _essences(spark, d).join(p.select(
-        F.concat(F.lit("essence_"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"),
-                 F.col("p_partkey").cast("string"), F.lit(".md")).alias("name"),
-        F.col("p_type").alias("content")), "name")
+    name = F.concat(F.lit("essence_"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"),
+                    F.col("p_partkey").cast("string"), F.lit(".md"))
+    per_part = p.select(name.alias("name"), F.col("p_partkey").alias("mtime"), F.col("p_type").alias("content"))
     per_type = p.select(F.concat(F.lit("essence_"), F.lower("p_type"), F.lit(".md")).alias("name"),
                         F.lit(-1).cast("long").alias("mtime"),
                         F.when(F.col("p_type") == "PROMO", F.lit("")).otherwise(F.col("p_type")).alias("content")) \

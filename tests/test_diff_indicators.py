@@ -36,3 +36,18 @@ def test_series_windows(spark):
     flags = I.stall_flags(I.period_change(df, "e", "idx", "v", periods=1), "e", "idx", "growth_pct")
     fs = I.first_stall(flags, "e", "idx").first()
     assert fs.first_stall == 2 and fs.first_double_drop == 3
+
+
+def test_contribution_cyclical_alert(spark):
+    df = spark.createDataFrame([("a", 1, "1.50"), ("b", 1, "2.50"), ("a", 2, "3.00")], "e string, idx long, x string") \
+        .withColumn("x", F.col("x").cast("decimal(10,2)"))
+    shares = {(r.e, r.idx): r.s for r in df.select("e", "idx", I.contribution_share(df, "x", ["idx"]).alias("s")).collect()}
+    assert abs(shares[("a", 1)] + shares[("b", 1)] - 1.0) < 1e-15 and shares[("a", 2)] == 1.0
+    series = spark.createDataFrame([("a", i, 10.0, 2.0) for i in range(130)], "e string, idx long, price double, earn double") \
+        .withColumn("earn", F.col("earn").cast("decimal(10,2)"))
+    ratios = {r.idx: r.cyclical_ratio for r in I.cyclical_ratio(series, "e", "idx", "price", "earn").collect()}
+    assert all(abs(v - 5.0) < 1e-12 for v in ratios.values())
+    flags = spark.createDataFrame([(5.0, True, False, False), (4.4, True, False, False), (9.0, False, True, False),
+                                   (None, True, None, True)], "infl double, peak boolean, cf boolean, stall boolean")
+    got = [r[0] for r in flags.select(I.alert_level(F.col("infl"), F.col("peak"), F.col("cf"), F.col("stall"))).collect()]
+    assert got == ["yellow", "green", "red", "red"]

@@ -90,3 +90,13 @@ def test_audit_workflows(spark):
     card = {r.script_id: r for r in W.script_audit(scripts, R.rules_dim(spark)).collect()}
     assert card[1].no_forbidden is False and card[2].no_forbidden is True
     assert card[2].has_numbers and card[2].asks_questions and card[2].n_passed == 4
+
+
+def test_script_audit_with_a_large_rule_table(spark):
+    # more phrases than the inline limit: the automaton path feeds the scorecard
+    rows = [("x", f"词{i:03d}", None, None) for i in range(80)] + [("ai_speak", "毫无疑问", None, None)]
+    rules = spark.createDataFrame(rows, R.RULES_SCHEMA)
+    scripts = spark.createDataFrame([(1, "毫无疑问，这很好。"), (2, "词007 出现了。"), (3, "干净的句子。")],
+                                    "script_id int, text string")
+    card = {r.script_id: r.no_forbidden for r in W.script_audit(scripts, rules).collect()}
+    assert card == {1: False, 2: False, 3: True}

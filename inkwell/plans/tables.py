@@ -7,6 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# Tables whose rows carry CPU-heavy row-local work (regex over whole texts,
+# JSON parsing, session building).
+SPREAD = {"documents", "pages", "conversations", "events"}
+
+
+def spread_if_coarse(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields
+    fewer splits than cores (one parquet file with one row group is read by
+    one task).  On a large input the scan already has more splits than cores
+    and nothing is added."""
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_if_coarse(df) if name in SPREAD else df

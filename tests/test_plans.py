@@ -51,3 +51,12 @@ def test_phrase_hits_is_a_projection(spark):
     plan = _plan(E.queries()["phrase_hits"](spark, SF_SMALL))
     # no join and no keyed shuffle (a round-robin spread of a one-split scan is allowed)
     assert "Join" not in plan and "hashpartitioning" not in plan
+
+
+def test_spread_only_when_coarse(spark):
+    from inkwell.plans.tables import spread_if_coarse
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    many = spark.range(0, 100, 1, cores * 2)
+    assert spread_if_coarse(one).rdd.getNumPartitions() == cores
+    assert spread_if_coarse(many).rdd.getNumPartitions() == cores * 2

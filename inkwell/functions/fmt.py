@@ -1,8 +1,20 @@
 """Number formatting identical to Python's ``f"{x:.Nf}"`` / ``f"{x:+.Nf}"``.
 
-``format_number`` with a DecimalFormat pattern rounds the exact binary value
-half-even, as Python and C ``printf`` do; ``format_string('%.2f')`` does not
-(0.125 → 0.13), so it is never used here.
+Python (and C ``printf``) round the *exact binary value* of a double half to
+even.  ``format_string('%.2f')`` rounds half up (0.125 → 0.13) and
+``format_number`` decides ties on the shortest decimal spelling
+(5e-05 → 0.0000, while the double 5e-05 lies just above the tie and Python
+prints 0.0001).  So the rounding is done here in exact arithmetic with plain
+double expressions (JVM-side, no UDF):
+
+1. ``p = x·10^d`` and its exact rounding error ``e`` (Dekker's error-free
+   product), so ``x·10^d = p + e`` exactly;
+2. the two integer candidates around ``p`` and their midpoint ``m``;
+3. the sign of ``(p − m) + e`` (``p − m`` is exact near the midpoint)
+   picks the candidate; an exact tie goes to the even one.
+
+Values too large for this (|x·10^d| ≥ 2^52) fall back to ``format_number``,
+where ties cannot occur at that magnitude.
 """
 
 from __future__ import annotations
@@ -13,19 +25,72 @@ from pyspark.sql import functions as F
 # Fixed value: the placeholder shown for a missing number.
 MISSING = "暂无"
 
+_SPLIT = 134217729.0        # 2^27 + 1, Dekker's splitter for doubles
+_LIMIT = 2.0 ** 52
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _split(a: Column) -> tuple[Column, Column]:
+    t = a * F.lit(_SPLIT)
+    hi = t - (t - a)
+    return hi, a - hi
+
+
+def _rounded_units(ax: Column, decimals: int) -> Column:
+    """round-half-even(|x| · 10^d) as a long, exactly (|x| given)."""
+    scale = 10.0 ** decimals
+    p = ax * F.lit(scale)
+    a_hi, a_lo = _split(ax)
+    b_hi, b_lo = _split(F.lit(scale))
+    e = ((a_hi * b_hi - p) + a_hi * b_lo + a_lo * b_hi) + a_lo * b_lo
+    lo = F.floor(p)
+    mid = lo + F.lit(0.5)
+    diff = (p - mid) + e
+    up = F.when(diff > 0, F.lit(True)).when(diff < 0, F.lit(False)).otherwise((lo % 2) == 1)
+    return (lo + F.when(up, 1).otherwise(0)).cast("long")
+
+
+def _is_negative(x: Column) -> Column:
+    """x < 0, including -0.0 (Python prints '-0.00' for it)."""
+    return (x < 0) | ((x == 0) & (x.cast("string") == F.lit("-0.0")))
+
+
+def _render(x: Column, decimals: int, plus: bool) -> Column:
+    ax = F.abs(x)
+    units = _rounded_units(ax, decimals)
+    if decimals:
+        scale = 10 ** decimals
+        whole = ((units - units % F.lit(scale)) / F.lit(scale)).cast("long")     # exact: divisible
+        body = F.concat(whole.cast("string"), F.lit("."),
+                        F.lpad((units % F.lit(scale)).cast("string"), decimals, "0"))
+    else:
+        body = units.cast("string")
+    sign = F.when(_is_negative(x), F.lit("-")).otherwise(F.lit("+" if plus else ""))
+    return F.concat(sign, body)
+
+
+def _pattern(decimals: int) -> str:
+    return "0." + "0" * decimals if decimals else "0"
+
+
 def fixed(c, decimals: int = 2) -> Column:
-    pattern = "0." + "0" * decimals if decimals else "0"
-    return F.call_function("format_number", _c(c).cast("double"), F.lit(pattern))
+    x = _c(c).cast("double")
+    exact = _render(x, decimals, plus=False)
+    big = F.call_function("format_number", x, F.lit(_pattern(decimals)))
+    return F.when(x.isNull(), F.lit(None).cast("string")) \
+        .when(F.abs(x) * F.lit(10.0 ** decimals) < F.lit(_LIMIT), exact).otherwise(big)
 
 
 def signed(c, decimals: int = 2) -> Column:
-    body = "0." + "0" * decimals if decimals else "0"
-    return F.call_function("format_number", _c(c).cast("double"), F.lit(f"+{body};-{body}"))
+    x = _c(c).cast("double")
+    body = _pattern(decimals)
+    exact = _render(x, decimals, plus=True)
+    big = F.call_function("format_number", x, F.lit(f"+{body};-{body}"))
+    return F.when(x.isNull(), F.lit(None).cast("string")) \
+        .when(F.abs(x) * F.lit(10.0 ** decimals) < F.lit(_LIMIT), exact).otherwise(big)
 
 
 def raw_or_missing(c) -> Column:

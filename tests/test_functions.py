@@ -39,7 +39,11 @@ def test_squeeze_and_quotes(spark):
 
 
 def test_fixed_rounds_like_python(spark):
-    vals = [0.125, 1.005, 2.675, -0.001, 12345678.125, 0.0, 3.14159]
+    import random
+    rnd = random.Random(2)
+    vals = [0.125, 1.005, 2.675, -0.001, 12345678.125, 0.0, -0.0, 3.14159, 5e-05, 0.00015, 99.995, 1e15]
+    vals += [rnd.randint(-10**6, 10**6) / 200.0 for _ in range(300)]
+    vals += [(rnd.randint(0, 10**6) + 0.5) / 10 ** rnd.randint(1, 4) for _ in range(300)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     rows = df.select(fixed("v", 2), signed("v", 2), fixed("v", 3)).collect()
     for v, r in zip(vals, rows):

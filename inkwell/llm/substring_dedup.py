@@ -4,7 +4,7 @@ De Bruijn compaction
 --------------------
 Every window of ``length`` consecutive words is an edge of a De Bruijn graph;
 a text is a walk through it.  A walk is cut into *paths* at content-defined
-nodes, each path is compacted to one row (its label is a 128-bit hash of all
+nodes, each path is compacted to one row (its label is a 96-bit hash of all
 its words), and equal paths meet in one Spark aggregation:
 
 1. ``paths``: the node of an edge is the leftmost least k-mer (k = 8 words)
@@ -17,7 +17,7 @@ its words), and equal paths meet in one Spark aggregation:
 3. The remaining edges can only repeat where their node occurs in two of the
    *distinct* paths.  Nodes are counted over distinct paths and joined back;
    only the windows of such nodes are expanded from the source coordinates
-   (text, first window), hashed to 128 bits, and counted.  A path that
+   (text, first window), hashed to 96 bits, and counted.  A path that
    repeats stands in with weight two, once, however often it occurs.
 4. Spans that repeat go back to their source coordinates, are united, and are
    cut from the text.
@@ -49,8 +49,8 @@ WINDOW_WORDS = 35
 NODE_WORDS = 8
 RUNS_PER_PATH = 6
 
-_PATHS = "key binary, start int, n int, hi long, lo long, nodes array<long>"
-_EDGES = "key binary, start int, fresh boolean, hi long, lo long"
+_PATHS = "key binary, start int, n int, hi long, lo int, nodes array<long>"
+_EDGES = "key binary, start int, fresh boolean, hi long, lo int"
 
 
 def _walk(hashes: np.ndarray, offsets: np.ndarray, length: int):
@@ -76,7 +76,7 @@ def _walk(hashes: np.ndarray, offsets: np.ndarray, length: int):
 
 def _labels(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (T.Rolling(hashes, T.M1).ranges(start, end).view(np.int64),
-            T.Rolling(hashes, T.M2).ranges(start, end).view(np.int64))
+            (T.Rolling(hashes, T.M2).ranges(start, end) >> T.U64(32)).astype(np.uint32).view(np.int32))
 
 
 def _paths(length: int):
@@ -185,9 +185,10 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW_WORDS, id_col: str = "d
                                            F.min(F.struct("key", "start")).alias("at"),
                                            F.any_value("nodes").alias("nodes"))
              .select("hi", "lo", "n", "copies", "at.key", "at.start", "nodes"), "distinct-paths")
+    # copies of a text bear the same spans: one row for each
     whole = (paths.select("key", "start", "n", "hi", "lo")
              .join(distinct.filter("copies > 1").select("hi", "lo", "n"), ["hi", "lo", "n"])
-             .select("key", "start", "n"))
+             .groupBy("key", "start").agg(F.max("n").alias("n")))
 
     nodes = distinct.select("key", "start", "n", (F.col("copies") == 1).alias("fresh"), F.explode("nodes").alias("node"))
     common = nodes.groupBy("node").agg(F.count("*").alias("times")).filter("times > 1").select("node")
@@ -201,7 +202,8 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW_WORDS, id_col: str = "d
                 .filter("times > 1").select("hi", "lo"))
     single = edges.filter("fresh").join(repeated, ["hi", "lo"]).select("key", "start", F.lit(1).alias("n"))
 
-    spans = (whole.unionByName(single).groupBy("key", "start").agg(F.max("n").alias("n"))
+    # dealt by text before the lists are made: a text's spans come in few rows from many places
+    spans = (whole.unionByName(single).repartition("key")
              .groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("spans")))
     out = rows.join(spans, "key", "left").select("_id", "text", "spans")
     schema = (f"_id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string, "

@@ -28,6 +28,7 @@ def awkward_texts(seed: int = 1) -> list[tuple[int | None, str | None]]:
         (12, prose(rng, 20) + "\t" + shared), (13, prose(rng, 35) + " x " + prose(rng, 1)), (14, (prose(rng, 36) + " ") * 2),
         (15, "a " * 300), (16, "naïve   café " * 30), (17, prose(rng, 5000)), (None, prose(rng, 50)), (None, base),
         (18, prose(rng, 34)), (19, prose(rng, 35)), (20, base), (20, base)]
+    rows += [(20, " ".join(w if i % 9 else "other" for i, w in enumerate(base.split())))]
     rows += [(100 + i, " ".join(w if rng.random() > 0.02 else "edit" for w in base.split())) for i in range(25)]
     rows += [(200 + i, prose(rng, rng.randrange(1, 90))) for i in range(30)]
     return rows

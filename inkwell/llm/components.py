@@ -13,7 +13,9 @@ under an exact test, without emitting all pairs of a bucket:
 2. Pairs that are still in different components, and only those, are then
    proposed from every bucket: within a bucket the members outside its largest
    component meet all members of other components.  A group of n copies that
-   step 1 has joined adds no pair here.
+   step 1 has joined adds no pair here.  An exact bound (``possible``) is tested
+   inside the join, so that pairs that cannot pass are never made, and
+   ``finer`` may replace the buckets by keys that part those nodes better.
 
 Every bucket pair ends up in one component or is tested, so components equal
 those of the full pair list.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm._scratch import materialize
@@ -73,12 +75,35 @@ def shared_buckets(buckets: DataFrame, name: str) -> DataFrame:
     return materialize(buckets.join(ends, "key"), f"{name}-buckets")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (key, node, component, ...) of keys with several components, with the key's largest component ``top``."""
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
+    top = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("groups"))
+           .filter("groups > 1").select("key", F.col("top.component").alias("top")))
+    return rows.join(top, "key")
+
+
+def _across(mixed: DataFrame, possible: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pairs (a < b) of nodes that share a key, lie in different components and are possible."""
+    rest = mixed.filter("component <> top").select("key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("f").alias("fx"))
+    # a pair of two rest components is met from both sides; keep one
+    met = rest.join(mixed.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & (F.col("component") != F.col("cx"))
+                    & ((F.col("component") == F.col("top")) | (F.col("component") < F.col("cx")))
+                    & possible(F.col("f"), F.col("fx")))
+    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
 def link(shared: DataFrame, score: Callable[[DataFrame], DataFrame], confirm: Callable[[DataFrame], DataFrame],
-         name: str) -> DataFrame:
+         name: str, possible: Callable[[Column, Column], Column],
+         finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``(node, component)`` of the nodes that link, from ``shared_buckets``.
 
     ``score``   (a, b) -> (a, b, score): drops hopeless pairs, rates the others.
     ``confirm`` (a, b) -> (a, b): keeps the pairs that pass the exact test.
+    ``possible`` condition on the structs ``f`` of two rows that every passing pair
+                fulfils under one of its shared keys; without ``finer``, f is (node).
+    ``finer``   (node) -> (key, node, f) for the nodes left in mixed buckets, such that
+                every passing pair of them shares a key.
     """
     stars = (shared.select(F.col("first").alias("a"), F.col("node").alias("b"))
              .unionByName(shared.select(F.col("node").alias("a"), F.col("last").alias("b")))
@@ -88,17 +113,11 @@ def link(shared: DataFrame, score: Callable[[DataFrame], DataFrame], confirm: Ca
     links = materialize(confirm(best), f"{name}-stars")
     groups = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), f"{name}-1")
 
-    placed = (shared.select("key", "node").join(groups, "node", "left")
-              .select("key", "node", F.coalesce("component", "node").alias("component")))
-    # one row per bucket and component, largest component first
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    top = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("groups"))
-           .filter("groups > 1").select("key", F.col("top.component").alias("top")))
-    mixed = placed.join(top, "key")
-    rest = mixed.filter("component <> top").select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-    # a pair of two rest components is met from both sides; keep one
-    meets = (rest.join(mixed, "key")
-             .filter("component <> cx and (component = top or component < cx)")
-             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
-    more = materialize(confirm(score(meets).select("a", "b")), f"{name}-rest")
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    mixed = _mixed(placed(shared.select("key", "node", F.struct("node").alias("f"))))
+    if finer:
+        mixed = _mixed(materialize(placed(finer(materialize(mixed.select("node").distinct(), f"{name}-left"))), f"{name}-finer"))
+    more = materialize(confirm(score(_across(mixed, possible)).select("a", "b")), f"{name}-rest")
     return connected_components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")), f"{name}-2")

@@ -12,7 +12,11 @@ least doc_id.
 
 Texts with equal sets are one node, so a group of exact copies of any size
 costs one node; a group of near copies is joined through the stars of its
-buckets (see ``components.link``) and never expanded into pairs.
+buckets (see ``components.link``) and never expanded into pairs.  Pairs across
+components are only made where they can still link.  The sets left there are
+ordered from the rarest shingle to the commonest; similar sets share one of
+their first shingles, and if the first shared one stands at places i and j, the
+sets share at most ``min(n - i, m - j)``.  The join tests that bound, which is exact.
 
 Edge cases: letters A-Z are lower-cased, nothing else is changed.  A NULL,
 empty or blank text has no shingle and links with nothing; a text with fewer
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.llm import _tokens as T
@@ -126,6 +130,22 @@ def _exact(width: int, percent: int):
     return run
 
 
+def _shingle_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = T.WordHashes()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in T.slices(texts):
+                sets = [shingle_hashes(cache, t, width) for t in texts[a:b]]
+                node = np.repeat(np.arange(b - a), [len(s) for s in sets])
+                # texts under one id are told apart
+                text = np.array([T.xxhash.xxh3_64_intdigest(T.encode(t)) for t in texts[a:b]], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a).take(pa.array(node)), pa.array(text[node]),
+                     pa.array(np.concatenate(sets).view(np.int64))], names=["node", "text", "shingle"])
+    return run
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every input row."""
@@ -144,7 +164,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int =
     side = nodes.select("node", "n", "minima")
     # texts that can be asked for: those of nodes that share a bucket
     wanted = shared.select(F.col("node").alias("doc_id")).distinct()
-    texts = materialize(rows.join(wanted, "doc_id", "left_semi"), "texts")
+    texts = materialize(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
 
     def score(pairs: DataFrame) -> DataFrame:
         a = side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("minima").alias("ma"))
@@ -159,7 +179,22 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int =
                 .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
                 .select("a", "b", "ta", "tb").mapInArrow(_exact(width, percent), "a long, b long").distinct())
 
-    groups = link(shared, score, confirm, "near")
+    def prefixes(left: DataFrame) -> DataFrame:
+        shingles = materialize(texts.join(left.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+                               .mapInArrow(_shingle_rows(width), "node long, text long, shingle long"), "shingles")
+        times = shingles.groupBy("shingle").agg(F.count("*").alias("times"))
+        order = Window.partitionBy("node", "text").orderBy("times", "shingle")
+        ranked = (shingles.join(times, "shingle").withColumn("i", F.row_number().over(order) - 1)
+                  .withColumn("n", F.count("*").over(Window.partitionBy("node", "text"))))
+        # a similar set holds percent of this one's shingles, so one of the first places is shared
+        return (ranked.filter((F.col("times") > 1) & (100 * (F.col("n") - F.col("i")) >= percent * F.col("n")))
+                .select(F.col("shingle").alias("key"), "node", F.struct("n", "i").alias("f")))
+
+    def possible(x, y):
+        return ((100 + percent) * F.least(x["n"] - x["i"], y["n"] - y["i"]) >= percent * (x["n"] + y["n"])) & (
+            100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+
+    groups = link(shared, score, confirm, "near", possible, prefixes)
     classes = (nodes.join(groups, "node", "left")
                .select("hi", "lo", "n", F.coalesce("component", "node").alias("component_id")))
     return (signed.select("doc_id", "n", "hi", "lo").join(classes, ["hi", "lo", "n"], "left")

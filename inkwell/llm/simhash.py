@@ -135,7 +135,8 @@ def near_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     shared = shared_buckets(nodes.select(F.col("fp").alias("node"), F.explode(block_keys(F.col("fp"), radius)).alias("key")),
                             "simhash")
-    groups = link(shared, score, lambda pairs: pairs, "simhash")
+    within = lambda x, y: F.bit_count(x["node"].bitwiseXOR(y["node"])) <= radius
+    groups = link(shared, score, lambda pairs: pairs, "simhash", within)
     return (nodes.join(groups, nodes.fp == groups.node, "left")
             .select("fp", F.coalesce("component", "fp").alias("near_class")))
 

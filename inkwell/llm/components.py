@@ -7,15 +7,17 @@ hub with millions of neighbours is never collected.
 ``link`` turns buckets (rows that share a key are candidates) into components
 under an exact test, without emitting all pairs of a bucket:
 
-1. Every bucket proposes only its stars: each member with the least and with
-   the greatest member.  Each node keeps its likeliest proposal; the test
-   confirms or refuses it; components follow.
+1. Every bucket proposes only its star: each member with the least member.
+   Each node keeps its likeliest proposal; the test confirms or refuses it;
+   components follow.
 2. Pairs that are still in different components, and only those, are then
    proposed from every bucket: within a bucket the members outside its largest
    component meet all members of other components.  A group of n copies that
    step 1 has joined adds no pair here.  An exact bound (``possible``) is tested
    inside the join, so that pairs that cannot pass are never made, and
    ``finer`` may replace the buckets by keys that part those nodes better.
+   The likeliest pair of two components is tested first; where it links them,
+   their other pairs need no test.
 
 Every bucket pair ends up in one component or is tested, so components equal
 those of the full pair list.
@@ -69,9 +71,9 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
 
 
 def shared_buckets(buckets: DataFrame, name: str) -> DataFrame:
-    """``(key, node)`` rows of buckets with two or more nodes, with the bucket's ``first`` and ``last`` node."""
+    """``(key, node)`` rows of buckets with two or more nodes, with the bucket's ``first`` node."""
     ends = (buckets.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-            .filter("first < last"))
+            .filter("first < last").select("key", "first"))
     return materialize(buckets.join(ends, "key"), f"{name}-buckets")
 
 
@@ -93,6 +95,16 @@ def _across(mixed: DataFrame, possible: Callable[[Column, Column], Column]) -> D
     return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
+def _groups(links: DataFrame, name: str) -> DataFrame:
+    return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), name)
+
+
+def _placed(rows: DataFrame, groups: DataFrame, node: str, component: str) -> DataFrame:
+    """``rows`` with the component of ``node`` (the node itself where it has no link)."""
+    own = groups.select(F.col("node").alias(node), F.col("component").alias(component))
+    return rows.join(own, node, "left").withColumn(component, F.coalesce(component, node))
+
+
 def link(shared: DataFrame, score: Callable[[DataFrame], DataFrame], confirm: Callable[[DataFrame], DataFrame],
          name: str, possible: Callable[[Column, Column], Column],
          finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -105,19 +117,25 @@ def link(shared: DataFrame, score: Callable[[DataFrame], DataFrame], confirm: Ca
     ``finer``   (node) -> (key, node, f) for the nodes left in mixed buckets, such that
                 every passing pair of them shares a key.
     """
-    stars = (shared.select(F.col("first").alias("a"), F.col("node").alias("b"))
-             .unionByName(shared.select(F.col("node").alias("a"), F.col("last").alias("b")))
-             .filter("a < b").distinct())
+    stars = shared.select(F.col("first").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
     best = (score(stars).groupBy("b").agg(F.max(F.struct("score", "a")).alias("best"))
             .select(F.col("best.a").alias("a"), "b"))
     links = materialize(confirm(best), f"{name}-stars")
-    groups = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), f"{name}-1")
+    groups = _groups(links, f"{name}-1")
 
     def placed(rows: DataFrame) -> DataFrame:
-        return rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return _placed(rows, groups, "node", "component")
 
     mixed = _mixed(placed(shared.select("key", "node", F.struct("node").alias("f"))))
     if finer:
         mixed = _mixed(materialize(placed(finer(materialize(mixed.select("node").distinct(), f"{name}-left"))), f"{name}-finer"))
-    more = materialize(confirm(score(_across(mixed, possible)).select("a", "b")), f"{name}-rest")
-    return connected_components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")), f"{name}-2")
+    rated = materialize(score(_across(mixed, possible)), f"{name}-rated")
+    # the likeliest pair of two components speaks for them; the others only where it fails
+    apart = _placed(_placed(rated, groups, "a", "ca"), groups, "b", "cb")
+    likeliest = (apart.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.max(F.struct("score", "a", "b")).alias("p"))
+                 .select("p.a", "p.b"))
+    links = materialize(links.unionByName(confirm(likeliest)), f"{name}-likeliest")
+    groups = _groups(links, f"{name}-2")
+    others = _placed(_placed(rated, groups, "a", "ca"), groups, "b", "cb").filter("ca <> cb").select("a", "b")
+    more = materialize(confirm(others.join(likeliest, ["a", "b"], "left_anti")), f"{name}-rest")
+    return _groups(links.unionByName(more), f"{name}-3")

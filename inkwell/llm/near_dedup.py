@@ -22,7 +22,8 @@ Edge cases: letters A-Z are lower-cased, nothing else is changed.  A NULL,
 empty or blank text has no shingle and links with nothing; a text with fewer
 words than a shingle has one shingle, the whole sequence.  Repeated rows (same
 id, same text) get equal result rows; rows that share an id but not their text
-count as one document with both texts.  A NULL doc_id cannot stand for a
+are judged by their own texts (sets named by the same least id are one node).
+A NULL doc_id cannot stand for a
 component: such a row takes the component of its equals, or NULL and
 ``kept = true`` where it has none.  Ties go to the least doc_id.  An empty
 table gives an empty result; other columns are not read.
@@ -49,7 +50,7 @@ SEED = 20_240_501
 # Shingles per block of the (functions x shingles) matrix.
 BLOCK = 2048
 
-_SIGNATURE = "doc_id long, n long, hi long, lo long, bands array<long>, minima binary"
+_SIGNATURE = "doc_id long, text_key long, n long, hi long, lo long, bands array<long>, minima binary"
 _ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -96,9 +97,9 @@ def _signatures(width: int):
                 bands.append(key.view(np.int64) if len(s) else None)
                 mins.append((least >> T.U64(48)).astype(np.uint16).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(mins, pa.binary())],
-                names=["doc_id", "n", "hi", "lo", "bands", "minima"])
+                names=["doc_id", "text_key", "n", "hi", "lo", "bands", "minima"])
     return run
 
 
@@ -152,19 +153,20 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int =
     if width < 1 or not 0 < percent <= 100:
         raise ValueError("width must be positive and percent in 1..100")
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     signed = materialize(rows.mapInArrow(_signatures(width), _SIGNATURE), "signatures")
 
     # one node per distinct shingle set, named by its least doc_id
     nodes = materialize(
         signed.filter("n > 0").groupBy("hi", "lo", "n")
-        .agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("minima").alias("minima"))
-        .filter("node is not null"), "nodes")
+        .agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("at"), F.any_value("bands").alias("bands"), F.any_value("minima").alias("minima"))
+        .filter("at is not null").select("hi", "lo", "n", F.col("at.doc_id").alias("node"), "at.text_key", "bands", "minima"), "nodes")
     shared = shared_buckets(nodes.select("node", F.explode("bands").alias("key")), "near")
     side = nodes.select("node", "n", "minima")
     # texts that can be asked for: those of nodes that share a bucket
-    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
-    texts = materialize(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("doc_id"), "text_key")
+    texts = materialize(rows.join(wanted, ["doc_id", "text_key"], "left_semi").select("doc_id", "text")
+                        .dropDuplicates(["doc_id", "text"]), "texts")
 
     def score(pairs: DataFrame) -> DataFrame:
         a = side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("minima").alias("ma"))

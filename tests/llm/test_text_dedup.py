@@ -36,7 +36,7 @@ def brute_components(rows, width):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 80 * len(sets[i] | sets[j]) or rows[i][0] is not None and rows[i][0] == rows[j][0]:
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
                 parent[find(i)] = find(j)
     least: dict = {}
     for i, (doc, _) in enumerate(rows):

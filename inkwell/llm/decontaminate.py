@@ -45,8 +45,8 @@ from inkwell.llm._scratch import ship
 PIECE_WORDS = 32
 STEP_WORDS = 32
 SHARD_PIECES = 512
-BLOCK_PIECES = 16
-THRESHOLD = 0.5
+BLOCK_PIECES = 8
+THRESHOLD = 0.6
 QUESTION_NGRAM, ANSWER_NGRAM = 5, 3
 OVERLAP = 0.5
 # Words of one text whose passages are bounded in one go.
@@ -131,21 +131,23 @@ class Index:
         return found
 
     def _passages(self, at: np.ndarray, threshold: float, found: dict[int, float]) -> None:
-        cuts = np.arange(0, len(at), STEP_WORDS)
-
-        def passage_sums(rows: np.ndarray) -> np.ndarray:
-            half = np.add.reduceat(rows, cuts, axis=0)
-            half[:-1] += half[1:].copy()
-            return half
-
+        # each word stands in the passage of its step and in the one before; a passage counts a term once
+        width, step = len(self.terms) + 1, np.arange(len(at)) // STEP_WORDS
+        inside = at < len(self.terms)
+        keys = (step * width + at)[inside]
+        keys = np.unique(np.concatenate([keys, keys[keys >= width] - width]))
+        passage, term = np.divmod(keys, width)
+        cuts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(keys) else keys
+        if not len(cuts):
+            return
+        ends = np.r_[cuts[1:], len(keys)]
         # the WAND test: the greatest weights of a passage's terms bound every score
-        if not (passage_sums(self.term_max[at]) >= threshold).any():
+        live = np.flatnonzero(np.add.reduceat(self.term_max[term], cuts) >= threshold)
+        if not len(live):
             return
-        # block maxima, a repeated word counted each time: still a bound
-        for p, b in np.argwhere(passage_sums(self.block_max[at]) >= threshold).tolist():
-            terms = np.unique(at[p * STEP_WORDS:(p + 2) * STEP_WORDS])
-            if self.block_max[terms, b].sum() < threshold:
-                continue
+        bounds = np.add.reduceat(self.block_max[term], cuts, axis=0)[live]
+        for i, b in np.argwhere(bounds >= threshold).tolist():
+            terms = term[cuts[live[i]]:ends[live[i]]]
             score = self.weights[terms, b * BLOCK_PIECES:(b + 1) * BLOCK_PIECES].sum(axis=0)
             for j in np.flatnonzero(score >= threshold).tolist():
                 item = int(self.piece_item[b * BLOCK_PIECES + j])

@@ -150,6 +150,11 @@ def _shingle_rows(width: int):
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every input row."""
+    return (_judged(docs, width, percent, id_col, text_col)
+            .select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", "kept"))
+
+
+def _judged(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     if width < 1 or not 0 < percent <= 100:
         raise ValueError("width must be positive and percent in 1..100")
     ship(docs.sparkSession)
@@ -199,10 +204,10 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int =
     groups = link(shared, score, confirm, "near", possible, prefixes)
     classes = (nodes.join(groups, "node", "left")
                .select("hi", "lo", "n", F.coalesce("component", "node").alias("component_id")))
-    return (signed.select("doc_id", "n", "hi", "lo").join(classes, ["hi", "lo", "n"], "left")
-            .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
+    return (signed.select("doc_id", "text_key", "n", "hi", "lo").join(classes, ["hi", "lo", "n"], "left")
+            .select("doc_id", "text_key", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -212,6 +217,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: i
     without words stays, and so do rows with a NULL doc_id, which nothing can
     name.
     """
-    kept = near_duplicates(docs, width, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-            .unionByName(docs.filter("doc_id is null")))
+    kept = (_judged(docs, width, percent, "doc_id", "text").filter("kept and doc_id is not null")
+            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+    named = docs.join(kept, (docs.doc_id == F.col("_id")) & (F.xxhash64(docs.text) == F.col("_key")), "left_semi")
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter("doc_id is null"))

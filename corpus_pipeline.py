@@ -23,7 +23,7 @@ from inkwell.llm import decontaminate, mixing, near_dedup, quality, sharding
 from inkwell.llm._scratch import materialize
 
 # Toxic text is mixed out; the total is what the clean text fills without repeats.
-MIX_TARGETS = {"clean": 0.99, "toxic": 0.01}
+MIX_TARGETS = {"clean": 0.975, "toxic": 0.025}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -85,13 +85,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 #: DuckDB SQL where SQL can express the query on whole tables in reasonable time.
 ORACLES: dict[str, str] = {
-    "op7_chat_format": """
+    "op7_chat_format": r"""
 WITH t AS (
   SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 e AS (
   SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after,
-         regexp_replace(replace(text, '\\', '\\\\'), '([<\\[])(\\||/?s>|/?INST\\]|<SYS>>|</SYS>>)', '\\1\\\\\\2', 'g') AS body
+         regexp_replace(replace(text, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|<SYS>>|</SYS>>)', '\1\\\2', 'g') AS body
   FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
@@ -100,7 +100,7 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length(body) + CASE WHEN before IS NOT DISTINCT FROM role THEN 11 ELSE 13 + length(role) END
                         + CASE WHEN after IS NOT DISTINCT FROM role THEN 0 ELSE 11 END)::BIGINT AS formatted_chars,
        coalesce(sum(length(body)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS masked_chars
-FROM e GROUP BY conv_id""".replace("\\\\", "\\"),
+FROM e GROUP BY conv_id""",
 }
 
 

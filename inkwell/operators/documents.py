@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkwell.functions.guards import bounded
 from inkwell.functions.text import epoch_micros, source_label, squeeze_newlines, ustrip
 
 # ---------------------------------------------------------------- fixed values
@@ -144,41 +143,32 @@ def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
     hash join that scales with both sides.  File names are short, so the
     substring fan-out per name is bounded by ``len(name) * max_kw_len``.
     """
-    # one bounded number (the longest keyword) drives the fan-out
-    max_len = kw.select(F.max(F.length("kw"))).first()[0] or 2
+    # one number (the longest keyword), a scalar subquery, drives the fan-out
+    max_len = F.coalesce(kw.select(F.max(F.length("kw"))).scalar(), F.lit(2))
     low = F.lower(F.col("name"))
     # generators, not nested lambdas: explode start positions, then lengths
-    pos = essences.select("name", low.alias("_low"),
+    pos = essences.select("name", low.alias("_low"), max_len.alias("_max"),
                           F.explode(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1)))).alias("_p"))
     sub = pos.select("name", "_low", "_p", F.explode(F.sequence(
-        F.lit(2), F.greatest(F.lit(2), F.least(F.lit(max_len), F.length("_low") - F.col("_p") + 1)))).alias("_l"))
+        F.lit(2), F.greatest(F.lit(2), F.least(F.col("_max"), F.length("_low") - F.col("_p") + 1)))).alias("_l"))
     exploded = sub.select("name", F.substring(F.col("_low"), F.col("_p"), F.col("_l")).alias("kw"))
     return exploded.join(kw, "kw", "inner").select("name", "kw").distinct()
 
 
-def pair_essence(labels: DataFrame, essences: DataFrame, broadcast_keywords: int = 256) -> DataFrame:
+def pair_essence(labels: DataFrame, essences: DataFrame) -> DataFrame:
     """Pair each label with an essence document (substring theta join).
 
     A label matches an essence when any of its keywords occurs in the
     lower-cased essence file name; the newest match wins (mtime desc, name
     asc), else the newest essence overall, else the placeholder name.
 
-    The distinct keyword set is small in practice (a vocabulary), and its
-    size is checked: up to ``broadcast_keywords`` it is broadcast and matched
-    with ``contains`` (a broadcast nested loop: names × keywords checks, so
-    the bound keeps the per-name cost small); beyond that the exact
-    substring equi-join takes over (cost per name ∝ name length × longest
-    keyword, independent of the keyword count).
+    The match is an equi-join on the name's substrings (cost per name ∝ name
+    length × longest keyword, whatever the number of keywords).
     """
     lab = labels.select("label").distinct()
     lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label"))).alias("kw"))
     kw = lk.select("kw").distinct()
-    small = bounded(kw, broadcast_keywords)
-    if small:
-        hits = essences.select("name").join(
-            F.broadcast(kw), F.lower(F.col("name")).contains(F.col("kw"))).select("name", "kw")
-    else:
-        hits = _substring_matches(essences.select("name"), kw)
+    hits = _substring_matches(essences.select("name"), kw)
     ess = essences.select("name", "mtime")
     order = F.struct(_desc_key(ess, "mtime"), F.col("name"))
     # newest match per keyword first (partial aggregate), then per label over
@@ -231,7 +221,7 @@ def resolve_input(requests: DataFrame, docs: DataFrame, default_text: str = NO_R
     )
 
 
-def resolve_essence(requests: DataFrame, essences: DataFrame, broadcast_keywords: int = 256,
+def resolve_essence(requests: DataFrame, essences: DataFrame,
                     keep: list[str] | None = None) -> DataFrame:
     """Essence side of the input chain, per request (label, explicit):
     the explicitly named essence if it exists and is non-empty, else the
@@ -239,7 +229,7 @@ def resolve_essence(requests: DataFrame, essences: DataFrame, broadcast_keywords
     else the fixed placeholder text.  Output: keep..., label,
     essence_source, essence_name, essence."""
     e = essences.select(F.col("name").alias("x_name"), F.col("content").alias("x_content"))
-    pairing = pair_essence(requests.select("label"), essences.select("name", "mtime"), broadcast_keywords)
+    pairing = pair_essence(requests.select("label"), essences.select("name", "mtime"))
     p = pairing.join(essences.select(F.col("name").alias("essence_name"), F.col("content").alias("p_content")),
                      "essence_name", "left").select("label", "essence_name", "p_content")
     j = requests.join(e, F.col("explicit") == F.col("x_name"), "left").join(p, "label", "left")

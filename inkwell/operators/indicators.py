@@ -87,11 +87,12 @@ def above_prior_peak(value: str, entity: str, idx: str) -> Column:
 
 def consecutive_decline(df: DataFrame, entity: str, idx: str, margin: str, inventory_exact: str,
                         n: int = 3) -> DataFrame:
-    """``decline_run``: length of the current run of falling margins;
+    """``decline_run``: length of the current run of falling margins (each
+    against the period right before; a missing period ends the run);
     ``flag``: run ≥ n while inventory is above its entity mean (compared in
     exact arithmetic as inventory · count > sum)."""
     w = _w(entity, idx)
-    falling = F.coalesce(F.col(margin) < F.lag(margin).over(w), F.lit(False))
+    falling = F.coalesce(F.col(margin) < lagged(margin, entity, idx, 1), F.lit(False))
     d = df.withColumn("_f", falling)
     d = d.withColumn("_grp", F.row_number().over(w) - F.row_number().over(Window.partitionBy(entity, "_f").orderBy(idx)))
     run = F.when(F.col("_f"), F.row_number().over(Window.partitionBy(entity, "_f", "_grp").orderBy(idx))) \
@@ -105,7 +106,7 @@ def consecutive_decline(df: DataFrame, entity: str, idx: str, margin: str, inven
 def stall_flags(df: DataFrame, entity: str, idx: str, growth: str) -> DataFrame:
     """``stall``: growth ≤ 0 right after a period of growth > 0;
     ``double_drop``: growth ≤ −10 %."""
-    prev = F.lag(growth).over(_w(entity, idx))
+    prev = lagged(growth, entity, idx, 1)
     return df.withColumn("stall", F.coalesce((F.col(growth) <= 0) & (prev > 0), F.lit(False))) \
         .withColumn("double_drop", F.coalesce(F.col(growth) <= DOUBLE_DIGIT_DROP, F.lit(False)))
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.fmt import MISSING, fixed, raw_or_missing, signed
-from inkwell.functions.guards import broadcast_if_small
 from inkwell.functions.text import epoch_micros
 
 # ---------------------------------------------------------------- fixed values
@@ -169,14 +168,9 @@ def quote_format(close: Column, pct: Column, is_yield: Column) -> tuple[Column,
 def dim_left_join(dim: DataFrame, quotes: DataFrame, key: str = "symbol") -> DataFrame:
     """Every dimension row once, with or without data.
 
-    The dimension is small by construction (a fixed symbol list or a top-k).
-    A broadcast hash join cannot build the preserved side of an outer join,
-    so the quotes are first cut to the dimension's keys with a broadcast
-    semi join (streaming the big side once), and only that handful of rows
-    meets the dimension in the outer join.
+    The optimizer chooses the join from the sides' byte statistics.
     """
-    matched = quotes.join(broadcast_if_small(dim.select(key)), key, "left_semi")
-    return dim.join(matched, key, "left")
+    return dim.join(quotes, key, "left")
 
 
 def macro_stanzas(rows: DataFrame) -> DataFrame:

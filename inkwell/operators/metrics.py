@@ -27,7 +27,7 @@ _MAP = "map<string,string>"
 
 def _json_map(c: Column) -> Column:
     """A JSON object as map<string,string>; NULL when it is not one."""
-    return F.from_json(c, _MAP, {"mode": "PERMISSIVE"})
+    return F.from_json(c, _MAP, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
 
 
 def _csv_map(c: Column) -> Column:
@@ -37,8 +37,12 @@ def _csv_map(c: Column) -> Column:
     hdr = F.split(ustrip(F.element_at(lines, 1)), ",")
     val = F.split(ustrip(F.element_at(lines, 2)), ",")
     n = F.least(F.size(hdr), F.size(val))
-    pairs = F.map_from_arrays(F.slice(hdr, 1, n), F.slice(val, 1, n))
-    return F.when(F.size(lines) > 1, pairs)
+    h = F.slice(hdr, 1, n)
+    # a repeated column: the last one counts
+    last = F.filter(F.arrays_zip(h.alias("k"), F.slice(val, 1, n).alias("v"), F.sequence(F.lit(1), n).alias("i")),
+                    lambda x: ~F.array_contains(F.slice(h, x["i"] + 1, n), x["k"]))
+    pairs = F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"])))
+    return F.when((F.size(lines) > 1) & (n > 0), pairs)
 
 
 def scan_metrics(metrics: DataFrame, key: str = "video_id", inline: str = "inline",
@@ -67,7 +71,8 @@ def scan_metrics(metrics: DataFrame, key: str = "video_id", inline: str = "inlin
 def infer_scalar(value) -> dict[str, Column]:
     """'.' in the text ⇒ float, else int, else keep the string."""
     v = F.col(value) if isinstance(value, str) else value
-    as_double = F.when(v.contains("."), v.try_cast("double"))
+    # Java also reads suffixes such as 0.5d; only plain numbers count
+    as_double = F.when(v.contains(".") & v.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), v.try_cast("double"))
     as_long = F.when(~v.contains("."), v.try_cast("bigint"))
     kind = (F.when(as_double.isNotNull(), F.lit("float")).when(as_long.isNotNull(), F.lit("int"))
             .otherwise(F.lit("string")))

@@ -10,11 +10,9 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.functions.guards import bounded, broadcast_if_small
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
 
 # ---------------------------------------------------------------- fixed values
@@ -45,7 +43,6 @@ FIRST_PERSON = "我"
 # -----------------------------------------------------------------------------
 
 RULES_SCHEMA = "rule_class string, phrase string, replacement string, limit int"
-MAX_AUTOMATON_PHRASES = 2_000_000
 
 
 def rules_dim(spark: SparkSession) -> DataFrame:
@@ -61,89 +58,45 @@ def rules_dim(spark: SparkSession) -> DataFrame:
             rows += [("ai_speak", p, a, None) for a in AI_SPEAK_REPLACEMENTS]
     rows += [("grand_narrative", p, None, None) for p in GRAND_NARRATIVE]
     rows += [("textbook", p, None, None) for p in TEXTBOOK]
-    rows += [("clickbait", p, None, None) for p in dict.fromkeys(CLICKBAIT)]
+    # a phrase that holds another one of its class would count twice
+    shortest = [p for p in dict.fromkeys(CLICKBAIT) if not any(q != p and q in p for q in CLICKBAIT)]
+    rows += [("clickbait", p, None, None) for p in shortest]
     rows += [("rousing_ending", p, None, None) for p in ROUSING_ENDING]
     rows += [("filler", p, None, None) for p in FILLERS]
     rows += [("limit", name, None, v) for name, v in LIMITS]
     return spark.createDataFrame(rows, RULES_SCHEMA)
 
 
-def _phrase_list(rules: DataFrame, max_rules: int) -> tuple[list, bool]:
-    """Distinct (class, phrase) of the phrase rules; the rule table is a
-    small dimension — its size is checked before it is materialised."""
-    ph = rules.filter(F.col("rule_class") != "limit").select("rule_class", "phrase").distinct()
-    rows = ph.limit(max_rules + 1).collect()
-    if len(rows) <= max_rules:
-        return sorted((r[0], r[1]) for r in rows), True
-    return [], False
+# ------------------------------------------------------------------------ R-1
 
+# Classes whose phrases a script must not hold; fillers are only deleted.
+FORBIDDEN_CLASSES = ("ai_speak", "grand_narrative", "textbook", "clickbait", "rousing_ending")
+NOT_FORBIDDEN = ("limit", "filler")
 
-# ------------------------------------------------------------------------ R-1
 
-def phrase_hits(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text",
-                max_inline: int = 64) -> DataFrame:
-    """(key, rule_class, phrase, n) for every phrase found n > 0 times
-    (non-overlapping literal occurrences, like ``str.count``).
+def phrase_hits(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text") -> DataFrame:
+    """(key, rule_class, phrase, n) for every forbidden phrase found n > 0
+    times (non-overlapping literal occurrences, like ``str.count``).
 
-    Up to ``max_inline`` phrases the counts are inline expressions in one
-    projection (no join, no shuffle).  Larger rule sets switch to an
-    Aho-Corasick scan per Arrow batch, linear in the text length whatever
-    the number of phrases.
+    One path for every rule set: the rule table, a dimension, is one array
+    (scalar subquery) that each script counts row-locally.  No join, no
+    shuffle of the scripts, nothing runs while the plan is built.
     """
-    phrases, small = _phrase_list(rules, max_inline)
-    if small:
-        arr = F.array(*[F.struct(F.lit(c).alias("rule_class"), F.lit(p).alias("phrase"),
-                                 count_literal(F.col(text), p).alias("n")) for c, p in phrases])
-        return scripts.select(F.col(key), F.inline(arr)).filter(F.col("n") > 0)
-    return _phrase_hits_automaton(scripts, rules, key, text)
-
-
-def _phrase_hits_automaton(scripts: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
-    import ahocorasick  # baked into the image; only needed for big rule sets
-
-    ph = rules.filter(F.col("rule_class") != "limit").select("rule_class", "phrase").distinct()
-    # rule sets are dimensions: distribute them as a broadcast variable, after
-    # checking that the set has a dimension's size
-    if not bounded(ph, MAX_AUTOMATON_PHRASES):
-        raise ValueError(f"rule table has more than {MAX_AUTOMATON_PHRASES} phrases")
-    spark = scripts.sparkSession
-    table = spark.sparkContext.broadcast([(r[0], r[1]) for r in ph.toLocalIterator()])
-    key_type = scripts.schema[key].dataType.simpleString()
-
-    def scan(batches):
-        auto = ahocorasick.Automaton()
-        by_phrase: dict = {}
-        for cls, p in table.value:
-            by_phrase.setdefault(p, []).append(cls)
-        for p in by_phrase:
-            auto.add_word(p, p)
-        auto.make_automaton()
-        for pdf in batches:
-            out = []
-            for k, t in zip(pdf[key], pdf[text]):
-                if not isinstance(t, str) or not t:
-                    continue
-                last_end: dict = {}
-                counts: dict = {}
-                for end, p in auto.iter(t):
-                    start = end - len(p) + 1
-                    if start > last_end.get(p, -1):
-                        counts[p] = counts.get(p, 0) + 1
-                        last_end[p] = end
-                for p, n in counts.items():
-                    for cls in by_phrase[p]:
-                        out.append((k, cls, p, n))
-            yield pd.DataFrame(out, columns=[key, "rule_class", "phrase", "n"])
-
-    schema = f"{key} {key_type}, rule_class string, phrase string, n long"
-    return scripts.select(key, text).mapInPandas(scan, schema)
+    listed = rules.filter(~F.col("rule_class").isin(*NOT_FORBIDDEN) & (F.length("phrase") > 0)).agg(
+        F.array_sort(F.collect_set(F.struct("rule_class", "phrase")))).scalar()
+    t = F.col("_t")
+    counted = F.transform(F.col("_rules"), lambda p: F.struct(
+        p["rule_class"].alias("rule_class"), p["phrase"].alias("phrase"),
+        ((F.length(t) - F.length(F.replace(t, p["phrase"], F.lit("")))) / F.length(p["phrase"])).cast("long").alias("n")))
+    return (scripts.select(F.col(key), F.col(text).alias("_t"), listed.alias("_rules"))
+            .select(F.col(key), F.inline(F.filter(counted, lambda h: h["n"] > 0))))
 
 
 def phrase_suggestions(hits: DataFrame, rules: DataFrame, key: str = "script_id") -> DataFrame:
     """Attach the sorted alternatives of every hit phrase (advice only)."""
     alts = rules.filter(F.col("replacement").isNotNull()).groupBy("rule_class", "phrase") \
         .agg(F.array_join(F.sort_array(F.collect_set("replacement")), " / ").alias("suggestions"))
-    return hits.join(broadcast_if_small(alts), ["rule_class", "phrase"], "left")
+    return hits.join(alts, ["rule_class", "phrase"], "left")
 
 
 def regex_literal(s: str) -> str:
@@ -210,13 +163,14 @@ def cover_length(cover: Column, lo: int = 6, hi: int = 8) -> tuple[Column, Colum
 def hashtag_matrix(tags: DataFrame, key: str, tag_dim: DataFrame, order: list[str] = HASHTAG_ORDER) -> DataFrame:
     """Per response: tag counts by class and whether the 5-tag matrix is
     met in order.  ``tags``: key, tags array; ``tag_dim``: tag, tag_class
-    (a vocabulary-sized dimension, broadcast)."""
-    u = tags.select(key, F.posexplode("tags").alias("pos", "tag"))
-    c = u.join(broadcast_if_small(tag_dim), "tag", "left") \
-        .withColumn("cls", F.coalesce("tag_class", F.lit("unknown")))
-    seq = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "cls"))), lambda x: x["cls"]), ",")
+    (a vocabulary-sized dimension)."""
+    # outer: a response without tags keeps its row (no tag, not ok)
+    u = tags.select(key, F.posexplode_outer("tags").alias("pos", "tag"))
+    c = u.join(tag_dim, "tag", "left") \
+        .withColumn("cls", F.when(F.col("pos").isNotNull(), F.coalesce("tag_class", F.lit("unknown"))))
+    seq = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "cls")))), lambda x: x["cls"]), ",")
     cnt = lambda k: F.count(F.when(F.col("cls") == k, 1)).alias(f"n_{k}")
-    a = c.groupBy(key).agg(F.count(F.lit(1)).alias("n_tags"), cnt("macro"), cnt("vertical"), cnt("identity"),
+    a = c.groupBy(key).agg(F.count("pos").alias("n_tags"), cnt("macro"), cnt("vertical"), cnt("identity"),
                            cnt("unknown"), seq.alias("class_seq"))
     want = ",".join(order)
     return a.withColumn("order_ok", F.col("class_seq") == want) \
@@ -298,7 +252,7 @@ def phrase_total(text, phrases: list[str]) -> Column:
 
 def recurring_phrases(hits: DataFrame, key: str = "script_id", k: int = 10) -> DataFrame:
     """The k phrases hit in most scripts (then most often), over all scripts."""
-    g = hits.groupBy("rule_class", "phrase").agg(F.countDistinct(key).alias("n_scripts"),
+    g = hits.groupBy("rule_class", "phrase").agg(F.count(F.lit(1)).alias("n_scripts"),
                                                  F.sum("n").alias("n_hits"))
     return g.orderBy(F.col("n_scripts").desc(), F.col("n_hits").desc(), "phrase").limit(k)
 
@@ -310,5 +264,5 @@ def rulebook_candidates(scripts: DataFrame, rules: DataFrame, text: str = "text"
     words = scripts.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(token), 0)).alias("phrase"))
     counts = words.groupBy("phrase").agg(F.count(F.lit(1)).alias("n_hits"))
     known = rules.select(F.lower("phrase").alias("phrase")).distinct()
-    return counts.join(broadcast_if_small(known), "phrase", "left_anti") \
+    return counts.join(known, "phrase", "left_anti") \
         .orderBy(F.col("n_hits").desc(), "phrase").limit(k)

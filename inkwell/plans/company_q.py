@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.guards import broadcast_if_small
 from inkwell.operators import documents as D
 from inkwell.operators import market as M
 from inkwell.plans.tables import load
@@ -36,7 +35,7 @@ def _agg(spark, d) -> DataFrame:
     c = load(spark, d, "customer")
     n = load(spark, d, "nation")
     return agg.join(c, F.col("o_custkey") == F.col("c_custkey")) \
-        .join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
 def _records(j: DataFrame, live: bool) -> DataFrame:
@@ -76,7 +75,7 @@ def q_company_reports(spark, d) -> DataFrame:
 def q_report_metrics(spark, d) -> DataFrame:
     from inkwell.plans.market_q import q_macro_report
     comp = _reports(spark, d).select(F.col("ticker").alias("doc_id"), "content")
-    macro = q_macro_report(spark, d).select(F.lit("MACRO").alias("doc_id"), "content")
+    macro = q_macro_report(spark, d).select(F.concat(F.lit("MACRO "), F.col("desk").cast("string")).alias("doc_id"), "content")
     p = M.parse_report(comp.unionByName(macro))
     return p.select("doc_id", F.col("pos").cast("long").alias("pos"), "label", "metric", "value", "unit")
 
@@ -159,7 +158,7 @@ rep AS (SELECT ticker, record_source, is_fallback, concat_ws(chr(10),
     '{M.RULE_40}', '{M.COMPANY_DESC}', coalesce(summary, '{M.NO_SUMMARY}')) || chr(10) AS content FROM rec)"""
 
 _PARSE = r"""
-docs AS (SELECT ticker AS doc_id, content FROM rep UNION ALL SELECT 'MACRO', content FROM macro),
+docs AS (SELECT ticker AS doc_id, content FROM rep UNION ALL SELECT 'MACRO ' || CAST(desk AS VARCHAR), content FROM macro),
 ln AS (SELECT doc_id, pos, line FROM (SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line
         FROM (SELECT doc_id, string_split(content, chr(10)) AS l FROM docs))),
 l2 AS (SELECT *, last_value(CASE WHEN regexp_extract(line, '^股票代码: (.*)$', 1) <> '' THEN regexp_extract(line, '^股票代码: (.*)$', 1)

@@ -72,9 +72,9 @@ def q_essence_pairing(spark, d) -> DataFrame:
 
 
 def q_essence_pairing_equijoin(spark, d) -> DataFrame:
-    """Same pairing forced onto the substring equi-join path."""
+    """The pairing with the newest time of each match."""
     lab = _labels(spark, d)
-    res = D.pair_essence(lab, _essences(spark, d), broadcast_keywords=0)
+    res = D.pair_essence(lab, _essences(spark, d))
     return res.select("label", "essence_name", "essence_mtime", "matched")
 
 
@@ -509,9 +509,12 @@ ORACLE = {
                  CAST(count(*) FILTER (WHERE cls = 'vertical') AS BIGINT) AS n_vertical,
                  CAST(count(*) FILTER (WHERE cls = 'identity') AS BIGINT) AS n_identity,
                  CAST(count(*) FILTER (WHERE cls = 'unknown') AS BIGINT) AS n_unknown,
-                 string_agg(cls, ',' ORDER BY pos) AS class_seq FROM c GROUP BY p_partkey)
+                 string_agg(cls, ',' ORDER BY pos) AS class_seq FROM c GROUP BY p_partkey),
+        w AS (SELECT r.p_partkey, coalesce(n_tags, 0) AS n_tags, coalesce(n_macro, 0) AS n_macro, coalesce(n_vertical, 0) AS n_vertical,
+                 coalesce(n_identity, 0) AS n_identity, coalesce(n_unknown, 0) AS n_unknown, coalesce(class_seq, '') AS class_seq
+              FROM parts r LEFT JOIN a ON a.p_partkey = r.p_partkey)
         SELECT *, class_seq = 'macro,macro,vertical,vertical,identity' AS order_ok,
-               n_tags = 5 AND class_seq = 'macro,macro,vertical,vertical,identity' AS ok FROM a""",
+               n_tags = 5 AND class_seq = 'macro,macro,vertical,vertical,identity' AS ok FROM w""",
     "latest_folders": f"""WITH {_FOLDER} SELECT dir, group_mtime, CAST(rank AS BIGINT) AS rank FROM ranked""",
     "version_pairs": f"""WITH {_FOLDER} SELECT dir, CAST(length(v1) AS BIGINT) AS v1_chars,
         CAST(length(v2) AS BIGINT) AS v2_chars FROM pairs""",

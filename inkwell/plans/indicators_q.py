@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.guards import broadcast_if_small
 from inkwell.operators import indicators as I
 from inkwell.plans.tables import load
 
@@ -49,7 +48,7 @@ def q_per_capita_monthly(spark, d) -> DataFrame:
     annual = o.join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
         .groupBy("c_nationkey", F.year("o_orderdate").cast("long").alias("year")) \
         .agg(F.sum(F.col("o_totalprice").cast(_P)).cast("double").alias("annual"))
-    j = annual.join(pop, "c_nationkey").join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = annual.join(pop, "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.select("n_name", "year", "annual", "population",
                     I.per_capita_monthly(F.col("annual"), F.col("population")).alias("per_capita_monthly"))
 
@@ -139,7 +138,7 @@ g AS (SELECT *, (income - consumption - transfers) / nullif(income, 0) AS saving
         income < first(income) OVER (PARTITION BY entity ORDER BY idx RANGE BETWEEN 3 PRECEDING AND 3 PRECEDING) AS cf_down,
         coalesce(savings_rate > max(savings_rate) OVER (PARTITION BY entity ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS peak
       FROM m),
-s AS (SELECT *, coalesce(growth_pct <= 0 AND lag(growth_pct) OVER (PARTITION BY entity ORDER BY idx) > 0, false) AS stall,
+s AS (SELECT *, coalesce(growth_pct <= 0 AND first(growth_pct) OVER (PARTITION BY entity ORDER BY idx RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) > 0, false) AS stall,
              coalesce(growth_pct <= -10.0, false) AS double_drop FROM g)"""
 
 ORACLE = {
@@ -168,7 +167,7 @@ ORACLE = {
         FROM supplier s LEFT JOIN i ON i.l_suppkey = s.s_suppkey""",
     "above_prior_peak": f"WITH {_M} SELECT entity, idx, savings_rate, peak AS above_peak FROM g",
     "consecutive_decline": f"""WITH {_M},
-        f AS (SELECT *, coalesce(margin < lag(margin) OVER (PARTITION BY entity ORDER BY idx), false) AS f_ FROM m),
+        f AS (SELECT m.*, coalesce(m.margin < p.margin, false) AS f_ FROM m LEFT JOIN m p ON p.entity = m.entity AND p.idx = m.idx - 1),
         gg AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY idx)
                          - row_number() OVER (PARTITION BY entity, f_ ORDER BY idx) AS grp FROM f),
         r AS (SELECT *, CAST(CASE WHEN f_ THEN row_number() OVER (PARTITION BY entity, f_, grp ORDER BY idx) ELSE 0 END AS BIGINT) AS decline_run,

@@ -1,7 +1,8 @@
 """Market bindings: symbol = events.user_id, price = events.value.
 
 * daily close = last value of the day by (ts, event_id)
-* macro dimension = the 12 smallest user ids, the first two act as yields
+* macro dimension = every user id, dealt to 25 desks (one report each); the
+  first two of a desk act as yields
 * quotes for the fallback = each customer's two newest orders (total price)
   with the account balance as the secondary price field
 """
@@ -11,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.functions.guards import broadcast_if_small
 from inkwell.operators import market as M
 from inkwell.plans.tables import load
 
-N_DIM = 12
+N_DESKS = 25
 N_YIELD = 2
 
 
@@ -26,12 +26,11 @@ def _daily(spark, d) -> DataFrame:
 
 
 def _dim(spark, d) -> DataFrame:
-    # top-k of the distinct ids: a bounded (12-row) dimension
     ids = load(spark, d, "events").select(F.col("user_id").alias("symbol")).distinct() \
-        .orderBy("symbol").limit(N_DIM)
-    w = Window.orderBy("symbol")
+        .withColumn("desk", F.pmod("symbol", F.lit(N_DESKS)))
+    w = Window.partitionBy("desk").orderBy("symbol")
     return ids.select(
-        F.row_number().over(w).alias("ord"), "symbol",
+        "desk", F.row_number().over(w).alias("ord"), "symbol",
         F.concat(F.lit("user "), F.col("symbol").cast("string")).alias("description"),
     ).withColumn("is_yield", F.col("ord") <= N_YIELD)
 
@@ -47,23 +46,21 @@ def q_last_two_closes(spark, d) -> DataFrame:
 def _macro_rows(spark, d) -> DataFrame:
     dim = _dim(spark, d)
     daily = _daily(spark, d)
-    # the dimension's symbols only: broadcast semi join before the window
-    closes = M.last_two_closes(daily.join(broadcast_if_small(dim.select("symbol")), "symbol", "left_semi"),
-                               as_of=daily.select(F.max("day")).scalar())
+    closes = M.last_two_closes(daily, as_of=F.to_date(_run_ts(spark, d)))
     rows = M.dim_left_join(dim, closes)
     price, change = M.quote_format(F.col("close_now"), F.col("pct_change"), F.col("is_yield"))
-    return rows.select("ord", "symbol", "description", "close_now", "pct_change",
+    return rows.select("desk", "ord", "symbol", "description", "close_now", "pct_change",
                        price.alias("price_str"), change.alias("change_str"))
 
 
 def q_macro_quotes(spark, d) -> DataFrame:
     return _macro_rows(spark, d).select(
-        F.col("ord").cast("long").alias("ord"), "symbol", "description", "price_str", "change_str")
+        "desk", F.col("ord").cast("long").alias("ord"), "symbol", "description", "price_str", "change_str")
 
 
 def q_macro_report(spark, d) -> DataFrame:
     st = M.macro_stanzas(_macro_rows(spark, d))
-    return M.macro_report(st, _run_ts(spark, d))
+    return M.macro_report(st, _run_ts(spark, d), by=["desk"])
 
 
 def _quotes(spark, d) -> DataFrame:
@@ -110,11 +107,11 @@ c0 AS (SELECT symbol, CAST(count(*) AS BIGINT) AS n_closes,
 closes AS (SELECT *, (close_now - close_prev) / nullif(close_prev, 0) * 100.0 AS pct_change FROM c0)"""
 
 _DIM = """
-dim AS (SELECT row_number() OVER (ORDER BY symbol) AS ord, symbol,
+dim AS (SELECT symbol % 25 AS desk, row_number() OVER (PARTITION BY symbol % 25 ORDER BY symbol) AS ord, symbol,
                'user ' || CAST(symbol AS VARCHAR) AS description
-        FROM (SELECT DISTINCT user_id AS symbol FROM events ORDER BY symbol LIMIT 12)),
+        FROM (SELECT DISTINCT user_id AS symbol FROM events)),
 mrows AS (
-  SELECT d.ord, d.symbol, d.description, c.close_now, c.pct_change,
+  SELECT d.desk, d.ord, d.symbol, d.description, c.close_now, c.pct_change,
          CASE WHEN c.close_now IS NULL THEN '暂无'
               WHEN d.ord <= 2 AND c.close_now < 100 THEN printf('%.3f', c.close_now) || '%'
               ELSE printf('%.2f', c.close_now) END AS price_str,
@@ -123,21 +120,21 @@ mrows AS (
 
 _FOOTER = "".join(line + "\n" for line in M.MACRO_FOOTER)
 
-_MACRO_SELECT = f"""        SELECT CAST(count(*) AS BIGINT) AS n_symbols,
+_MACRO_SELECT = f"""        SELECT desk, CAST(count(*) AS BIGINT) AS n_symbols,
           '{M.MACRO_TITLE}' || chr(10) || '数据抓取时间: ' || strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M:%S') || chr(10)
           || '{M.RULE_72}' || chr(10) || chr(10)
           || string_agg('● ' || description || ' (' || CAST(symbol AS VARCHAR) || ')' || chr(10)
                || '{M.MACRO_PRICE}' || price_str || chr(10) || '{M.MACRO_CHANGE}' || change_str || chr(10)
                || '  {M.RULE_40}' || chr(10), '' ORDER BY ord)
           || chr(10) || '{M.MACRO_FOOTER_TITLE}' || chr(10) || '{_FOOTER}' AS content
-        FROM mrows"""
+        FROM mrows GROUP BY desk"""
 
 MACRO_CTES = f"{_DAILY}, {_CLOSES}, {_DIM}, macro AS ({_MACRO_SELECT})"
 
 ORACLE = {
     "last_two_closes": f"WITH {_DAILY}, {_CLOSES} SELECT * FROM closes",
     "macro_quotes": f"""WITH {_DAILY}, {_CLOSES}, {_DIM}
-        SELECT CAST(ord AS BIGINT) AS ord, symbol, description, price_str, change_str FROM mrows""",
+        SELECT desk, CAST(ord AS BIGINT) AS ord, symbol, description, price_str, change_str FROM mrows""",
     "macro_report": f"""WITH {_DAILY}, {_CLOSES}, {_DIM}
 {_MACRO_SELECT}""",
     "quote_fallback": f"""WITH {_DAILY}, {_CLOSES},

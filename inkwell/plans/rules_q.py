@@ -42,11 +42,6 @@ def q_phrase_hits(spark, d) -> DataFrame:
     return R.phrase_hits(_docs(spark, d), stand_in_rules(spark))
 
 
-def q_phrase_hits_automaton(spark, d) -> DataFrame:
-    """Same counts through the Aho-Corasick path (forced)."""
-    return R.phrase_hits(_docs(spark, d), stand_in_rules(spark), max_inline=0)
-
-
 def q_rulebook_scan(spark, d) -> DataFrame:
     """The real rule table over every document."""
     return R.phrase_hits(_docs(spark, d), R.rules_dim(spark))
@@ -113,7 +108,6 @@ def q_rulebook_candidates(spark, d) -> DataFrame:
 
 QUERIES = {
     "phrase_hits": q_phrase_hits,
-    "phrase_hits_automaton": q_phrase_hits_automaton,
     "rulebook_scan": q_rulebook_scan,
     "phrase_suggestions": q_phrase_suggestions,
     "strip_fillers": q_strip_fillers,
@@ -137,16 +131,15 @@ _RULES = "rules(rule_class, phrase, replacement) AS (VALUES " + ", ".join(
 
 
 def _rulebook_values() -> str:
-    # rows of the real rule table, without the numeric limits
+    # phrases of the real rule table that are forbidden (fillers are only deleted)
     rows = []
     for phrases, alts in R.AI_SPEAK_ALTERNATIVES:
         rows += [("ai_speak", p) for p in phrases]
     rows += [("ai_speak", p) for p in R.AI_SPEAK_BANNED]
     rows += [("grand_narrative", p) for p in R.GRAND_NARRATIVE]
     rows += [("textbook", p) for p in R.TEXTBOOK]
-    rows += [("clickbait", p) for p in R.CLICKBAIT]
+    rows += [("clickbait", p) for p in R.CLICKBAIT if p != "崩盘就在明天！"]   # holds a shorter listed phrase
     rows += [("rousing_ending", p) for p in R.ROUSING_ENDING]
-    rows += [("filler", p) for p in R.FILLERS]
     rows = sorted(set(rows))
     return "rb(rule_class, phrase) AS (VALUES " + ", ".join(f"({_q(c)}, {_q(p)})" for c, p in rows) + ")"
 
@@ -174,7 +167,6 @@ m AS (SELECT script_id, len(s) AS n_sent, len(list_filter(s, lambda x: length(x)
 
 ORACLE = {
     "phrase_hits": f"WITH {_HITS} SELECT * FROM hits",
-    "phrase_hits_automaton": f"WITH {_HITS} SELECT * FROM hits",
     "rulebook_scan": f"""WITH {_rulebook_values()}
         SELECT * FROM (SELECT d.doc_id AS script_id, p.rule_class, p.phrase,
           CAST((length(d.text) - length(replace(d.text, p.phrase, ''))) // length(p.phrase) AS BIGINT) AS n

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.guards import broadcast_if_small
 from inkwell.functions.text import source_label
 from inkwell.operators import documents as D
 from inkwell.operators import market as M
@@ -43,7 +42,7 @@ def macro_snapshot(prices: DataFrame, run_ts: Column, dim: DataFrame | None = No
     daily closes inside ``days``, every dimension symbol once in order,
     quote fallback for symbols without closes, formatted stanzas."""
     dim = dim if dim is not None else M.macro_dim(prices.sparkSession)
-    keys = broadcast_if_small(dim.select("symbol"))
+    keys = dim.select("symbol")
     daily = M.daily_closes(prices.join(keys, "symbol", "left_semi"), tiebreak=tiebreak)
     closes = M.last_two_closes(daily, days)
     if quotes is not None:
@@ -89,7 +88,7 @@ def split_responses(responses: DataFrame, drop_fallback: bool = True) -> dict[st
     cards = D.extract_tagged(responses, "text", keep=["label", "run_ts"])
     title, text = D.card_fields(F.col("body"))
     cards = cards.select("label", "run_ts", "idx", "body", title.alias("title"), text.alias("card_text"))
-    src = responses.filter(~F.col("is_fallback")) if (has_flag and drop_fallback) else responses
+    src = responses.filter(~F.coalesce("is_fallback", F.lit(False))) if (has_flag and drop_fallback) else responses
     docs = src.select("label", "run_ts", D.card_document_text(F.col("label"), F.col("run_ts"),
                                                               D.tagged_spans("text")).alias("content")) \
         .filter(F.col("content").isNotNull())
@@ -122,13 +121,9 @@ def audit_metrics(metric_inputs: DataFrame, key: str = "video_id") -> DataFrame:
 def script_audit(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text") -> DataFrame:
     """Per script: forbidden-phrase hits, sentence / density / style checks
     as one scorecard row."""
-    phrases = [r.phrase for r in rules.filter(F.col("rule_class") != "limit").select("phrase").distinct()
-               .limit(R_MAX_INLINE + 1).collect()]
-    if len(phrases) > R_MAX_INLINE:
-        hits = R.phrase_hits(scripts, rules, key, text).groupBy(key).agg(F.sum("n").alias("_hits"))
-        base = scripts.join(hits, key, "left").withColumn("_hits", F.coalesce("_hits", F.lit(0)))
-    else:
-        base = scripts.withColumn("_hits", F.when(R.any_phrase(F.col(text), phrases), 1).otherwise(0))
+    listed = rules.filter(~F.col("rule_class").isin(*R.NOT_FORBIDDEN)).agg(F.collect_set("phrase")).scalar()
+    base = scripts.withColumn("_rules", listed) \
+        .withColumn("_hits", F.exists("_rules", lambda p: F.col(text).contains(p)).cast("int")).drop("_rules")
     arr = R.sentence_arrays(base, text)
     ls = R.long_sentences("_s")
     dn = R.info_density(text)
@@ -140,9 +135,6 @@ def script_audit(scripts: DataFrame, rules: DataFrame, key: str = "script_id", t
     return R.scorecard_wide(checks, key, ["no_forbidden", "short_sentences", "has_numbers", "asks_questions"])
 
 
-R_MAX_INLINE = 64
-
-
 def label_of(name: Column) -> Column:
     """Topic label of a file name (re-exported for callers of the workflows)."""
     return source_label(name)

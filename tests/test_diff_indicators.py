@@ -51,3 +51,15 @@ def test_contribution_cyclical_alert(spark):
                                    (None, True, None, True)], "infl double, peak boolean, cf boolean, stall boolean")
     got = [r[0] for r in flags.select(I.alert_level(F.col("infl"), F.col("peak"), F.col("cf"), F.col("stall"))).collect()]
     assert got == ["yellow", "green", "red", "red"]
+
+
+def test_a_missing_period_is_no_predecessor(spark):
+    from pyspark.sql import functions as F
+
+    from inkwell.operators import indicators as I
+    rows = [("e", 1, 5.0, 10), ("e", 2, 4.0, 10), ("e", 20, 3.0, 99), ("e", 21, 2.0, 99)]
+    df = spark.createDataFrame(rows, "entity string, idx long, margin double, inv int").withColumn("inv", F.col("inv").cast("decimal(18,2)"))
+    run = {r.idx: r.decline_run for r in I.consecutive_decline(df, "entity", "idx", "margin", "inv").collect()}
+    assert run == {1: 0, 2: 1, 20: 0, 21: 1}
+    g = spark.createDataFrame([("e", 1, 3.0), ("e", 40, -1.0), ("e", 41, 2.0), ("e", 42, -2.0)], "entity string, idx long, growth double")
+    assert {r.idx for r in I.stall_flags(g, "entity", "idx", "growth").filter("stall").collect()} == {42}

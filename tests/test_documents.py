@@ -18,10 +18,9 @@ def test_pair_essence_alias_and_fallback(spark):
     labels = spark.createDataFrame([("WMT",), ("LULU",), ("NOPE",)], "label string")
     ess = spark.createDataFrame([("walmart_essence_20260524.txt", 3), ("LULU_essence.md", 1),
                                  ("essence_20260524_macro_split.txt", 5)], "name string, mtime long")
-    for bk in (10000, 0):   # broadcast path and substring equi-join path
-        got = {r.label: (r.essence_name, r.matched) for r in D.pair_essence(labels, ess, bk).collect()}
-        assert got == {"WMT": ("walmart_essence_20260524.txt", True), "LULU": ("LULU_essence.md", True),
-                       "NOPE": ("essence_20260524_macro_split.txt", False)}
+    got = {r.label: (r.essence_name, r.matched) for r in D.pair_essence(labels, ess).collect()}
+    assert got == {"WMT": ("walmart_essence_20260524.txt", True), "LULU": ("LULU_essence.md", True),
+                   "NOPE": ("essence_20260524_macro_split.txt", False)}
 
 
 def test_label_keywords(spark):

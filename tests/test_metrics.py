@@ -47,3 +47,11 @@ def test_overview_grade_and_json(spark):
     assert got["none"] == ("warning", True) and got["json"] == ("good", False) and got["csv"] == ("good", False)
     js = {r.video_id: r.metrics_json for r in M.metrics_json(merged).collect()}
     assert '"views" : "777.0"' in js["inline_ok"] and '"extra" : "x"' in js["inline_ok"]
+
+
+def test_repeated_columns_suffixes_and_loose_json(spark):
+    from inkwell.operators import metrics as X
+    rows = [("a", None, "views,views\n5,7"), ("b", "{'views': 5}", None), ("c", '{"views": "0.5d"}', None)]
+    df = spark.createDataFrame(rows, "video_id string, inline string, file_content string")
+    got = {r.video_id: r.views for r in X.merge_metrics(df, X.scan_metrics(df)).collect()}
+    assert got == {"a": 7.0, "b": 12000.0, "c": 12000.0}   # last column; not JSON; not a number

@@ -16,10 +16,10 @@ def test_phrase_hits_paths_agree_with_str_count(spark):
     rules = spark.createDataFrame([("x", "aa", None, None), ("x", "aaa", None, None), ("ai_speak", "毫无疑问", "alt", None),
                                    ("filler", "其实", None, None)], R.RULES_SCHEMA)
     df = spark.createDataFrame(texts, "script_id int, text string")
-    expect = {(i, p): t.count(p) for i, t in texts for p in ["aa", "aaa", "毫无疑问", "其实"] if t.count(p) > 0}
-    for max_inline in (256, 0):
-        got = {(r.script_id, r.phrase): r.n for r in R.phrase_hits(df, rules, max_inline=max_inline).collect()}
-        assert got == expect
+    # fillers are deleted, not forbidden
+    expect = {(i, p): t.count(p) for i, t in texts for p in ["aa", "aaa", "毫无疑问"] if t.count(p) > 0}
+    got = {(r.script_id, r.phrase): r.n for r in R.phrase_hits(df, rules).collect()}
+    assert got == expect
 
 
 def test_rules_dim_and_suggestions(spark):
@@ -56,11 +56,11 @@ def test_cover_length(spark):
 
 def test_hashtag_matrix(spark):
     tags = spark.createDataFrame([(1, ["美股", "宏观经济", "价值投资", "沃尔玛", "长期主义"]),
-                                  (2, ["美股", "价值投资", "宏观经济", "沃尔玛", "长期主义"])], "id int, tags array<string>")
+                                  (2, ["美股", "价值投资", "宏观经济", "沃尔玛", "长期主义"]), (3, [])], "id int, tags array<string>")
     dim = spark.createDataFrame([("美股", "macro"), ("宏观经济", "macro"), ("价值投资", "vertical"), ("沃尔玛", "vertical"),
                                  ("长期主义", "identity")], "tag string, tag_class string")
     got = {r.id: (r.n_tags, r.ok) for r in R.hashtag_matrix(tags, "id", dim).collect()}
-    assert got == {1: (5, True), 2: (5, False)}
+    assert got == {1: (5, True), 2: (5, False), 3: (0, False)}
 
 
 def test_scorecard_and_feedback(spark):

@@ -93,10 +93,16 @@ def test_audit_workflows(spark):
 
 
 def test_script_audit_with_a_large_rule_table(spark):
-    # more phrases than the inline limit: the automaton path feeds the scorecard
     rows = [("x", f"词{i:03d}", None, None) for i in range(80)] + [("ai_speak", "毫无疑问", None, None)]
     rules = spark.createDataFrame(rows, R.RULES_SCHEMA)
     scripts = spark.createDataFrame([(1, "毫无疑问，这很好。"), (2, "词007 出现了。"), (3, "干净的句子。")],
                                     "script_id int, text string")
     card = {r.script_id: r.no_forbidden for r in W.script_audit(scripts, rules).collect()}
     assert card == {1: False, 2: False, 3: True}
+
+
+def test_a_response_without_fallback_flag_keeps_its_cards(spark):
+    text = "<CognitiveCard>\n**标题**: a\nbody\n</CognitiveCard>"
+    df = spark.createDataFrame([("L", None, text, None), ("M", None, text, True)], "label string, run_ts timestamp, text string, is_fallback boolean")
+    assert [r.label for r in W.split_responses(df)["cards"].select("label").distinct().orderBy("label").collect()] == ["L", "M"]
+    assert "M" not in [r.label for r in W.split_responses(df)["card_documents"].collect()]

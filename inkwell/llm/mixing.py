@@ -12,8 +12,9 @@
 2. Document d brings ``a[k, d] = words * posterior`` expected words to domain k.
    Nonnegative rates r minimise ``|A r - target|**2`` by projected gradient
    steps from r = 1, scaled by the documents' words (so that a rate follows from
-   membership, not from length) and by the inverse K x K Gram matrix.  A step
-   needs only the K sums ``A r``, one distributed aggregation.  The step
+   membership, not from length) and by the inverse K x K Gram matrix of the
+   documents whose rate is not 0.  A step needs only the K sums ``A r`` and that
+   matrix, one distributed aggregation.  The step
    ``r <- max(0, r - posterior . h)`` has one K-vector h for all documents,
    so rates are a column expression over the few vectors so far, and no table
    of rates travels; after ``FOLD_STEPS`` steps the rates are written once and
@@ -165,23 +166,27 @@ def fit_rates(loads: DataFrame, target_tokens: list[float], max_steps: int = MAX
     """
     K = len(target_tokens)
     pairs = [(i, j) for i in range(K) for j in range(i, K)]
-    sums = loads.agg(*[F.sum(F.col("load")[i] * F.col("posterior")[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    gram = np.zeros((K, K))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = sums[f"g{i}_{j}"] or 0.0
-    metric = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     target, scale = np.array(target_tokens), max(1.0, float(np.abs(target_tokens).sum()))
-    state, done, history, last, reached = loads.withColumn("rate", F.lit(1.0)), [], [], None, []
+    state, done, history, reached = loads.withColumn("rate", F.lit(1.0)), [], [], []
+    best, width = float("inf"), 1.0
     for _ in range(max_steps):
-        rate = _stepped(F.col("rate"), F.col("posterior"), history)
-        row = state.select("load", rate.alias("r")).agg(*[F.sum(F.col("load")[k] * F.col("r")).alias(f"y{k}") for k in range(K)]).first()
+        r = F.col("r")
+        row = (state.select("load", "posterior", _stepped(F.col("rate"), F.col("posterior"), history).alias("r"))
+               .agg(*[F.sum(F.col("load")[k] * r).alias(f"y{k}") for k in range(K)],
+                    *[F.sum(F.when(r > 0, F.col("load")[i] * F.col("posterior")[j])).alias(f"g{i}_{j}") for i, j in pairs]).first())
         reached = [row[f"y{k}"] or 0.0 for k in range(K)]
         gap = np.array(reached) - target
         error = float(np.abs(gap).sum()) / scale
-        if error < tolerance or last is not None and abs(last - error) < tolerance / 100:
+        if error < tolerance:
             break
-        last = error
-        history.append((metric @ gap).tolist())
+        width = 1.0 if error < best else width / 2          # a step that did not help: shorter ones
+        best = min(best, error)
+        if width < 1e-3:
+            break
+        gram = np.zeros((K, K))
+        for i, j in pairs:
+            gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
+        history.append((width * np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ gap).tolist())
         if len(history) == FOLD_STEPS:
             state = materialize(state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), history)), "rates")
             done, history = done + history, []

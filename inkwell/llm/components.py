@@ -132,8 +132,8 @@ def link(shared: DataFrame, score: Callable[[DataFrame], DataFrame], confirm: Ca
     rated = materialize(score(_across(mixed, possible)), f"{name}-rated")
     # the likeliest pair of two components speaks for them; the others only where it fails
     apart = _placed(_placed(rated, groups, "a", "ca"), groups, "b", "cb")
-    likeliest = (apart.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.max(F.struct("score", "a", "b")).alias("p"))
-                 .select("p.a", "p.b"))
+    likeliest = materialize(apart.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb"))
+                            .agg(F.max(F.struct("score", "a", "b")).alias("p")).select("p.a", "p.b"), f"{name}-first")
     links = materialize(links.unionByName(confirm(likeliest)), f"{name}-likeliest")
     groups = _groups(links, f"{name}-2")
     others = _placed(_placed(rated, groups, "a", "ca"), groups, "b", "cb").filter("ca <> cb").select("a", "b")

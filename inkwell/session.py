@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Configs the operators are written against.  AQE re-plans joins and
@@ -38,30 +35,3 @@ def get_spark(app: str = "inkwell", master: str | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the cluster.
-
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we create one of our own.
-    """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or \
-        spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    local = tempfile.mkdtemp(prefix="inkwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
-
-
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -10,6 +10,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from inkwell.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -21,7 +22,7 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cartesian_and_pruned_scans(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan

@@ -93,6 +93,27 @@ def signed(c, decimals: int = 2) -> Column:
         .when(F.abs(x) * F.lit(10.0 ** decimals) < F.lit(_LIMIT), exact).otherwise(big)
 
 
+def python_float(c) -> Column:
+    """A double spelled as Python's ``repr``: plain from 1e-4 up to 1e16, else with a signed two-digit exponent."""
+    x = _c(c).cast("double")
+    java = F.abs(x).cast("string")                      # d.ddd, or d.dddE[-]n outside 1e-3 .. 1e7
+    # older JVMs spell some doubles with 17 digits where 16 would do
+    short = F.format_string("%.15e", F.abs(x))
+    java = F.when(java.rlike(r"^[0-9][.][0-9]{16,}E") & (short.try_cast("double") == F.abs(x)), F.concat(
+        F.regexp_replace(F.substring_index(short, "e", 1), r"\.?0+$", ""), F.lit("E"), F.substring_index(short, "e", -1))).otherwise(java)
+    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
+    digits = F.replace(mantissa, F.lit("."))
+    e = F.substring_index(java, "E", -1).try_cast("int")
+    padded = F.rpad(digits, F.greatest(F.length(digits), e + 1), F.lit("0"))
+    rest = padded.substr(e + 2, F.length(padded))
+    sci = F.concat(mantissa, F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")), F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")),
+                   F.abs(e).cast("string"))
+    body = (F.when(java == "Infinity", F.lit("inf")).when(~java.contains("E"), java)
+            .when(e.between(0, 15), F.concat(padded.substr(F.lit(1), e + 1), F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest)))
+            .when(e.between(-4, -1), F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)).otherwise(sci))
+    return F.when(F.isnan(x), F.lit("nan")).when(_is_negative(x), F.concat(F.lit("-"), body)).otherwise(body)
+
+
 def raw_or_missing(c) -> Column:
-    """Show a number as Python ``str()`` would, or the missing marker."""
-    return F.coalesce(_c(c).cast("string"), F.lit(MISSING))
+    """Show a double as Python ``str()`` would, or the missing marker."""
+    return F.coalesce(python_float(c), F.lit(MISSING))

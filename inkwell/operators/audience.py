@@ -71,54 +71,65 @@ def playback_metrics(sess: DataFrame, horizon_s: int = 5, by: list[str] | None =
         (F.sum(F.col("reached_end").cast("long")) / F.count(F.lit(1))).alias("completion_rate"))
 
 
-def retention_curve(sess: DataFrame, bucket_s: int) -> DataFrame:
-    """Survival curve: for every bucket b from 0 to the longest session,
-    ``alive`` = sessions lasting at least b buckets, ``drop`` = alive(b−1) −
-    alive(b) (0 for b = 0).  The histogram is a partial aggregate; the
-    curve has one row per bucket (bounded by the longest session)."""
+def retention_curve(sess: DataFrame, bucket_s: int, by: list[str] | None = None) -> DataFrame:
+    """Survival curve per ``by``: for every bucket b from 0 to the longest
+    session, ``alive`` = sessions lasting at least b buckets, ``drop`` =
+    alive(b−1) − alive(b) (0 for b = 0).  The histogram is a partial aggregate;
+    the window sees one row per bucket in which a session ends, and each of
+    those rows yields the buckets since the one before."""
+    by = by or []
     b = F.floor(F.col("duration_us") / (bucket_s * 1_000_000)).cast("long")
-    hist = sess.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("ended"))
-    grid = hist.agg(F.max("bucket").alias("m")).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("bucket"))
-    dense = grid.join(hist, "bucket", "left").fillna(0, ["ended"])
-    w = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    alive = dense.withColumn("alive", F.sum("ended").over(w))
-    prev = F.lag("alive").over(Window.orderBy("bucket"))
-    return alive.select("bucket", F.col("alive").cast("long").alias("alive"),
-                        F.coalesce(prev - F.col("alive"), F.lit(0)).cast("long").alias("drop"))
-
-
-def segment_findings(curve: DataFrame, bucket_s: int, horizon_s: int) -> DataFrame:
-    """Classify buckets and merge contiguous runs of one kind.
+    hist = sess.groupBy(*by, b.alias("_end")).agg(F.count(F.lit(1)).alias("_ended"))
+    w = Window.partitionBy(*by).orderBy("_end")
+    before = F.coalesce(F.sum("_ended").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    every = F.sum("_ended").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ends = hist.select(*by, "_end", (every - before).cast("long").alias("alive"),
+                       F.coalesce(F.lag("_end").over(w) + 1, F.lit(0)).alias("_from"),
+                       F.coalesce(F.lag("_ended").over(w), F.lit(0)).cast("long").alias("_lost"))
+    return (ends.withColumn("bucket", F.explode(F.sequence("_from", "_end")))
+            .select(*by, "bucket", "alive", F.when(F.col("bucket") == F.col("_from"), F.col("_lost"))
+                    .otherwise(F.lit(0).cast("long")).alias("drop")))
+
+
+def _with_totals(df: DataFrame, by: list[str], **totals: Column) -> DataFrame:
+    """``df`` with aggregates of its group (or of the whole) on every row."""
+    cols = [c.alias(n) for n, c in totals.items()]
+    if by:
+        return df.join(df.groupBy(*by).agg(*cols), by)
+    t = df.agg(F.struct(*cols).alias("t")).scalar()
+    return df.withColumns({n: t.getField(n) for n in totals})
+
+
+def segment_findings(curve: DataFrame, bucket_s: int, horizon_s: int, by: list[str] | None = None) -> DataFrame:
+    """Classify buckets and merge contiguous runs of one kind, per ``by``.
 
     opening = buckets ending within the horizon; otherwise sag when the drop
     is above the mean drop (over buckets ≥ 1), highlight when below a quarter
     of it, else steady.  Comparisons are done in integers (drop·n vs sum) so
     no float rounding decides a class.
     """
-    c = curve.filter(F.col("bucket") >= 1)
-    tot = c.agg(F.struct(F.sum("drop").alias("s"), F.count(F.lit(1)).alias("n")).alias("t")).scalar()
-    s = c.withColumn("_sum", tot.getField("s")).withColumn("_n", tot.getField("n"))
+    by = by or []
+    s = _with_totals(curve.filter(F.col("bucket") >= 1), by, _sum=F.sum("drop"), _n=F.count(F.lit(1)))
     opening_last = -(-horizon_s // bucket_s)  # ceil
     kind = (F.when(F.col("bucket") <= opening_last, F.lit("opening_loss"))
             .when(F.col("drop") * F.col("_n") > F.col("_sum"), F.lit("sag"))
             .when(F.col("drop") * F.col("_n") * 4 < F.col("_sum"), F.lit("highlight"))
             .otherwise(F.lit("steady")))
     k = s.withColumn("kind", kind)
-    isl = k.withColumn("grp", F.col("bucket") - F.row_number().over(Window.partitionBy("kind").orderBy("bucket")))
-    g = isl.groupBy("kind", "grp").agg(F.min("bucket").alias("from_bucket"), F.max("bucket").alias("to_bucket"),
-                                       F.sum("drop").alias("total_drop"))
-    return g.select("kind", "from_bucket", "to_bucket", F.col("total_drop").cast("long").alias("total_drop"))
-
-
-def pacing(events: DataFrame, ts: str = "ts", bucket: str = "1 hour") -> DataFrame:
-    """Events per time bucket and the ratio to the mean bucket (computed as
-    n · buckets / total, exact in integers until the final division).  The
-    two totals come from one scalar subquery, not a single-partition window."""
-    g = events.groupBy(F.window(F.col(ts), bucket).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    tot = g.agg(F.struct(F.count(F.lit(1)).alias("b"), F.sum("n").alias("t")).alias("s")).scalar()
-    return g.select(F.col("w.start").alias("bucket_start"), F.col("n"),
-                    (F.col("n") * tot.getField("b") / tot.getField("t")).alias("ratio"))
+    isl = k.withColumn("grp", F.col("bucket") - F.row_number().over(Window.partitionBy(*by, "kind").orderBy("bucket")))
+    g = isl.groupBy(*by, "kind", "grp").agg(F.min("bucket").alias("from_bucket"), F.max("bucket").alias("to_bucket"),
+                                            F.sum("drop").alias("total_drop"))
+    return g.select(*by, "kind", "from_bucket", "to_bucket", F.col("total_drop").cast("long").alias("total_drop"))
+
+
+def pacing(events: DataFrame, ts: str = "ts", bucket: str = "1 hour", by: list[str] | None = None) -> DataFrame:
+    """Events per time bucket and the ratio to the mean bucket of ``by``
+    (computed as n · buckets / total, exact in integers until the final
+    division)."""
+    by = by or []
+    g = events.groupBy(*by, F.window(F.col(ts), bucket).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return _with_totals(g, by, _b=F.count(F.lit(1)), _t=F.sum("n")).select(
+        *by, F.col("w.start").alias("bucket_start"), F.col("n"), (F.col("n") * F.col("_b") / F.col("_t")).alias("ratio"))
 
 
 def fmt_offset(seconds: Column) -> Column:

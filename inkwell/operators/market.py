@@ -68,6 +68,13 @@ def macro_dim(spark) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, symbol string, description string, is_yield boolean")
 
 
+def recent_prices(prices: DataFrame, ts: str = "ts", days: int = 5) -> DataFrame:
+    """The prices of the last ``days`` days up to the newest one.  The bound is
+    one scalar subquery on the raw timestamps, so the filter reaches the scan."""
+    first = F.date_sub(F.to_date(F.max(ts)), days - 1).cast(prices.schema[ts].dataType)
+    return prices.filter(F.col(ts) >= prices.select(first).scalar())
+
+
 def daily_closes(prices: DataFrame, symbol: str = "symbol", ts: str = "ts",
                  close: str = "close", tiebreak: str | None = None) -> DataFrame:
     """One close per (symbol, day): the last price of the day, ties on the

@@ -22,7 +22,7 @@ N_YIELD = 2
 def _daily(spark, d) -> DataFrame:
     ev = load(spark, d, "events").select(
         F.col("user_id").alias("symbol"), "ts", F.col("value").alias("close"), "event_id")
-    return M.daily_closes(ev, tiebreak="event_id")
+    return M.daily_closes(M.recent_prices(ev), tiebreak="event_id")
 
 
 def _dim(spark, d) -> DataFrame:
@@ -39,15 +39,17 @@ def _run_ts(spark, d):
     return load(spark, d, "events").select(F.max("ts")).scalar()
 
 
+def _closes(spark, d) -> DataFrame:
+    return M.last_two_closes(_daily(spark, d), as_of=F.to_date(_run_ts(spark, d)))
+
+
 def q_last_two_closes(spark, d) -> DataFrame:
-    return M.last_two_closes(_daily(spark, d))
+    return _closes(spark, d)
 
 
 def _macro_rows(spark, d) -> DataFrame:
     dim = _dim(spark, d)
-    daily = _daily(spark, d)
-    closes = M.last_two_closes(daily, as_of=F.to_date(_run_ts(spark, d)))
-    rows = M.dim_left_join(dim, closes)
+    rows = M.dim_left_join(dim, _closes(spark, d))
     price, change = M.quote_format(F.col("close_now"), F.col("pct_change"), F.col("is_yield"))
     return rows.select("desk", "ord", "symbol", "description", "close_now", "pct_change",
                        price.alias("price_str"), change.alias("change_str"))
@@ -74,8 +76,7 @@ def _quotes(spark, d) -> DataFrame:
 
 
 def q_quote_fallback(spark, d) -> DataFrame:
-    closes = M.last_two_closes(_daily(spark, d))
-    res = M.quote_fallback(closes, _quotes(spark, d))
+    res = M.quote_fallback(_closes(spark, d), _quotes(spark, d))
     price, change = M.quote_format(F.col("close_now"), F.col("pct_change"), F.lit(False))
     return res.select("symbol", "source", "close_now", "pct_change",
                       price.alias("price_str"), change.alias("change_str"))

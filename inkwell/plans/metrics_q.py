@@ -43,8 +43,7 @@ def _metric_inputs(spark, d) -> DataFrame:
 
 
 def _merged(spark, d) -> DataFrame:
-    inp = _metric_inputs(spark, d)
-    return M.merge_metrics(inp, M.scan_metrics(inp))
+    return M.merge_metrics(_metric_inputs(spark, d))
 
 
 def q_metric_values(spark, d) -> DataFrame:
@@ -69,8 +68,7 @@ def q_metrics_json(spark, d) -> DataFrame:
 def q_audit_overview(spark, d) -> DataFrame:
     m = _merged(spark, d)
     grade, red = M.benchmark_grade(F.col("retention_5s"))
-    g = m.select("video_id", grade.alias("grade"), red.alias("red"))
-    return M.audit_overview(m).join(g, "video_id")
+    return M.audit_overview(m.withColumns({"grade": grade, "red": red}), keep=["grade", "red"])
 
 
 # ------------------------------------------------------------------ audience
@@ -104,6 +102,29 @@ def q_pacing(spark, d) -> DataFrame:
     return p.select(F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "n", "ratio")
 
 
+def _video_events(spark, d) -> DataFrame:
+    """Events by video; a video is a month of events."""
+    return load(spark, d, "events").select(F.date_format("ts", "yyyy-MM").alias("video"), F.col("user_id").alias("viewer"), "ts", "event_type")
+
+
+def _video_curve(spark, d) -> DataFrame:
+    s = A.sessions(_video_events(spark, d), gap=GAP, end_event="purchase", by=["video"])
+    return A.retention_curve(s, BUCKET_S, by=["video"])
+
+
+def q_retention_curve_by_video(spark, d) -> DataFrame:
+    return _video_curve(spark, d)
+
+
+def q_segment_findings_by_video(spark, d) -> DataFrame:
+    return A.segment_findings(_video_curve(spark, d), BUCKET_S, HORIZON_S, by=["video"])
+
+
+def q_pacing_by_video(spark, d) -> DataFrame:
+    p = A.pacing(_video_events(spark, d), bucket="1 hour", by=["video"])
+    return p.select("video", F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "n", "ratio")
+
+
 def q_audit_report(spark, d) -> DataFrame:
     """One report over all playback: the report key is the month of the
     newest event (a data-derived key, so overview and findings meet in a
@@ -139,6 +160,9 @@ QUERIES = {
     "segment_findings": q_segment_findings,
     "pacing": q_pacing,
     "audit_report": q_audit_report,
+    "retention_curve_by_video": q_retention_curve_by_video,
+    "segment_findings_by_video": q_segment_findings_by_video,
+    "pacing_by_video": q_pacing_by_video,
 }
 
 # ----------------------------------------------------------------- DuckDB SQL
@@ -211,6 +235,20 @@ seg AS (SELECT kind, min(bucket) AS from_bucket, max(bucket) AS to_bucket, CAST(
         FROM isl GROUP BY kind, grp)"""
 
 
+_VIDEO_CURVE = f"""
+e AS (SELECT strftime(ts, '%Y-%m') AS video, user_id AS viewer, ts FROM events),
+e1 AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= {GAP_US} THEN 0 ELSE 1 END AS new_s
+       FROM e WINDOW w AS (PARTITION BY video, viewer ORDER BY ts)),
+e2 AS (SELECT *, sum(new_s) OVER (PARTITION BY video, viewer ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e1),
+lens AS (SELECT video, CAST(floor((epoch_us(max(ts)) - epoch_us(min(ts))) / {BUCKET_S * 1_000_000}) AS BIGINT) AS l
+         FROM e2 GROUP BY video, viewer, sid),
+hist AS (SELECT video, l, count(*) AS n FROM lens GROUP BY ALL),
+grid AS (SELECT video, unnest(range(0, max(l) + 1)) AS bucket FROM hist GROUP BY video),
+lives AS (SELECT g.video, g.bucket, sum(h.n) AS alive FROM grid g JOIN hist h ON h.video = g.video AND h.l >= g.bucket GROUP BY ALL),
+curve AS (SELECT video, CAST(bucket AS BIGINT) AS bucket, CAST(alive AS BIGINT) AS alive,
+                 CAST(coalesce(lag(alive) OVER (PARTITION BY video ORDER BY bucket) - alive, 0) AS BIGINT) AS "drop" FROM lives)"""
+
+
 def _offset(x: str) -> str:
     return (f"lpad(CAST(({x}) // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((({x}) % 3600) // 60 AS VARCHAR), 2, '0')"
             f" || ':' || lpad(CAST(({x}) % 60 AS VARCHAR), 2, '0')")
@@ -223,6 +261,37 @@ ORACLE = {
                coalesce(d, CAST(l AS DOUBLE)) AS num,
                CASE WHEN d IS NULL AND l IS NULL THEN value END AS text_value FROM typed""",
     "merged_metrics": f"WITH {_INPUTS} SELECT * FROM merged",
+    "metrics_json": f"""WITH {_INPUTS},
+        keyed AS (SELECT video_id, j, json_keys(j::JSON) AS ks FROM jsrc),
+        jx AS (SELECT video_id, i, ks[i] AS metric, json_extract(j::JSON, '$."' || ks[i] || '"') AS x
+               FROM (SELECT *, unnest(range(1, len(ks) + 1)) AS i FROM keyed)),
+        cx AS (SELECT video_id, i, h[i] AS metric, v[i] AS x
+               FROM (SELECT *, unnest(range(1, least(len(h), len(v)) + 1)) AS i FROM cpair)),
+        t AS (SELECT video_id, i, metric, CASE WHEN json_type(x) = 'DOUBLE' THEN CAST(CAST(x AS DOUBLE) AS VARCHAR)
+                                               ELSE CAST(x AS VARCHAR) END AS s FROM jx
+              UNION ALL
+              SELECT video_id, i, metric, CASE WHEN contains(x, '.') AND TRY_CAST(x AS DOUBLE) IS NOT NULL THEN CAST(CAST(x AS DOUBLE) AS VARCHAR)
+                                               WHEN NOT contains(x, '.') AND TRY_CAST(x AS BIGINT) IS NOT NULL THEN CAST(CAST(x AS BIGINT) AS VARCHAR)
+                                               ELSE CAST(to_json(x) AS VARCHAR) END FROM cx)
+        SELECT i.video_id, '{{' || chr(10)
+               || '    "views": ' || coalesce(max(CASE WHEN metric = 'views' THEN s END), '12000') || ',' || chr(10)
+               || '    "retention_5s": ' || coalesce(max(CASE WHEN metric = 'retention_5s' THEN s END), '0.45') || ',' || chr(10)
+               || '    "completion_rate": ' || coalesce(max(CASE WHEN metric = 'completion_rate' THEN s END), '0.18')
+               || coalesce(string_agg(',' || chr(10) || '    ' || CAST(to_json(metric) AS VARCHAR) || ': ' || s, '' ORDER BY t.i)
+                           FILTER (WHERE metric NOT IN ('views', 'retention_5s', 'completion_rate')), '')
+               || chr(10) || '}}' AS metrics_json
+        FROM inp i LEFT JOIN t ON t.video_id = i.video_id GROUP BY i.video_id""",
+    "retention_curve_by_video": f"WITH {_VIDEO_CURVE} SELECT * FROM curve",
+    "segment_findings_by_video": f"""WITH {_VIDEO_CURVE},
+        c1 AS (SELECT *, sum("drop") OVER (PARTITION BY video) AS s_, count(*) OVER (PARTITION BY video) AS n_ FROM curve WHERE bucket >= 1),
+        k AS (SELECT *, CASE WHEN bucket <= {-(-HORIZON_S // BUCKET_S)} THEN 'opening_loss' WHEN "drop" * n_ > s_ THEN 'sag'
+                             WHEN "drop" * n_ * 4 < s_ THEN 'highlight' ELSE 'steady' END AS kind FROM c1),
+        isl AS (SELECT *, bucket - row_number() OVER (PARTITION BY video, kind ORDER BY bucket) AS grp FROM k)
+        SELECT video, kind, min(bucket) AS from_bucket, max(bucket) AS to_bucket, CAST(sum("drop") AS BIGINT) AS total_drop
+        FROM isl GROUP BY video, kind, grp""",
+    "pacing_by_video": """WITH g AS (SELECT strftime(ts, '%Y-%m') AS video, time_bucket(INTERVAL 1 HOUR, ts) AS b, count(*) AS n FROM events GROUP BY ALL)
+        SELECT video, strftime(b, '%Y-%m-%d %H:%M:%S') AS bucket_start, CAST(n AS BIGINT) AS n,
+               n * count(*) OVER (PARTITION BY video) / sum(n) OVER (PARTITION BY video) AS ratio FROM g""",
     "audit_overview": f"""WITH {_INPUTS}
         SELECT video_id, views, printf('%.1f', retention_5s * 100) AS retention_pct,
                printf('%.1f', 100.0 - retention_5s * 100) AS loss_pct, printf('%.1f', completion_rate * 100) AS completion_pct,

@@ -43,8 +43,10 @@ def macro_snapshot(prices: DataFrame, run_ts: Column, dim: DataFrame | None = No
     quote fallback for symbols without closes, formatted stanzas."""
     dim = dim if dim is not None else M.macro_dim(prices.sparkSession)
     keys = dim.select("symbol")
-    daily = M.daily_closes(prices.join(keys, "symbol", "left_semi"), tiebreak=tiebreak)
-    closes = M.last_two_closes(daily, days)
+    wanted = prices.join(keys, "symbol", "left_semi")
+    # days count back from the newest price of a wanted symbol
+    newest = wanted.select(F.to_date(F.max("ts"))).scalar()
+    closes = M.last_two_closes(M.daily_closes(M.recent_prices(wanted, days=days), tiebreak=tiebreak), days, as_of=newest)
     if quotes is not None:
         closes = M.quote_fallback(closes, quotes.join(keys, "symbol", "left_semi"))
     rows = M.dim_left_join(dim, closes)
@@ -112,7 +114,7 @@ def split_responses(responses: DataFrame, drop_fallback: bool = True) -> dict[st
 def audit_metrics(metric_inputs: DataFrame, key: str = "video_id") -> DataFrame:
     """Per video: metrics overlaid on the defaults, the overview strings and
     the benchmark grade (``metric_inputs``: key, inline, file_content)."""
-    merged = X.merge_metrics(metric_inputs, X.scan_metrics(metric_inputs, key=key), key=key)
+    merged = X.merge_metrics(metric_inputs, key=key)
     grade, red = X.benchmark_grade(F.col("retention_5s"))
     return X.audit_overview(merged.withColumn("grade", grade).withColumn("red", red), key=key,
                             keep=["grade", "red", "retention_5s", "completion_rate"])

@@ -3,7 +3,9 @@
 The reference writes ``{T}_raw_{ts}.txt``, ``card_{ts}_{L}.md``,
 ``dialogue_log_{ts}_{L}.txt`` … one file at a time.  Here the derived file
 name is a column and the rows are written by the executors, partitioned by
-kind / label / run stamp, so a later reader prunes partitions.
+kind and run stamp, so a later reader prunes partitions; the label stays a
+(sorted) string column, because a partition value such as ``2026`` would be
+read back as a number.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def report_name(kind: str, label: Column, run_ts: Column) -> Column:
     """The reference's file name for a document of ``kind``."""
     ts = F.date_format(run_ts, "yyyyMMdd_HHmmss")
@@ -29,13 +32,18 @@ def report_name(kind: str, label: Column, run_ts: Column) -> Column:
     raise ValueError(kind)
 
 
-def write_reports(df: DataFrame, path: str, kind: str, run_ts: Column, label: str = "label",
-                  mode: str = "append") -> DataFrame:
-    """Write documents (label, content) as parquet partitioned by kind,
-    label and run stamp; returns the frame that was written."""
+def write_reports(df: DataFrame, path: str, kind: str, run_ts: Column, label: str = "label") -> DataFrame:
+    """Write documents (label, content) as parquet partitioned by kind and
+    run stamp; returns the frame that was written.
+
+    A run writes each kind once: writing a (kind, run stamp) again replaces it,
+    so a repeated job leaves no doubles, and other runs stay.  Rows are dealt
+    by ranges of (run stamp, label), so a run makes files by its size, not
+    by its number of labels."""
     out = df.select(
         F.lit(kind).alias("kind"), F.col(label).alias("label"),
         F.date_format(run_ts, "yyyyMMdd_HHmmss").alias("run_ts"),
         report_name(kind, F.col(label), run_ts).alias("name"), F.col("content"))
-    out.write.mode(mode).partitionBy("kind", "label", "run_ts").parquet(path)
+    (out.repartitionByRange("run_ts", "label").sortWithinPartitions("run_ts", "label")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "run_ts").parquet(path))
     return out

@@ -8,6 +8,8 @@ come from the hidden ``_metadata`` column, so the folder is listed by Spark
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,16 +50,21 @@ def read_latest(spark: SparkSession, path: str, glob: str = DOC_GLOB) -> DataFra
     top = scan_listing(spark, path, glob).orderBy(F.col("mtime").desc(), F.col("name").asc()).limit(1).collect()
     if not top:
         return scan_documents(spark, path, glob).limit(0)
-    return scan_documents(spark, top[0]["path"], glob="*")
+    # the path is a name here, not a pattern
+    return scan_documents(spark, re.sub(r"([\[\]{}*?\\])", r"\\\1", top[0]["path"]), glob="*")
 
 
 def scan_pairs(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
-    """(dir, name, mtime, content) of every file one level below ``path``;
-    dot- and underscore-folders are skipped by Spark's listing."""
+    """(dir, name, mtime, content) of every file in a folder directly below
+    ``path``; dot- and underscore-folders are skipped by Spark's listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root)
     df = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    p = F.col("_metadata.file_path")
-    return df.select(
-        F.regexp_extract(p, r"([^/]+)/[^/]+$", 1).alias("dir"),
+    # the path is a URI: without scheme and host, it lies two names below the root; a plus sign is itself
+    p = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    depth = root.depth() + 2
+    return df.filter(F.size(F.split(p, "/")) - 1 == depth).select(
+        F.url_decode(F.replace(F.regexp_extract(p, r"([^/]+)/[^/]+$", 1), F.lit("+"), F.lit("%2B"))).alias("dir"),
         F.col("_metadata.file_name").alias("name"),
         F.col("_metadata.file_modification_time").alias("mtime"),
         F.col("value").alias("content"),

@@ -4,15 +4,18 @@ poll as a Structured Streaming query.
 New files are read whole (``wholetext``), labelled, and merged into a
 newest-per-label table in ``foreachBatch``: each micro-batch is reduced to
 its newest file per label, unioned with the table's current version and
-reduced again, then written as version ``v = epoch`` (dynamic partition
-overwrite, so a replayed epoch rewrites only its own version).
+reduced again, then written as the next version.  A version is a folder of its
+own and counts only once its ``_SUCCESS`` marker is there, so a write that
+broke off is never read.  The version number follows the table, not the epoch:
+a fresh checkpoint over an existing table goes on where the table stands, and
+a replayed epoch merges to the same rows (newest-per-label is idempotent).
+The last two versions are kept, for readers that still hold the older one.
 ``availableNow`` processes what is there and stops, so the job can run on a
 schedule; the checkpoint makes a restart resume where it stopped.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,15 +23,29 @@ from inkwell.functions.text import source_label
 from inkwell.operators.documents import latest_document
 
 SCHEMA = "value string"
+KEPT_VERSIONS = 2
+
+
+def _folders(spark: SparkSession, table_path: str):
+    """The file system, and version number -> (folder, complete)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    if fs.exists(root):
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith("v=") and name[2:].isdigit():
+                marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+                found[int(name[2:])] = (status.getPath(), fs.exists(marker))
+    return fs, found
 
 
 def read_newest(spark: SparkSession, table_path: str) -> DataFrame | None:
-    """The current newest-per-label table (its highest version), or None."""
-    try:
-        t = spark.read.parquet(table_path)
-    except AnalysisException:
-        return None
-    return t.filter(F.col("v") == t.select(F.max("v")).scalar()).drop("v")
+    """The current newest-per-label table (its highest complete version), or None."""
+    _, found = _folders(spark, table_path)
+    done = [v for v, (_, complete) in found.items() if complete]
+    return spark.read.parquet(found[max(done)][0].toString()) if done else None
 
 
 def _merge_newest(table_path: str):
@@ -38,8 +55,11 @@ def _merge_newest(table_path: str):
         current = read_newest(spark, table_path)
         if current is not None:
             fresh = latest_document(current.unionByName(fresh), by=["label"]).drop("n_docs")
-        (fresh.withColumn("v", F.lit(epoch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(table_path))
+        fs, found = _folders(spark, table_path)
+        version = max(found, default=-1) + 1
+        fresh.write.parquet(f"{table_path.rstrip('/')}/v={version}")
+        for v in sorted([*found, version])[:-KEPT_VERSIONS]:
+            fs.delete(found[v][0], True)
     return merge
 
 

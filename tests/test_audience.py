@@ -75,3 +75,16 @@ def test_chunked_sessions_equal_global_sessionisation(spark):
         got = sorted((r.viewer, r.start, r.end, r.n_events, r.reached_end)
                      for r in A.sessions(ev, gap="60 seconds", chunk=chunk).collect())
         assert got == expect, chunk
+
+
+def test_curves_of_several_videos_stand_alone(spark):
+    second = _ev(spark).filter("viewer < 3").withColumn("ts", F.expr("ts + interval 40 days"))
+    both = _ev(spark).withColumn("video", F.lit("a")).unionByName(second.withColumn("video", F.lit("b")))
+    curve = A.retention_curve(A.sessions(both, by=["video"]), 3600, by=["video"])
+    for video, ev in (("a", _ev(spark)), ("b", second)):
+        alone = A.retention_curve(A.sessions(ev), 3600)
+        assert sorted(map(tuple, curve.filter(F.col("video") == video).drop("video").collect())) == sorted(map(tuple, alone.collect()))
+        found = A.segment_findings(curve, 3600, 3600, by=["video"]).filter(F.col("video") == video).drop("video")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, A.segment_findings(alone, 3600, 3600).collect()))
+        paced = A.pacing(both, by=["video"]).filter(F.col("video") == video).drop("video")
+        assert sorted(map(tuple, paced.collect())) == sorted(map(tuple, A.pacing(ev).collect()))

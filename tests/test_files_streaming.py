@@ -40,8 +40,16 @@ def test_scan_pairs_skips_dot_folders(spark, tmp_path):
     _write(str(h / "A解析_1" / D.DRAFT_NAME), "draft")
     _write(str(h / "A解析_1" / D.FINAL_NAME), "final")
     _write(str(h / ".hidden" / D.DRAFT_NAME), "x")
+    _write(str(h / "A B+1" / D.DRAFT_NAME), "spaced")
+    _write(str(h / "top.md"), "x")
+    _write(str(h / "A解析_1" / "deeper" / D.DRAFT_NAME), "x")
     rows = {(r.dir, r.name) for r in S.scan_pairs(spark, str(h)).collect()}
-    assert rows == {("A解析_1", D.DRAFT_NAME), ("A解析_1", D.FINAL_NAME)}
+    assert rows == {("A解析_1", D.DRAFT_NAME), ("A解析_1", D.FINAL_NAME), ("A B+1", D.DRAFT_NAME)}
+
+
+def test_read_latest_takes_the_name_literally(spark, tmp_path):
+    _write(str(tmp_path / "a b[1]{x}.txt"), "odd")
+    assert [r.content for r in S.read_latest(spark, str(tmp_path)).collect()] == ["odd"]
 
 
 def test_required_documents_and_metric_files(spark, tmp_path):
@@ -72,7 +80,11 @@ def test_write_reports_partitioned(spark, tmp_path):
     write_reports(df, out, "card", F.lit(dt.datetime(2026, 5, 26, 19, 29, 36)))
     back = spark.read.parquet(out)
     assert {r.name for r in back.collect()} == {"card_20260526_192936_WMT.md", "card_20260526_192936_LULU.md"}
-    assert os.path.isdir(os.path.join(out, "kind=card", "label=WMT", "run_ts=20260526_192936"))
+    assert os.path.isdir(os.path.join(out, "kind=card", "run_ts=20260526_192936"))
+    years = spark.createDataFrame([("2026", "a"), ("2027", "b")], "label string, content string")
+    for _ in range(2):                  # the same run again leaves no doubles, and other runs stay
+        write_reports(years, out, "card", F.lit(dt.datetime(2026, 6, 1)))
+    assert sorted(r.label for r in spark.read.parquet(out).collect()) == ["2026", "2027", "LULU", "WMT"]
 
 
 def test_ingest_stream_newest_per_label(spark, tmp_path):
@@ -87,6 +99,19 @@ def test_ingest_stream_newest_per_label(spark, tmp_path):
     assert got == {"WMT": "new", "LULU": "lulu"}
 
 
+def test_fresh_checkpoint_goes_on_with_the_table(spark, tmp_path):
+    src, table = tmp_path / "in", str(tmp_path / "table")
+    for i, text in enumerate(["old", "mid"]):
+        _write(str(src / f"WMT_raw_2026010{i + 1}_000000.txt"), text, time.time() - 100 + i)
+        ingest_stream(spark, str(src), table, str(tmp_path / "ckpt")).awaitTermination()
+    _write(str(src / "WMT_raw_20260103_000000.txt"), "new", time.time())
+    ingest_stream(spark, str(src), table, str(tmp_path / "other")).awaitTermination()
+    assert [r.content for r in read_newest(spark, table).collect()] == ["new"]
+    assert len([n for n in os.listdir(table) if n.startswith("v=")]) == 2
+    os.makedirs(os.path.join(table, "v=99"))             # a write that broke off
+    assert [r.content for r in read_newest(spark, table).collect()] == ["new"]
+
+
 def test_ingest_epoch_replay_is_idempotent(spark, tmp_path):
     import datetime as dt
     from inkwell.streaming.ingest import _merge_newest

@@ -77,3 +77,10 @@ def test_source_label_random_names(spark):
     df = spark.createDataFrame([(n,) for n in names], "name string")
     got = [r[0] for r in df.select(source_label("name")).collect()]
     assert got == [_label_rule(n) for n in names]
+
+
+def test_python_float_spelling(spark):
+    from inkwell.functions.fmt import python_float
+    xs = [0.0, -0.0, 1.0, 0.0005, 0.00012345, 1e-5, 2.5e-7, 12345678.9, 1e7, 1.5e15, 1e16, 1.25e22, 3e100, -12345678.5, float("inf"), float("nan")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    assert [r.s for r in df.select("i", python_float("x").alias("s")).orderBy("i").collect()] == [repr(x) for x in xs]

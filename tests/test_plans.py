@@ -42,6 +42,12 @@ def test_top_k_per_key_is_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2
 
 
+@pytest.mark.parametrize("name", ["last_two_closes", "macro_quotes", "macro_report", "quote_fallback"])
+def test_only_recent_prices_are_read(spark, name):
+    assert re.search(r"PushedFilters: \[[^\n]*GreaterThanOrEqual\(ts", _plan(E.queries()[name](spark, SF_SMALL))) or \
+        re.search(r"DataFilters: [^\n]*ts#\d+ >= (Reused)?[sS]ubquery", E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString())
+
+
 def test_hot_key_reductions_are_partial_aggregates(spark):
     for name, fn in [("latest_per_label", "partial_min_by"), ("last_two_closes", "partial_max_by"),
                      ("rulebook_candidates", "partial_count"), ("playback_sessions", "merge_min")]:

@@ -193,6 +193,14 @@ def pair_essence(labels: DataFrame, essences: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------ F-3
 
+def _asked(docs: DataFrame, requests: DataFrame) -> DataFrame:
+    """(x_name, x_content) of the explicitly named documents, the newest of
+    each name; the texts of the others do not travel."""
+    names = requests.select(F.col("explicit").alias("name")).distinct()
+    return docs.join(names, "name", "left_semi").groupBy(F.col("name").alias("x_name")).agg(
+        F.max_by("content", F.struct("mtime", "content")).alias("x_content"))
+
+
 def resolve_input(requests: DataFrame, docs: DataFrame, default_text: str = NO_RAW_TEXT,
                   default_label: str = NO_RAW_LABEL) -> DataFrame:
     """Choose the input of every request: the explicitly named document if
@@ -200,13 +208,12 @@ def resolve_input(requests: DataFrame, docs: DataFrame, default_text: str = NO_R
     non-empty, else the default text.  The label follows the chosen source.
 
     ``requests``: req_id, explicit (name or NULL); ``docs``: name, mtime,
-    content.  Output: req_id, chosen_source, chosen_name, label, content.
+    content; of several documents of one name the newest counts.  Output:
+    req_id, chosen_source, chosen_name, label, content.
     """
-    d = docs.select(F.col("name").alias("x_name"), F.col("content").alias("x_content"))
-    j = requests.join(d, F.col("explicit") == F.col("x_name"), "left")
-    newest = docs.orderBy(F.col("mtime").desc(), F.col("name").asc()).limit(1)
-    n_name = newest.select("name").scalar()
-    n_content = newest.select("content").scalar()
+    j = requests.join(_asked(docs, requests), F.col("explicit") == F.col("x_name"), "left")
+    newest = docs.orderBy(F.col("mtime").desc(), F.col("name").asc()).limit(1).select(F.struct("name", "content")).scalar()
+    n_name, n_content = newest.getField("name"), newest.getField("content")
     explicit_ok = F.nullif(F.col("x_content"), F.lit("")).isNotNull()
     latest_ok = F.nullif(n_content, F.lit("")).isNotNull()
     src = F.when(explicit_ok, F.lit("explicit")).when(latest_ok, F.lit("latest")).otherwise(F.lit("default"))
@@ -228,11 +235,10 @@ def resolve_essence(requests: DataFrame, essences: DataFrame,
     paired essence of the label (J-1: newest match, else newest overall),
     else the fixed placeholder text.  Output: keep..., label,
     essence_source, essence_name, essence."""
-    e = essences.select(F.col("name").alias("x_name"), F.col("content").alias("x_content"))
     pairing = pair_essence(requests.select("label"), essences.select("name", "mtime"))
-    p = pairing.join(essences.select(F.col("name").alias("essence_name"), F.col("content").alias("p_content")),
-                     "essence_name", "left").select("label", "essence_name", "p_content")
-    j = requests.join(e, F.col("explicit") == F.col("x_name"), "left").join(p, "label", "left")
+    p = (pairing.join(essences.select(F.col("name").alias("essence_name"), "mtime", "content"), "essence_name", "left")
+         .groupBy("label", "essence_name").agg(F.max_by("content", F.struct("mtime", "content")).alias("p_content")))
+    j = requests.join(_asked(essences, requests), F.col("explicit") == F.col("x_name"), "left").join(p, "label", "left")
     explicit_ok = F.nullif(F.col("x_content"), F.lit("")).isNotNull()
     paired_ok = F.nullif(F.col("p_content"), F.lit("")).isNotNull()
     return j.select(
@@ -333,10 +339,11 @@ def latest_k_groups(files: DataFrame, k: int = 3, group: str = "dir", mtime: str
 
 
 def pair_versions(files: DataFrame, group: str = "dir") -> DataFrame:
-    """Equi self-join of draft and final on the folder: (dir, v1, v2)."""
-    v1 = files.filter(F.col("name") == DRAFT_NAME).select(group, F.col("content").alias("v1"))
-    v2 = files.filter(F.col("name") == FINAL_NAME).select(group, F.col("content").alias("v2"))
-    return v1.join(v2, group, "inner")
+    """Draft and final of the folders that have both: (dir, v1, v2), in one
+    scan and one group-by."""
+    version = lambda name: F.max(F.when(F.col("name") == name, F.col("content")))
+    return (files.filter(F.col("name").isin(DRAFT_NAME, FINAL_NAME) & F.col(group).isNotNull()).groupBy(group)
+            .agg(version(DRAFT_NAME).alias("v1"), version(FINAL_NAME).alias("v2")).filter("v1 is not null and v2 is not null"))
 
 
 def few_shot_pairs(files: DataFrame, k: int = 3, group: str = "dir") -> DataFrame:

@@ -154,3 +154,12 @@ def test_append_attachment_status_and_kind(spark):
     got = {r.k: (r.content, r.attached) for r in D.append_attachment(rep, att, "k", "macro").collect()}
     assert got["A"] == ("report A" + D.ATTACH_MACRO + "pdf text", True)
     assert got["B"] == ("report B", False) and got["C"] == ("report C", False)
+
+
+def test_newest_of_one_name_is_the_input(spark):
+    import datetime as dt
+    docs = spark.createDataFrame([("a_raw.txt", dt.datetime(2026, 1, d), f"text {d}") for d in (1, 3, 2)] + [("b_raw.txt", dt.datetime(2026, 2, 1), "")],
+                                 "name string, mtime timestamp, content string")
+    asked = spark.createDataFrame([(1, "a_raw.txt"), (2, None), (3, "none.txt")], "req_id int, explicit string")
+    got = sorted((r.req_id, r.chosen_source, r.content) for r in D.resolve_input(asked, docs, default_text="nothing").collect())
+    assert got == [(1, "explicit", "text 3"), (2, "default", "nothing"), (3, "default", "nothing")]

@@ -82,14 +82,15 @@ def generation_prompts(requests: DataFrame, raw_docs: DataFrame, essence_docs: D
 
 def split_responses(responses: DataFrame, drop_fallback: bool = True) -> dict[str, DataFrame]:
     """Model responses (label, run_ts, text[, is_fallback]) → cards (one row
-    per card with title/text), card documents, clean scripts with their
+    per card with title/text and the fallback flag), card documents, clean scripts with their
     checks (card count, tag leak, cover, hashtags), and the sectioned log
     when ``system`` / ``prompt`` columns are present.  Fallback responses
     are left out of the card documents by default."""
     has_flag = "is_fallback" in responses.columns
-    cards = D.extract_tagged(responses, "text", keep=["label", "run_ts"])
+    keep = ["label", "run_ts", *(["is_fallback"] if has_flag else [])]
+    cards = D.extract_tagged(responses, "text", keep=keep)
     title, text = D.card_fields(F.col("body"))
-    cards = cards.select("label", "run_ts", "idx", "body", title.alias("title"), text.alias("card_text"))
+    cards = cards.select(*keep, "idx", "body", title.alias("title"), text.alias("card_text"))
     src = responses.filter(~F.coalesce("is_fallback", F.lit(False))) if (has_flag and drop_fallback) else responses
     docs = src.select("label", "run_ts", D.card_document_text(F.col("label"), F.col("run_ts"),
                                                               D.tagged_spans("text")).alias("content")) \

@@ -8,7 +8,7 @@ predecessor kept, and all stages but the last return the columns of
 1. quality classifier: documents that score below the cutoff go;
 2. near-duplicates: one document of each group (five-word shingles, 0.8) stays;
 3. benchmark decontamination: documents that hold a test item go;
-4. mixing: rates that meet target weights repeat, keep or drop documents;
+4. mixing: rates thin toxic documents to their target share of the clean ones;
 5. sharding: every document gets a shard and a slot.
 
 The result of ``run`` rests on trained models and hashes that SQL cannot
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from inkwell.llm import decontaminate, mixing, near_dedup, quality, sharding
 from inkwell.llm._scratch import materialize
 
-# Toxic text is mixed out; the total is what the clean text fills without repeats.
+# Toxic text is thinned to at most this share of the words; all clean text stays, once.
 MIX_TARGETS = {"clean": 0.975, "toxic": 0.025}
 
 
@@ -44,7 +44,7 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs, mixing.label_domain(_table(spark, sf_dir, "labels")), MIX_TARGETS,
-                                growth=None, nearest=True)
+                                keep="clean")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

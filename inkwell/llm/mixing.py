@@ -20,7 +20,12 @@
    of rates travels; after ``FOLD_STEPS`` steps the rates are written once and
    the list starts anew.
 3. A document of rate r gets ``floor(r + u)`` copies, u a hash of its id in
-   [0, 1), which meets the targets on average; or the nearest whole number.
+   [0, 1), which meets the targets on average; or the nearest whole number
+   (``nearest``), which does not.
+4. With ``keep`` one domain stays whole and the targets of the others are upper
+   shares beside it: documents that rank first in it have rate 1, the rates of
+   the rest are fitted as in 2, within [0, 1], to ``y_k <= weight_k /
+   weight_keep * y_keep``.  A domain below its share is left as it is.
 
 Bounds: at most ``TRAIN_ROWS`` labelled rows are learned from (least hash of
 the id); only K numbers per step and the model pass through the driver.  All
@@ -32,7 +37,8 @@ rows has posterior 0; a target for an unknown domain is an error; targets are
 normalised; repeated rows have equal rates (and one hash, hence equal copies);
 rows with a NULL id draw from the hash of NULL; empty tables give an empty
 result; extra columns are kept by ``mix_documents`` unless they bear the name
-of an added one.
+of an added one; where no word counts for ``keep`` (it has no labelled row), its
+share has no meaning and all documents stay.
 """
 
 from __future__ import annotations
@@ -149,33 +155,37 @@ def classify(docs: DataFrame, model: DataFrame, priors: list[float], table: list
         *[c for c in docs.columns if c not in ("n_words", "posterior")], F.col("_n").alias("n_words"), posterior.alias("posterior"))
 
 
-def _stepped(rate: Column, posterior: Column, history: list[list[float]]) -> Column:
-    """``r <- max(0, r - posterior . h)`` for each h of the history, inside one expression."""
+def _stepped(rate: Column, posterior: Column, history: list[list[float]], top: float = float("inf")) -> Column:
+    """``r <- min(top, max(0, r - posterior . h))`` for each h of the history, inside one expression."""
     if not history:
         return rate
     steps = F.array(*[F.array(*map(F.lit, h)) for h in history])
     dot = lambda h: sum((posterior[k] * h[k] for k in range(len(history[0]))), F.lit(0.0))
-    return F.aggregate(steps, rate, lambda r, h: F.greatest(F.lit(0.0), r - dot(h)))
+    return F.aggregate(steps, rate, lambda r, h: F.least(F.lit(top), F.greatest(F.lit(0.0), r - dot(h))))
 
 
 def fit_rates(loads: DataFrame, target_tokens: list[float], max_steps: int = MAX_STEPS,
-              tolerance: float = TOLERANCE) -> tuple[DataFrame, list[list[float]], list[float]]:
+              tolerance: float = TOLERANCE, upper: bool = False, scale: float = 1.0) -> tuple[DataFrame, list[list[float]], list[float]]:
     """Projected gradient from r = 1 over ``loads`` (any columns, ``posterior`` and ``load array<double>``).
 
+    ``upper``: the targets are upper bounds and no rate exceeds 1.  The tolerance is
+    a share of the targets' sum, of ``scale`` at least.
     Returns ``loads`` with ``rate``, the step vectors, and the expected tokens reached.
     """
     K = len(target_tokens)
     pairs = [(i, j) for i in range(K) for j in range(i, K)]
-    target, scale = np.array(target_tokens), max(1.0, float(np.abs(target_tokens).sum()))
+    target, scale = np.array(target_tokens), max(1.0, scale, float(np.abs(target_tokens).sum()))
     state, done, history, reached = loads.withColumn("rate", F.lit(1.0)), [], [], []
-    best, width = float("inf"), 1.0
+    best, width, top = float("inf"), 1.0, 1.0 if upper else float("inf")
     for _ in range(max_steps):
         r = F.col("r")
-        row = (state.select("load", "posterior", _stepped(F.col("rate"), F.col("posterior"), history).alias("r"))
+        row = (state.select("load", "posterior", _stepped(F.col("rate"), F.col("posterior"), history, top).alias("r"))
                .agg(*[F.sum(F.col("load")[k] * r).alias(f"y{k}") for k in range(K)],
                     *[F.sum(F.when(r > 0, F.col("load")[i] * F.col("posterior")[j])).alias(f"g{i}_{j}") for i, j in pairs]).first())
         reached = [row[f"y{k}"] or 0.0 for k in range(K)]
         gap = np.array(reached) - target
+        if upper:
+            gap = np.maximum(gap, 0.0)
         error = float(np.abs(gap).sum()) / scale
         if error < tolerance:
             break
@@ -186,11 +196,16 @@ def fit_rates(loads: DataFrame, target_tokens: list[float], max_steps: int = MAX
         gram = np.zeros((K, K))
         for i, j in pairs:
             gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
-        history.append((width * np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ gap).tolist())
+        over = gap != 0 if upper else np.full(K, True)         # bounds that hold ask for no step
+        step = np.zeros(K)
+        step[over] = width * np.linalg.pinv(gram[np.ix_(over, over)], rcond=1e-9, hermitian=True) @ gap[over]
+        if not step.any():                                  # no document left to change
+            break
+        history.append(step.tolist())
         if len(history) == FOLD_STEPS:
-            state = materialize(state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), history)), "rates")
+            state = materialize(state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), history, top)), "rates")
             done, history = done + history, []
-    return state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), history)), done + history, reached
+    return state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), history, top)), done + history, reached
 
 
 def copies(rate: Column, doc_id: Column, nearest: bool = False) -> Column:
@@ -207,16 +222,30 @@ def _classified(docs: DataFrame, labelled: DataFrame, targets: dict[str, float])
     return classify(docs, *train(docs, labelled, domains)).withColumn("load", F.transform("posterior", lambda p: p * F.col("n_words")))
 
 
-def _targets(rows: DataFrame, targets: dict[str, float], growth: float | None) -> list[float]:
-    """Target words by domain; without ``growth`` as many as no domain must be repeated for."""
-    have = rows.agg(*[F.sum(F.col("load")[k]).alias(f"y{k}") for k in range(len(targets))]).first()
-    now = [have[f"y{k}"] or 0.0 for k in range(len(targets))]
-    weight = [w / sum(targets.values()) for w in targets.values()]
-    total = sum(now) * growth if growth is not None else min((n / w for n, w in zip(now, weight, strict=True) if w), default=0.0)
-    return [total * w for w in weight]
+def _sums(rows: DataFrame, n: int) -> list[float]:
+    have = rows.agg(*[F.sum(F.col("load")[k]).alias(f"y{k}") for k in range(n)]).first()
+    return [have[f"y{k}"] or 0.0 for k in range(n)]
+
+
+def _targets(rows: DataFrame, targets: dict[str, float], growth: float) -> list[float]:
+    """Target words by domain."""
+    total = sum(_sums(rows, len(targets))) * growth
+    return [total * w / sum(targets.values()) for w in targets.values()]
+
+
+def _beside(rows: DataFrame, targets: dict[str, float], keep: str) -> DataFrame:
+    """``rows`` with ``load`` and ``posterior`` as excess over the shares beside ``keep``; a document that stays has posterior 0."""
+    at = list(targets).index(keep)
+    others = [k for k in range(len(targets)) if k != at]
+    share = [w / targets[keep] for w in targets.values()]
+    p = F.col("posterior")
+    stays = (F.col("n_words") == 0) | (F.array_max(p) <= p[at])
+    excess = [p[k] - share[k] * p[at] for k in others]
+    return (rows.withColumn("load", F.array(*[F.col("n_words") * e for e in excess]))
+            .withColumn("posterior", F.array(*[F.when(stays, 0.0).otherwise(e) for e in excess])))
 
 
-def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], growth: float | None = 1.0) -> DataFrame:
+def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], growth: float = 1.0) -> DataFrame:
     """``doc_id, n_words, p_<domain>..., rate, copies`` for every row."""
     domains = list(targets)
     rows = _classified(docs.select("doc_id", "text"), labelled, targets)
@@ -226,18 +255,29 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
                         "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
-def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], growth: float | None = 1.0,
-                  nearest: bool = False) -> DataFrame:
+def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], growth: float = 1.0,
+                  nearest: bool = False, keep: str | None = None) -> DataFrame:
     """``docs`` with each row repeated as often as its rate says (perhaps never); the columns of ``docs``.
 
-    ``growth`` is the target total over the present one (None: the largest total
-    that needs no domain repeated); ``nearest`` rounds rates to whole numbers.
+    ``growth`` is the target total over the present one; ``nearest`` rounds rates
+    to whole numbers; ``keep`` names a domain that stays whole, beside which the
+    other targets are upper shares (the total follows from it, not from ``growth``).
     """
-    rows = _classified(docs, labelled, targets)
+    if keep is not None and not targets.get(keep):
+        raise ValueError("the domain to keep needs a target")
     # one written table: the rates are expressions over it, so the texts never move
-    rows = materialize(rows, "classified")
-    _, history, _ = fit_rates(materialize(rows.select("n_words", "posterior", "load"), "loads"), _targets(rows, targets, growth))
-    rate = _stepped(F.lit(1.0), F.col("posterior"), history)
+    rows = materialize(_classified(docs, labelled, targets), "classified")
+    if keep is None:
+        _, history, _ = fit_rates(materialize(rows.select("n_words", "posterior", "load"), "loads"), _targets(rows, targets, growth))
+        rate = _stepped(F.lit(1.0), F.col("posterior"), history)
+    else:
+        now = _sums(rows, len(targets))
+        if len(targets) == 1 or not now[list(targets).index(keep)]:
+            return rows.select(*docs.columns)
+        rows = _beside(rows, targets, keep)
+        loads = materialize(rows.select("n_words", "posterior", "load"), "loads")
+        _, history, _ = fit_rates(loads, [0.0] * (len(targets) - 1), upper=True, scale=sum(now))
+        rate = _stepped(F.lit(1.0), F.col("posterior"), history, 1.0)
     repeated = rows.withColumn("_copies", copies(rate, F.col("doc_id"), nearest)).filter("_copies > 0")
     return (repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
             .select(*docs.columns))

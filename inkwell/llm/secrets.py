@@ -46,7 +46,8 @@ KINDS = ("assign", "access", "hex", "access_id", "secret", "endpoint")
 
 # Parts that mean nothing alone.
 PART_ID = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AROA|AIDA|AIza|LTAI|AC|SK|ghp_|xox[abp]-)[A-Za-z0-9_-]{8,}")
-PART_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+# A value may follow "NAME=" directly; "=" inside it is padding, so a name before "=" is no value.
+PART_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 PART_ENDPOINT = re.compile(r"(?:https?|jdbc:\w+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]+")
 
 _BASE = ("doc_id long, scope binary, n_assign long, n_access long, n_hex long, base_sha256 string, base string, "

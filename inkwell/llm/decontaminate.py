@@ -1,26 +1,27 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND.
 
-1. Index.  Test items are cut into pieces of at most ``PIECE_WORDS`` words;
-   every piece is a document of a small BM25 index.  A posting weighs
-   ``idf * tf part`` over the piece's own total, so a piece's score against
-   itself is 1 and one threshold serves all.  Pieces are dealt to index shards of
-   at most ``SHARD_PIECES`` pieces (a fixed size), each sent to the executors in
-   turn, so the index may grow with the benchmark.  Inside a shard, pieces
-   are ordered by their words and grouped into blocks of ``BLOCK_PIECES``; per term
-   and block the greatest weight is kept.
-2. Queries.  Every training text is walked in passages of ``2 * STEP_WORDS``
-   words that overlap by half, so a piece lies whole in some passage.  A
-   passage is refused as soon as bounds allow: by the sum of its terms' greatest
+1. Index.  A test item's question, its answer, and pieces of at most
+   ``PIECE_WORDS`` words that overlap and cover all of it are the documents of
+   a small BM25 index.  A posting weighs ``idf * tf part`` over the piece's own
+   total, so a piece's score against itself is 1.  Pieces are dealt to index shards of
+   about ``SHARD_PIECES`` pieces (a fixed size), so the index may grow with the
+   benchmark.  Inside a shard, pieces are ordered by their words and grouped into
+   blocks of ``BLOCK_PIECES``; per term and block the greatest weight is kept.
+2. Retrieval.  A text's words, each term once, are scored against questions and
+   answers.  A side is retrieved at its own least score: the least weight that
+   ``OVERLAP`` of its n-grams can have, so no pair that passes step 3 is missed.
+   A text is refused as soon as bounds allow: by the sum of its terms' greatest
    weights (the WAND test), then block by block by the sum of block maxima;
-   pieces of the blocks that remain are scored exactly, each term once.
-   Everything at or above ``THRESHOLD`` is retrieved; nothing is ranked or
-   capped.  The bounds of a text's passages are taken together in numpy.
+   pieces of the blocks that remain are scored exactly.  Nothing is ranked or
+   capped.
 3. Verification.  A retrieved item is confirmed on the text: the share of its
    question's word n-grams and of its answer's that occur in the text must
    both reach ``OVERLAP``.  The answer is the last sentence of the item, the
    question the rest (an item of one sentence is all question).
+4. Score.  A confirmed pair's score is the best of the item's pieces over the
+   text's passages of ``2 * STEP_WORDS`` words, which overlap by half.
 
-Scores only choose candidates; a link rests on the words.  Words are compared
+Retrieval only chooses candidates; a link rests on the words.  Words are compared
 in lower case without surrounding punctuation.
 
 Edge cases: NULL or empty texts are no passage and no item; items without
@@ -46,9 +47,10 @@ PIECE_WORDS = 32
 STEP_WORDS = 32
 SHARD_PIECES = 512
 BLOCK_PIECES = 8
-THRESHOLD = 0.6
 QUESTION_NGRAM, ANSWER_NGRAM = 5, 3
 OVERLAP = 0.5
+# Taken off the least scores, for sums in single precision.
+SLACK = 1e-3
 # Words of one text whose passages are bounded in one go.
 BOUND_WORDS = 32_768
 K1, B = 1.2, 0.75
@@ -87,23 +89,45 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(T.Rolling(words).windows(min(n, len(words))))
 
 
+def pieces_of(words: np.ndarray) -> list[np.ndarray]:
+    """Pieces of at most ``PIECE_WORDS`` words that overlap by half at least and cover every word."""
+    if not len(words):
+        return []
+    last = max(0, len(words) - PIECE_WORDS)
+    return [words[i:i + PIECE_WORDS] for i in [*range(0, last, PIECE_WORDS // 2), last]]
+
+
+def least_share(grams_of: np.ndarray, terms: np.ndarray, weights: np.ndarray, overlap: float) -> float:
+    """The least weight of the words of any ``overlap`` of a side's n-grams (rows of words).
+
+    A word's weight is spread over the n-grams that hold it; a set of n-grams weighs no
+    more than the words in it, so the cheapest ones bound every such set from below.
+    """
+    at = np.sort(np.searchsorted(terms, grams_of), axis=1)
+    first = np.c_[np.ones(len(at), bool), at[:, 1:] != at[:, :-1]]       # a word counts once in an n-gram
+    held = np.bincount(at[first], minlength=len(terms))
+    price = np.sort(((weights / np.maximum(held, 1))[at] * first).sum(axis=1))
+    return float(price[:int(np.ceil(overlap * len(price) - 1e-9))].sum())
+
+
 class Index:
     """One shard of the inverted index, as arrays."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], overlap: float = OVERLAP):
         cache = WordForms()
         self.items: list[tuple[int, list[np.ndarray], list[int]]] = []
-        pieces: list[tuple[tuple, int, np.ndarray]] = []
+        # (sorted words, item, words, rows of n-grams; None for a piece that is only scored)
+        pieces: list[tuple[tuple, int, np.ndarray, np.ndarray | None]] = []
         for number, (item, text) in enumerate(items):
             sides = [cache.words(s) for s in question_and_answer(text)]
             widths = [min(n, len(s)) for s, n in zip(sides, (QUESTION_NGRAM, ANSWER_NGRAM), strict=True)]
             self.items.append((item, [grams(s, w) for s, w in zip(sides, widths, strict=True)], widths))
-            words = cache.words(text)
-            for i in range(0, max(1, len(words) - PIECE_WORDS // 2), PIECE_WORDS):
-                piece = words[i:i + PIECE_WORDS]
-                if len(piece):
-                    pieces.append((tuple(sorted(piece.tolist())), number, piece))
-        pieces.sort(key=lambda p: p[0])              # similar pieces share blocks
+            for side, width in zip(sides, widths, strict=True):
+                if width:
+                    rows = np.unique(np.lib.stride_tricks.sliding_window_view(side, width), axis=0)
+                    pieces.append((tuple(sorted(side.tolist())), number, side, rows))
+            pieces += [(tuple(sorted(p.tolist())), number, p, None) for p in pieces_of(cache.words(text))]
+        pieces.sort(key=lambda p: p[:2])             # similar pieces share blocks
         self.piece_item = np.array([p[1] for p in pieces], np.int64)
         self.terms = np.unique(np.concatenate([p[2] for p in pieces])) if pieces else np.zeros(0, np.uint64)
         self.weights = np.zeros((len(self.terms) + 1, len(pieces)), np.float32)   # last row: a word outside the index
@@ -111,50 +135,63 @@ class Index:
         df = np.bincount(np.concatenate([t for t, _ in counted]), minlength=len(self.terms)) if pieces else np.zeros(0)
         idf = np.log(1 + (len(pieces) - df + 0.5) / (df + 0.5))
         mean = np.mean([len(p[2]) for p in pieces]) if pieces else 1.0
-        for j, (term, tf) in enumerate(counted):
+        # the least score by which a piece is retrieved; a piece without one only scores
+        self.least = np.full(len(pieces), np.inf, np.float32)
+        for j, ((term, tf), piece) in enumerate(zip(counted, pieces, strict=True)):
             w = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * tf.sum() / mean))
             self.weights[term, j] = w / w.sum()
+            if piece[3] is not None:
+                self.least[j] = least_share(piece[3], self.terms, self.weights[:-1, j].astype(np.float64), overlap) - SLACK
+        # an item is a candidate if all its sides are retrieved
+        self.sides = np.bincount(self.piece_item[np.isfinite(self.least)], minlength=len(self.items))
         cuts = np.arange(0, len(pieces), BLOCK_PIECES)
         self.block_max = np.maximum.reduceat(self.weights, cuts, axis=1) if len(pieces) else np.zeros((1, 0), np.float32)
+        self.block_least = np.minimum.reduceat(self.least, cuts) if len(pieces) else np.zeros(0, np.float32)
         self.term_max = self.weights.max(axis=1, initial=0)
 
-    def search(self, words: np.ndarray, threshold: float) -> dict[int, float]:
-        """item number -> best score, over all passages of one text."""
-        if not len(words) or not len(self.terms):
-            return {}
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """The term number of each word; the number after the last for a word outside the index."""
         at = np.searchsorted(self.terms, words)
         at[(at == len(self.terms)) | (self.terms[np.minimum(at, len(self.terms) - 1)] != words)] = len(self.terms)
-        found: dict[int, float] = {}
+        return at
+
+    def candidates(self, words: np.ndarray) -> list[int]:
+        """The items of whose sides a text holds weight enough to pass: no passing item is missed."""
+        if not len(words) or not len(self.terms):
+            return []
+        term = np.unique(self.places(words))
+        term = term[term < len(self.terms)]
+        # the WAND test, then the sums of block maxima; pieces of the blocks that remain exactly
+        if not len(term) or self.term_max[term].sum(dtype=np.float64) < self.least.min():
+            return []
+        live = np.flatnonzero(self.block_max[term].sum(axis=0) >= self.block_least)
+        at = (live[:, None] * BLOCK_PIECES + np.arange(BLOCK_PIECES)).ravel()
+        at = at[at < len(self.least)]
+        if not len(at):
+            return []
+        kept = at[self.weights[np.ix_(term, at)].sum(axis=0) >= self.least[at]]
+        return np.flatnonzero((np.bincount(self.piece_item[kept], minlength=len(self.items)) >= self.sides) & (self.sides > 0)).tolist()
+
+    def score(self, words: np.ndarray, number: int) -> float:
+        """The best score of an item's pieces over all passages of one text."""
+        own = np.flatnonzero(self.piece_item == number)
+        weights = self.weights[:, own]
+        at, best = self.places(words), 0.0
         # blocks of words overlap by one passage, so each passage is whole in one
         for start in range(0, len(at), BOUND_WORDS):
-            self._passages(at[start:start + BOUND_WORDS + STEP_WORDS], threshold, found)
-        return found
-
-    def _passages(self, at: np.ndarray, threshold: float, found: dict[int, float]) -> None:
-        # each word stands in the passage of its step and in the one before; a passage counts a term once
-        width, step = len(self.terms) + 1, np.arange(len(at)) // STEP_WORDS
-        inside = at < len(self.terms)
-        keys = (step * width + at)[inside]
-        keys = np.unique(np.concatenate([keys, keys[keys >= width] - width]))
-        passage, term = np.divmod(keys, width)
-        cuts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(keys) else keys
-        if not len(cuts):
-            return
-        ends = np.r_[cuts[1:], len(keys)]
-        # the WAND test: the greatest weights of a passage's terms bound every score
-        live = np.flatnonzero(np.add.reduceat(self.term_max[term], cuts) >= threshold)
-        if not len(live):
-            return
-        bounds = np.add.reduceat(self.block_max[term], cuts, axis=0)[live]
-        for i, b in np.argwhere(bounds >= threshold).tolist():
-            terms = term[cuts[live[i]]:ends[live[i]]]
-            score = self.weights[terms, b * BLOCK_PIECES:(b + 1) * BLOCK_PIECES].sum(axis=0)
-            for j in np.flatnonzero(score >= threshold).tolist():
-                item = int(self.piece_item[b * BLOCK_PIECES + j])
-                found[item] = max(found.get(item, 0.0), float(score[j]))
-
-
-def _hits(index, threshold: float, overlap: float):
+            part = at[start:start + BOUND_WORDS + STEP_WORDS]
+            width, step = len(self.terms) + 1, np.arange(len(part)) // STEP_WORDS
+            # each word stands in the passage of its step and in the one before; a passage counts a term once
+            keys = (step * width + part)[part < len(self.terms)]
+            keys = np.unique(np.concatenate([keys, keys[keys >= width] - width]))
+            passage, term = np.divmod(keys, width)
+            if len(keys):
+                cuts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+                best = max(best, float(np.add.reduceat(weights[term], cuts, axis=0).max()))
+        return min(1.0, best)
+
+
+def _hits(index, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard = WordForms(), index.value
         for batch in batches:
@@ -162,7 +199,7 @@ def _hits(index, threshold: float, overlap: float):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = cache.words(text)
                 have: dict[int, np.ndarray] = {}
-                for number, score in shard.search(words, threshold).items():
+                for number in shard.candidates(words):
                     item, sides, widths = shard.items[number]
                     shares = []
                     for side, width in zip(sides, widths, strict=True):
@@ -170,7 +207,7 @@ def _hits(index, threshold: float, overlap: float):
                             have[width] = np.unique(T.Rolling(words).windows(width))
                         shares.append(float(np.isin(side, have[width], assume_unique=True).mean()) if width else 1.0)
                     if min(shares) >= overlap:
-                        out.append((doc, item, min(1.0, score), *shares))
+                        out.append((doc, item, shard.score(words, number), *shares))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
@@ -179,40 +216,40 @@ def _hits(index, threshold: float, overlap: float):
     return run
 
 
-def build_shards(items: DataFrame, shard_pieces: int = SHARD_PIECES) -> Iterator[Index]:
+def build_shards(items: DataFrame, shard_pieces: int = SHARD_PIECES, overlap: float = OVERLAP) -> Iterator[Index]:
     """Index shards of a bounded number of pieces, streamed one after the other."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     shard: list[tuple[int, str]] = []
     size = 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
-        pieces = 1 + len(T.split_words(row["text"])) // PIECE_WORDS
+        pieces = 3 + len(T.split_words(row["text"])) // (PIECE_WORDS // 2)
         if shard and size + pieces > shard_pieces:
-            yield Index(shard)
+            yield Index(shard, overlap)
             shard, size = [], 0
         shard.append((row["item_id"], row["text"]))
         size += pieces
     if shard:
-        yield Index(shard)
+        yield Index(shard, overlap)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every confirmed pair."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = spark.createDataFrame([], _HITS)
-    for index in build_shards(items):
-        out = out.unionByName(rows.mapInArrow(_hits(spark.sparkContext.broadcast(index), threshold, overlap), _HITS))
+    for index in build_shards(items, overlap=overlap):
+        out = out.unionByName(rows.mapInArrow(_hits(spark.sparkContext.broadcast(index), overlap), _HITS))
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP) -> DataFrame:
     """``docs`` without the rows that hold a test item; all columns.  Decided row by row, without a join."""
     spark, out = docs.sparkSession, docs
     ship(spark)
-    for index in build_shards(items):
+    for index in build_shards(items, overlap=overlap):
         shared = spark.sparkContext.broadcast(index)
-        find = _hits(shared, threshold, overlap)
+        find = _hits(shared, overlap)
 
         def run(batches, find=find):
             for batch in batches:

@@ -3,9 +3,11 @@
 1. Index.  A test item's question, its answer, and pieces of at most
    ``PIECE_WORDS`` words that overlap and cover all of it are the documents of
    a small BM25 index.  A posting weighs ``idf * tf part`` over the piece's own
-   total, so a piece's score against itself is 1.  Pieces are dealt to index shards of
-   about ``SHARD_PIECES`` pieces (a fixed size), so the index may grow with the
-   benchmark.  Inside a shard, pieces are ordered by their words and grouped into
+   total, so a piece's score against itself is 1.  Terms and lengths are counted
+   over the whole benchmark, so a score does not depend on the shards.  Items
+   are dealt to index shards of about ``SHARD_PIECES`` pieces (a fixed size), which
+   are built in tasks and searched ``PASS_SHARDS`` per pass over the documents, so
+   the index may grow with the benchmark.  Inside a shard, pieces are ordered by their words and grouped into
    blocks of ``BLOCK_PIECES``; per term and block the greatest weight is kept.
 2. Retrieval.  A text's words, each term once, are scored against questions and
    answers.  A side is retrieved at its own least score: the least weight that
@@ -32,20 +34,24 @@ either side gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm import _tokens as T
-from inkwell.llm._scratch import ship
+from inkwell.llm._scratch import materialize, ship
 
 PIECE_WORDS = 32
 STEP_WORDS = 32
 SHARD_PIECES = 512
+# Shards that one pass over the documents searches.
+PASS_SHARDS = 4
 BLOCK_PIECES = 8
 QUESTION_NGRAM, ANSWER_NGRAM = 5, 3
 OVERLAP = 0.5
@@ -97,6 +103,11 @@ def pieces_of(words: np.ndarray) -> list[np.ndarray]:
     return [words[i:i + PIECE_WORDS] for i in [*range(0, last, PIECE_WORDS // 2), last]]
 
 
+def item_pieces(cache: WordForms, text: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(question and answer, pieces that cover the item): the documents of the index."""
+    return [cache.words(s) for s in question_and_answer(text)], pieces_of(cache.words(text))
+
+
 def least_share(grams_of: np.ndarray, terms: np.ndarray, weights: np.ndarray, overlap: float) -> float:
     """The least weight of the words of any ``overlap`` of a side's n-grams (rows of words).
 
@@ -113,28 +124,28 @@ def least_share(grams_of: np.ndarray, terms: np.ndarray, weights: np.ndarray, ov
 class Index:
     """One shard of the inverted index, as arrays."""
 
-    def __init__(self, items: list[tuple[int, str]], overlap: float = OVERLAP):
+    def __init__(self, items: list[tuple[int, str]], df_of: dict[int, int], n_pieces: int, mean: float, overlap: float = OVERLAP):
+        """``df_of`` (term -> pieces that hold it), ``n_pieces`` and their mean length are those of the whole benchmark."""
         cache = WordForms()
         self.items: list[tuple[int, list[np.ndarray], list[int]]] = []
         # (sorted words, item, words, rows of n-grams; None for a piece that is only scored)
         pieces: list[tuple[tuple, int, np.ndarray, np.ndarray | None]] = []
         for number, (item, text) in enumerate(items):
-            sides = [cache.words(s) for s in question_and_answer(text)]
+            sides, parts = item_pieces(cache, text)
             widths = [min(n, len(s)) for s, n in zip(sides, (QUESTION_NGRAM, ANSWER_NGRAM), strict=True)]
             self.items.append((item, [grams(s, w) for s, w in zip(sides, widths, strict=True)], widths))
             for side, width in zip(sides, widths, strict=True):
                 if width:
                     rows = np.unique(np.lib.stride_tricks.sliding_window_view(side, width), axis=0)
                     pieces.append((tuple(sorted(side.tolist())), number, side, rows))
-            pieces += [(tuple(sorted(p.tolist())), number, p, None) for p in pieces_of(cache.words(text))]
+            pieces += [(tuple(sorted(p.tolist())), number, p, None) for p in parts]
         pieces.sort(key=lambda p: p[:2])             # similar pieces share blocks
         self.piece_item = np.array([p[1] for p in pieces], np.int64)
         self.terms = np.unique(np.concatenate([p[2] for p in pieces])) if pieces else np.zeros(0, np.uint64)
         self.weights = np.zeros((len(self.terms) + 1, len(pieces)), np.float32)   # last row: a word outside the index
         counted = [(np.searchsorted(self.terms, t), n) for t, n in (np.unique(p[2], return_counts=True) for p in pieces)]
-        df = np.bincount(np.concatenate([t for t, _ in counted]), minlength=len(self.terms)) if pieces else np.zeros(0)
-        idf = np.log(1 + (len(pieces) - df + 0.5) / (df + 0.5))
-        mean = np.mean([len(p[2]) for p in pieces]) if pieces else 1.0
+        df = np.array([df_of[t] for t in self.terms.tolist()], np.float64)
+        idf = np.log(1 + (n_pieces - df + 0.5) / (df + 0.5))
         # the least score by which a piece is retrieved; a piece without one only scores
         self.least = np.full(len(pieces), np.inf, np.float32)
         for j, ((term, tf), piece) in enumerate(zip(counted, pieces, strict=True)):
@@ -193,13 +204,13 @@ class Index:
 
 def _hits(index, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, shard = WordForms(), index.value
+        cache = WordForms()
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = cache.words(text)
                 have: dict[int, np.ndarray] = {}
-                for number in shard.candidates(words):
+                for shard, number in ((x, n) for x in index.value for n in x.candidates(words)):
                     item, sides, widths = shard.items[number]
                     shares = []
                     for side, width in zip(sides, widths, strict=True):
@@ -216,20 +227,62 @@ def _hits(index, overlap: float):
     return run
 
 
-def build_shards(items: DataFrame, shard_pieces: int = SHARD_PIECES, overlap: float = OVERLAP) -> Iterator[Index]:
-    """Index shards of a bounded number of pieces, streamed one after the other."""
+def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per term the number of pieces that hold it; in the row without a term the pieces and their words."""
+    cache = WordForms()
+    for batch in batches:
+        pieces = [p for text in batch.column("text").to_pylist() for part in item_pieces(cache, text) for p in part if len(p)]
+        if not pieces:
+            continue
+        terms, n = np.unique(np.concatenate([np.unique(p) for p in pieces]), return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *terms.view(np.int64).tolist()], pa.int64()), pa.array([len(pieces), *n.tolist()], pa.int64()),
+             pa.array([sum(map(len, pieces)), *[0] * len(n)], pa.int64())], names=["term", "n", "words"])
+
+
+def _terms_by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cache = WordForms()
+    for batch in batches:
+        for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            terms = np.unique(np.concatenate([p for part in item_pieces(cache, text) for p in part]))
+            yield pa.RecordBatch.from_arrays([pa.array([shard] * len(terms), pa.int32()), pa.array(terms.view(np.int64))],
+                                             names=["shard", "term"])
+
+
+def _built(n_pieces: int, mean: float, overlap: float):
+    def run(items, df):
+        df_of = dict(zip(df["term"].to_numpy(np.int64).view(np.uint64).tolist(), df["n"].tolist(), strict=True))
+        # ids travel as strings, because pandas makes floats of numbers beside a NULL
+        numbered = [(None if i is None else int(i), t) for i, t in zip(items["item_id"], items["text"], strict=True)]
+        index = Index(sorted(numbered, key=str), df_of, n_pieces, mean, overlap)
+        return pd.DataFrame({"shard": items["shard"].iloc[:1], "index": [pickle.dumps(index)]})
+    return run
+
+
+def build_shards(items: DataFrame, shard_pieces: int = SHARD_PIECES, overlap: float = OVERLAP) -> Iterator[list[Index]]:
+    """Index shards of a bounded number of pieces, ``PASS_SHARDS`` at a time.
+
+    Terms are counted over all items, and the shards are built in tasks and written;
+    only those of one pass are in the driver, which hands them on.
+    """
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    shard: list[tuple[int, str]] = []
-    size = 0
-    for row in rows.orderBy("item_id", "text").toLocalIterator():
-        pieces = 3 + len(T.split_words(row["text"])) // (PIECE_WORDS // 2)
-        if shard and size + pieces > shard_pieces:
-            yield Index(shard, overlap)
-            shard, size = [], 0
-        shard.append((row["item_id"], row["text"]))
-        size += pieces
-    if shard:
-        yield Index(shard, overlap)
+    counts = materialize(rows.select("text").mapInArrow(_statistics, "term long, n long, words long")
+                         .groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "piece-terms")
+    size = counts.filter("term is null").first()
+    if size is None:
+        return
+    n_shards = -(-size["n"] // shard_pieces)
+    # equal items are dealt apart, too; written, so that the numbers stay
+    dealt = materialize(rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "text", F.monotonically_increasing_id()), F.lit(n_shards))
+                                        .cast("int")), "items")
+    known = (dealt.select("shard", "text").mapInArrow(_terms_by_shard, "shard int, term long").distinct()
+             .join(counts.filter("term is not null").select("term", "n"), "term"))
+    shards = materialize(dealt.withColumn("item_id", F.col("item_id").cast("string")).groupBy("shard").cogroup(known.groupBy("shard"))
+                         .applyInPandas(_built(size["n"], size["words"] / size["n"], overlap), "shard int, index binary"), "shards")
+    for start in range(0, n_shards, PASS_SHARDS):
+        found = shards.filter(F.col("shard").between(start, start + PASS_SHARDS - 1)).orderBy("shard").select("index").collect()
+        if found:
+            yield [pickle.loads(r["index"]) for r in found]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP) -> DataFrame:
@@ -238,8 +291,8 @@ def contaminated(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP) ->
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = spark.createDataFrame([], _HITS)
-    for index in build_shards(items, overlap=overlap):
-        out = out.unionByName(rows.mapInArrow(_hits(spark.sparkContext.broadcast(index), overlap), _HITS))
+    for shards in build_shards(items, overlap=overlap):
+        out = out.unionByName(rows.mapInArrow(_hits(spark.sparkContext.broadcast(shards), overlap), _HITS))
     return out
 
 
@@ -247,8 +300,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, overlap: float = OVERLA
     """``docs`` without the rows that hold a test item; all columns.  Decided row by row, without a join."""
     spark, out = docs.sparkSession, docs
     ship(spark)
-    for index in build_shards(items, overlap=overlap):
-        shared = spark.sparkContext.broadcast(index)
+    for shards in build_shards(items, overlap=overlap):
+        shared = spark.sparkContext.broadcast(shards)
         find = _hits(shared, overlap)
 
         def run(batches, find=find):

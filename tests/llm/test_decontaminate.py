@@ -57,3 +57,18 @@ def test_pieces_cover_every_word():
         words = np.arange(n, dtype=np.uint64)
         pieces = D.pieces_of(words)
         assert set(np.concatenate(pieces).tolist()) == set(range(n)) and max(map(len, pieces)) <= D.PIECE_WORDS
+
+
+def test_scores_do_not_depend_on_the_shards(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()][:30]
+    items += [(-1, items[0][1]), (-2, "..."), (-3, ""), (None, items[1][1]), (2 ** 53 + 1, items[2][1])]
+    docs = spark.createDataFrame(cases(items[:10]), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = None
+    for pieces in (40, 1000):
+        shards = [x for some in D.build_shards(bench, pieces) for x in some]
+        assert (len(shards) > 1) == (pieces < 1000) and sum(len(x.items) for x in shards) == len(items)
+        got = [r for x in shards for r in docs.mapInArrow(D._hits(spark.sparkContext.broadcast([x]), D.OVERLAP), D._HITS).collect()]
+        got = sorted(((r.doc_id, r.item_id, round(r.score, 5)) for r in got), key=str)
+        assert {None, -1, 2 ** 53 + 1} <= {i for _, i, _ in got} and got == (want := want or got)
+    assert all(len(some) <= D.PASS_SHARDS for some in D.build_shards(bench, 40))

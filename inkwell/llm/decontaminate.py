@@ -121,6 +121,14 @@ def least_share(grams_of: np.ndarray, terms: np.ndarray, weights: np.ndarray, ov
     return float(price[:int(np.ceil(overlap * len(price) - 1e-9))].sum())
 
 
+def share_in(side: np.ndarray, windows: np.ndarray) -> float:
+    """The share of the n-grams of a side (ascending) among those of a text."""
+    at = np.searchsorted(side, windows)
+    seen = np.zeros(len(side) + 1, bool)
+    seen[at[side[np.minimum(at, len(side) - 1)] == windows]] = True
+    return float(seen[:-1].mean())
+
+
 class Index:
     """One shard of the inverted index, as arrays."""
 
@@ -170,8 +178,9 @@ class Index:
         """The items of whose sides a text holds weight enough to pass: no passing item is missed."""
         if not len(words) or not len(self.terms):
             return []
-        term = np.unique(self.places(words))
-        term = term[term < len(self.terms)]
+        there = np.zeros(len(self.terms) + 1, bool)
+        there[self.places(words)] = True
+        term = np.flatnonzero(there[:-1])
         # the WAND test, then the sums of block maxima; pieces of the blocks that remain exactly
         if not len(term) or self.term_max[term].sum(dtype=np.float64) < self.least.min():
             return []
@@ -215,9 +224,11 @@ def _hits(index, overlap: float):
                     shares = []
                     for side, width in zip(sides, widths, strict=True):
                         if width and width not in have:
-                            have[width] = np.unique(T.Rolling(words).windows(width))
-                        shares.append(float(np.isin(side, have[width], assume_unique=True).mean()) if width else 1.0)
-                    if min(shares) >= overlap:
+                            have[width] = T.Rolling(words).windows(width)
+                        shares.append(share_in(side, have[width]) if width else 1.0)
+                        if shares[-1] < overlap:
+                            break
+                    else:
                         out.append((doc, item, shard.score(words, number), *shares))
             if out:
                 yield pa.RecordBatch.from_arrays(

@@ -35,8 +35,9 @@ Edge cases: NULL and blank texts have no words, take the priors as posterior
 and bring nothing to any domain, and keep rate 1; a domain without labelled
 rows has posterior 0; a target for an unknown domain is an error; targets are
 normalised; repeated rows have equal rates (and one hash, hence equal copies);
-rows with a NULL id draw from the hash of NULL; empty tables give an empty
-result; extra columns are kept by ``mix_documents`` unless they bear the name
+rows with a NULL id draw from the hash of NULL; an empty documents table gives an
+empty result; where no labelled row meets a document, all have the targets as
+posterior and rate 1; extra columns are kept by ``mix_documents`` unless they bear the name
 of an added one; where no word counts for ``keep`` (it has no labelled row), its
 share has no meaning and all documents stay.
 """
@@ -88,9 +89,12 @@ def label_domain(labels: DataFrame) -> DataFrame:
                          .when(F.col("quality") == 1, "clean").alias("domain"))
 
 
-def train(docs: DataFrame, labelled: DataFrame, domains: list[str], rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[float], list]:
-    """A one-row model (per domain an array of log odds by slot), the log priors, and the calibration table."""
-    spark = docs.sparkSession
+def train(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[float], list]:
+    """A one-row model (per domain an array of log odds by slot), the log priors, and the calibration table.
+
+    Where no labelled row meets a document, the targets are the priors.
+    """
+    spark, domains = docs.sparkSession, list(targets)
     sample = (labelled.select("doc_id", "domain").filter(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()).distinct()
               .withColumn("turn", F.xxhash64("doc_id", F.lit(11))).orderBy("turn", "doc_id", "domain").limit(rows)
               .select("doc_id", "domain"))
@@ -119,9 +123,8 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], rows: int =
 
     lists = grid.agg(F.array_sort(F.collect_list(F.struct("slot", *[odds(k).alias(f"r{k}") for k in range(len(domains))]))).alias("m"))
     model = materialize(lists.select(*[F.col("m")[f"r{k}"].alias(f"r{k}") for k in range(len(domains))]), "model")
-    priors = [float(np.log(size[d] / total)) if size.get(d) else float("-inf") for d in domains]
-    if not total:
-        raise ValueError("no labelled rows in any domain")
+    known = {d: size.get(d, 0) / total if total else w / sum(targets.values()) for d, w in targets.items()}
+    priors = [float(np.log(p)) if p else float("-inf") for p in known.values()]
     seen = (_ranked(drawn, model, priors).groupBy("_first", "_margin", "domain").agg(F.count("*").alias("n")).collect())
     table = [[[float(np.exp(p)) for p in priors] for _ in range(len(MARGINS) + 1)] for _ in domains]
     for row in seen:                        # at most domains * margins * domains rows
@@ -216,10 +219,9 @@ def copies(rate: Column, doc_id: Column, nearest: bool = False) -> Column:
 
 
 def _classified(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    domains = list(targets)
-    if not domains or min(targets.values()) < 0 or not sum(targets.values()):
+    if not targets or min(targets.values()) < 0 or not sum(targets.values()):
         raise ValueError("targets must be nonnegative with a positive sum")
-    return classify(docs, *train(docs, labelled, domains)).withColumn("load", F.transform("posterior", lambda p: p * F.col("n_words")))
+    return classify(docs, *train(docs, labelled, targets)).withColumn("load", F.transform("posterior", lambda p: p * F.col("n_words")))
 
 
 def _sums(rows: DataFrame, n: int) -> list[float]:

@@ -58,3 +58,14 @@ def test_upper_shares_of_three_domains(spark):
     held = sum(np.array(p) * n for i, n, p in rows if max(p) == p[0])
     assert reached[1] / reached[0] <= max(0.15 / 0.8, held[1] / held[0]) + 2e-3
     assert reached[2] / reached[0] <= 0.05 / 0.8 + 2e-3
+
+
+def test_empty_tables(spark):
+    rows = corpus(spark, 0.1, 50)
+    labels, targets = rows.select("doc_id", "domain"), {"clean": 0.75, "toxic": 0.25}
+    out = mixing.mixing_rates(rows, labels.limit(0), targets).collect()
+    assert len(out) == 50 and {(r.rate, r.copies) for r in out} == {(1.0, 1)}
+    assert all(abs(r.p_clean - 0.75) < 1e-9 and abs(r.p_toxic - 0.25) < 1e-9 for r in out)
+    assert mixing.mixing_rates(rows.limit(0), labels, targets).count() == 0
+    assert mixing.mix_documents(rows, labels.limit(0), targets, keep="clean").count() == 50
+    assert mixing.mix_documents(rows.limit(0), labels, targets, keep="clean").count() == 0

@@ -1,4 +1,4 @@
-"""The ten operators bound to the driver tables, with the columns each query promises."""
+"""The operators bound to the driver tables, with the columns each query promises."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (chat_format, decontaminate, html_extract, mixing, near_dedup, quality, secrets, sharding,
+from inkwell.llm import (chat_format, decontaminate, filter_audit, html_extract, mixing, near_dedup, quality, secrets, sharding,
                          simhash, substring_dedup)
 
 MIX_TARGETS = {"clean": 0.80, "toxic": 0.05, "junk": 0.15}
@@ -71,6 +71,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=CONTRACT_SHINGLE_WORDS)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interaction(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_domain_mixing, op4_sampled_splitters,
                                     op5_secret_scan, op6_html_extract, op7_chat_format, op8_decontaminate, op9_simhash,
-                                    op10_near_dedup, pipeline)}
+                                    op10_near_dedup, op13_filter_audit, pipeline)}
 
 
 #: DuckDB SQL where SQL can express the query on whole tables in reasonable time.
@@ -101,6 +105,40 @@ SELECT conv_id, count(*) AS n_turns,
                         + CASE WHEN after IS NOT DISTINCT FROM role THEN 0 ELSE 11 END)::BIGINT AS formatted_chars,
        coalesce(sum(length(body)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS masked_chars
 FROM e GROUP BY conv_id""",
+    "op13_filter_audit": r"""
+WITH w AS (
+  SELECT d.doc_id, coalesce(d.lang, '') AS part, coalesce(d.text, '') AS text,
+         regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(d.doc_id) OVER (PARTITION BY coalesce(d.text, '')) AS first_id
+  FROM documents d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > first_id, false)::INT AS mask
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(f, bit)),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+        AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, bit,
+         sum(n) FILTER (WHERE mask & (bit | before) = 0) AS kept,
+         sum(n) FILTER (WHERE mask & bit <> 0 AND mask & before = 0) AS removed,
+         sum(n) FILTER (WHERE mask & bit <> 0 AND mask & before <> 0) AS redundant,
+         sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+         sum(good) FILTER (WHERE mask & bit <> 0 AND mask & before = 0) AS good_lost,
+         sum(toxic) FILTER (WHERE mask & bit <> 0 AND mask & before = 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM r""",
 }
 
 

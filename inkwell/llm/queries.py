@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (chat_format, decontaminate, filter_audit, html_extract, mixing, near_dedup, quality, secrets, sharding,
+from inkwell.llm import (chat_format, collocations, decontaminate, filter_audit, html_extract, mixing, near_dedup, quality, secrets, sharding,
                          simhash, substring_dedup, topk)
 
 MIX_TARGETS = {"clean": 0.80, "toxic": 0.05, "junk": 0.15}
@@ -76,6 +76,10 @@ def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TOP_K)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_interaction(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -89,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_domain_mixing, op4_sampled_splitters,
                                     op5_secret_scan, op6_html_extract, op7_chat_format, op8_decontaminate, op9_simhash,
-                                    op10_near_dedup, op11_exact_topk, op13_filter_audit, pipeline)}
+                                    op10_near_dedup, op11_exact_topk, op12_collocations, op13_filter_audit, pipeline)}
 
 
 #: DuckDB SQL where SQL can express the query on whole tables in reasonable time.
@@ -118,6 +122,34 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5""",
+    "op12_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+q AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM q), (SELECT unnest(range(1, 6)) AS m)
+  WHERE i + m - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT * FROM g WHERE f >= 100),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+scored AS (
+  SELECT c.lang, c.phrase, c.m, c.a, c.k, x.f AS l, y.f AS r, n.n::BIGINT AS n,
+         (1000::HUGEINT * c.a::HUGEINT * n.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ') JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longest
+  FROM (SELECT lang, w, m, a, s, unnest(range(1, m - s + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS s) WHERE s < m)
+  GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+         WHERE i.longest IS NULL OR 100 * i.longest < 100 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
     "op13_filter_audit": r"""
 WITH w AS (
   SELECT d.doc_id, coalesce(d.lang, '') AS part, coalesce(d.text, '') AS text,

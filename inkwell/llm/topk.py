@@ -29,7 +29,7 @@ part; a shorter vector counts as padded with zeros, an empty one as zero.  Rows
 whose id is NULL take no part.  A query's own rows are those of its id; a repeated
 query row is one query, other rows count each.  Ties go to the smaller id.  Fewer
 than k candidates give fewer rows.  A product beyond 64 bits is ranked by its value
-(up to 38 digits) and returned as the nearest long.  An empty table gives an empty result.
+and returned as the nearest long.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,8 +55,8 @@ GATHER_COST = 8.0
 SLACK = 1e-9
 EXACT = 2.0 ** 53
 LONG = 2 ** 63 - 1
-WIDE = 10 ** 38 - 1
 
+_NINES = str.maketrans("0123456789", "9876543210")
 _PACKED = "pack long, n int, dim int, longest double, ids binary, vectors binary"
 _BLOCK = "pack long, n int, dim int, least double, ids binary, vectors binary, floors binary"
 _FOUND = "query_id long, query long, vec_id long, exact string, score long"
@@ -130,6 +130,13 @@ def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return whole[0] @ whole[1].T if queries.shape[1] else np.zeros((len(queries), len(vectors)), object)
 
 
+def sortable(x: int) -> str:
+    """A string that sorts as the whole number does, whatever its size."""
+    digits = str(abs(x))
+    key = f"{len(digits):04d}{digits}"
+    return "1" + key if x >= 0 else "0" + key.translate(_NINES)
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best scores, ties to the smaller id."""
     places = np.arange(len(ids))
@@ -275,7 +282,7 @@ def _search_pairs(k: int):
                     found += [(int(ids[i]), query, int(bucket.ids[p]), int(s)) for p, s in zip(places, products, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f[c] for f in found], pa.int64()) for c in range(3)]
-                    + [pa.array([str(max(-WIDE, min(WIDE, f[3]))) for f in found], pa.string()),
+                    + [pa.array([sortable(f[3]) for f in found], pa.string()),
                        pa.array([max(-LONG - 1, min(LONG, f[3])) for f in found], pa.int64())],
                     names=["query_id", "query", "vec_id", "exact", "score"])
     return run
@@ -309,9 +316,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int, scale: int = 256,
     found = (pairs.join(every_deal(blocks.select(F.col("pack").alias("block"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"),
                                                  F.col("vectors").alias("q_vectors"), "floors")), ["block", "deal"])
              .drop("block", "deal").join(buckets.drop("longest"), "pack").drop("pack").mapInArrow(_search_pairs(k), _FOUND))
-    best = found.withColumn("exact", F.col("exact").cast("decimal(38,0)"))
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("exact"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 

@@ -19,8 +19,7 @@ def brute(rows, every, k):
             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out, queries = [], {(i, tuple(v)) for i, v in fine if i % every == 0}
     for q, v in queries:
-        scored = sorted((-max(-topk.WIDE, min(topk.WIDE, sum(a * b for a, b in zip(v, w, strict=False)))), i)
-                        for i, w in fine if i != q)[:k]
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in fine if i != q)[:k]
         out += [(q, r + 1, i, max(-2 ** 63, min(2 ** 63 - 1, -s))) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 

@@ -6,16 +6,16 @@ five at most.  Counting goes by levels:
 
 1. Words are counted per language (map-side, then one aggregate): the count n of
    all words, and which words reach ``MIN_COUNT``.
-2. Suffixes cut to two words, both of them frequent, are routed and counted; then
-   suffixes of up to five words, each cut where two neighbours are no frequent pair
-   (no frequent phrase crosses such a place).  Frequent words and pairs travel as a
-   bit table of ``SLOTS`` hashed slots, a fixed size; a slot shared with something
-   rare only lets a suffix through that the count then refuses.
+2. Pairs of frequent words are counted by hash (44 bits, a few bytes a pair and map
+   task).  Suffixes of up to five words are cut where two neighbours are no frequent
+   pair: no frequent phrase crosses such a place.  Frequent words and pairs travel as
+   bit tables of hashed slots, of a fixed size.  A hash shared with something rare
+   only lets a suffix through that the exact count of step 4 then refuses.
 3. Routing is global: equal leading words meet in one task.  Before, each map task
    sends one row per distinct suffix with its number, so a passage that a third of
-   the documents share travels once per task.  A route is the leading pair, or three
-   words for longer suffixes: the words behind them are bounded by the frequent
-   phrases and by the maximum depth, so no route grows with the text.
+   the documents share travels once per task.  A pair is a route, and so are three leading words
+   of longer suffixes: the words behind them are bounded by the frequent
+   pairs and by the maximum depth, so no route grows with the text.
 4. In a task, suffix pointers are sorted by multikey three-way quicksort: partition
    by the word at the current depth into less, equal and greater, go one word deeper
    in the equal part, down to the maximum depth.  The size of an equal part is the
@@ -51,9 +51,13 @@ from inkwell.llm._scratch import materialize, ship
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-SLOTS = 1 << 24
-# Bytes of the bit table that one row of its aggregation holds.
+# The bit tables of frequent words and pairs have 2 ** WORD_BITS and 2 ** PAIR_BITS slots: 2 and 16 MB.
+WORD_BITS, PAIR_BITS = 24, 27
+# Bytes of a bit table that one row of its aggregation holds.
 CHUNK = 8192
+# Pairs are first counted by 44 bits of their hash, dealt into 2 ** BUCKET_BITS buckets.
+BUCKET_BITS, REST_BITS = 14, 30
+HELD_PAIRS = 4_000_000
 RUN_ROWS = 1 << 20
 # Rows that a map task holds before it sends them.
 HELD_ROWS = 400_000
@@ -121,57 +125,139 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from [flush(x) for x in list(held)]
 
 
-def slot(lang: str, phrase: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(phrase, xxhash.xxh32_intdigest(lang.encode())) & (SLOTS - 1)
+def _seed(lang: str) -> int:
+    return xxhash.xxh32_intdigest(T.encode(lang))
 
 
-def bit_table(frequent: DataFrame) -> bytes:
-    """One bit per slot that a row (lang, phrase) falls into: SLOTS / 8 bytes, whatever the table's size."""
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.unique(np.array([slot(lang, T.encode(p)) for lang, p in zip(
-                batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)], np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(found // (8 * CHUNK)), pa.array((found % (8 * CHUNK)).astype(np.int32))],
-                                             names=["chunk", "bit"])
+def word_hash(word: bytes, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(word, seed)
+
 
-    def bits(table: pa.Table) -> pa.Table:
+def bit_table(bits: DataFrame, slots: int) -> bytes:
+    """Rows ``slot`` -> one bit per slot that is listed: slots / 8 bytes, whatever the number of rows."""
+    def pack(table: pa.Table) -> pa.Table:
         flags = np.zeros(8 * CHUNK, np.uint8)
         flags[table.column("bit").to_numpy()] = 1
         return pa.table({"chunk": table.column("chunk").slice(0, 1), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
 
-    chunks = (frequent.select("lang", "phrase").mapInArrow(slots, "chunk long, bit int").distinct()
-              .groupBy("chunk").applyInArrow(bits, "chunk long, bits binary").collect())      # at most SLOTS / 8 bytes
-    table = bytearray(SLOTS // 8)
+    chunks = (bits.select(F.floor(F.col("slot") / (8 * CHUNK)).alias("chunk"), F.pmod("slot", F.lit(8 * CHUNK)).cast("int").alias("bit"))
+              .distinct().groupBy("chunk").applyInArrow(pack, "chunk long, bits binary").collect())      # at most slots / 8 bytes
+    table = bytearray(slots // 8)
     for row in chunks:
         table[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = row["bits"]
     return bytes(table)
 
 
-class Flags:
-    """Which numbered things fall into a set slot, asked once per thing."""
+def _word_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        langs, words = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([word_hash(T.encode(w), _seed(lang)) >> (64 - WORD_BITS)
+                                                    for lang, w in zip(langs, words, strict=True)], pa.int64())], names=["slot"])
 
-    def __init__(self, table: bytes, lang: str):
-        self.table, self.lang = np.unpackbits(np.frombuffer(table, np.uint8)), lang
 
-    def of(self, phrases: list[bytes]) -> np.ndarray:
-        return self.table[np.array([slot(self.lang, p) for p in phrases], np.int64)] if phrases else np.zeros(0, np.uint8)
+def _set(table: bytes, slots: np.ndarray) -> np.ndarray:
+    """The bits of the slots."""
+    return (np.frombuffer(table, np.uint8)[slots >> T.U64(3)] >> (T.U64(7) - (slots & T.U64(7))).astype(np.uint8)) & 1 == 1
 
 
 class _Language:
-    """A language's words in a worker, which of them are frequent, and which pairs."""
+    """A language's words in a worker, their hashes, and which are frequent."""
 
-    def __init__(self, lang: str, word_table: bytes, pair_table: bytes | None):
-        self.words = Words()
-        self.word_flags = Flags(word_table, lang)
-        self.pair_flags = Flags(pair_table, lang) if pair_table else None
-        self.known = np.zeros(1, bool)
+    def __init__(self, lang: str, word_table: bytes):
+        self.words, self.seed, self.table = Words(), _seed(lang), word_table
+        self.hashes, self.frequent = np.zeros(1, np.uint64), np.zeros(1, bool)
 
-    def frequent(self) -> np.ndarray:
-        """Flag per word number."""
-        new = self.words.names[len(self.known):]
+    def numbers(self, texts: list[str | None]) -> np.ndarray:
+        numbers = word_numbers(self.words, texts)
+        new = self.words.names[len(self.hashes):]
         if new:
-            self.known = np.concatenate([self.known, self.word_flags.of(new).astype(bool)])
-        return self.known
+            hashes = np.array([word_hash(w, self.seed) for w in new], np.uint64)
+            self.hashes = np.concatenate([self.hashes, hashes])
+            self.frequent = np.concatenate([self.frequent, _set(self.table, hashes >> T.U64(64 - WORD_BITS))])
+        return numbers
+
+    def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places with a frequent word before a frequent word, hashes of those pairs)"""
+        ok = self.frequent[numbers]
+        starts = np.nonzero(ok[:-1] & ok[1:])[0]
+        return starts, T.mix(self.hashes[numbers[starts]] * T.U64(T.M1) + self.hashes[numbers[starts + 1]])
+
+
+class _Languages(dict):
+    def __init__(self, word_table: bytes):
+        super().__init__()
+        self.table = word_table
+
+    def of(self, lang: str) -> _Language:
+        if sum(len(x.words) for x in self.values()) > T.CACHE_WORDS:
+            self.clear()
+        if lang not in self:
+            self[lang] = _Language(lang, self.table)
+        return self[lang]
+
+
+def _count_hashes(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    return found, np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.int64)
+
+
+def _pair_hashes(word_table):
+    """Texts -> the hashes of their pairs of frequent words, dealt into buckets, with counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages = _Languages(word_table.value)
+        hashes: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            found, n = _count_hashes(hashes, counts)
+            bucket = (found >> T.U64(REST_BITS)).astype(np.int64)
+            first = np.nonzero(np.diff(bucket, prepend=-1))[0]
+            ends = np.append(first, len(found))[1:]
+            rest = (found & T.U64((1 << REST_BITS) - 1)).astype(np.uint32)
+            # from there on the number no longer matters
+            n = np.minimum(n, np.iinfo(np.uint16).max).astype(np.uint16)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[first]), pa.array([rest[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
+                 pa.array([n[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary())], names=["bucket", "rest", "n"])
+
+        for batch in batches:
+            for lang, texts in by_lang(batch):
+                language = languages.of(lang)
+                found, n = np.unique(language.pairs(language.numbers(texts))[1] >> T.U64(64 - BUCKET_BITS - REST_BITS),
+                                     return_counts=True)
+                hashes.append(found)
+                counts.append(n)
+                if sum(map(len, hashes)) > HELD_PAIRS:
+                    merged = _count_hashes(hashes, counts)
+                    hashes, counts = [merged[0]], [merged[1]]
+                    if len(merged[0]) > HELD_PAIRS // 2:
+                        yield flush()
+                        hashes, counts = [], []
+        if hashes:
+            yield flush()
+    return run
+
+
+def _frequent_hashes(min_count: int):
+    """Rows sorted by bucket -> slots of the pair hashes that reach the count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def slots(bucket: int, rest: list[bytes], n: list[bytes]) -> pa.RecordBatch:
+            found, total = _count_hashes([np.frombuffer(r, np.uint32) for r in rest], [np.frombuffer(c, np.uint16) for c in n])
+            key = (T.U64(bucket) << T.U64(REST_BITS)) | found[total >= min_count].astype(np.uint64)
+            return pa.RecordBatch.from_arrays([pa.array((key >> T.U64(BUCKET_BITS + REST_BITS - PAIR_BITS)).astype(np.int64))], names=["slot"])
+
+        now, rest, n = None, [], []
+        for batch in batches:
+            for bucket, r, c in zip(*(batch.column(x).to_pylist() for x in ("bucket", "rest", "n")), strict=True):
+                if bucket != now and rest:
+                    yield slots(now, rest, n)
+                    rest, n = [], []
+                now = bucket
+                rest.append(r)
+                n.append(c)
+        if rest:
+            yield slots(now, rest, n)
+    return run
 
 
 def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,56 +266,49 @@ def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, inverse, counts
 
 
-def local_suffixes(language: _Language, texts: list[str | None], depth: int) -> tuple[list[bytes], np.ndarray]:
-    """The distinct suffixes of 2 or, for a greater depth, of 3 to ``depth`` words, and how often each stands there."""
-    numbers = word_numbers(language.words, texts)
+def local_suffixes(language: _Language, texts: list[str | None], pair_table: bytes, depth: int) -> tuple[list[bytes], list[int]]:
+    """The distinct pairs, and the distinct suffixes of 3 to ``depth`` words, with how often each stands there."""
+    numbers = language.numbers(texts)
     names, size = language.words.names, len(language.words.names)
-    ok = language.frequent()[numbers]
-    good = ok[:-1] & ok[1:]                                # place i and i + 1 may be inside a phrase
-    starts = np.nonzero(good)[0]
+    starts, hashes = language.pairs(numbers)
+    starts = starts[_set(pair_table, hashes >> T.U64(64 - PAIR_BITS))]
     if not len(starts):
-        return [], np.zeros(0, np.int64)
-    codes = numbers[starts] * size + numbers[starts + 1]
-    first, classes, counts = _distinct(codes)
-    pairs = [names[a] + b" " + names[b] for a, b in zip(numbers[starts[first]].tolist(), numbers[starts[first] + 1].tolist(),
-                                                        strict=True)]
-    if depth == 2:
-        return pairs, counts
-    good[starts] = language.pair_flags.of(pairs).astype(bool)[classes]
-    length = np.zeros(len(numbers) + MAX_WORDS, np.int64)  # words of the suffix at each place, 0: none
-    run = np.concatenate([good, np.zeros(depth, bool)]).astype(np.int64)
-    chain = np.ones(len(good), np.int64)
+        return [], []
+    good = np.zeros(len(numbers) + depth, np.int64)        # place i and i + 1 may be inside a phrase
+    good[starts] = 1
+    length = np.ones(len(starts), np.int64)                # words of the suffix at each start
+    chain = np.ones(len(starts), np.int64)
     for step in range(depth - 1):
-        chain *= run[step:step + len(good)]
-        length[:len(good)] += chain
-    at = np.nonzero(length >= 2)[0]                        # two good pairs: three words
-    if not len(at):
-        return [], np.zeros(0, np.int64)
-    length = length[at] + 1
+        chain = chain * good[starts + step]
+        length += chain
+    phrases: list[bytes] = []
+    sizes: list[int] = []
     # class by class of one word more: exact, without a hash
-    code = numbers[at]
-    for step in range(1, depth):
-        word = np.where(length > step, numbers[np.minimum(at + step, len(numbers) - 1)], 0)
-        _, code, _ = _distinct(code * size + word)
-    first, _, counts = _distinct(code)
-    return [b" ".join([names[n] for n in numbers[p:p + k].tolist()])
-            for p, k in zip(at[first].tolist(), length[first].tolist(), strict=True)], counts
+    first, code, counts = _distinct(numbers[starts] * size + numbers[starts + 1])
+    pair_first, longest = starts[first], length > 2
+    phrases += [names[a] + b" " + names[b] for a, b in zip(numbers[pair_first].tolist(), numbers[pair_first + 1].tolist(), strict=True)]
+    sizes += counts.tolist()
+    at, code, length = starts[longest], code[longest], length[longest]
+    if depth > 2 and len(at):
+        for step in range(2, depth):
+            word = np.where(length > step, numbers[np.minimum(at + step, len(numbers) - 1)], 0)
+            first, code, counts = _distinct(code * size + word)
+        phrases += [b" ".join([names[n] for n in numbers[p:p + k].tolist()])
+                    for p, k in zip(at[first].tolist(), length[first].tolist(), strict=True)]
+        sizes += counts.tolist()
+    return phrases, sizes
 
 
 def _suffixes(word_table, pair_table, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages: dict[str, _Language] = {}
+        languages = _Languages(word_table.value)
         held: dict[str, dict[bytes, int]] = {}
 
         for batch in batches:
             for lang, texts in by_lang(batch):
-                if sum(len(x.words) for x in languages.values()) > T.CACHE_WORDS:
-                    languages.clear()
-                if lang not in languages:
-                    languages[lang] = _Language(lang, word_table.value, pair_table.value if pair_table else None)
-                phrases, counts = local_suffixes(languages[lang], texts, depth)
+                phrases, counts = local_suffixes(languages.of(lang), texts, pair_table.value, depth)
                 mine = held.setdefault(lang, {})
-                for p, n in zip(phrases, counts.tolist(), strict=True):
+                for p, n in zip(phrases, counts, strict=True):
                     mine[p] = mine.get(p, 0) + n
                 if sum(len(h) for h in held.values()) > HELD_ROWS:
                     yield from [_rows(x, list(h), list(h.values())) for x, h in held.items()]
@@ -269,8 +348,11 @@ def multikey_quicksort(keys: np.ndarray, sizes: np.ndarray, min_count: int) -> I
                 break
 
 
-def _count_routes(shortest: int, depth: int, min_count: int):
-    """Rows (lang, phrase, n, route) sorted by route -> phrases of ``shortest`` words and more with their counts."""
+def _count_routes(depth: int, min_count: int):
+    """Rows (lang, phrase, n, route) sorted by route -> phrases with their counts.
+
+    Pairs stand apart from longer suffixes: each counts all places of the pair.
+    """
     def count(runs: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         table = pa.Table.from_batches(runs).combine_chunks()
         words = pc.split_pattern(table.column("phrase"), " ").combine_chunks()
@@ -278,18 +360,19 @@ def _count_routes(shortest: int, depth: int, min_count: int):
         flat = words.flatten().dictionary_encode()
         langs = table.column("lang").combine_chunks().dictionary_encode()
         keys = np.zeros((len(table), depth + 1), np.int32)
-        keys[:, 0] = langs.indices.to_numpy() + 1
+        keys[:, 0] = 2 * langs.indices.to_numpy() + 2 + (lengths > 2)
         at = np.repeat(np.arange(len(table)), lengths)
         keys[at, 1 + np.arange(len(at)) - np.repeat(words.offsets.to_numpy()[:-1] - words.offsets.to_numpy()[0], lengths)] = \
             flat.indices.to_numpy() + 1
-        found = [f for f in multikey_quicksort(keys, table.column("n").to_numpy(), min_count) if f[1] > shortest]
+        found = [f for f in multikey_quicksort(keys, table.column("n").to_numpy(), min_count)
+                 if f[1] > 3 or (f[1] == 3 and lengths[f[0]] == 2)]
         if not found:
             return None
         names, phrases = flat.dictionary.to_pylist(), []
         for p, d, _ in found:
             phrases.append(" ".join(names[k - 1] for k in keys[p, 1:d].tolist()))
         return pa.RecordBatch.from_arrays(
-            [langs.dictionary.take(pa.array([keys[p, 0] - 1 for p, _, _ in found])), pa.array(phrases, pa.string()),
+            [langs.dictionary.take(pa.array([keys[p, 0] // 2 - 1 for p, _, _ in found])), pa.array(phrases, pa.string()),
              pa.array([n for _, _, n in found], pa.int64())], names=["lang", "phrase", "n"])
 
     def merged(runs: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
@@ -324,11 +407,11 @@ def _count_routes(shortest: int, depth: int, min_count: int):
     return run
 
 
-def routed_counts(suffixes: DataFrame, lead: int, shortest: int, depth: int, min_count: int) -> DataFrame:
-    """``lang, phrase, n`` of the frequent phrases of ``shortest`` to ``depth`` words; ``lead`` leading words route."""
-    route = F.xxhash64("lang", F.substring_index("phrase", " ", lead))
+def routed_counts(suffixes: DataFrame, depth: int, min_count: int) -> DataFrame:
+    """``lang, phrase, n`` of the frequent phrases of 2 to ``depth`` words; up to three leading words route."""
+    route = F.xxhash64("lang", F.substring_index("phrase", " ", 3))
     routed = suffixes.withColumn("route", route).repartition("route").sortWithinPartitions("route")
-    return routed.mapInArrow(_count_routes(shortest, depth, min_count), _COUNTED)
+    return routed.mapInArrow(_count_routes(depth, min_count), _COUNTED)
 
 
 def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -338,13 +421,13 @@ def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, max_words: i
     docs = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     words = materialize(docs.mapInArrow(_count_words, _COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
     frequent = words.filter(F.col("n") >= min_count)
-    word_table = spark.sparkContext.broadcast(bit_table(frequent))
-    pairs = materialize(routed_counts(docs.mapInArrow(_suffixes(word_table, None, 2), _COUNTED), 2, 2, 2, min_count), "pairs")
-    found = frequent.unionByName(pairs)
-    if max_words > 2:
-        pair_table = spark.sparkContext.broadcast(bit_table(pairs))
-        longer = docs.mapInArrow(_suffixes(word_table, pair_table, max_words), _COUNTED)
-        found = found.unionByName(routed_counts(longer, 3, 3, max_words, min_count))
+    words_seen = frequent.select("lang", "phrase").mapInArrow(_word_slots, "slot long")
+    word_table = spark.sparkContext.broadcast(bit_table(words_seen, 1 << WORD_BITS))
+    hashed = docs.mapInArrow(_pair_hashes(word_table), "bucket long, rest binary, n binary")
+    pairs_seen = hashed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_frequent_hashes(min_count), "slot long")
+    pair_table = spark.sparkContext.broadcast(bit_table(pairs_seen, 1 << PAIR_BITS))
+    suffixes = docs.mapInArrow(_suffixes(word_table, pair_table, max_words), _COUNTED)
+    found = frequent.unionByName(routed_counts(suffixes, max_words, min_count))
     return materialize(found, "phrases"), words.groupBy("lang").agg(F.sum("n").alias("n"))
 
 

@@ -32,6 +32,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,20 +98,28 @@ def likeness(a: int, b: int) -> float:
 
 
 def fingerprints(docs: DataFrame, idf, cuts: list[int] | None = None) -> DataFrame:
-    """``doc_id, text, fp, part``: the fingerprint and the number of ``cuts`` below the id (-1: no id)."""
+    """``doc_id, tie, packed, fp, part``: the text compressed (all of them travel to their neighbours), its
+    fingerprint and the number of ``cuts`` below the id (-1: no id).  ``docs``: doc_id, text, tie.
+    """
     ship(docs.sparkSession)
     edges = np.array(cuts or [], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = T.WordHashes()
+        cache, pack = T.WordHashes(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            fps = [fingerprint(cache, t, idf.value) for t in batch.column("text").to_pylist()]
-            parts = [-1 if d is None else int(np.searchsorted(edges, d)) for d in batch.column("doc_id").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            fps = [fingerprint(cache, t, idf.value) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(np.array(fps, np.uint64).view(np.int64)),
-                 pa.array(parts, pa.int32())],
-                names=["doc_id", "text", "fp", "part"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, fp long, part int")
+                [batch.column("doc_id"), batch.column("tie"), pa.array([pack.compress(T.encode(t)) for t in texts], pa.binary()),
+                 pa.array(np.array(fps, np.uint64).view(np.int64)), range_numbers(batch.column("doc_id"), edges)],
+                names=["doc_id", "tie", "packed", "fp", "part"])
+    return docs.select("doc_id", "text", "tie").mapInArrow(run, "doc_id long, tie string, packed binary, fp long, part int")
+
+
+def range_numbers(ids: pa.Array, edges: np.ndarray) -> pa.Array:
+    """The number of edges below each id; -1 without one."""
+    numbers = np.searchsorted(edges, ids.fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int32)
+    return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), np.int32(-1), numbers))
 
 
 def block_keys(fp, radius: int = RADIUS):
@@ -142,7 +151,7 @@ def near_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def next_documents(docs: DataFrame, idf) -> DataFrame:
-    """``doc_id, text, fp`` of every document with ``next_text`` and ``next_fp`` of the one that follows.
+    """``doc_id, packed, fp`` of every document with ``next_packed`` and ``next_fp`` of the one that follows.
 
     The ids are cut into ranges at sampled quantiles and each range is a
     window of its own.  The last row of a range meets the first document of
@@ -151,24 +160,28 @@ def next_documents(docs: DataFrame, idf) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
     cuts = docs.agg(F.percentile_approx("doc_id", shares or [0.5], SAMPLES_PER_RANGE * parts).alias("c")).first()["c"]
+    # only rows that share their id need their text for the order
+    repeated = materialize(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")), "repeated-ids")
+    docs = (docs.join(repeated.withColumn("repeated", F.lit(True)), F.col("doc_id").eqNullSafe(F.col("again")), "left")
+            .select("doc_id", "text", F.when(F.col("repeated"), F.col("text")).alias("tie")))
     rows = fingerprints(docs, idf, sorted(set(cuts or [])))
 
     # the first id of each range, in the order of the ranges (one number per range)
     starts = [r["doc_id"] for r in _first_ids(docs, sorted(set(cuts or [])))]
     if not starts:
-        return rows.select("doc_id", "text", "fp", F.col("text").alias("next_text"), F.col("fp").alias("next_fp"))
+        return rows.select("doc_id", "packed", "fp", F.col("packed").alias("next_packed"), F.col("fp").alias("next_fp"))
     named = [x for x in starts if x is not None]
     chosen = F.col("doc_id").isin(named) if None not in starts else F.col("doc_id").isNull() | F.col("doc_id").isin(named)
     first = (fingerprints(docs.filter(chosen), idf, sorted(set(cuts or [])))
-             .groupBy("part").agg(F.min(F.struct("doc_id", "text", "fp")).alias("head")))
+             .groupBy("part").agg(F.min(F.struct("doc_id", "tie", "packed", "fp")).alias("head")))
     numbers = sorted(-1 if x is None else int(np.searchsorted(np.array(sorted(set(cuts or [])), np.int64), x)) for x in starts)
     before = F.create_map(*[F.lit(x) for pair in zip(numbers, [numbers[-1], *numbers[:-1]], strict=True) for x in pair])
-    heads = first.select(before[F.col("part")].alias("part"), "head.text", "head.fp").toDF("part", "head_text", "head_fp")
+    heads = first.select(before[F.col("part")].alias("part"), "head.packed", "head.fp").toDF("part", "head_packed", "head_fp")
 
-    order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), F.col("text"))
-    ahead = (rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_fp", F.lead("fp").over(order))
+    order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), F.col("tie"))
+    ahead = (rows.withColumn("next_packed", F.lead("packed").over(order)).withColumn("next_fp", F.lead("fp").over(order))
              .join(heads, "part", "left"))
-    return ahead.select("doc_id", "text", "fp", F.coalesce("next_text", "head_text").alias("next_text"),
+    return ahead.select("doc_id", "packed", "fp", F.coalesce("next_packed", "head_packed").alias("next_packed"),
                         F.coalesce("next_fp", "head_fp").alias("next_fp"))
 
 
@@ -179,19 +192,18 @@ def _first_ids(docs: DataFrame, cuts: list[int]) -> list:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            found = [-1 if d is None else int(np.searchsorted(edges, d)) for d in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.int32())], names=["doc_id", "part"])
+            yield pa.RecordBatch.from_arrays([ids, range_numbers(ids, edges)], names=["doc_id", "part"])
     return (docs.select("doc_id").mapInArrow(run, "doc_id long, part int")
             .groupBy("part").agg(F.min("doc_id").alias("doc_id")).collect())
 
 
 def _compare(idf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = T.WordHashes()
+        cache, unpack = T.WordHashes(), zstandard.ZstdDecompressor()
         for batch in batches:
             sizes, digests, edited_fps = [], [], []
-            for text, after in zip(batch.column("text").to_pylist(), batch.column("next_text").to_pylist(), strict=True):
-                text, after = text or "", after or ""
+            for packed, next_packed in zip(batch.column("packed").to_pylist(), batch.column("next_packed").to_pylist(), strict=True):
+                text, after = (unpack.decompress(p).decode("utf-8", "surrogatepass") for p in (packed, next_packed))
                 half = len(text) // 2
                 edited = text[:len(text) - half] + after[:half]
                 sizes.append(len(text))

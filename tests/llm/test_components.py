@@ -59,3 +59,32 @@ def test_fingerprints_within_the_radius(spark):
     want = labels([(a, b) for a in fps for b in fps if (a ^ b).bit_count() <= 3])
     got = {r.fp: r.near_class for r in simhash.near_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp long"), 3).collect()}
     assert got == want
+
+
+def test_fingerprints_equal_a_plain_computation(spark):
+    """Signed votes of every weighted term, term by term, against the vectorised ones."""
+    import numpy as np
+
+    from inkwell.llm import _tokens as T
+
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()][:60]
+    docs = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
+    df = simhash.document_frequencies(docs)
+    idf, cache = simhash.idf_weights(df, len(rows)), T.WordHashes()
+    assert df.max() <= len(rows)
+    for r in rows:
+        words = [int(h) for h in cache.of(T.split_words(r.text))]
+        pairs = [(a * T.M1 + b * T.M2) & T.MASK for a, b in zip(words, words[1:], strict=False)]
+        terms = {}
+        for t in words + [int(x) for x in T.mix(np.array(pairs, np.uint64))]:
+            terms[t] = terms.get(t, 0) + 1
+        votes = [0.0] * simhash.BITS
+        for t, n in terms.items():
+            weight = np.float32(1 + np.log(n)) * idf[t % len(idf)]
+            h = int(T.mix(np.array([t], np.uint64))[0])
+            for bit in range(simhash.BITS):
+                votes[bit] += float(weight) if h >> bit & 1 else -float(weight)
+        got = simhash.fingerprint(cache, r.text, idf)
+        plain = sum((votes[8 * (b // 8) + b % 8] > 0) << (8 * (b // 8) + 7 - (7 - b % 8)) for b in range(simhash.BITS))
+        near_zero = {b for b in range(simhash.BITS) if abs(votes[b]) < 1e-2}
+        assert all((got ^ plain) >> b & 1 == 0 for b in range(simhash.BITS) if b not in near_zero)

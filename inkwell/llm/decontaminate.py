@@ -8,7 +8,8 @@
    are dealt to index shards of about ``SHARD_PIECES`` pieces (a fixed size), which
    are built in tasks and searched ``PASS_SHARDS`` per pass over the documents, so
    the index may grow with the benchmark.  Inside a shard, pieces are ordered by their words and grouped into
-   blocks of ``BLOCK_PIECES``; per term and block the greatest weight is kept.
+   blocks of ``BLOCK_PIECES``; per term there is a list of the pieces that hold it, and
+   one of the blocks with the greatest weight in each.
 2. Retrieval.  A text's words, each term once, are scored against questions and
    answers.  A side is retrieved at its own least score: the least weight that
    ``OVERLAP`` of its n-grams can have, so no pair that passes step 3 is missed.
@@ -49,9 +50,9 @@ from inkwell.llm._scratch import materialize, ship
 
 PIECE_WORDS = 32
 STEP_WORDS = 32
-SHARD_PIECES = 512
-# Shards that one pass over the documents searches.
-PASS_SHARDS = 4
+# Pieces of a shard, some 4 MB, and the shards that one pass over the documents searches.
+SHARD_PIECES = 8192
+PASS_SHARDS = 8
 BLOCK_PIECES = 8
 QUESTION_NGRAM, ANSWER_NGRAM = 5, 3
 OVERLAP = 0.5
@@ -129,6 +130,37 @@ def share_in(side: np.ndarray, windows: np.ndarray) -> float:
     return float(seen[:-1].mean())
 
 
+class Postings:
+    """Inverted lists: per term the places that hold it and their weights, one list after the other."""
+
+    def __init__(self, n_terms: int, rows: list[tuple[np.ndarray, np.ndarray]]):
+        """``rows``: per place its (terms, weights)."""
+        term = np.concatenate([t for t, _ in rows]) if rows else np.zeros(0, np.int64)
+        order = np.argsort(term, kind="stable")
+        self.place = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])[order].astype(np.int32)
+        self.weight = (np.concatenate([w for _, w in rows]) if rows else np.zeros(0, np.float32))[order]
+        self.starts = np.searchsorted(term[order], np.arange(n_terms + 1))
+
+    def maxima(self, group: np.ndarray) -> Postings:
+        """The lists of groups of places, with each list's greatest weight in the group; groups ascend with places."""
+        out = object.__new__(Postings)
+        of_term = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+        groups = group[self.place]
+        cuts = np.flatnonzero((np.diff(of_term, prepend=-1) != 0) | (np.diff(groups, prepend=-1) != 0))
+        out.place = groups[cuts].astype(np.int32)
+        out.weight = np.maximum.reduceat(self.weight, cuts) if len(cuts) else self.weight
+        out.starts = np.searchsorted(of_term[cuts], np.arange(len(self.starts)))
+        return out
+
+    def sums(self, terms: np.ndarray, n: int | None, by_term: bool = False) -> np.ndarray:
+        """Per place (or per term) the sum of its weights over the terms' lists."""
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        at = np.repeat(self.starts[terms] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        if by_term:
+            return np.bincount(np.repeat(np.arange(len(terms)), sizes), self.weight[at], len(terms))
+        return np.bincount(self.place[at], self.weight[at], n)
+
+
 class Index:
     """One shard of the inverted index, as arrays."""
 
@@ -150,23 +182,29 @@ class Index:
         pieces.sort(key=lambda p: p[:2])             # similar pieces share blocks
         self.piece_item = np.array([p[1] for p in pieces], np.int64)
         self.terms = np.unique(np.concatenate([p[2] for p in pieces])) if pieces else np.zeros(0, np.uint64)
-        self.weights = np.zeros((len(self.terms) + 1, len(pieces)), np.float32)   # last row: a word outside the index
         counted = [(np.searchsorted(self.terms, t), n) for t, n in (np.unique(p[2], return_counts=True) for p in pieces)]
         df = np.array([df_of[t] for t in self.terms.tolist()], np.float64)
         idf = np.log(1 + (n_pieces - df + 0.5) / (df + 0.5))
-        # the least score by which a piece is retrieved; a piece without one only scores
-        self.least = np.full(len(pieces), np.inf, np.float32)
-        for j, ((term, tf), piece) in enumerate(zip(counted, pieces, strict=True)):
+        # (term, weight) of each piece
+        self.weighted: list[tuple[np.ndarray, np.ndarray]] = []
+        for term, tf in counted:
             w = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * tf.sum() / mean))
-            self.weights[term, j] = w / w.sum()
-            if piece[3] is not None:
-                self.least[j] = least_share(piece[3], self.terms, self.weights[:-1, j].astype(np.float64), overlap) - SLACK
-        # an item is a candidate if all its sides are retrieved
-        self.sides = np.bincount(self.piece_item[np.isfinite(self.least)], minlength=len(self.items))
-        cuts = np.arange(0, len(pieces), BLOCK_PIECES)
-        self.block_max = np.maximum.reduceat(self.weights, cuts, axis=1) if len(pieces) else np.zeros((1, 0), np.float32)
-        self.block_least = np.minimum.reduceat(self.least, cuts) if len(pieces) else np.zeros(0, np.float32)
-        self.term_max = self.weights.max(axis=1, initial=0)
+            self.weighted.append((term, (w / w.sum()).astype(np.float32)))
+        # only questions and answers are retrieved, each at the least score that a passing text can have
+        sides = [j for j, p in enumerate(pieces) if p[3] is not None]
+        self.side_item = self.piece_item[sides]
+        self.sides = np.bincount(self.side_item, minlength=len(self.items))      # an item needs all of its sides
+        dense = np.zeros(len(self.terms))
+        self.least = np.zeros(len(sides))
+        for i, j in enumerate(sides):
+            term, w = self.weighted[j]
+            dense[term] = w
+            self.least[i] = least_share(pieces[j][3], self.terms, dense, overlap) - SLACK
+        self.postings = Postings(len(self.terms), [self.weighted[j] for j in sides])
+        block = np.arange(len(sides)) // BLOCK_PIECES
+        self.block_postings = self.postings.maxima(block)
+        self.block_least = np.minimum.reduceat(self.least, np.arange(0, len(sides), BLOCK_PIECES)) if sides else np.zeros(0)
+        self.term_max = self.postings.maxima(np.zeros(len(sides), np.int64)).sums(np.arange(len(self.terms)), None, True)
 
     def places(self, words: np.ndarray) -> np.ndarray:
         """The term number of each word; the number after the last for a word outside the index."""
@@ -182,20 +220,21 @@ class Index:
         there[self.places(words)] = True
         term = np.flatnonzero(there[:-1])
         # the WAND test, then the sums of block maxima; pieces of the blocks that remain exactly
-        if not len(term) or self.term_max[term].sum(dtype=np.float64) < self.least.min():
+        if not len(term) or not len(self.least) or self.term_max[term].sum() < self.least.min():
             return []
-        live = np.flatnonzero(self.block_max[term].sum(axis=0) >= self.block_least)
-        at = (live[:, None] * BLOCK_PIECES + np.arange(BLOCK_PIECES)).ravel()
-        at = at[at < len(self.least)]
-        if not len(at):
+        live = self.block_postings.sums(term, len(self.block_least)) >= self.block_least
+        if not live.any():
             return []
-        kept = at[self.weights[np.ix_(term, at)].sum(axis=0) >= self.least[at]]
-        return np.flatnonzero((np.bincount(self.piece_item[kept], minlength=len(self.items)) >= self.sides) & (self.sides > 0)).tolist()
+        near = np.repeat(live, BLOCK_PIECES)[:len(self.least)]
+        kept = near & (self.postings.sums(term, len(self.least)) >= self.least)
+        return np.flatnonzero((np.bincount(self.side_item[kept], minlength=len(self.items)) >= self.sides) & (self.sides > 0)).tolist()
 
     def score(self, words: np.ndarray, number: int) -> float:
         """The best score of an item's pieces over all passages of one text."""
         own = np.flatnonzero(self.piece_item == number)
-        weights = self.weights[:, own]
+        weights = np.zeros((len(self.terms) + 1, len(own)), np.float32)      # last row: a word outside the index
+        for i, j in enumerate(own.tolist()):
+            weights[self.weighted[j][0], i] = self.weighted[j][1]
         at, best = self.places(words), 0.0
         # blocks of words overlap by one passage, so each passage is whole in one
         for start in range(0, len(at), BOUND_WORDS):

@@ -19,8 +19,8 @@ five at most.  Counting goes by levels:
 4. In a task, suffix pointers are sorted by multikey three-way quicksort: partition
    by the word at the current depth into less, equal and greater, go one word deeper
    in the equal part, down to the maximum depth.  The size of an equal part is the
-   count of its phrase.  A part below ``MIN_COUNT`` is abandoned at once.  Routes are
-   taken in runs of about ``RUN_ROWS`` suffixes; where one route is longer, its equal
+   count of its phrase.  A part below ``MIN_COUNT`` is abandoned at once.  Buckets are
+   taken in runs of about ``RUN_ROWS`` suffixes; where one bucket is longer, its equal
    suffixes are merged first.
 
 The score of a phrase is that of its weakest cut, in decimals (38 digits); phrases
@@ -58,6 +58,8 @@ CHUNK = 8192
 # Pairs are first counted by 44 bits of their hash, dealt into 2 ** BUCKET_BITS buckets.
 BUCKET_BITS, REST_BITS = 14, 30
 HELD_PAIRS = 4_000_000
+# Buckets of routes: the unit that one sort must see whole.
+ROUTES = 4096
 RUN_ROWS = 1 << 20
 # Rows that a map task holds before it sends them.
 HELD_ROWS = 400_000
@@ -67,6 +69,7 @@ ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TO_STOP = bytes.maketrans(ENDS, b"." * len(ENDS))
 STOP = b"."
 
+_PACKED = "route int, lang string, phrase array<string>, n array<long>"
 _COUNTED = "lang string, phrase string, n long"
 
 
@@ -299,6 +302,25 @@ def local_suffixes(language: _Language, texts: list[str | None], pair_table: byt
     return phrases, sizes
 
 
+def route(lang_seed: int, phrase: bytes) -> int:
+    """The bucket of a phrase's leading words, three at most."""
+    return xxhash.xxh3_64_intdigest(b" ".join(phrase.split(b" ", 3)[:3]), lang_seed) & (ROUTES - 1)
+
+
+def _packed(lang: str, counts: dict[bytes, int]) -> pa.RecordBatch:
+    """One row per bucket of routes, with its suffixes and their numbers."""
+    seed = _seed(lang)
+    buckets = np.fromiter((route(seed, p) for p in counts), np.int32, len(counts))
+    order = np.argsort(buckets, kind="stable")
+    cuts = np.flatnonzero(np.diff(buckets[order], prepend=-1))
+    offsets = pa.array(np.append(cuts, len(order)).astype(np.int32))
+    phrases = pa.array([p.decode("utf-8", "replace") for p in counts], pa.string()).take(pa.array(order))
+    sizes = pa.array(np.fromiter(counts.values(), np.int64, len(counts))[order])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(buckets[order][cuts]), pa.array([lang] * len(cuts), pa.string()), pa.ListArray.from_arrays(offsets, phrases),
+         pa.ListArray.from_arrays(offsets, sizes)], names=["route", "lang", "phrase", "n"])
+
+
 def _suffixes(word_table, pair_table, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = _Languages(word_table.value)
@@ -311,12 +333,20 @@ def _suffixes(word_table, pair_table, depth: int):
                 for p, n in zip(phrases, counts, strict=True):
                     mine[p] = mine.get(p, 0) + n
                 if sum(len(h) for h in held.values()) > HELD_ROWS:
-                    yield from [_rows(x, list(h), list(h.values())) for x, h in held.items()]
+                    yield from [_packed(x, h) for x, h in held.items() if h]
                     held.clear()
-        yield from [_rows(x, list(h), list(h.values())) for x, h in held.items()]
+        yield from [_packed(x, h) for x, h in held.items() if h]
     return run
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = batch.column("n")
+        rows = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(n.offsets.to_numpy())))
+        yield pa.RecordBatch.from_arrays([batch.column("lang").take(rows), batch.column("phrase").flatten(), n.flatten(),
+                                          batch.column("route").take(rows)], names=["lang", "phrase", "n", "route"])
+
+
 def multikey_quicksort(keys: np.ndarray, sizes: np.ndarray, min_count: int) -> Iterator[tuple[int, int, int]]:
     """``(pointer, depth, count)`` of every prefix of the rows of ``keys`` that counts ``min_count`` or more.
 
@@ -408,10 +438,10 @@ def _count_routes(depth: int, min_count: int):
 
 
 def routed_counts(suffixes: DataFrame, depth: int, min_count: int) -> DataFrame:
-    """``lang, phrase, n`` of the frequent phrases of 2 to ``depth`` words; up to three leading words route."""
-    route = F.xxhash64("lang", F.substring_index("phrase", " ", 3))
-    routed = suffixes.withColumn("route", route).repartition("route").sortWithinPartitions("route")
-    return routed.mapInArrow(_count_routes(depth, min_count), _COUNTED)
+    """``lang, phrase, n`` of the frequent phrases of 2 to ``depth`` words from packed suffixes."""
+    count = _count_routes(depth, min_count)
+    routed = suffixes.repartition("route").sortWithinPartitions("route")
+    return routed.mapInArrow(lambda batches: count(_unpacked(batches)), _COUNTED)
 
 
 def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -426,7 +456,7 @@ def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, max_words: i
     hashed = docs.mapInArrow(_pair_hashes(word_table), "bucket long, rest binary, n binary")
     pairs_seen = hashed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_frequent_hashes(min_count), "slot long")
     pair_table = spark.sparkContext.broadcast(bit_table(pairs_seen, 1 << PAIR_BITS))
-    suffixes = docs.mapInArrow(_suffixes(word_table, pair_table, max_words), _COUNTED)
+    suffixes = docs.mapInArrow(_suffixes(word_table, pair_table, max_words), _PACKED)
     found = frequent.unionByName(routed_counts(suffixes, max_words, min_count))
     return materialize(found, "phrases"), words.groupBy("lang").agg(F.sum("n").alias("n"))
 

@@ -130,6 +130,51 @@ def test_ingest_epoch_replay_is_idempotent(spark, tmp_path):
     assert {r.label: r.content for r in read_newest(spark, table).collect()} == {"WMT": "b", "LULU": "c"}
 
 
+def _data_folders(table):
+    return {os.path.join(v, b) for v in os.listdir(os.path.join(table, "data"))
+            for b in os.listdir(os.path.join(table, "data", v)) if b.startswith("bucket=")}
+
+
+def test_a_batch_writes_the_buckets_it_touches_only(spark, tmp_path):
+    import datetime as dt
+    from inkwell.streaming.ingest import BUCKETS, _merge_newest, _newest
+    table, schema = str(tmp_path / "t"), "name string, mtime timestamp, content string, label string"
+    merge = _merge_newest(table)
+    day = dt.datetime(2026, 1, 1)
+    many = spark.range(20_000).select(F.concat(F.lit("f"), "id").alias("name"), F.lit(day).alias("mtime"),
+                                      F.concat(F.lit("text "), "id").alias("content"), F.concat(F.lit("L"), "id").alias("label"))
+    merge(many, 0)
+    before = _data_folders(table)
+    assert len(before) == BUCKETS
+    new = [(f"g{i}", day + dt.timedelta(days=i - 1), f"new {i}", f"L{i}") for i in range(3)] + [("h", day, "h", "another")]
+    merge(spark.createDataFrame(new, schema), 1)
+    assert 1 <= len(_data_folders(table) - before) <= 4 and before <= _data_folders(table)     # the older version is kept
+    got = {r.label: r.content for r in read_newest(spark, table).collect()}
+    want = {f"L{i}": f"text {i}" for i in range(20_000)} | {"L2": "new 2", "another": "h"}     # L0 is older, L1 ties: f1 < g1
+    assert got == want
+    merge(spark.createDataFrame([], schema), 2)                  # an empty batch makes no version
+    assert max(int(n[2:]) for n in os.listdir(table) if n.startswith("v=")) == 1
+    merge(spark.createDataFrame(new, schema), 3)
+    merge(spark.createDataFrame(new, schema), 4)
+    named = set(_newest(spark, table)[0].values())
+    assert len(named) == BUCKETS and len(_data_folders(table)) <= BUCKETS + 4                  # replaced buckets are gone
+    assert {r.label: r.content for r in read_newest(spark, table).collect()} == want
+
+
+def test_data_without_a_manifest_is_never_read(spark, tmp_path):
+    import datetime as dt
+    from inkwell.streaming.ingest import _merge_newest
+    table, schema = str(tmp_path / "t"), "name string, mtime timestamp, content string, label string"
+    merge = _merge_newest(table)
+    merge(spark.createDataFrame([("a", dt.datetime(2026, 1, 1), "one", "A")], schema), 0)
+    os.makedirs(os.path.join(table, "data", "v=7", "bucket=1"))           # broke off before its manifest
+    os.makedirs(os.path.join(table, "v=6"))                               # broke off within it
+    assert [r.content for r in read_newest(spark, table).collect()] == ["one"]
+    merge(spark.createDataFrame([("b", dt.datetime(2026, 1, 2), "two", "A")], schema), 1)
+    assert [r.content for r in read_newest(spark, table).collect()] == ["two"]
+    assert "v=8" in os.listdir(table) and "v=7" not in os.listdir(os.path.join(table, "data"))
+
+
 def test_report_partitions_are_pruned(spark, tmp_path):
     import contextlib
     import datetime as dt

@@ -71,32 +71,44 @@ def playback_metrics(sess: DataFrame, horizon_s: int = 5, by: list[str] | None =
         (F.sum(F.col("reached_end").cast("long")) / F.count(F.lit(1))).alias("completion_rate"))
 
 
+# Buckets whose running sums one window makes.
+GROUP_BUCKETS = 1024
+
+
 def retention_curve(sess: DataFrame, bucket_s: int, by: list[str] | None = None) -> DataFrame:
     """Survival curve per ``by``: for every bucket b from 0 to the longest
     session, ``alive`` = sessions lasting at least b buckets, ``drop`` =
     alive(b−1) − alive(b) (0 for b = 0).  The histogram is a partial aggregate;
-    the window sees one row per bucket in which a session ends, and each of
-    those rows yields the buckets since the one before."""
+    windows see one row per bucket in which a session ends, and each of
+    those rows yields the buckets since the one before.  Sums have two levels:
+    a window runs inside a group of ``GROUP_BUCKETS`` buckets, and the groups'
+    totals, one row each, are an array per ``by``."""
     by = by or []
     b = F.floor(F.col("duration_us") / (bucket_s * 1_000_000)).cast("long")
     hist = sess.groupBy(*by, b.alias("_end")).agg(F.count(F.lit(1)).alias("_ended"))
-    w = Window.partitionBy(*by).orderBy("_end")
-    before = F.coalesce(F.sum("_ended").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    every = F.sum("_ended").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ends = hist.select(*by, "_end", (every - before).cast("long").alias("alive"),
-                       F.coalesce(F.lag("_end").over(w) + 1, F.lit(0)).alias("_from"),
-                       F.coalesce(F.lag("_ended").over(w), F.lit(0)).cast("long").alias("_lost"))
+    hist = hist.withColumn("_g", F.floor(F.col("_end") / GROUP_BUCKETS))
+    group = hist.groupBy(*by, "_g").agg(F.sum("_ended").alias("n"), F.max(F.struct("_end", "_ended")).alias("last"))
+    hist = _with_totals(hist, by, group, _groups=F.collect_list(F.struct("_g", "n", "last")))
+    lower = F.filter("_groups", lambda x: x["_g"] < F.col("_g"))
+    below = F.aggregate(lower, F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    total = F.aggregate("_groups", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    w = Window.partitionBy(*by, "_g").orderBy("_end")
+    before = below + F.coalesce(F.sum("_ended").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    previous = F.coalesce(F.lag(F.struct("_end", "_ended")).over(w), F.array_max(F.transform(lower, lambda x: x["last"])))
+    ends = hist.select(*by, "_end", (total - before).cast("long").alias("alive"), previous.alias("_previous")).select(
+        *by, "_end", "alive", F.coalesce(F.col("_previous._end") + 1, F.lit(0)).alias("_from"),
+        F.coalesce(F.col("_previous._ended"), F.lit(0)).cast("long").alias("_lost"))
     return (ends.withColumn("bucket", F.explode(F.sequence("_from", "_end")))
             .select(*by, "bucket", "alive", F.when(F.col("bucket") == F.col("_from"), F.col("_lost"))
                     .otherwise(F.lit(0).cast("long")).alias("drop")))
 
 
-def _with_totals(df: DataFrame, by: list[str], **totals: Column) -> DataFrame:
-    """``df`` with aggregates of its group (or of the whole) on every row."""
-    cols = [c.alias(n) for n, c in totals.items()]
+def _with_totals(df: DataFrame, by: list[str], of: DataFrame | None = None, **totals: Column) -> DataFrame:
+    """``df`` with aggregates of its group (or of the whole) of ``of`` (itself) on every row."""
+    cols, of = [c.alias(n) for n, c in totals.items()], df if of is None else of
     if by:
-        return df.join(df.groupBy(*by).agg(*cols), by)
-    t = df.agg(F.struct(*cols).alias("t")).scalar()
+        return df.join(of.groupBy(*by).agg(*cols), by)
+    t = of.agg(F.struct(*cols).alias("t")).scalar()
     return df.withColumns({n: t.getField(n) for n in totals})
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkwell.operators.grams import meeting
 from inkwell.functions.text import epoch_micros, source_label, squeeze_newlines, ustrip
 
 # ---------------------------------------------------------------- fixed values
@@ -116,10 +117,25 @@ def latest_document(docs: DataFrame, by: list[str] | None = None,
     return out.select(*by, *[F.col("_b")[c].alias(c) for c in rest], "n_docs")
 
 
-def number_rows(df: DataFrame, key: list[str], order: list[Column], name: str = "n") -> DataFrame:
-    """1-based ordinals inside ``key`` by ``order``."""
-    w = Window.partitionBy(*key).orderBy(*order) if key else Window.orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
+def number_rows(df: DataFrame, key: list[str], order: list[Column], name: str = "n", coarse: Column | None = None) -> DataFrame:
+    """1-based ordinals inside ``key`` by ``order``.
+
+    Over a whole table (no key) ``coarse`` is needed, a value that never falls along
+    the order (the day of a timestamp, say): rows are numbered inside each coarse
+    value and begin after the count of all lower ones.  The counts, one number per
+    coarse value, are one array; the rows are never in one task.
+    """
+    if key:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    if coarse is None:
+        raise ValueError("numbering a whole table needs a coarse value of its order")
+    dealt = df.withColumn("_coarse", coarse)
+    counts = (dealt.groupBy("_coarse").agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct("_coarse", "n"))).scalar())
+    own, dealt = F.col("_coarse"), dealt.withColumn("_counts", counts)
+    lower = F.filter("_counts", lambda c: F.when(own.isNull(), F.lit(False)).otherwise(c["_coarse"].isNull() | (c["_coarse"] < own)))
+    before = F.aggregate(lower, F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    ranked = dealt.withColumn(name, F.row_number().over(Window.partitionBy("_coarse").orderBy(*order)) + before)
+    return ranked.drop("_coarse", "_counts")
 
 
 # ------------------------------------------------------------------- P-6 / J-1
@@ -138,21 +154,13 @@ def label_keywords(label) -> Column:
 def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
     """(name, kw) for every keyword that occurs in the lower-cased name.
 
-    Equi-join form: every substring of the name whose length is a keyword
-    length is generated and joined on equality, so the match is a shuffle
-    hash join that scales with both sides.  File names are short, so the
-    substring fan-out per name is bounded by ``len(name) * max_kw_len``.
+    Names and keywords meet on a gram of two characters (every keyword has two at
+    least) and are then verified, so what is shuffled follows the names' lengths and
+    not the length of the longest keyword.
     """
-    # one number (the longest keyword), a scalar subquery, drives the fan-out
-    max_len = F.coalesce(kw.select(F.max(F.length("kw"))).scalar(), F.lit(2))
-    low = F.lower(F.col("name"))
-    # generators, not nested lambdas: explode start positions, then lengths
-    pos = essences.select("name", low.alias("_low"), max_len.alias("_max"),
-                          F.explode(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1)))).alias("_p"))
-    sub = pos.select("name", "_low", "_p", F.explode(F.sequence(
-        F.lit(2), F.greatest(F.lit(2), F.least(F.col("_max"), F.length("_low") - F.col("_p") + 1)))).alias("_l"))
-    exploded = sub.select("name", F.substring(F.col("_low"), F.col("_p"), F.col("_l")).alias("kw"))
-    return exploded.join(kw, "kw", "inner").select("name", "kw").distinct()
+    names = essences.select("name", F.lower("name").alias("_low")).distinct()
+    met = meeting(names, F.col("_low"), kw, "kw")
+    return met.filter(F.col("_low").contains(F.col("kw"))).select("name", "kw")
 
 
 def pair_essence(labels: DataFrame, essences: DataFrame) -> DataFrame:
@@ -162,8 +170,7 @@ def pair_essence(labels: DataFrame, essences: DataFrame) -> DataFrame:
     lower-cased essence file name; the newest match wins (mtime desc, name
     asc), else the newest essence overall, else the placeholder name.
 
-    The match is an equi-join on the name's substrings (cost per name ∝ name
-    length × longest keyword, whatever the number of keywords).
+    The match is an equi-join on two-character grams of names and keywords.
     """
     lab = labels.select("label").distinct()
     lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label"))).alias("kw"))
@@ -236,9 +243,17 @@ def resolve_essence(requests: DataFrame, essences: DataFrame,
     else the fixed placeholder text.  Output: keep..., label,
     essence_source, essence_name, essence."""
     pairing = pair_essence(requests.select("label"), essences.select("name", "mtime"))
-    p = (pairing.join(essences.select(F.col("name").alias("essence_name"), "mtime", "content"), "essence_name", "left")
-         .groupBy("label", "essence_name").agg(F.max_by("content", F.struct("mtime", "content")).alias("p_content")))
-    j = requests.join(_asked(essences, requests), F.col("explicit") == F.col("x_name"), "left").join(p, "label", "left")
+    order = F.struct("mtime", "content")
+    # labels without a match share one essence: its text is one value and meets no join
+    newest = essences.orderBy(F.col("mtime").desc(), F.col("name").asc()).limit(1).select("name").scalar()
+    newest_content = essences.filter(F.col("name") == newest).agg(F.max_by("content", order)).scalar()
+    # the others: one text per name that a label matched, reduced before any label sees it
+    named = pairing.filter("matched").select(F.col("essence_name").alias("name")).distinct()
+    texts = (essences.join(named, "name", "left_semi").groupBy(F.col("name").alias("p_name"))
+             .agg(F.max_by("content", order).alias("p_text")))
+    j = (requests.join(_asked(essences, requests), F.col("explicit") == F.col("x_name"), "left").join(pairing, "label", "left")
+         .join(texts, F.col("matched") & (F.col("essence_name") == F.col("p_name")), "left")
+         .withColumn("p_content", F.when(F.col("matched"), F.col("p_text")).otherwise(newest_content)))
     explicit_ok = F.nullif(F.col("x_content"), F.lit("")).isNotNull()
     paired_ok = F.nullif(F.col("p_content"), F.lit("")).isNotNull()
     return j.select(
@@ -353,7 +368,7 @@ def few_shot_pairs(files: DataFrame, k: int = 3, group: str = "dir") -> DataFram
     # only the k chosen folders are paired (a k-row broadcast semi join)
     chosen = files.join(F.broadcast(top.select(group)), group, "left_semi")
     kept = top.join(pair_versions(chosen, group), group, "inner")
-    return number_rows(kept, [], [F.col("rank")], "n")
+    return number_rows(kept, [], [F.col("rank")], "n", coarse=F.col("rank").cast("int"))
 
 
 def few_shot_block(pairs: DataFrame, group: str = "dir") -> DataFrame:

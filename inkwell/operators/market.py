@@ -315,24 +315,40 @@ def parse_report(docs: DataFrame, key: str = "doc_id", content: str = "content")
 
     Company reports: ``name (metric): value unit`` lines, label = the ticker
     line.  Macro reports: ``●`` stanza heads give the label of the value
-    lines below them (``last(..., ignorenulls)`` over line order inside the
-    document).  A value that is not a number (the missing marker) is NULL.
+    lines below them.  What follows the heading of the business description is
+    prose up to the next report's title and gives neither label nor metric.
+    One fold over a document's lines carries (label, prose) and keeps the metric
+    lines; nothing is shuffled.  A value that is not a number (the missing
+    marker) is NULL.
     """
-    lines = docs.select(key, F.posexplode(F.split(F.col(content), "\n")).alias("pos", "line"))
-    ticker = F.regexp_extract("line", r"^股票代码: (.*)$", 1)
-    head = F.regexp_extract("line", STANZA_HEAD, 1)
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    l2 = lines.withColumn("label", F.last(F.when(ticker != "", ticker).when(head != "", head), True).over(w))
-    m1 = F.regexp_extract("line", REPORT_LINE, 2)
-    r1 = F.regexp_extract("line", REPORT_LINE, 3)
-    m2 = F.regexp_extract("line", STANZA_LINE, 1)
-    r2 = F.regexp_extract("line", STANZA_LINE, 2)
-    metric = F.when(m1 != "", m1).when(m2 != "", m2)
-    raw = F.when(m1 != "", r1).when(m2 != "", r2)
-    num = F.regexp_extract(raw, NUMBER_PREFIX, 0)
-    out = l2.select(key, "pos", "label", metric.alias("metric"), raw.alias("raw"), num.alias("num")) \
-        .filter(F.col("metric").isNotNull())
-    unit = F.regexp_replace(F.regexp_replace(F.col("raw"), NUMBER_PREFIX, ""), r"\A\s+|\s+\z", "")
-    return out.select(key, "pos", "label", "metric",
-                      F.when(F.col("num") != "", F.col("num").try_cast("double")).alias("value"),
-                      F.when(F.col("num") != "", unit).alias("unit"))
+    def marked(line: Column, i: Column) -> Column:
+        ticker, head = F.regexp_extract(line, r"^股票代码: (.*)$", 1), F.regexp_extract(line, STANZA_HEAD, 1)
+        return F.struct(
+            i.cast("int").alias("pos"), line.alias("line"),
+            F.when(line == COMPANY_DESC, 1).when(line.isin(COMPANY_TITLE, MACRO_TITLE), 0).alias("prose"),
+            F.coalesce(F.nullif(ticker, F.lit("")), F.nullif(head, F.lit(""))).alias("label"),
+            (line.rlike(REPORT_LINE) | line.rlike(STANZA_LINE)).alias("metric"))
+
+    kept = "array<struct<pos:int,label:string,line:string>>"
+    start = F.struct(F.lit(0).alias("prose"), F.lit(None).cast("string").alias("label"), F.array().cast(kept).alias("kept"))
+
+    def step(state: Column, x: Column) -> Column:
+        prose = F.coalesce(x["prose"], state["prose"])
+        label = F.when(prose == 1, state["label"]).otherwise(F.coalesce(x["label"], state["label"]))
+        row = F.array(F.struct(x["pos"].alias("pos"), state["label"].alias("label"), x["line"].alias("line"))).cast(kept)
+        return F.struct(prose.alias("prose"), label.alias("label"),
+                        F.when(x["metric"] & (prose == 0), F.concat(state["kept"], row)).otherwise(state["kept"]).alias("kept"))
+
+    # array functions are not compiled: the generator makes the text a value before them, so that the
+    # expressions that rendered it are not interpreted within
+    texts = docs.select(key, F.explode(F.array(content)).alias("_text"))
+    lines = F.filter(F.transform(F.split("_text", "\n"), marked),
+                     lambda x: x["prose"].isNotNull() | x["label"].isNotNull() | x["metric"])
+    found = texts.select(key, F.aggregate(lines, start, step, lambda s: s["kept"]).alias("_kept")).select(key, F.inline("_kept"))
+    m1, m2 = F.regexp_extract("line", REPORT_LINE, 2), F.regexp_extract("line", STANZA_LINE, 1)
+    raw = F.when(m1 != "", F.regexp_extract("line", REPORT_LINE, 3)).otherwise(F.regexp_extract("line", STANZA_LINE, 2))
+    rows = found.select(key, "pos", "label", F.when(m1 != "", m1).otherwise(m2).alias("metric"), raw.alias("raw"))
+    num = F.regexp_extract("raw", NUMBER_PREFIX, 0)
+    unit = F.regexp_replace(F.regexp_replace("raw", NUMBER_PREFIX, ""), r"\A\s+|\s+\z", "")
+    return rows.select(key, "pos", "label", "metric", F.when(num != "", num.try_cast("double")).alias("value"),
+                       F.when(num != "", unit).alias("unit"))

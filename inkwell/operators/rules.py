@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
+from inkwell.operators.grams import anchored, with_grams
 
 # ---------------------------------------------------------------- fixed values
 # The rulebook's forbidden phrases by class, with the recommended
@@ -78,8 +79,8 @@ def phrase_hits(scripts: DataFrame, rules: DataFrame, key: str = "script_id", te
     """(key, rule_class, phrase, n) for every forbidden phrase found n > 0
     times (non-overlapping literal occurrences, like ``str.count``).
 
-    One path for every rule set: the rule table, a dimension, is one array
-    (scalar subquery) that each script counts row-locally.  No join, no
+    For rulebooks: the rule table, a dimension, is one array (scalar subquery)
+    that each script counts row-locally; ``phrase_hits_index`` takes large ones.  No join, no
     shuffle of the scripts, nothing runs while the plan is built.
     """
     listed = rules.filter(~F.col("rule_class").isin(*NOT_FORBIDDEN) & (F.length("phrase") > 0)).agg(
@@ -92,6 +93,26 @@ def phrase_hits(scripts: DataFrame, rules: DataFrame, key: str = "script_id", te
             .select(F.col(key), F.inline(F.filter(counted, lambda h: h["n"] > 0))))
 
 
+def phrase_hits_index(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text") -> DataFrame:
+    """(key, rule_class, phrase, n) for every forbidden phrase found n > 0
+    times (non-overlapping literal occurrences, like ``str.count``).
+
+    The same rows as ``phrase_hits`` for rule tables of any size: texts and phrases
+    meet on the phrases' rarest two-character grams (``grams``, rows without the
+    text), the candidates of a text are counted on the text, and classes come back by
+    phrase.  No table of rules is held by the driver or carried by every row.
+    """
+    listed = rules.filter(~F.col("rule_class").isin(*NOT_FORBIDDEN) & (F.length("phrase") > 0)).select("rule_class", "phrase").distinct()
+    t = F.col(text)
+    grams = with_grams(scripts.select(F.col(key).alias("_key"), t), t, single=True).select("_key", "gram")
+    candidates = grams.join(anchored(listed, "phrase"), "gram").groupBy("_key").agg(F.collect_set("phrase").alias("_phrases"))
+    counted = F.transform(F.col("_phrases"), lambda p: F.struct(
+        p.alias("phrase"), ((F.length("_t") - F.length(F.replace(F.col("_t"), p, F.lit("")))) / F.length(p)).cast("long").alias("n")))
+    own = scripts.select(F.col(key), t.alias("_t"))
+    found = own.join(candidates, own[key].eqNullSafe(candidates["_key"])).select(F.col(key), F.inline(F.filter(counted, lambda h: h["n"] > 0)))
+    return found.join(listed, "phrase").select(key, "rule_class", "phrase", "n")
+
+
 def phrase_suggestions(hits: DataFrame, rules: DataFrame, key: str = "script_id") -> DataFrame:
     """Attach the sorted alternatives of every hit phrase (advice only)."""
     alts = rules.filter(F.col("replacement").isNotNull()).groupBy("rule_class", "phrase") \

@@ -72,9 +72,13 @@ def q_company_reports(spark, d) -> DataFrame:
     return _reports(spark, d).select("ticker", "record_source", "is_fallback", "content")
 
 
+# Fixed value: description lines that look like metrics and are none.
+PROSE = "The segments (Retail): 45 stores in ten states\n股票代码: NONE\n  margin: 5"
+
+
 def q_report_metrics(spark, d) -> DataFrame:
     from inkwell.plans.market_q import q_macro_report
-    comp = _reports(spark, d).select(F.col("ticker").alias("doc_id"), "content")
+    comp = _reports(spark, d).select(F.col("ticker").alias("doc_id"), F.concat("content", F.lit(PROSE)).alias("content"))
     macro = q_macro_report(spark, d).select(F.concat(F.lit("MACRO "), F.col("desk").cast("string")).alias("doc_id"), "content")
     p = M.parse_report(comp.unionByName(macro))
     return p.select("doc_id", F.col("pos").cast("long").alias("pos"), "label", "metric", "value", "unit")
@@ -158,9 +162,14 @@ rep AS (SELECT ticker, record_source, is_fallback, concat_ws(chr(10),
     '{M.RULE_40}', '{M.COMPANY_DESC}', coalesce(summary, '{M.NO_SUMMARY}')) || chr(10) AS content FROM rec)"""
 
 _PARSE = r"""
-docs AS (SELECT ticker AS doc_id, content FROM rep UNION ALL SELECT 'MACRO ' || CAST(desk AS VARCHAR), content FROM macro),
-ln AS (SELECT doc_id, pos, line FROM (SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line
+docs AS (SELECT ticker AS doc_id, content || 'The segments (Retail): 45 stores in ten states' || chr(10) || '股票代码: NONE'
+                || chr(10) || '  margin: 5' AS content FROM rep UNION ALL SELECT 'MACRO ' || CAST(desk AS VARCHAR), content FROM macro),
+ln0 AS (SELECT doc_id, pos, line FROM (SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line
         FROM (SELECT doc_id, string_split(content, chr(10)) AS l FROM docs))),
+ln AS (SELECT doc_id, pos, line FROM (
+        SELECT *, coalesce(last_value(CASE WHEN line = '【官方业务模式描述】' THEN 1 WHEN line IN ('【美股企业自动抓取财报摘要】',
+                  '【全球核心宏观流动性与资产价格实时报告】') THEN 0 END IGNORE NULLS)
+                  OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING), 0) AS prose FROM ln0) WHERE prose = 0),
 l2 AS (SELECT *, last_value(CASE WHEN regexp_extract(line, '^股票代码: (.*)$', 1) <> '' THEN regexp_extract(line, '^股票代码: (.*)$', 1)
                                  WHEN regexp_extract(line, '^● .* \(([^()]*)\)$', 1) <> '' THEN regexp_extract(line, '^● .* \(([^()]*)\)$', 1) END
                             IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS label,

@@ -88,3 +88,10 @@ def test_curves_of_several_videos_stand_alone(spark):
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, A.segment_findings(alone, 3600, 3600).collect()))
         paced = A.pacing(both, by=["video"]).filter(F.col("video") == video).drop("video")
         assert sorted(map(tuple, paced.collect())) == sorted(map(tuple, A.pacing(ev).collect()))
+
+
+def test_curve_sums_in_groups(spark, monkeypatch):
+    ev = _ev(spark)
+    want = [tuple(r) for r in A.retention_curve(A.sessions(ev), 60).orderBy("bucket").collect()]
+    monkeypatch.setattr(A, "GROUP_BUCKETS", 2)
+    assert [tuple(r) for r in A.retention_curve(A.sessions(ev), 60).orderBy("bucket").collect()] == want and len(want) > 4

@@ -163,3 +163,17 @@ def test_newest_of_one_name_is_the_input(spark):
     asked = spark.createDataFrame([(1, "a_raw.txt"), (2, None), (3, "none.txt")], "req_id int, explicit string")
     got = sorted((r.req_id, r.chosen_source, r.content) for r in D.resolve_input(asked, docs, default_text="nothing").collect())
     assert got == [(1, "explicit", "text 3"), (2, "default", "nothing"), (3, "default", "nothing")]
+
+
+def test_a_whole_table_is_numbered_without_one_task(spark, capsys):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from inkwell.operators import documents as D
+    rows = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(6)
+    out = D.number_rows(rows, [], [F.col("v")], coarse=F.floor(F.col("v") / 100))
+    assert out.columns == ["v", "n"] and out.filter("n <> v + 1").count() == 0 and out.count() == 5000
+    out.explain()
+    assert "SinglePartition" not in capsys.readouterr().out.split("Subqueries")[0].split("Subquery")[0]
+    with pytest.raises(ValueError):
+        D.number_rows(rows, [], [F.col("v")])

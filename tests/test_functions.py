@@ -84,3 +84,28 @@ def test_python_float_spelling(spark):
     xs = [0.0, -0.0, 1.0, 0.0005, 0.00012345, 1e-5, 2.5e-7, 12345678.9, 1e7, 1.5e15, 1e16, 1.25e22, 3e100, -12345678.5, float("inf"), float("nan")]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
     assert [r.s for r in df.select("i", python_float("x").alias("s")).orderBy("i").collect()] == [repr(x) for x in xs]
+
+
+def test_every_double_is_spelled_as_python_does(spark):
+    import math
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+
+    from inkwell.functions import fmt
+    rng = random.Random(9)
+    values = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(10_000)]
+    values += [1e15 + 0.3, 1e23, 1e22, math.inf, -math.inf, math.nan, 0.0, -0.0, 5e-324, 1.7976931348623157e308, 2.0 ** 63, -2.0 ** 63,
+               2.0 ** 63 - 1024, 2.0 ** 53 + 2, 2.0 ** 52 + 0.5, 2.5, 3.5, 0.5, 1.5, 0.125, 0.375, 0.995, 0.9999, -0.001, 999.995, 5e-05, 1e16]
+    values += [rng.randrange(10 ** 9) / 8 for _ in range(300)] + [rng.uniform(-1, 1) * 10 ** rng.randrange(0, 20) for _ in range(700)]
+    values += [2.0 ** k for k in range(60, 1024, 7)] + [math.nextafter(2.0 ** k, 0) for k in range(60, 1024, 7)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(4)
+    for d in (0, 2, 4):
+        got = df.select("x", fmt.fixed("x", d).alias("f"), fmt.signed("x", d).alias("s")).collect()
+        for r in got:
+            if r.x is None:
+                assert r.f is None and r.s is None
+            else:
+                assert (r.f, r.s) == (f"{r.x:.{d}f}", f"{r.x:+.{d}f}"), (r.x, d)
+    assert df.select(F.count(fmt.fixed("x", 2))).first()[0] == len(values)

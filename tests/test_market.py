@@ -101,3 +101,13 @@ def test_lexicographic_key_orders_pairs(spark):
     df = spark.createDataFrame(pairs, "hi long, lo long")
     got = [(r.hi, r.lo) for r in df.orderBy(M.lexicographic_key(F.col("hi"), F.col("lo"))).collect()]
     assert got == sorted(pairs)
+
+
+def test_prose_gives_no_metric(spark):
+    text = "\n".join([M.COMPANY_TITLE, "股票代码: AAA", "市值 (Market Cap): 2.00 B USD", M.COMPANY_DESC,
+                      "The segments (Retail): 45 stores in ten states", "股票代码: BBB", "● x (^Y)", "  margin: 5",
+                      M.MACRO_TITLE, "● rate (^TNX)", "  price: 4.4%", "  none: 暂无", "x (^Y)"])
+    docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "a (b): 1")], "doc_id int, content string")
+    got = [tuple(r) for r in M.parse_report(docs).orderBy("doc_id", "pos").collect()]
+    assert got == [(1, 2, "AAA", "Market Cap", 2.0, "B USD"), (1, 10, "^TNX", "price", 4.4, "%"), (1, 11, "^TNX", "none", None, None),
+                   (4, 0, None, "b", 1.0, "")]

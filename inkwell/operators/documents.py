@@ -159,7 +159,7 @@ def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
     not the length of the longest keyword.
     """
     names = essences.select("name", F.lower("name").alias("_low")).distinct()
-    met = meeting(names, F.col("_low"), kw, "kw")
+    met = meeting(names, F.col("_low"), kw, "kw", widths=(2,))
     return met.filter(F.col("_low").contains(F.col("kw"))).select("name", "kw")
 
 

@@ -1,7 +1,7 @@
 """Which texts hold which literal patterns, without trying every pattern on every text.
 
-Every pattern is filed under one of its two-character grams (the one that the
-fewest patterns hold), and a text meets the patterns filed under its own distinct
+Every pattern is filed under one of its grams of three characters (of two or one, if
+it is shorter; the one that the fewest patterns hold), and a text meets the patterns filed under its own distinct
 grams: an equi-join on the gram.  A pattern that occurs in a text has all of its
 grams in it, so none is missed; what meets is only a candidate and is verified
 literally by the caller.  The work follows texts' grams and candidates, not texts
@@ -14,26 +14,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_grams(texts: DataFrame, text: Column, single: bool = False) -> DataFrame:
-    """One row per row and distinct two-character ``gram`` of the text, found in one pass; with ``single`` its
-    characters, too."""
-    chars, n = F.col("_chars"), F.greatest(F.size("_chars") - 1, F.lit(0))
-    grams = F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
-    out = texts.withColumn("_chars", F.split(text, "")).withColumn("_grams", F.array_distinct(grams))
-    if single:
-        out = out.withColumn("_grams", F.concat("_grams", F.array_distinct("_chars")))
-    return out.withColumn("gram", F.explode("_grams")).drop("_chars", "_grams")
+# Widths of grams, in characters: a pattern is filed under the widest that it has.
+WIDTHS = (3, 2, 1)
 
 
-def anchored(patterns: DataFrame, pattern: str) -> DataFrame:
-    """``gram, pattern``: every distinct non-empty pattern under its rarest gram (a single character under itself)."""
+def _gram_codes(widths: tuple[int, ...], widest_only: bool):
+    """Texts -> their distinct grams as numbers; 21 bits hold a character, so three fill one number exactly.
+
+    Array functions of Spark are interpreted and take about a hundred times as long.
+    """
+    def codes(texts):
+        import numpy as np
+        import pandas as pd
+
+        def of(text):
+            c = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+            fits = [w for w in widths if len(c) >= w]
+            found = []
+            for w in fits[:1] if widest_only else fits:
+                if w == 3:
+                    found.append(c[:-2] << 42 | c[1:-1] << 21 | c[2:])
+                elif w == 2:
+                    found.append(-(1 << 43) - (c[:-1] << 21 | c[1:]))
+                else:
+                    found.append(-1 - c)
+            return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+        return pd.Series([of(t) for t in texts])
+
+    codes.__annotations__ = {}
+    return F.pandas_udf(codes, "array<long>", F.PandasUDFType.SCALAR)
+
+
+def with_grams(texts: DataFrame, text: Column, widths: tuple[int, ...] = WIDTHS, widest_only: bool = False) -> DataFrame:
+    """One row per row and distinct ``gram`` of the text, of the given widths or of the widest that it has."""
+    return texts.withColumn("_grams", _gram_codes(widths, widest_only)(text)).withColumn("gram", F.explode("_grams")).drop("_grams")
+
+
+def anchored(patterns: DataFrame, pattern: str, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """``gram, pattern``: every distinct pattern of at least the least width under its rarest gram."""
     distinct = patterns.select(pattern).filter(F.length(pattern) > 0).distinct()
-    held = with_grams(distinct.filter(F.length(pattern) > 1), F.col(pattern)).unionByName(
-        distinct.filter(F.length(pattern) == 1).withColumn("gram", F.col(pattern)))
-    rarity = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    return held.join(rarity, "gram").groupBy(pattern).agg(F.min(F.struct("n", "gram")).alias("a")).select(F.col("a.gram").alias("gram"), pattern)
+    listed = with_grams(distinct, F.col(pattern), widths, widest_only=True)
+    rarity = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(rarity, "gram").groupBy(pattern).agg(F.min(F.struct("n", "gram")).alias("a")).select(F.col("a.gram").alias("gram"), pattern)
 
 
-def meeting(texts: DataFrame, text: Column, patterns: DataFrame, pattern: str, single: bool = False) -> DataFrame:
+def meeting(texts: DataFrame, text: Column, patterns: DataFrame, pattern: str, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """The rows of ``texts`` beside every pattern that may occur in ``text``."""
-    return with_grams(texts, text, single).join(anchored(patterns, pattern), "gram").drop("gram")
+    return with_grams(texts, text, widths).join(anchored(patterns, pattern, widths), "gram").drop("gram")

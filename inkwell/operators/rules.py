@@ -98,18 +98,18 @@ def phrase_hits_index(scripts: DataFrame, rules: DataFrame, key: str = "script_i
     times (non-overlapping literal occurrences, like ``str.count``).
 
     The same rows as ``phrase_hits`` for rule tables of any size: texts and phrases
-    meet on the phrases' rarest two-character grams (``grams``, rows without the
+    meet on the phrases' rarest grams (``grams``, rows without the
     text), the candidates of a text are counted on the text, and classes come back by
     phrase.  No table of rules is held by the driver or carried by every row.
     """
     listed = rules.filter(~F.col("rule_class").isin(*NOT_FORBIDDEN) & (F.length("phrase") > 0)).select("rule_class", "phrase").distinct()
     t = F.col(text)
-    grams = with_grams(scripts.select(F.col(key).alias("_key"), t), t, single=True).select("_key", "gram")
+    grams = with_grams(scripts.select(F.col(key).alias("_key"), t), t).select("_key", "gram")
     candidates = grams.join(anchored(listed, "phrase"), "gram").groupBy("_key").agg(F.collect_set("phrase").alias("_phrases"))
-    counted = F.transform(F.col("_phrases"), lambda p: F.struct(
+    counted = F.transform(F.filter("_phrases", lambda p: F.col("_t").contains(p)), lambda p: F.struct(
         p.alias("phrase"), ((F.length("_t") - F.length(F.replace(F.col("_t"), p, F.lit("")))) / F.length(p)).cast("long").alias("n")))
     own = scripts.select(F.col(key), t.alias("_t"))
-    found = own.join(candidates, own[key].eqNullSafe(candidates["_key"])).select(F.col(key), F.inline(F.filter(counted, lambda h: h["n"] > 0)))
+    found = own.join(candidates, own[key].eqNullSafe(candidates["_key"])).select(F.col(key), F.inline(counted))
     return found.join(listed, "phrase").select(key, "rule_class", "phrase", "n")
 
 

@@ -48,9 +48,9 @@ def q_rulebook_scan(spark, d) -> DataFrame:
 
 
 def q_phrase_hits_index(spark, d) -> DataFrame:
-    """Every word of the benchmark texts as a rule, over every document."""
+    """Every term (word of eight letters and more) of the benchmark texts as a rule, over every document."""
     words = load(spark, d, "benchmark").select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("phrase"))
-    rules = words.filter("phrase <> ''").distinct().select(F.lit("benchmark").alias("rule_class"), "phrase")
+    rules = words.filter(F.length("phrase") >= 8).distinct().select(F.lit("benchmark").alias("rule_class"), "phrase")
     return R.phrase_hits_index(_docs(spark, d), rules)
 
 
@@ -176,7 +176,7 @@ m AS (SELECT script_id, len(s) AS n_sent, len(list_filter(s, lambda x: length(x)
 ORACLE = {
     "phrase_hits": f"WITH {_HITS} SELECT * FROM hits",
     "phrase_hits_index": r"""WITH p AS (SELECT DISTINCT phrase FROM (
-          SELECT unnest(regexp_split_to_array(text, '[\x20\x09-\x0D]+')) AS phrase FROM benchmark) WHERE phrase <> '')
+          SELECT unnest(regexp_split_to_array(text, '[\x20\x09-\x0D]+')) AS phrase FROM benchmark) WHERE length(phrase) >= 8)
         SELECT * FROM (SELECT d.doc_id AS script_id, 'benchmark' AS rule_class, p.phrase,
           CAST((length(d.text) - length(replace(d.text, p.phrase, ''))) // length(p.phrase) AS BIGINT) AS n
           FROM documents d JOIN p ON contains(d.text, p.phrase)) WHERE n > 0""",

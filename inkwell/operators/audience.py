@@ -134,6 +134,15 @@ def segment_findings(curve: DataFrame, bucket_s: int, horizon_s: int, by: list[s
     return g.select(*by, "kind", "from_bucket", "to_bucket", F.col("total_drop").cast("long").alias("total_drop"))
 
 
+def report_findings(segments: DataFrame, bucket_s: int, by: list[str]) -> DataFrame:
+    """``segment_findings`` as rows of an audit report: by, seq in time order, kind, from_s, to_s, detail."""
+    return segments.select(
+        *by, F.row_number().over(Window.partitionBy(*by).orderBy("from_bucket")).alias("seq"), "kind",
+        fmt_offset(F.col("from_bucket") * bucket_s).alias("from_s"),
+        fmt_offset((F.col("to_bucket") + 1) * bucket_s).alias("to_s"),
+        F.concat(F.lit("sessions lost: "), F.col("total_drop").cast("string")).alias("detail"))
+
+
 def pacing(events: DataFrame, ts: str = "ts", bucket: str = "1 hour", by: list[str] | None = None) -> DataFrame:
     """Events per time bucket and the ratio to the mean bucket of ``by``
     (computed as n · buckets / total, exact in integers until the final

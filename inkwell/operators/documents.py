@@ -65,6 +65,8 @@ def _template(name: str) -> str:
 
 SYSTEM_TEMPLATE = _template("system_prompt.txt")
 USER_TEMPLATE = _template("user_prompt.txt")
+AUDIT_SYSTEM_TEMPLATE = _template("audit_system_prompt.txt")
+AUDIT_USER_TEMPLATE = _template("audit_user_prompt.txt")
 
 
 def template_parts(template: str) -> list[str]:
@@ -140,15 +142,15 @@ def number_rows(df: DataFrame, key: list[str], order: list[Column], name: str =
 
 # ------------------------------------------------------------------- P-6 / J-1
 
-def label_keywords(label) -> Column:
+def label_keywords(label, aliases: list[tuple[str, str]] = KEYWORD_ALIASES) -> Column:
     """Keywords of a label: its ``_`` parts longer than one character, plus
-    the first matching alias."""
+    the first matching alias.  ``aliases``: (word, added word) by priority."""
     low = F.lower(_c(label))
     kws = F.filter(F.split(low, "_"), lambda x: F.length(x) > 1)
     alias = None
-    for needle, extra in reversed(KEYWORD_ALIASES):
+    for needle, extra in reversed(aliases):
         alias = F.when(low.contains(needle), F.lit(extra)).otherwise(alias if alias is not None else F.lit(None))
-    return F.when(alias.isNull(), kws).otherwise(F.concat(kws, F.array(alias)))
+    return kws if alias is None else F.when(alias.isNull(), kws).otherwise(F.concat(kws, F.array(alias)))
 
 
 def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
@@ -163,7 +165,7 @@ def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
     return met.filter(F.col("_low").contains(F.col("kw"))).select("name", "kw")
 
 
-def pair_essence(labels: DataFrame, essences: DataFrame) -> DataFrame:
+def pair_essence(labels: DataFrame, essences: DataFrame, aliases: list[tuple[str, str]] = KEYWORD_ALIASES) -> DataFrame:
     """Pair each label with an essence document (substring theta join).
 
     A label matches an essence when any of its keywords occurs in the
@@ -173,7 +175,7 @@ def pair_essence(labels: DataFrame, essences: DataFrame) -> DataFrame:
     The match is an equi-join on two-character grams of names and keywords.
     """
     lab = labels.select("label").distinct()
-    lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label"))).alias("kw"))
+    lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label", aliases))).alias("kw"))
     kw = lk.select("kw").distinct()
     hits = _substring_matches(essences.select("name"), kw)
     ess = essences.select("name", "mtime")
@@ -457,6 +459,11 @@ def user_prompt(few_shot, raw, essence, idea) -> Column:
         "idea": F.coalesce(F.nullif(_c(idea), F.lit("")), F.lit(DEFAULT_IDEA))})
 
 
+def audit_prompt(metrics_json) -> tuple[Column, Column]:
+    """(system, user) prompt of the audit step; the user prompt shows the metrics."""
+    return F.lit(AUDIT_SYSTEM_TEMPLATE), fill_template(AUDIT_USER_TEMPLATE, {"metrics_json": _c(metrics_json)})
+
+
 def sectioned_log(system, prompt, response) -> Column:
     return F.concat(F.lit(LOG_SYSTEM), _c(system), F.lit("\n\n"), F.lit(LOG_PROMPT), _c(prompt),
                     F.lit("\n\n"), F.lit(LOG_RESPONSE), _c(response), F.lit("\n"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
@@ -287,3 +287,45 @@ def rulebook_candidates(scripts: DataFrame, rules: DataFrame, text: str = "text"
     known = rules.select(F.lower("phrase").alias("phrase")).distinct()
     return counts.join(known, "phrase", "left_anti") \
         .orderBy(F.col("n_hits").desc(), "phrase").limit(k)
+
+
+def frequent_phrases(scripts: DataFrame, key: str = "script_id", text: str = "text", min_scripts: int = 2, max_words: int = 4,
+                     token: str = r"[^\s\p{P}]+") -> DataFrame:
+    """Phrases of 1 to ``max_words`` tokens that stand in at least ``min_scripts``
+    scripts, within a sentence: phrase, n_words, n_scripts, n_hits.
+
+    Level by level: a phrase of n words is only counted where its first and its
+    last n - 1 words are frequent, so rare stretches of text are dropped before
+    they are shuffled again.  Only closed phrases are returned: none that a phrase
+    one word longer holds with the same number of scripts and of hits.
+    """
+    sentences = F.regexp_extract_all(F.lower(F.col(text)), F.lit(SENTENCE_WITH_END), 0)
+    words = F.filter(F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(token), 0)), lambda a: F.size(a) > 0)
+    spread = scripts.select(key, F.posexplode(words).alias("sentence", "words"))
+    level = spread.select(key, "sentence", F.posexplode("words").alias("at", "phrase"))
+    found = None
+    for n in range(1, max_words + 1):
+        counts = (level.groupBy(key, "phrase").agg(F.count(F.lit(1)).alias("n"))     # one row per script first
+                  .groupBy("phrase").agg(F.count(F.lit(1)).alias("n_scripts"), F.sum("n").alias("n_hits"))
+                  .filter(F.col("n_scripts") >= min_scripts))
+        rows = counts.withColumn("n_words", F.lit(n))
+        found = rows if found is None else found.unionByName(rows)
+        if n < max_words:
+            kept = level.join(counts.select("phrase"), "phrase", "left_semi")
+            after = F.lead(F.struct("at", "phrase")).over(Window.partitionBy(key, "sentence").orderBy("at"))
+            # the next frequent phrase begins one word on: both parts of the longer one are frequent
+            level = (kept.withColumn("after", after).filter(F.col("after.at") == F.col("at") + 1)
+                     .select(key, "sentence", "at", F.concat("phrase", F.lit(" "), F.substring_index("after.phrase", " ", -1)).alias("phrase")))
+    longer = found.filter("n_words > 1")
+    inner = longer.select(F.explode(F.array(F.regexp_replace("phrase", " [^ ]+$", ""), F.regexp_replace("phrase", "^[^ ]+ ", ""))).alias("phrase"),
+                          "n_scripts", "n_hits")
+    return found.join(inner, ["phrase", "n_scripts", "n_hits"], "left_anti").select("phrase", "n_words", "n_scripts", "n_hits")
+
+
+def rulebook_feedback(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text", k: int = 10,
+                      min_scripts: int = 2, max_words: int = 4) -> DataFrame:
+    """The ``k`` phrases of two words and more that stand in most scripts (then most
+    often) and that the rulebook does not list yet."""
+    known = rules.select(F.trim(F.lower("phrase")).alias("phrase")).distinct()
+    return (frequent_phrases(scripts, key, text, min_scripts, max_words).filter("n_words > 1").join(known, "phrase", "left_anti")
+            .orderBy(F.col("n_scripts").desc(), F.col("n_hits").desc(), "phrase").limit(k))

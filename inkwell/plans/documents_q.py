@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import PY_SPACE, source_label
 from inkwell.operators import documents as D
 from inkwell.operators import rules as R
+from inkwell.operators.market import normalize_ticker
 from inkwell.plans.tables import load
 
 # run stamp parameter (wall clock, no zone: independent of the session zone)
@@ -41,7 +42,7 @@ def _event_docs(spark, d) -> DataFrame:
 def q_source_labels(spark, d) -> DataFrame:
     docs = _event_docs(spark, d)
     return docs.select("event_id", "name", source_label("name").alias("label"),
-                       F.upper("event_type").alias("ticker"))
+                       normalize_ticker(F.col("event_type")).alias("ticker"))
 
 
 def q_latest_per_label(spark, d) -> DataFrame:
@@ -231,6 +232,37 @@ def q_draft_final_diff(spark, d) -> DataFrame:
     return draft_final_diff(D.pair_versions(_folder_files(spark, d)), key="dir")
 
 
+def _reordered(spark, d) -> DataFrame:
+    """Stand-in versions of a conversation: v1 = all turns in order, v2 = the
+    turns without a user's first, then the users' again from the last one on."""
+    c = load(spark, d, "conversations")
+    turns = c.groupBy(F.col("conv_id").alias("dir")).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    texts = lambda a: F.array_join(F.transform(a, lambda x: x["text"]), "\n")
+    user = lambda x: x["role"] == "user"
+    return turns.select("dir", texts(F.col("t")).alias("v1"), F.concat(
+        texts(F.filter("t", lambda x: ~user(x))), F.lit("\n"), texts(F.reverse(F.filter("t", user)))).alias("v2"))
+
+
+def q_draft_final_alignment(spark, d) -> DataFrame:
+    from inkwell.operators.diff import draft_final_alignment
+    return draft_final_alignment(_reordered(spark, d))
+
+
+def q_archive_few_shot(spark, d) -> DataFrame:
+    """Drafts (turn 2) and finals (turn 3) as rows of the report table, read as the
+    history folders of the next generation run (run stamp = a second per conversation)."""
+    from inkwell.sinks import archive_files, report_rows
+    c = load(spark, d, "conversations")
+    run_ts = F.timestamp_add("SECOND", F.col("conv_id"), F.lit(RUN_TS).cast("timestamp_ntz"))
+    docs = c.select("turn", F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("label"), run_ts.alias("at"),
+                    F.col("text").alias("content"))
+    rows = report_rows(docs.filter("turn = 2"), "draft", F.col("at")).unionByName(
+        report_rows(docs.filter("turn = 3"), "final", F.col("at")))
+    b = D.few_shot_block(D.few_shot_pairs(archive_files(rows), 3))
+    return b.select(F.col("n_pairs").cast("long").alias("n_pairs"), F.length("few_shot").cast("long").alias("n_chars"),
+                    F.md5("few_shot").alias("few_shot_md5"))
+
+
 def _conv_pages(spark, d) -> DataFrame:
     c = load(spark, d, "conversations")
     return c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).alias("page_no"),
@@ -302,6 +334,8 @@ QUERIES = {
     "version_pairs": q_version_pairs,
     "few_shot_block": q_few_shot_block,
     "draft_final_diff": q_draft_final_diff,
+    "draft_final_alignment": q_draft_final_alignment,
+    "archive_few_shot": q_archive_few_shot,
     "assembled_pages": q_assembled_pages,
     "required_gate": q_required_gate,
     "sectioned_log": q_sectioned_log,
@@ -567,3 +601,32 @@ ORACLE["draft_final_diff"] = f"""WITH {_FOLDER},
       - (CASE WHEN len(s1) > 0 THEN list_sum(list_transform(s1, lambda x: length(x))) / len(s1) END)
         AS mean_sentence_len_change
     FROM d"""
+
+# a row of the dynamic programme per sentence of v1; best(j) is a running maximum over j
+ORACLE["draft_final_alignment"] = f"""WITH RECURSIVE t AS (
+      SELECT conv_id AS dir, string_agg(text, chr(10) ORDER BY turn) AS v1,
+             coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role <> 'user'), '') || chr(10)
+             || coalesce(string_agg(text, chr(10) ORDER BY turn DESC) FILTER (WHERE role = 'user'), '') AS v2
+      FROM conversations GROUP BY conv_id),
+    s AS (SELECT dir, {_sents_sql('v1')} AS s1, {_sents_sql('v2')} AS s2 FROM t),
+    cells AS (
+      SELECT dir, 0 AS i, j, 0 AS best FROM (SELECT dir, unnest(range(0, len(s2) + 1)) AS j FROM s)
+      UNION ALL
+      SELECT dir, i + 1, j, max(reach) OVER (PARTITION BY dir ORDER BY j) FROM (
+        SELECT c.dir, c.i, c.j, greatest(c.best, CASE WHEN c.j > 0 AND s.s1[c.i + 1] = s.s2[c.j]
+                 THEN 1 + lag(c.best) OVER (PARTITION BY c.dir ORDER BY c.j) ELSE 0 END) AS reach
+        FROM cells c JOIN s ON s.dir = c.dir WHERE c.i < len(s.s1))),
+    k AS (SELECT s.dir, len(s1) AS n1, len(s2) AS n2, max(best) AS kept FROM s JOIN cells c ON c.dir = s.dir AND c.i = len(s1) GROUP BY ALL),
+    w1 AS (SELECT dir, x, count(*) AS n FROM (SELECT dir, unnest(s1) AS x FROM s) GROUP BY ALL),
+    w2 AS (SELECT dir, x, count(*) AS n FROM (SELECT dir, unnest(s2) AS x FROM s) GROUP BY ALL),
+    sh AS (SELECT w1.dir, sum(least(w1.n, w2.n)) AS shared FROM w1 JOIN w2 ON w1.dir = w2.dir AND w1.x = w2.x GROUP BY w1.dir)
+    SELECT k.dir, CAST(n1 AS BIGINT) AS n_v1, CAST(n2 AS BIGINT) AS n_v2, CAST(kept AS BIGINT) AS kept,
+           CAST(n1 - kept AS BIGINT) AS removed, CAST(n2 - kept AS BIGINT) AS added,
+           CAST(coalesce(shared, 0) - kept AS BIGINT) AS moved
+    FROM k LEFT JOIN sh ON sh.dir = k.dir"""
+
+_ARCHIVE = _FOLDER.replace("SELECT conv_id AS dir,", f"""SELECT 'C' || CAST(conv_id AS VARCHAR) || '解析_'
+                 || strftime({_RUN_TS_SQL} + to_seconds(conv_id), '%Y%m%d_%H%M%S') AS dir,""").replace(
+    "text AS content FROM conversations", "text AS content FROM conversations WHERE turn IN (2, 3)")
+ORACLE["archive_few_shot"] = f"""WITH {_ARCHIVE} SELECT n_pairs, CAST(length(few_shot) AS BIGINT) AS n_chars,
+        md5(few_shot) AS few_shot_md5 FROM fs"""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.fmt import fixed
 from inkwell.operators import audience as A
+from inkwell.operators import documents as D
 from inkwell.operators import metrics as M
 from inkwell.plans.tables import load
 
@@ -149,7 +150,35 @@ def q_audit_report(spark, d) -> DataFrame:
                     F.md5("content").alias("content_md5"))
 
 
+def _typed_events(spark, d) -> DataFrame:
+    """Events by video; a video is one event type in one month."""
+    return load(spark, d, "events").select(F.concat_ws("-", F.date_format("ts", "yyyy-MM"), "event_type").alias("video"),
+                                           F.col("user_id").alias("viewer"), "ts", "event_type", "value")
+
+
+def q_audit_step(spark, d) -> DataFrame:
+    """Prompt and report of every video.  Stated metrics: clicks as inline JSON, errors
+    none at all (the defaults hold), the other types as a CSV file."""
+    from inkwell.plans import workflows as W
+    ev = _typed_events(spark, d)
+    n = F.count(F.lit(1))
+    share = lambda limit: fixed(F.count(F.when(F.col("value") > limit, 1)) / n, 4)
+    stated = ev.groupBy("video").agg(F.min("event_type").alias("type"), n.cast("string").alias("n"),
+                                     share(10).alias("r"), share(40).alias("c"))
+    inputs = stated.select(
+        "video", F.when(F.col("type") == "click", F.concat(F.lit('{"views": '), "n", F.lit(', "note": "'), "type", F.lit('"}'))).alias("inline"),
+        F.when(~F.col("type").isin("click", "error"), F.concat(F.lit("views,retention_5s,completion_rate\n"), F.concat_ws(",", "n", "r", "c")))
+        .alias("file_content"))
+    run_ts = load(spark, d, "events").select(F.max("ts")).scalar()
+    out = W.audit_step(inputs, ev, run_ts, BUCKET_S, HORIZON_S, GAP, "purchase", key="video")
+    prompts = out["prompts"].select("video", F.md5("system").alias("system_md5"), F.md5("prompt").alias("prompt_md5"))
+    reports = out["reports"].select("video", "n_findings", F.length("content").cast("long").alias("n_chars"),
+                                    F.md5("content").alias("content_md5"))
+    return prompts.join(reports, "video")
+
+
 QUERIES = {
+    "audit_step": q_audit_step,
     "metric_values": q_metric_values,
     "merged_metrics": q_merged_metrics,
     "metrics_json": q_metrics_json,
@@ -332,3 +361,47 @@ ORACLE = {
         SELECT strftime((SELECT max(ts) FROM events), '%Y-%m') AS video, CAST(n_findings AS BIGINT) AS n_findings, CAST(length(content) AS BIGINT) AS n_chars,
                md5(content) AS content_md5 FROM rep""",
 }
+
+_VIDEO_SEG = f"""
+c1 AS (SELECT *, sum("drop") OVER (PARTITION BY video) AS s_, count(*) OVER (PARTITION BY video) AS n_ FROM curve WHERE bucket >= 1),
+k AS (SELECT *, CASE WHEN bucket <= {-(-HORIZON_S // BUCKET_S)} THEN 'opening_loss' WHEN "drop" * n_ > s_ THEN 'sag'
+                     WHEN "drop" * n_ * 4 < s_ THEN 'highlight' ELSE 'steady' END AS kind FROM c1),
+isl AS (SELECT *, bucket - row_number() OVER (PARTITION BY video, kind ORDER BY bucket) AS grp FROM k),
+seg AS (SELECT video, kind, min(bucket) AS from_bucket, max(bucket) AS to_bucket, CAST(sum("drop") AS BIGINT) AS total_drop
+        FROM isl GROUP BY video, kind, grp)"""
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+ORACLE["audit_step"] = f"""WITH {_VIDEO_CURVE.replace("strftime(ts, '%Y-%m') AS video", "strftime(ts, '%Y-%m') || '-' || event_type AS video")}, {_VIDEO_SEG},
+    st AS (SELECT strftime(ts, '%Y-%m') || '-' || event_type AS video, min(event_type) AS type, count(*) AS n,
+                  printf('%.4f', count(*) FILTER (WHERE value > 10) / count(*)) AS r0,
+                  printf('%.4f', count(*) FILTER (WHERE value > 40) / count(*)) AS c0 FROM events GROUP BY 1),
+    m AS (SELECT video, type, CASE WHEN type = 'error' THEN 12000 ELSE n END AS views,
+                 CASE WHEN type IN ('click', 'error') THEN 0.45::DOUBLE ELSE r0::DOUBLE END AS r,
+                 CASE WHEN type IN ('click', 'error') THEN 0.18::DOUBLE ELSE c0::DOUBLE END AS c FROM st),
+    pr AS (SELECT *, '{{' || chr(10) || '    "views": ' || CAST(views AS VARCHAR) || ',' || chr(10)
+                  || '    "retention_5s": ' || CAST(r AS VARCHAR) || ',' || chr(10) || '    "completion_rate": ' || CAST(c AS VARCHAR)
+                  || CASE WHEN type = 'click' THEN ',' || chr(10) || '    "note": "click"' ELSE '' END || chr(10) || '}}' AS js FROM m),
+    f AS (SELECT video, row_number() OVER (PARTITION BY video ORDER BY from_bucket) AS seq, kind,
+                 {_offset(f'from_bucket * {BUCKET_S}')} AS from_s, {_offset(f'(to_bucket + 1) * {BUCKET_S}')} AS to_s,
+                 'sessions lost: ' || CAST(total_drop AS VARCHAR) AS detail FROM seg),
+    fa AS (SELECT video, count(*) AS n_findings,
+             string_agg('### ' || kind || ' (' || from_s || ' - ' || to_s || ')' || chr(10) || detail || chr(10) || chr(10), '' ORDER BY seq) AS sections,
+             string_agg(CAST(seq AS VARCHAR) || '. ' || kind || ': ' || from_s || ' - ' || to_s || chr(10), '' ORDER BY seq) AS actions
+           FROM f GROUP BY video),
+    rep AS (SELECT pr.video, {_text(D.template_parts(D.AUDIT_USER_TEMPLATE)[0])} || js || {_text(D.template_parts(D.AUDIT_USER_TEMPLATE)[2])} AS prompt,
+          coalesce(n_findings, 0) AS n_findings,
+          '{M.OVERVIEW_TITLE}' || chr(10) || chr(10) || '报告生成时间: ' || strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M:%S')
+          || chr(10) || '{"=" * 72}' || chr(10) || chr(10) || '## 1. 核心表现数据分析 (Metrics Overview)' || chr(10)
+          || '*   **本期视频播放量 (Views)**: ' || CAST(views AS VARCHAR) || chr(10)
+          || '*   **前 5 秒保留率 (5s Retention)**: ' || printf('%.1f', r * 100) || '% ('
+          || CASE WHEN r < 0.6 THEN 'warning' WHEN r <= 0.7 THEN 'good' ELSE 'excellent' END || ')' || chr(10)
+          || '*   **全片完播率 (Completion Rate)**: ' || printf('%.1f', c * 100) || '%' || chr(10) || chr(10) || '---' || chr(10) || chr(10)
+          || '## 2. 多模态表达诊断 (Speech & Tone Diagnostics)' || chr(10) || coalesce(sections, '')
+          || '---' || chr(10) || chr(10) || '## 3. 下期迭代优化动作清单 (Action Items for Next Week)' || chr(10) || coalesce(actions, '') AS content
+        FROM pr LEFT JOIN fa ON fa.video = pr.video)
+    SELECT video, md5({_text(D.AUDIT_SYSTEM_TEMPLATE)}) AS system_md5, md5(prompt) AS prompt_md5,
+           CAST(n_findings AS BIGINT) AS n_findings, CAST(length(content) AS BIGINT) AS n_chars, md5(content) AS content_md5 FROM rep"""

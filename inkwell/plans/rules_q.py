@@ -27,6 +27,12 @@ STAND_IN_FILLERS = [" et ", " and ", " und "]
 FIRST_PERSON_STAND_IN = "re"
 MAX_SENTENCE = 25
 TOP_K = 10
+MIN_SCRIPTS = 5
+# Parts of a stand-in response.
+RESPONSE_HEAD = "1. **包装**\n\n*   **视频封面文字**："
+RESPONSE_SPOKEN = "\n\n---\n\n2. **口播稿**\n\n"
+RESPONSE_CARDS = "\n\n---\n\n3. **卡片**\n"
+RESPONSE_CARD = "<CognitiveCard>\n**a**\nb\n</CognitiveCard>\n"
 # -----------------------------------------------------------------------------
 
 
@@ -113,7 +119,39 @@ def q_rulebook_candidates(spark, d) -> DataFrame:
     return R.rulebook_candidates(_docs(spark, d), rules, k=TOP_K)
 
 
+def q_rulebook_feedback(spark, d) -> DataFrame:
+    """Phrases of two to four words that recur over all documents and are no rule yet."""
+    return R.rulebook_feedback(_docs(spark, d), stand_in_rules(spark), k=TOP_K, min_scripts=MIN_SCRIPTS).select(
+        "phrase", F.col("n_words").cast("long").alias("n_words"), "n_scripts", "n_hits")
+
+
+def _document_responses(spark, d) -> DataFrame:
+    """Stand-in responses: every document as the spoken part of a three-part response,
+    its parameters (cover, hashtags, cards, title) cut from its own columns."""
+    c = load(spark, d, "documents")
+    size = F.length("text")
+    mark = lambda test, then: F.when(test, F.lit(then)).otherwise(F.lit(""))
+    return c.select(F.col("doc_id").alias("label"), F.concat(
+        F.lit(RESPONSE_HEAD), F.substring("text", 1, 8), F.lit("\n*   **吸睛发布标题**：a title"), mark(size < 1000, " 毫无疑问"),
+        F.lit("\n*   **5 个高流量精准 Hashtags**："), F.concat(*[F.concat(F.lit(" #"), F.col(x)) for x in ("lang", "lang", "source", "source")]),
+        mark(size >= 500, " #me"), F.lit(RESPONSE_SPOKEN), F.col("text"), F.lit(RESPONSE_CARDS),
+        F.lit(RESPONSE_CARD), F.lit(RESPONSE_CARD), mark(size >= 300, RESPONSE_CARD), mark(size >= 5000, "<CognitiveCard>")).alias("text"))
+
+
+def q_response_scorecard(spark, d) -> DataFrame:
+    """All nine checks of every response, with the real rule table and its limits."""
+    from inkwell.plans import workflows as W
+    c = load(spark, d, "documents")
+    tags = (c.select(F.col("lang").alias("tag"), F.lit("macro").alias("tag_class")).distinct()
+            .unionByName(c.select(F.col("source").alias("tag"), F.lit("vertical").alias("tag_class")).distinct())
+            .unionByName(c.select(F.lit("me").alias("tag"), F.lit("identity").alias("tag_class")).distinct()))
+    tag_dim = tags.groupBy("tag").agg(F.min("tag_class").alias("tag_class"))
+    return W.response_audit(_document_responses(spark, d), R.rules_dim(spark), tag_dim, first_person=FIRST_PERSON_STAND_IN)
+
+
 QUERIES = {
+    "rulebook_feedback": q_rulebook_feedback,
+    "response_scorecard": q_response_scorecard,
     "phrase_hits": q_phrase_hits,
     "phrase_hits_index": q_phrase_hits_index,
     "rulebook_scan": q_rulebook_scan,
@@ -216,3 +254,57 @@ ORACLE = {
         WHERE phrase NOT IN (SELECT lower(trim(phrase)) FROM rules)
         ORDER BY n_hits DESC, phrase LIMIT {TOP_K}""",
 }
+
+_GRAMS = " UNION ALL ".join(
+    f"SELECT script_id, list_aggregate(w[i:i + {n - 1}], 'string_agg', ' ') AS phrase, {n} AS n_words "
+    f"FROM (SELECT script_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM pieces WHERE len(w) >= {n})" for n in range(1, 5))
+
+ORACLE["rulebook_feedback"] = f"""WITH {_RULES},
+    pieces AS (SELECT script_id, regexp_extract_all(p, '[^\\s\\p{{P}}]+', 0) AS w FROM (
+        SELECT doc_id AS script_id, unnest(regexp_extract_all(lower(text), '[^。！？!?.\\n]+', 0)) AS p FROM documents)),
+    g AS ({_GRAMS}),
+    c AS (SELECT phrase, n_words, count(DISTINCT script_id) AS n_scripts, count(*) AS n_hits FROM g GROUP BY ALL
+          HAVING count(DISTINCT script_id) >= {MIN_SCRIPTS}),
+    inner_ AS (SELECT regexp_replace(phrase, ' [^ ]+$', '') AS phrase, n_scripts, n_hits FROM c WHERE n_words > 1
+               UNION SELECT regexp_replace(phrase, '^[^ ]+ ', ''), n_scripts, n_hits FROM c WHERE n_words > 1)
+    SELECT c.phrase, CAST(c.n_words AS BIGINT) AS n_words, CAST(c.n_scripts AS BIGINT) AS n_scripts, CAST(c.n_hits AS BIGINT) AS n_hits
+    FROM c ANTI JOIN inner_ i ON i.phrase = c.phrase AND i.n_scripts = c.n_scripts AND i.n_hits = c.n_hits
+    WHERE c.n_words > 1 AND c.phrase NOT IN (SELECT trim(lower(phrase)) FROM rules)
+    ORDER BY n_scripts DESC, n_hits DESC, phrase LIMIT {TOP_K}"""
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, {_STRIP}, '', 'g')"
+
+
+_MARK = lambda test, then: f"CASE WHEN {test} THEN {_q(then)} ELSE '' END"
+_LIMIT = dict(R.LIMITS)
+
+ORACLE["response_scorecard"] = f"""WITH {_rulebook_values()},
+    resp AS (SELECT doc_id AS label, lang, source, {_q(RESPONSE_HEAD)} || substring(text, 1, 8) || chr(10) || '*   **吸睛发布标题**：a title'
+        || {_MARK("length(text) < 1000", " 毫无疑问")} || chr(10) || '*   **5 个高流量精准 Hashtags**：' || ' #' || lang || ' #' || lang
+        || ' #' || source || ' #' || source || {_MARK("length(text) >= 500", " #me")} || {_q(RESPONSE_SPOKEN)} || text || {_q(RESPONSE_CARDS)}
+        || {_q(RESPONSE_CARD)} || {_q(RESPONSE_CARD)} || {_MARK("length(text) >= 300", RESPONSE_CARD)}
+        || {_MARK("length(text) >= 5000", "<CognitiveCard>")} AS response FROM documents),
+    cl AS (SELECT *, regexp_replace({_strip("regexp_replace(response, '<CognitiveCard>.*?</CognitiveCard>', '', 'gs')")},
+                                    '\\n{{3,}}', chr(10) || chr(10), 'g') AS clean FROM resp),
+    pa AS (SELECT *, {_strip("regexp_extract(clean, '视频封面文字[^\\n]*?[：:]([^\\n]*)', 1)")} AS cover,
+        regexp_extract_all(regexp_extract(clean, 'Hashtags[^\\n]*?[：:]([^\\n]*)', 1), '#([^\\s#]+)', 1) AS tags,
+        {_strip(f"regexp_replace({_strip('regexp_split_to_array(clean, chr(10) || ' + chr(39) + '-{3,}[ ' + chr(92) + 't]*(' + chr(92) + 'n|' + chr(92) + 'z)' + chr(39) + ')[2]')}, '^[0-9]+\\.[^\\n]*\\n', '')")} AS text FROM cl),
+    se AS (SELECT label, {_SENTS} AS s, {_SENTS_END} AS se FROM pa),
+    dim AS (SELECT tag, min(cls) AS cls FROM (SELECT lang AS tag, 'macro' AS cls FROM documents UNION SELECT source, 'vertical' FROM documents
+                                             UNION SELECT 'me', 'identity') GROUP BY tag),
+    tg AS (SELECT u.label, string_agg(coalesce(d.cls, 'unknown'), ',' ORDER BY u.pos) AS seq, count(*) AS n
+           FROM (SELECT label, generate_subscripts(tags, 1) AS pos, unnest(tags) AS tag FROM pa) u LEFT JOIN dim d ON d.tag = u.tag GROUP BY u.label),
+    ch AS (SELECT pa.label, NOT EXISTS (SELECT 1 FROM rb WHERE contains(pa.clean, rb.phrase)) AS no_forbidden,
+        len(list_filter(s, lambda x: length(x) > {_LIMIT["max_sentence_chars"]})) = 0 AS short_sentences,
+        len(regexp_extract_all(text, '[0-9]+(\\.[0-9]+)?', 0)) > 0 AS has_numbers,
+        len(list_filter(se, lambda x: suffix(x, '?') OR suffix(x, '？'))) > 0 AS asks_questions,
+        len(list_filter(se, lambda x: contains(x, '{FIRST_PERSON_STAND_IN}'))) > 0 AS first_person,
+        length(regexp_replace(cover, '[\\p{{P}}{PY_SPACE[1:-1]}]', '', 'g')) BETWEEN {_LIMIT["cover_min_chars"]} AND {_LIMIT["cover_max_chars"]} AS cover_ok,
+        coalesce(tg.n = {_LIMIT["hashtags"]} AND tg.seq = '{",".join(R.HASHTAG_ORDER)}', false) AS hashtags_ok,
+        len(regexp_extract_all(response, '<CognitiveCard>.*?</CognitiveCard>', 0, 's')) = {_LIMIT["cards"]} AS cards_ok,
+        NOT (contains(clean, '<CognitiveCard>') OR contains(clean, '</CognitiveCard>')) AS no_tag_leak
+      FROM pa JOIN se ON se.label = pa.label LEFT JOIN tg ON tg.label = pa.label)
+    SELECT *, CAST(no_forbidden::INT + short_sentences::INT + has_numbers::INT + asks_questions::INT + first_person::INT + cover_ok::INT
+                   + hashtags_ok::INT + cards_ok::INT + no_tag_leak::INT AS BIGINT) AS n_passed FROM ch"""

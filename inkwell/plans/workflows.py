@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import source_label
+from inkwell.operators import audience as A
 from inkwell.operators import documents as D
 from inkwell.operators import market as M
 from inkwell.operators import metrics as X
@@ -121,6 +122,28 @@ def audit_metrics(metric_inputs: DataFrame, key: str = "video_id") -> DataFrame:
                             keep=["grade", "red", "retention_5s", "completion_rate"])
 
 
+def audit_step(metric_inputs: DataFrame, playback: DataFrame, run_ts: Column, bucket_s: int, horizon_s: int,
+               gap: str, end_event: str, key: str = "video_id") -> dict[str, DataFrame]:
+    """The audit step of many videos at once: stated metrics and playback in, prompts and reports out.
+
+    ``metric_inputs``: key, inline, file_content (a video's stated metrics beat
+    the defaults); ``playback``: key, viewer, ts, event_type.  Output:
+
+    * ``prompts``: key, system, prompt (the metrics as JSON);
+    * ``reports``: key, n_findings, content: the overview of the merged metrics
+      and one finding per stretch of the retention curve, for every video of
+      ``metric_inputs`` (without playback: no finding).  ``sinks.write_reports``
+      stores them.
+    """
+    merged = X.merge_metrics(metric_inputs, key=key)
+    system, prompt = D.audit_prompt(F.col("metrics_json"))
+    prompts = X.metrics_json(merged, key=key).select(key, system.alias("system"), prompt.alias("prompt"))
+    curve = A.retention_curve(A.sessions(playback, gap=gap, end_event=end_event, by=[key]), bucket_s, by=[key])
+    findings = A.report_findings(A.segment_findings(curve, bucket_s, horizon_s, by=[key]), bucket_s, [key])
+    reports = X.audit_report(audit_metrics(metric_inputs, key), findings, key, run_ts)
+    return {"prompts": prompts, "reports": reports}
+
+
 def script_audit(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text") -> DataFrame:
     """Per script: forbidden-phrase hits, sentence / density / style checks
     as one scorecard row."""
@@ -138,6 +161,48 @@ def script_audit(scripts: DataFrame, rules: DataFrame, key: str = "script_id", t
     return R.scorecard_wide(checks, key, ["no_forbidden", "short_sentences", "has_numbers", "asks_questions"])
 
 
+# The checks of a whole response, in the order of the scorecard.
+RESPONSE_CHECKS = ["no_forbidden", "short_sentences", "has_numbers", "asks_questions", "first_person",
+                   "cover_ok", "hashtags_ok", "cards_ok", "no_tag_leak"]
+
+
+def response_audit(responses: DataFrame, rules: DataFrame, tag_dim: DataFrame, key: str = "label", text: str = "text",
+                   first_person: str = R.FIRST_PERSON) -> DataFrame:
+    """All nine checks of a model response as one scorecard row.
+
+    Phrases are searched in the response without its cards; sentence length,
+    numbers, questions and the first person in the spoken part (a response
+    without parts has none, so those that need something there fail and no
+    sentence is too long).  The numbers to meet are the ``limit`` rows of
+    ``rules`` (sentence length, cover length, hashtags, cards); a limit that the
+    table does not hold is not checked.  ``tag_dim``: tag, tag_class.
+    """
+    limits = (rules.filter(F.col("rule_class") == "limit")
+              .agg(F.map_from_entries(F.collect_set(F.struct("phrase", "limit")))).scalar())
+    listed = rules.filter(~F.col("rule_class").isin(*R.NOT_FORBIDDEN)).agg(F.collect_set("phrase")).scalar()
+    met = lambda name, test: F.coalesce(test(F.col("_limits")[name]), F.col("_limits")[name].isNull())
+    base = (responses.select(key, F.col(text).alias("_text"), D.strip_tagged(text).alias("_clean"))
+            .withColumns({"_limits": limits, "_listed": listed}))
+    parts = D.response_parts("_clean")
+    base = base.withColumns({"_cover": parts["cover"], "_tags": parts["hashtags"], "_spoken": F.coalesce(parts["spoken"], F.lit(""))})
+    arr = R.sentence_arrays(base, "_spoken")
+    style, (n_cards, _), (n_cover, _) = R.style_ratios("_se", first_person), R.card_count("_text"), R.cover_length(F.col("_cover"))
+    some = lambda share: F.coalesce(share > 0, F.lit(False))
+    longest = F.coalesce(F.array_max(F.transform("_s", lambda s: F.length(s))), F.lit(0))
+    checks = arr.select(
+        key, (~F.exists("_listed", lambda p: F.col("_clean").contains(p))).alias("no_forbidden"),
+        met("max_sentence_chars", lambda n: longest <= n).alias("short_sentences"),
+        (R.info_density("_spoken")["n_numbers"] > 0).alias("has_numbers"),
+        some(style["question_share"]).alias("asks_questions"), some(style["first_person_share"]).alias("first_person"),
+        (met("cover_min_chars", lambda n: n_cover >= n) & met("cover_max_chars", lambda n: n_cover <= n)).alias("cover_ok"),
+        met("hashtags", lambda n: F.size("_tags") == n).alias("_count_ok"),
+        met("cards", lambda n: n_cards == n).alias("cards_ok"), (~D.tag_leak("_clean")).alias("no_tag_leak"))
+    matrix = R.hashtag_matrix(base.select(key, "_tags").withColumnRenamed("_tags", "tags"), key, tag_dim)
+    ordered = matrix.select(F.col(key).alias("_key"), F.col("order_ok").alias("_order_ok"))
+    joined = checks.join(ordered, checks[key] == F.col("_key"), "left").withColumn("hashtags_ok", F.col("_count_ok") & F.col("_order_ok"))
+    return R.scorecard_wide(joined, key, RESPONSE_CHECKS)
+
+
 def label_of(name: Column) -> Column:
     """Topic label of a file name (re-exported for callers of the workflows)."""
     return source_label(name)

@@ -162,9 +162,9 @@ def q_audit_step(spark, d) -> DataFrame:
     from inkwell.plans import workflows as W
     ev = _typed_events(spark, d)
     n = F.count(F.lit(1))
-    share = lambda limit: fixed(F.count(F.when(F.col("value") > limit, 1)) / n, 4)
+    share = lambda limit: F.floor(10000 * F.count(F.when(F.col("value") > limit, 1)) / n).cast("decimal(5,0)") * F.lit("0.0001").cast("decimal(5,4)")
     stated = ev.groupBy("video").agg(F.min("event_type").alias("type"), n.cast("string").alias("n"),
-                                     share(10).alias("r"), share(40).alias("c"))
+                                     share(10).cast("string").alias("r"), share(40).cast("string").alias("c"))
     inputs = stated.select(
         "video", F.when(F.col("type") == "click", F.concat(F.lit('{"views": '), "n", F.lit(', "note": "'), "type", F.lit('"}'))).alias("inline"),
         F.when(~F.col("type").isin("click", "error"), F.concat(F.lit("views,retention_5s,completion_rate\n"), F.concat_ws(",", "n", "r", "c")))
@@ -377,8 +377,8 @@ def _text(s: str) -> str:
 
 ORACLE["audit_step"] = f"""WITH {_VIDEO_CURVE.replace("strftime(ts, '%Y-%m') AS video", "strftime(ts, '%Y-%m') || '-' || event_type AS video")}, {_VIDEO_SEG},
     st AS (SELECT strftime(ts, '%Y-%m') || '-' || event_type AS video, min(event_type) AS type, count(*) AS n,
-                  printf('%.4f', count(*) FILTER (WHERE value > 10) / count(*)) AS r0,
-                  printf('%.4f', count(*) FILTER (WHERE value > 40) / count(*)) AS c0 FROM events GROUP BY 1),
+                  floor(10000 * count(*) FILTER (WHERE value > 10) / count(*)) / 10000 AS r0,
+                  floor(10000 * count(*) FILTER (WHERE value > 40) / count(*)) / 10000 AS c0 FROM events GROUP BY 1),
     m AS (SELECT video, type, CASE WHEN type = 'error' THEN 12000 ELSE n END AS views,
                  CASE WHEN type IN ('click', 'error') THEN 0.45::DOUBLE ELSE r0::DOUBLE END AS r,
                  CASE WHEN type IN ('click', 'error') THEN 0.18::DOUBLE ELSE c0::DOUBLE END AS c FROM st),

@@ -116,7 +116,10 @@ def split_responses(responses: DataFrame, drop_fallback: bool = True) -> dict[st
 def audit_metrics(metric_inputs: DataFrame, key: str = "video_id") -> DataFrame:
     """Per video: metrics overlaid on the defaults, the overview strings and
     the benchmark grade (``metric_inputs``: key, inline, file_content)."""
-    merged = X.merge_metrics(metric_inputs, key=key)
+    return _overview(X.merge_metrics(metric_inputs, key=key), key)
+
+
+def _overview(merged: DataFrame, key: str) -> DataFrame:
     grade, red = X.benchmark_grade(F.col("retention_5s"))
     return X.audit_overview(merged.withColumn("grade", grade).withColumn("red", red), key=key,
                             keep=["grade", "red", "retention_5s", "completion_rate"])
@@ -140,7 +143,7 @@ def audit_step(metric_inputs: DataFrame, playback: DataFrame, run_ts: Column, bu
     prompts = X.metrics_json(merged, key=key).select(key, system.alias("system"), prompt.alias("prompt"))
     curve = A.retention_curve(A.sessions(playback, gap=gap, end_event=end_event, by=[key]), bucket_s, by=[key])
     findings = A.report_findings(A.segment_findings(curve, bucket_s, horizon_s, by=[key]), bucket_s, [key])
-    reports = X.audit_report(audit_metrics(metric_inputs, key), findings, key, run_ts)
+    reports = X.audit_report(_overview(merged, key), findings, key, run_ts)
     return {"prompts": prompts, "reports": reports}
 
 

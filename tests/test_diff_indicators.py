@@ -63,3 +63,29 @@ def test_a_missing_period_is_no_predecessor(spark):
     assert run == {1: 0, 2: 1, 20: 0, 21: 1}
     g = spark.createDataFrame([("e", 1, 3.0), ("e", 40, -1.0), ("e", 41, 2.0), ("e", 42, -2.0)], "entity string, idx long, growth double")
     assert {r.idx for r in I.stall_flags(g, "entity", "idx", "growth").filter("stall").collect()} == {42}
+
+
+def test_alignment_equals_a_brute_force_common_subsequence(spark):
+    import random
+
+    from inkwell.operators.diff import draft_final_alignment
+
+    def common(a, b):
+        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
+        return rows[-1][-1]
+
+    rng = random.Random(4)
+    versions = [([rng.choice("abcdef") for _ in range(rng.randrange(n))], [rng.choice("abcdef") for _ in range(rng.randrange(n))])
+                for n in (1, 4, 9, 30, 90, 200) for _ in range(6)]
+    rows = [(str(i), "".join(x + "。" for x in a), "".join(x + "。" for x in b)) for i, (a, b) in enumerate(versions)]
+    rows += [("null", None, "a。"), ("empty", "", "a。a。")]
+    got = {r.dir: r for r in draft_final_alignment(spark.createDataFrame(rows, "dir string, v1 string, v2 string")).collect()}
+    for i, (a, b) in enumerate(versions):
+        r, kept = got[str(i)], common(a, b)
+        shared = sum(min(a.count(x), b.count(x)) for x in set(a))
+        assert (r.n_v1, r.n_v2, r.kept, r.removed, r.added, r.moved) == (len(a), len(b), kept, len(a) - kept, len(b) - kept, shared - kept)
+    assert got["null"].kept is None and (got["empty"].kept, got["empty"].added) == (0, 2)
+    assert draft_final_alignment(spark.createDataFrame([], "dir string, v1 string, v2 string")).count() == 0

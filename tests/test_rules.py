@@ -82,3 +82,29 @@ def test_sentence_arrays_split_form_equals_split_sentences(spark):
     rows = R.sentence_arrays(df).select("_s", split_sentences("text").alias("ref")).collect()
     for r in rows:
         assert r["_s"] == r["ref"]
+
+
+def test_frequent_phrases_equal_a_brute_force_miner(spark):
+    import re
+    from collections import Counter, defaultdict
+
+    import regex
+
+    from inkwell.operators import rules as R
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").selectExpr("doc_id as script_id", "text")
+    hits, scripts = Counter(), defaultdict(set)
+    for r in docs.collect():
+        for sentence in re.findall(r"[^。！？!?.\n]+", (r.text or "").lower()):
+            w = regex.findall(r"[^ \t\n\x0b\f\r\p{P}]+", sentence)
+            for n in range(1, 5):
+                for i in range(len(w) - n + 1):
+                    p = tuple(w[i:i + n])
+                    hits[p] += 1
+                    scripts[p].add(r.script_id)
+    frequent = {p: (len(scripts[p]), hits[p]) for p in hits if len(scripts[p]) >= 4}
+    held = {(q, c) for p, c in frequent.items() if len(p) > 1 for q in (p[1:], p[:-1])}
+    want = {(" ".join(p), len(p), *c) for p, c in frequent.items() if (p, c) not in held}
+    got = {tuple(x) for x in R.frequent_phrases(docs, min_scripts=4).collect()}
+    assert len(want) > 100 and (sorted(got - want)[:8], sorted(want - got)[:8]) == ([], [])
+    assert R.frequent_phrases(docs.limit(0)).count() == 0

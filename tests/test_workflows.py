@@ -106,3 +106,57 @@ def test_a_response_without_fallback_flag_keeps_its_cards(spark):
     df = spark.createDataFrame([("L", None, text, None), ("M", None, text, True)], "label string, run_ts timestamp, text string, is_fallback boolean")
     assert [r.label for r in W.split_responses(df)["cards"].select("label").distinct().orderBy("label").collect()] == ["L", "M"]
     assert "M" not in [r.label for r in W.split_responses(df)["card_documents"].collect()]
+
+
+def test_the_archive_feeds_the_next_few_shot_block(spark, tmp_path):
+    from inkwell import sinks
+    path, at = str(tmp_path / "reports"), lambda d: F.lit(f"2026-05-{d} 10:00:00").cast("timestamp_ntz")
+    docs = lambda *rows: spark.createDataFrame(rows, "label string, content string")
+    sinks.write_reports(docs(("A", "draft a"), ("B", "draft b")), path, "draft", at(24))
+    sinks.write_reports(docs(("A", "final a")), path, "final", at(24))
+    sinks.write_reports(docs(("2026", "draft c")), path, "draft", at(25))
+    sinks.write_reports(docs(("2026", "final c")), path, "final", at(25))
+    sinks.write_reports(docs(("A", "a log")), path, "log", at(25))
+    back = sinks.read_reports(spark, path, ["draft", "final"])
+    assert back.count() == 5 and sinks.read_reports(spark, path).count() == 6
+    files = sinks.archive_files(back)
+    assert {(r.dir, r.name) for r in files.collect()} >= {("2026解析_20260525_100000", D.DRAFT_NAME), ("B解析_20260524_100000", D.DRAFT_NAME)}
+    pairs = {r.dir: (r.v1, r.v2, r.n) for r in D.few_shot_pairs(files, 3).collect()}
+    assert pairs == {"2026解析_20260525_100000": ("draft c", "final c", 1), "A解析_20260524_100000": ("draft a", "final a", 2)}
+    assert sinks.archive_files(sinks.read_reports(spark, path, ["log"])).first().dir is None
+
+
+def test_audit_step_makes_a_prompt_and_a_report_per_video(spark):
+    inputs = spark.createDataFrame([("v1", '{"views": 9000, "note": "好"}', None), ("v2", None, None)],
+                                   "video_id string, inline string, file_content string")
+    t0 = dt.datetime(2026, 5, 24, 10)
+    plays = [("v1", v, t0 + dt.timedelta(seconds=s), "end" if s == 40 else "tick") for v in range(4) for s in range(0, 10 * v + 11, 10)]
+    playback = spark.createDataFrame(plays, "video_id string, viewer int, ts timestamp_ntz, event_type string")
+    out = W.audit_step(inputs, playback, F.lit("2026-05-25 09:00:00").cast("timestamp_ntz"), 10, 10, "1 minute", "end")
+    prompts = {r.video_id: r for r in out["prompts"].collect()}
+    assert '"note": "好"' in prompts["v1"].prompt and '"views": 9000' in prompts["v1"].prompt and '"views": 12000' in prompts["v2"].prompt
+    reports = {r.video_id: r for r in out["reports"].collect()}
+    assert reports["v1"].n_findings >= 1 and "opening_loss" in reports["v1"].content and "9000" in reports["v1"].content
+    assert reports["v2"].n_findings == 0
+
+
+def test_response_audit_follows_the_limits_of_the_rule_table(spark):
+    card = "<CognitiveCard>\n**a**\nb\n</CognitiveCard>\n"
+    good = ("*   **视频封面文字**：中产在偷偷变穷\n*   **5 个 Hashtags**：#m1 #m2 #v1 #v2 #me\n\n---\n\n2. **口播**\n\n我去了 3 次 Costco？\n\n---\n\n" + card * 3)
+    rows = [(1, good), (2, good.replace("#me", "")), (3, "毫无疑问，没有部分。" + card + "<CognitiveCard>"), (4, ""), (5, None)]
+    responses = spark.createDataFrame(rows, "label int, text string")
+    tags = spark.createDataFrame([("m1", "macro"), ("m2", "macro"), ("v1", "vertical"), ("v2", "vertical"), ("me", "identity")], "tag string, tag_class string")
+    rules = R.rules_dim(spark)
+    card_of = {r.label: r for r in W.response_audit(responses, rules, tags).collect()}
+    assert card_of[1].n_passed == 9 and card_of[2].hashtags_ok is False and card_of[2].n_passed == 8
+    assert not card_of[3].no_forbidden and not card_of[3].cards_ok and not card_of[3].no_tag_leak and not card_of[3].has_numbers
+    assert len(card_of) == 5
+    two = rules.withColumn("limit", F.when(F.col("phrase") == "cards", 1).otherwise(F.col("limit")))
+    assert {r.label: r.cards_ok for r in W.response_audit(responses, two, tags).collect()}[3] is True
+
+
+def test_keywords_take_another_alias_table(spark):
+    df = spark.createDataFrame([("MSFT_NEWS",), ("WMT",)], "label string")
+    own = [r[0] for r in df.select(D.label_keywords("label", [("msft", "microsoft")])).collect()]
+    assert own == [["msft", "news", "microsoft"], ["wmt"]]
+    assert [r[0] for r in df.select(D.label_keywords("label", [])).collect()] == [["msft", "news"], ["wmt"]]

@@ -48,6 +48,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm._columns import set_aside
 from inkwell.llm._scratch import materialize
 
 SLOTS = 1 << 15
@@ -257,6 +258,22 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
                         "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
+def mixing_totals(rates: DataFrame, targets: dict[str, float], growth: float = 1.0) -> DataFrame:
+    """Per domain of ``mixing_rates``: expected words before (``had``), ``target`` and with the rates (``reached``).
+
+    Where the targets cannot be met, as with a domain that no document has, ``reached`` shows by how much.
+    """
+    domains, whole = list(targets), sum(targets.values())
+    words = lambda d: F.col("n_words") * F.col(f"p_{d}")
+    sums = rates.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("all"),
+                     *[F.struct(F.coalesce(F.sum(words(d)), F.lit(0.0)).alias("had"), F.coalesce(F.sum(words(d) * F.col("rate")), F.lit(0.0))
+                                .alias("reached")).alias(f"s{i}") for i, d in enumerate(domains)])
+    rows = F.array(*[F.struct(F.lit(d).alias("domain"), F.col(f"s{i}.had").alias("had"),
+                              (F.col("all") * F.lit(growth * targets[d] / whole)).alias("target"), F.col(f"s{i}.reached").alias("reached"))
+                     for i, d in enumerate(domains)])
+    return sums.select(F.inline(rows))
+
+
 def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], growth: float = 1.0,
                   nearest: bool = False, keep: str | None = None) -> DataFrame:
     """``docs`` with each row repeated as often as its rate says (perhaps never); the columns of ``docs``.
@@ -267,6 +284,7 @@ def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float
     """
     if keep is not None and not targets.get(keep):
         raise ValueError("the domain to keep needs a target")
+    docs, own = set_aside(docs, "doc_id", "text")
     # one written table: the rates are expressions over it, so the texts never move
     rows = materialize(_classified(docs, labelled, targets), "classified")
     if keep is None:
@@ -275,11 +293,11 @@ def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float
     else:
         now = _sums(rows, len(targets))
         if len(targets) == 1 or not now[list(targets).index(keep)]:
-            return rows.select(*docs.columns)
+            return rows.select(*own)
         rows = _beside(rows, targets, keep)
         loads = materialize(rows.select("n_words", "posterior", "load"), "loads")
         _, history, _ = fit_rates(loads, [0.0] * (len(targets) - 1), upper=True, scale=sum(now))
         rate = _stepped(F.lit(1.0), F.col("posterior"), history, 1.0)
     repeated = rows.withColumn("_copies", copies(rate, F.col("doc_id"), nearest)).filter("_copies > 0")
     return (repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+            .select(*own))

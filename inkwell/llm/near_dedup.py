@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.llm import _tokens as T
+from inkwell.llm._columns import set_aside
 from inkwell.llm._scratch import materialize, ship
 from inkwell.llm.components import link, shared_buckets
 
@@ -211,13 +212,14 @@ def _judged(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """``docs`` with one document of each group (the least doc_id); all columns.
+    """``docs`` with one document of each group (the least doc_id); all columns, whatever their names.
 
     A repeated row of the document that stays is dropped too; a document
     without words stays, and so do rows with a NULL doc_id, which nothing can
     name.
     """
+    docs, own = set_aside(docs, "doc_id", "text")
     kept = (_judged(docs, width, percent, "doc_id", "text").filter("kept and doc_id is not null")
             .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
     named = docs.join(kept, (docs.doc_id == F.col("_id")) & (F.xxhash64(docs.text) == F.col("_key")), "left_semi")
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter("doc_id is null"))
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter("doc_id is null")).select(*own)

@@ -29,19 +29,20 @@ of a result column, which then replaces them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.llm._columns import set_aside
 from inkwell.llm._scratch import materialize, ship
 
 SHARDS = 8
 RANGES = 128
 SAMPLES_PER_RANGE = 32
 OVERFULL = 2.0
-MAX_DRAWS = 20
 
 
 def records(docs: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def place(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFr
     rows = materialize(records(docs), "records")
     splitters = sorted(set(quantiles(draw(rows, ranges * SAMPLES_PER_RANGE, 0), ranges)))
     totals: list = []
-    for number in range(1, MAX_DRAWS + 1):
+    for number in count(1):                 # every turn adds a splitter or ends
         parts = ranged(rows, splitters)
         totals = sorted(parts.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"),
                                                   F.countDistinct("key", F.coalesce("doc_id", F.lit(-2 ** 63))).alias("keys"))
@@ -131,17 +132,23 @@ def place(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFr
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``.  Repeated rows keep their number of slots."""
-    placed = place(docs, shards)
-    # equal (id, text) rows take their slots in order of appearance; they are interchangeable
-    same = Window.partitionBy("doc_id", "_key").orderBy("slot")
-    slots = (placed.withColumnRenamed("key", "_key").withColumn("_copy", F.row_number().over(same))
-             .select(F.col("doc_id").alias("_id"), "_key", "_copy", "shard", "slot"))
-    rows = docs.drop("shard", "slot").withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    mine = Window.partitionBy("doc_id", "_key").orderBy("n_chars") if "n_chars" in docs.columns else Window.partitionBy("doc_id", "_key").orderBy(F.lit(0))
-    rows = rows.withColumn("_copy", F.row_number().over(mine))
-    joined = rows.join(slots, rows.doc_id.eqNullSafe(slots._id) & (rows._key == slots._key) & (rows._copy == slots._copy))
-    return joined.select(*[rows[c] for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    """``docs`` with ``shard`` and ``slot``.  Repeated rows keep their number of slots.
+
+    Rows of one id and text take their slots in the order of their other columns,
+    so that a recomputed task deals them alike; rows that are equal throughout are
+    interchangeable.
+    """
+    rows, own = set_aside(docs.drop("shard", "slot"), "doc_id", "text")
+    placed = place(rows, shards)
+    same = Window.partitionBy("doc_id", "key").orderBy("slot")
+    slots = (placed.withColumn("copy", F.row_number().over(same))
+             .select(F.col("doc_id").alias("id"), F.col("key").alias("its_key"), F.col("copy").alias("its_copy"), "shard", "slot"))
+    others = [c for c in rows.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit(0)
+    rows = rows.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "key").orderBy(order)))
+    joined = rows.join(slots, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("its_key")) & (F.col("copy") == F.col("its_copy")))
+    return joined.select(*own, "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -13,14 +13,18 @@ permuted block tables: the 64 bits fall into r + 3 blocks, two fingerprints
 within r agree on at least three of them, and there is one table per choice
 of three blocks, keyed by their bits.  Equal fingerprints are one node and the
 members of a bucket are linked through stars first (``components.link``), so
-no bucket is expanded into all pairs.
+no bucket is expanded into all pairs.  ``link_counts`` counts every neighbour
+within r: the pairs of a bucket are compared inside its task, as numbers, and
+only sums per fingerprint leave it.  A bucket of more than ``CELL`` fingerprints
+is cut into square cells of that side, so no task holds more of it.
 
 Edge cases: a NULL or blank text has no terms and the fingerprint 0; NULL is
 fingerprinted as the empty text.  Equal texts have equal fingerprints.
 Documents are neighbours in ascending (doc_id, text) order, NULL ids first;
 after the last comes the first, and a lone document is its own neighbour.
-Repeated rows are separate documents with equal fingerprints.  An empty table
-gives an empty result; other columns are not read.
+Repeated rows are separate documents with equal fingerprints, each a link of
+the others; so are all texts without terms.  An empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -43,6 +47,10 @@ from inkwell.llm.components import link, shared_buckets
 BITS = 64
 DF_SLOTS = 1 << 18
 RADIUS = 3
+# Side of the cells that a bucket's comparisons are cut into.
+CELL = 4096
+# Low bits of a block key that hold the number of its table.
+TABLE_BITS = 10
 # Sampled ids per range when the documents are put into id order.
 SAMPLES_PER_RANGE = 64
 
@@ -122,32 +130,108 @@ def range_numbers(ids: pa.Array, edges: np.ndarray) -> pa.Array:
     return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), np.int32(-1), numbers))
 
 
-def block_keys(fp, radius: int = RADIUS):
-    """One key per table of the permuted blocks: the table's number and three blocks' bits."""
+def block_tables(radius: int) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+    """The blocks as (first bit, width) and the choices of three blocks, one per table."""
     n = radius + 3
     edges = [BITS * i // n for i in range(n + 1)]
-    blocks = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
-    return F.array(*[F.xxhash64(F.lit(i), *[blocks[j] for j in chosen])
-                     for i, chosen in enumerate(combinations(range(n), 3))])
+    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)], list(combinations(range(n), 3))
+
+
+def block_keys(fp, radius: int = RADIUS):
+    """One key per table of the permuted blocks: a hash of three blocks' bits above the table's number."""
+    blocks, tables = block_tables(radius)
+    bits = [F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)) for at, width in blocks]
+    return F.array(*[F.shiftleft(F.xxhash64(*[bits[j] for j in chosen]), TABLE_BITS).bitwiseOR(F.lit(i).cast("long"))
+                     for i, chosen in enumerate(tables)])
+
+
+def _cell_links(radius: int):
+    """Sorted cells -> per fingerprint and batch the documents within ``radius``.
+
+    A pair shares up to all tables; it counts in the first one in which it agrees.
+    """
+    blocks, tables = block_tables(radius)
+    masks = [np.uint64(((1 << width) - 1) << at) for at, width in blocks]
+    chosen_masks = [masks[i] | masks[j] | masks[k] for i, j, k in tables]
+
+    def count(rows: pa.Table) -> pa.RecordBatch:
+        key, node, weight, row, column, side = (rows.column(c).to_numpy() for c in ("key", "node", "weight", "row", "column", "side"))
+        fp, table, n = node.view(np.uint64), key & ((1 << TABLE_BITS) - 1), len(node)
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (column[1:] != column[:-1])])
+        end = np.repeat(np.r_[starts[1:], n], np.diff(np.r_[starts, n]))
+        links, left, step = np.zeros(n, np.int64), np.arange(n), 1
+        while len(left := left[left + step < end[left]]):
+            other = left + step
+            x = fp[left] ^ fp[other]
+            near = (np.bitwise_count(x) <= radius) & ((row[left] == column[left]) | (side[left] != side[other]))
+            a, b, x = left[near], other[near], x[near]
+            first = np.full(len(x), -1)
+            for i in range(len(tables) - 1, -1, -1):
+                first[(x & chosen_masks[i]) == 0] = i
+            a, b = a[first == table[a]], b[first == table[a]]
+            links[a] += weight[b]
+            links[b] += weight[a]
+            step += 1
+        some = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(links[some])], names=["fp", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # the last cell of a batch may go on in the next one
+            cells = [batch.column(c).to_numpy() for c in ("key", "row", "column")]
+            inner = np.flatnonzero(np.any([c != c[-1] for c in cells], axis=0))
+            cut = int(inner[-1]) + 1 if len(inner) else 0
+            if held and any(c[0] != held[-1].column(i)[-1].as_py() for i, c in zip(("key", "row", "column"), cells, strict=True)):
+                yield count(pa.Table.from_batches(held))
+                held = []
+            if cut:
+                yield count(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield count(pa.Table.from_batches(held))
+    return run
+
+
+def link_counts(shared: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
+    """``fp, links``: the documents of other fingerprints within ``radius``; fingerprints without any are not listed.
+
+    ``shared``: ``shared_buckets`` of (key, node, weight), where ``weight`` is the number of documents of a node.
+    """
+    ship(shared.sparkSession)
+    wide = (shared.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > cell)
+            .select("key", F.ceil(F.col("size") / cell).cast("int").alias("sides")))
+    dealt = (shared.join(wide, "key", "left").withColumn("sides", F.coalesce("sides", F.lit(1)))
+             .withColumn("side", F.pmod(F.xxhash64("node"), "sides").cast("int"))
+             .withColumn("across", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+             .select("key", "node", "weight", F.least("side", "across").alias("row"), F.greatest("side", "across").alias("column"), "side"))
+    cells = dealt.repartition("key", "row", "column").sortWithinPartitions("key", "row", "column")
+    return cells.mapInArrow(_cell_links(radius), "fp long, links long").groupBy("fp").agg(F.sum("links").alias("links"))
 
 
 def near_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``fp`` -> ``fp, near_class``: the least fingerprint reachable in steps of at most ``radius`` bits.
+    """One row per distinct ``fp`` of the documents' fingerprints ``fps``.
 
-    Keys only propose a pair; the distance is checked on the whole fingerprint.
+    ``near_class``: the least fingerprint reachable in steps of at most ``radius`` bits; ``n_links``: the
+    other documents within ``radius`` bits, those of equal fingerprint included.  Keys only propose a pair;
+    the distance is checked on the whole fingerprint.
     """
-    nodes = fps.select("fp").filter("fp is not null").distinct()
+    nodes = fps.filter("fp is not null").groupBy("fp").agg(F.count("*").alias("weight"))
 
     def score(pairs: DataFrame) -> DataFrame:
         return (pairs.withColumn("score", BITS - F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))
                 .filter(F.col("score") >= BITS - radius))
 
-    shared = shared_buckets(nodes.select(F.col("fp").alias("node"), F.explode(block_keys(F.col("fp"), radius)).alias("key")),
+    shared = shared_buckets(nodes.select(F.col("fp").alias("node"), "weight", F.explode(block_keys(F.col("fp"), radius)).alias("key")),
                             "simhash")
     within = lambda x, y: F.bit_count(x["node"].bitwiseXOR(y["node"])) <= radius
-    groups = link(shared, score, lambda pairs: pairs, "simhash", within)
-    return (nodes.join(groups, nodes.fp == groups.node, "left")
-            .select("fp", F.coalesce("component", "fp").alias("near_class")))
+    groups = link(shared, score, lambda pairs: pairs, "simhash", within).withColumnRenamed("node", "fp")
+    return (nodes.join(groups, "fp", "left").join(link_counts(shared, radius), "fp", "left")
+            .select("fp", F.coalesce("component", "fp").alias("near_class"),
+                    (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
 
 
 def next_documents(docs: DataFrame, idf) -> DataFrame:
@@ -222,7 +306,8 @@ def _compare(idf):
 
 
 def fingerprint_report(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Per document: fingerprint, likeness to its half-edited text and to the next document, near class."""
+    """Per document: fingerprint, likeness to its half-edited text and to the next document, near class,
+    number of documents within ``radius`` bits."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     idf = spark.sparkContext.broadcast(idf_weights(document_frequencies(rows), rows.count()))
@@ -233,4 +318,4 @@ def fingerprint_report(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     classes = near_fingerprints(compared, radius)
     return compared.join(classes, "fp", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-        F.lower(F.lpad(F.hex("near_class"), 16, "0")).alias("near_class"))
+        F.lower(F.lpad(F.hex("near_class"), 16, "0")).alias("near_class"), "n_links")

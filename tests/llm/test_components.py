@@ -57,8 +57,46 @@ def test_fingerprints_within_the_radius(spark):
             fps.add(x)
     fps = sorted(fps)
     want = labels([(a, b) for a in fps for b in fps if (a ^ b).bit_count() <= 3])
-    got = {r.fp: r.near_class for r in simhash.near_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp long"), 3).collect()}
-    assert got == want
+    copies = {f: 1 + (i % 7 == 0) * 3 for i, f in enumerate(fps)}
+    docs = spark.createDataFrame([(f,) for f in fps for _ in range(copies[f])] + [(None,)], "fp long")
+    rows = simhash.near_fingerprints(docs, 3).collect()
+    assert {r.fp: r.near_class for r in rows} == want | {f: f for f in fps if f not in want}
+    assert {r.fp: r.n_links for r in rows} == links_of(copies, 3)
+
+
+def links_of(copies, radius):
+    """Brute force: the other documents within the radius of each fingerprint."""
+    return {a: sum(n for b, n in copies.items() if (a ^ b).bit_count() <= radius) - 1 for a in copies}
+
+
+def test_links_of_a_bucket_cut_into_cells(spark):
+    """Many close fingerprints under the same keys; cells of five, and negative fingerprints."""
+    rng = random.Random(8)
+    base, copies = rng.getrandbits(64), {}
+    while len(copies) < 90:
+        x = base
+        for bit in rng.sample(range(64), rng.randrange(0, 5)):
+            x ^= 1 << bit
+        copies[x - (1 << 64) if x >> 63 else x] = rng.randrange(1, 4)
+    nodes = spark.createDataFrame(list(copies.items()), "fp long, weight long")
+    for radius in (1, 3):
+        keys = F.explode(simhash.block_keys(F.col("fp"), radius)).alias("key")
+        shared = shared_buckets(nodes.select(F.col("fp").alias("node"), "weight", keys), "t")
+        want = {a: sum(n for b, n in copies.items() if b != a and bin((a ^ b) & simhash.T.MASK).count("1") <= radius) for a in copies}
+        for cell in (5, simhash.CELL):
+            got = {r.fp: r.links for r in simhash.link_counts(shared, radius, cell).collect()}
+            assert got == {a: n for a, n in want.items() if n}
+
+
+def test_report_counts_links_of_every_document(spark):
+    """All documents of the small table, their edited copies and blank ones, against all pairs."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    rows += [(10_000 + i, t[:-3] + "x") for i, t in rows[:40]] + [(20_000 + i, t) for i, t in enumerate(["", None, " \n", rows[0][1]])]
+    got = simhash.fingerprint_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = [int(r.fingerprint, 16) for r in got]
+    assert len(got) == len(rows) and max(r.n_links for r in got) > 0
+    for r, fp in zip(got, prints, strict=True):
+        assert r.n_links == sum((fp ^ other).bit_count() <= simhash.RADIUS for other in prints) - 1
 
 
 def test_fingerprints_equal_a_plain_computation(spark):

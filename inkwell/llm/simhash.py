@@ -46,6 +46,8 @@ from inkwell.llm.components import link, shared_buckets
 
 BITS = 64
 DF_SLOTS = 1 << 18
+# Neighbouring slots that travel in one row.
+SLOT_RUN = 256
 RADIUS = 3
 # Side of the cells that a bucket's comparisons are cut into.
 CELL = 4096
@@ -68,19 +70,20 @@ def _df_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             terms, _ = term_counts(cache.of(T.split_words(text)))
             np.add.at(slots, np.unique(terms % T.U64(DF_SLOTS)).astype(np.int64), 1)
-    at = np.flatnonzero(slots)
-    for i in range(0, len(at), 65_536):
-        part = at[i:i + 65_536]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(slots[part])], names=["slot", "df"])
+    runs = slots.astype(np.int32).reshape(-1, SLOT_RUN)
+    some = np.flatnonzero(runs.any(axis=1)).astype(np.int32)
+    counts = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * SLOT_RUN), pa.array(runs[some].ravel()))
+    yield pa.RecordBatch.from_arrays([pa.array(some), counts], names=["run", "counts"])
 
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
     """Hashed document frequencies of all documents: ``DF_SLOTS`` numbers."""
     ship(docs.sparkSession)
-    rows = (docs.select("text").mapInArrow(_df_pass, "slot long, df long")
-            .groupBy("slot").agg(F.sum("df").alias("df")).toPandas())
+    rows = (docs.select("text").mapInArrow(_df_pass, "run int, counts array<int>")
+            .repartition("run").select("run", F.posexplode("counts"))
+            .groupBy("run", "pos").agg(F.sum("col").alias("df")).toPandas())
     out = np.zeros(DF_SLOTS, np.int64)
-    out[rows["slot"].to_numpy(np.int64)] = rows["df"].to_numpy(np.int64)
+    out[rows["run"].to_numpy(np.int64) * SLOT_RUN + rows["pos"].to_numpy(np.int64)] = rows["df"].to_numpy(np.int64)
     return out
 
 

@@ -12,18 +12,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SPREAD = {"documents", "pages", "conversations", "events"}
 
 
-def spread_if_coarse(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields
-    fewer splits than cores (one parquet file with one row group is read by
-    one task).  On a large input the scan already has more splits than cores
-    and nothing is added."""
-    sc = df.sparkSession.sparkContext
-    cores = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+# Session setting: deal the rows of those tables to so many partitions after the
+# pruned scan (for files of few row groups).  Unset: as the scan splits them.
+SCAN_PARTITIONS = "spark.inkwell.scanPartitions"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_if_coarse(df) if name in SPREAD else df
+    parts = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts and name in SPREAD else df

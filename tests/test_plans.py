@@ -56,14 +56,18 @@ def test_hot_key_reductions_are_partial_aggregates(spark):
 
 def test_phrase_hits_is_a_projection(spark):
     plan = _plan(E.queries()["phrase_hits"](spark, SF_SMALL))
-    # no join and no keyed shuffle (a round-robin spread of a one-split scan is allowed)
+    # no join and no keyed shuffle
     assert "Join" not in plan and "hashpartitioning" not in plan
 
 
-def test_spread_only_when_coarse(spark):
-    from inkwell.plans.tables import spread_if_coarse
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    many = spark.range(0, 100, 1, cores * 2)
-    assert spread_if_coarse(one).rdd.getNumPartitions() == cores
-    assert spread_if_coarse(many).rdd.getNumPartitions() == cores * 2
+def test_scans_are_dealt_out_only_where_the_session_says_so(spark):
+    from inkwell.plans.tables import SCAN_PARTITIONS, load
+
+    plain = spark.read.parquet(f"{SF_SMALL}/documents.parquet").rdd.getNumPartitions()
+    assert load(spark, SF_SMALL, "documents").rdd.getNumPartitions() == plain
+    spark.conf.set(SCAN_PARTITIONS, "5")
+    try:
+        assert load(spark, SF_SMALL, "documents").rdd.getNumPartitions() == 5
+        assert load(spark, SF_SMALL, "orders").rdd.getNumPartitions() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").rdd.getNumPartitions()
+    finally:
+        spark.conf.unset(SCAN_PARTITIONS)

@@ -153,16 +153,15 @@ def label_keywords(label, aliases: list[tuple[str, str]] = KEYWORD_ALIASES) -> C
     return kws if alias is None else F.when(alias.isNull(), kws).otherwise(F.concat(kws, F.array(alias)))
 
 
-def _substring_matches(essences: DataFrame, kw: DataFrame) -> DataFrame:
-    """(name, kw) for every keyword that occurs in the lower-cased name.
+def _substring_matches(names: DataFrame, kw: DataFrame) -> DataFrame:
+    """(name, ..., kw) for every keyword that occurs in the lower-cased name.
 
     Names and keywords meet on a gram of two characters (every keyword has two at
     least) and are then verified, so what is shuffled follows the names' lengths and
-    not the length of the longest keyword.
+    not the length of the longest keyword.  The columns of ``names`` stay beside them.
     """
-    names = essences.select("name", F.lower("name").alias("_low")).distinct()
-    met = meeting(names, F.col("_low"), kw, "kw", widths=(2,))
-    return met.filter(F.col("_low").contains(F.col("kw"))).select("name", "kw")
+    met = meeting(names, F.lower("name"), kw, "kw", widths=(2,))
+    return met.filter(F.lower("name").contains(F.col("kw"))).select(*names.columns, "kw")
 
 
 def pair_essence(labels: DataFrame, essences: DataFrame, aliases: list[tuple[str, str]] = KEYWORD_ALIASES) -> DataFrame:
@@ -177,14 +176,16 @@ def pair_essence(labels: DataFrame, essences: DataFrame, aliases: list[tuple[str
     lab = labels.select("label").distinct()
     lk = lab.select("label", F.explode(F.array_distinct(label_keywords("label", aliases))).alias("kw"))
     kw = lk.select("kw").distinct()
-    hits = _substring_matches(essences.select("name"), kw)
     ess = essences.select("name", "mtime")
     order = F.struct(_desc_key(ess, "mtime"), F.col("name"))
+    # the newest time of each name travels with the name: a join back to the files would
+    # broadcast all of them, because compressed they look small to the planner
+    times = ess.groupBy("name").agg(F.min_by("mtime", F.struct(_desc_key(ess, "mtime"))).alias("mtime"))
+    hits = _substring_matches(times, kw)
     # newest match per keyword first (partial aggregate), then per label over
     # its keywords: a keyword that matches a large share of the files (a
     # year, say) never pairs every such file with every label holding it
-    per_kw = hits.join(ess, "name").groupBy("kw").agg(
-        F.min_by(F.struct("name", "mtime"), order).alias("k"))
+    per_kw = hits.groupBy("kw").agg(F.min_by(F.struct("name", "mtime"), order).alias("k"))
     cand = lk.join(per_kw, "kw").select("label", F.col("k.name").alias("name"), F.col("k.mtime").alias("mtime"))
     best = cand.groupBy("label").agg(
         F.min_by(F.struct("name", "mtime"), F.struct(_desc_key(ess, "mtime"), F.col("name"))).alias("b"))

@@ -60,5 +60,9 @@ def anchored(patterns: DataFrame, pattern: str, widths: tuple[int, ...] = WIDTHS
 
 
 def meeting(texts: DataFrame, text: Column, patterns: DataFrame, pattern: str, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
-    """The rows of ``texts`` beside every pattern that may occur in ``text``."""
-    return with_grams(texts, text, widths).join(anchored(patterns, pattern, widths), "gram").drop("gram")
+    """The rows of ``texts`` beside every pattern that may occur in ``text``.
+
+    Neither side is broadcast: the planner does not see how many grams a text has, and
+    the exploded texts would pass as a small table.
+    """
+    return with_grams(texts, text, widths).join(anchored(patterns, pattern, widths).hint("shuffle_hash"), "gram").drop("gram")

@@ -177,3 +177,14 @@ def test_a_whole_table_is_numbered_without_one_task(spark, capsys):
     assert "SinglePartition" not in capsys.readouterr().out.split("Subqueries")[0].split("Subquery")[0]
     with pytest.raises(ValueError):
         D.number_rows(rows, [], [F.col("v")])
+
+
+def test_pair_essence_does_not_join_the_files_again(spark):
+    """Their newest times come with their names; repeated names count by their newest."""
+    lab = spark.createDataFrame([("WMT_X",), ("NONE_1",), ("",)], "label string")
+    ess = spark.createDataFrame([("a_wmt.md", 1), ("a_wmt.md", 5), ("b_walmart.md", 4), ("z.md", 9), (None, 2)], "name string, mtime long")
+    paired = D.pair_essence(lab, ess)
+    got = {r.label: (r.essence_name, r.essence_mtime, r.matched) for r in paired.collect()}
+    assert got == {"WMT_X": ("a_wmt.md", 5, True), "NONE_1": ("z.md", 9, False), "": ("z.md", 9, False)}
+    joins = [x for x in paired._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert joins and not any("name#" in x.split("Join", 1)[1] for x in joins)

@@ -49,3 +49,11 @@ def test_no_plan_holds_the_rules_in_every_row(spark, capsys):
     R.phrase_hits_index(docs, R.rules_dim(spark)).explain()
     plan = capsys.readouterr().out
     assert "Subquery" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_meeting_broadcasts_neither_side(spark):
+    """The exploded texts pass as a small table: joined by broadcast they fill the driver."""
+    t = spark.createDataFrame([(1, "abc")], "id long, text string")
+    p = spark.createDataFrame([("ab",)], "p string")
+    plan = G.meeting(t, F.col("text"), p, "p")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan

@@ -111,3 +111,16 @@ def test_prose_gives_no_metric(spark):
     got = [tuple(r) for r in M.parse_report(docs).orderBy("doc_id", "pos").collect()]
     assert got == [(1, 2, "AAA", "Market Cap", 2.0, "B USD"), (1, 10, "^TNX", "price", 4.4, "%"), (1, 11, "^TNX", "none", None, None),
                    (4, 0, None, "b", 1.0, "")]
+
+
+def test_parse_report_carries_labels_in_one_pass(spark):
+    """No fold that copies the metric lines found so far; labels end with their document, equal keys included."""
+    stanzas = "\n".join(f"● user {i} (S{i})\n  price: {i}" for i in range(3000))
+    docs = spark.createDataFrame([("A", M.MACRO_TITLE + "\n" + stanzas), ("A", "  price: 7\nx (b): 1"), (None, "● y (Z)\n  price: 8"), ("B", "  none: 1")],
+                                 "doc_id string, content string").coalesce(1)
+    parsed = M.parse_report(docs)
+    got = sorted([(r.doc_id or "", r.pos, r.label, r.value) for r in parsed.collect()], key=str)
+    want = [("A", 2 + 2 * i, f"S{i}", float(i)) for i in range(3000)] + [
+        ("A", 0, None, 7.0), ("A", 1, None, 1.0), ("", 1, "Z", 8.0), ("B", 0, None, 1.0)]
+    assert got == sorted(want, key=str)
+    assert "aggregate(" not in parsed._jdf.queryExecution().optimizedPlan().toString()

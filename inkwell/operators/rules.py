@@ -93,6 +93,19 @@ def phrase_hits(scripts: DataFrame, rules: DataFrame, key: str = "script_id", te
             .select(F.col(key), F.inline(F.filter(counted, lambda h: h["n"] > 0))))
 
 
+def _occurrences():
+    """(text, phrases) -> how often each phrase occurs in the text, like ``str.count``.
+
+    Array functions of Spark are interpreted and measure the text anew for every phrase.
+    """
+    def counts(texts, phrases):
+        import pandas as pd
+        return pd.Series([[t.count(p) for p in ps] if t else [0] * len(ps) for t, ps in zip(texts, phrases)])
+
+    counts.__annotations__ = {}
+    return F.pandas_udf(counts, "array<long>", F.PandasUDFType.SCALAR)
+
+
 def phrase_hits_index(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text") -> DataFrame:
     """(key, rule_class, phrase, n) for every forbidden phrase found n > 0
     times (non-overlapping literal occurrences, like ``str.count``).
@@ -106,10 +119,10 @@ def phrase_hits_index(scripts: DataFrame, rules: DataFrame, key: str = "script_i
     t = F.col(text)
     grams = with_grams(scripts.select(F.col(key).alias("_key"), t), t).select("_key", "gram")
     candidates = grams.join(anchored(listed, "phrase"), "gram").groupBy("_key").agg(F.collect_set("phrase").alias("_phrases"))
-    counted = F.transform(F.filter("_phrases", lambda p: F.col("_t").contains(p)), lambda p: F.struct(
-        p.alias("phrase"), ((F.length("_t") - F.length(F.replace(F.col("_t"), p, F.lit("")))) / F.length(p)).cast("long").alias("n")))
     own = scripts.select(F.col(key), t.alias("_t"))
-    found = own.join(candidates, own[key].eqNullSafe(candidates["_key"])).select(F.col(key), F.inline(counted))
+    counted = own.join(candidates, own[key].eqNullSafe(candidates["_key"])).select(F.col(key), "_phrases", _occurrences()("_t", "_phrases").alias("_n"))
+    hits = F.filter(F.arrays_zip("_phrases", "_n"), lambda h: h["_n"] > 0)
+    found = counted.select(F.col(key), F.inline(hits)).withColumnsRenamed({"_phrases": "phrase", "_n": "n"})
     return found.join(listed, "phrase").select(key, "rule_class", "phrase", "n")
 
 

@@ -57,3 +57,14 @@ def test_meeting_broadcasts_neither_side(spark):
     p = spark.createDataFrame([("ab",)], "p string")
     plan = G.meeting(t, F.col("text"), p, "p")._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_candidates_are_counted_outside_interpreted_functions(spark):
+    """Occurrences do not overlap, repeated keys count each text, and no array function replaces texts."""
+    docs = spark.createDataFrame([(1, "aaaaa \U0001f600x\U0001f600x"), (1, "aab"), (1, None), (2, "")], "script_id int, text string")
+    rules = spark.createDataFrame([("c", "aa", None, None), ("d", "aa", None, None), ("c", "\U0001f600x", None, None)], R.RULES_SCHEMA)
+    hits = R.phrase_hits_index(docs, rules)
+    assert sorted(tuple(r) for r in hits.collect()) == sorted(
+        [(1, c, "aa", n) for c in "cd" for n in (2, 1)] + [(1, "c", "\U0001f600x", 2)])
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "replace(" not in plan

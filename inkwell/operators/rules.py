@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
@@ -302,43 +302,196 @@ def rulebook_candidates(scripts: DataFrame, rules: DataFrame, text: str = "text"
         .orderBy(F.col("n_hits").desc(), "phrase").limit(k)
 
 
+TOKEN = r"[^\s\p{P}]+"
+# What ends a sentence (as in SENTENCE_WITH_END).
+SENTENCE_BREAKS = "。！？!?.\n"
+# Bits of the filters that say which phrases may be frequent and which keys may come twice, and words counted in one go.
+FILTER_BITS = 1 << 24
+CHUNK_WORDS = 1_000_000
+
+_GRAM_COUNTS = "part string, phrase string, n_words int, scripts long, hits long"
+
+
+def _filter_bits(values: DataFrame, column: str) -> bytes:
+    """A bit per slot that a value's crc32 falls in: 2 MB, whatever the number of values."""
+    import numpy as np
+    slot = F.crc32(F.encode(F.col(column), "UTF-8")).bitwiseAND(F.lit(FILTER_BITS - 1))
+    rows = (values.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).cast("int").alias("at"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("bits")).toArrow())
+    words = np.zeros(FILTER_BITS // 32, "<u4")
+    words[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return words.tobytes()
+
+
+def _count_grams(wanted: tuple[int, ...], filters: dict[int, bytes], marks: frozenset[str]):
+    """Counts of the phrases of ``wanted`` lengths, added up within a chunk of scripts.
+
+    ``words`` are a script's words, null after each sentence or marks in between.  A phrase is counted where the filters have both of its parts that are a word shorter, and itself.
+    A script whose key may come again has rows of its own (``part``).
+    """
+    most, n_bits, chunk_words = max(wanted), FILTER_BITS, CHUNK_WORDS
+
+    def run(batches):
+        from zlib import crc32
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        bits = {n: np.frombuffer(f, np.uint8) for n, f in filters.items()}
+
+        def kept(n, phrases):
+            if n not in bits:
+                return np.ones(len(phrases), bool)
+            slot = np.fromiter((crc32(x.encode("utf-8", "surrogatepass")) for x in phrases), np.int64, len(phrases)) & (n_bits - 1)
+            return (bits[n][slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+        def counted(n, phrases, code, row, parts):
+            """One row per phrase for all scripts without a part, one per phrase and script for the others."""
+            at, hits = np.unique(row * np.int64(len(phrases)) + code, return_counts=True)
+            code, row = at % max(1, len(phrases)), at // max(1, len(phrases))
+            own = np.array([x is not None for x in parts], bool)[row]
+            scripts = np.bincount(code[~own], minlength=len(phrases))
+            total = np.bincount(code[~own], hits[~own], minlength=len(phrases)).astype(np.int64)
+            seen = np.nonzero(scripts)[0]
+            names = [phrases[i] for i in seen] + [phrases[i] for i in code[own]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([None] * len(seen) + [parts[i] for i in row[own]], pa.string()), pa.array(names, pa.string()),
+                 pa.array(np.full(len(names), n, np.int32)),
+                 pa.array(np.concatenate([scripts[seen], np.ones(int(own.sum()), np.int64)]).astype(np.int64)),
+                 pa.array(np.concatenate([total[seen], hits[own]]).astype(np.int64))],
+                names=["part", "phrase", "n_words", "scripts", "hits"])
+
+        def grams(column, sizes, parts):
+            encoded = column.flatten().dictionary_encode()
+            words = encoded.dictionary.to_pylist()
+            word = pc.fill_null(encoded.indices, -1).to_numpy().astype(np.int64)
+            script = np.repeat(np.arange(len(sizes)), sizes)
+            if marks:
+                word = np.where(np.array([x in marks for x in words] + [True])[word], -1, word)
+            pos = np.nonzero(word >= 0)[0]
+            code, phrases = word[pos], words
+            for n in range(1, most + 1):
+                if n > 1:
+                    # the next phrase begins one word on, in the same sentence: both parts of the longer one are there
+                    i = np.nonzero((pos[1:] == pos[:-1] + 1) & (script[pos[1:]] == script[pos[:-1]]))[0]
+                    pos, pair = pos[i], code[i] * np.int64(len(words)) + word[pos[i] + n - 1]
+                    found, code = np.unique(pair, return_inverse=True)
+                    phrases = [f"{phrases[a]} {words[b]}" for a, b in zip((found // max(1, len(words))).tolist(),
+                                                                         (found % max(1, len(words))).tolist(), strict=True)]
+                good = kept(n, phrases)
+                if not good.all():
+                    stays = good[code]
+                    pos, code = pos[stays], (np.cumsum(good) - 1)[code[stays]]
+                    phrases = [x for x, g in zip(phrases, good.tolist(), strict=True) if g]
+                if not len(pos):
+                    return
+                if n in wanted:
+                    yield counted(n, phrases, code, script[pos], parts)
+
+        for batch in batches:
+            column, parts = batch.column("words"), batch.column("part").to_pylist()
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+            ends = [*(np.nonzero(np.diff(np.cumsum(sizes) // chunk_words))[0] + 1).tolist(), len(sizes)]
+            for a, b in zip([0, *ends], ends, strict=False):
+                yield from grams(column.slice(a, b - a), sizes[a:b], parts[a:b])
+
+    return run
+
+
+def _phrase_counts(words: DataFrame, wanted: tuple[int, ...], filters: dict[int, bytes], min_scripts: int, token: str) -> DataFrame:
+    """``phrase, n_words, n_scripts, n_hits`` of the phrases that stand in at least ``min_scripts`` scripts."""
+    rows = words.mapInArrow(_count_grams(wanted, filters, frozenset(SENTENCE_BREAKS if token == TOKEN else "")), _GRAM_COUNTS)
+    return (rows.groupBy("part", "n_words", "phrase").agg(F.sum("scripts").alias("scripts"), F.sum("hits").alias("hits"))
+            .groupBy("n_words", "phrase").agg(F.sum(F.when(F.col("part").isNull(), F.col("scripts")).otherwise(1)).alias("n_scripts"),
+                                              F.sum("hits").alias("n_hits"))
+            .filter(F.col("n_scripts") >= min_scripts).select("phrase", "n_words", "n_scripts", "n_hits"))
+
+
+def _script_words(scripts: DataFrame, key: str, text: str, token: str) -> DataFrame:
+    """``part, words array<string>``: ``part`` names the key where it may come again; the words of a
+    sentence are followed by null, or those of all sentences have the marks between them as elements."""
+    lower = F.lower(F.col(text))
+    if token == TOKEN:                  # such tokens hold no mark: one pass finds both
+        words = F.regexp_extract_all(lower, F.lit(f"{TOKEN}|[{SENTENCE_BREAKS}]"), F.lit(0))
+    else:
+        words = F.flatten(F.transform(F.regexp_extract_all(lower, F.lit(SENTENCE_WITH_END), F.lit(0)), lambda s: F.concat(
+            F.regexp_extract_all(s, F.lit(token), F.lit(0)), F.array(F.lit(None).cast("string")))))
+    name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    repeated = scripts.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return scripts.select(F.lit(None).cast("string").alias("part"), words.alias("words"))
+    twice = _may_be_in(_filter_bits(repeated, "name"))
+    return scripts.select(F.when(twice(name), name).alias("part"), words.alias("words"))
+
+
+def _may_be_in(bits: bytes):
+    n_bits = FILTER_BITS
+
+    def may(values):
+        from zlib import crc32
+
+        import pandas as pd
+        return pd.Series([bool(bits[(c := crc32(v.encode()) & (n_bits - 1)) >> 3] >> (c & 7) & 1) for v in values])
+
+    may.__annotations__ = {}
+    return F.pandas_udf(may, "boolean", F.PandasUDFType.SCALAR)
+
+
 def frequent_phrases(scripts: DataFrame, key: str = "script_id", text: str = "text", min_scripts: int = 2, max_words: int = 4,
-                     token: str = r"[^\s\p{P}]+") -> DataFrame:
+                     token: str = TOKEN) -> DataFrame:
     """Phrases of 1 to ``max_words`` tokens that stand in at least ``min_scripts``
     scripts, within a sentence: phrase, n_words, n_scripts, n_hits.
 
     Level by level: a phrase of n words is only counted where its first and its
-    last n - 1 words are frequent, so rare stretches of text are dropped before
-    they are shuffled again.  Only closed phrases are returned: none that a phrase
-    one word longer holds with the same number of scripts and of hits.
+    last n - 1 words may be frequent.  What may be frequent is a filter of a fixed
+    size (``FILTER_BITS``) that goes to the tasks, so neither texts nor places are
+    shuffled, only counts that are added up within a task's scripts; the
+    frequencies themselves are exact.  The levels below the longest are counted
+    while the plan is built, for their filters.  Only closed phrases are returned:
+    none that a phrase one word longer holds with the same number of scripts and
+    of hits.
     """
-    sentences = F.regexp_extract_all(F.lower(F.col(text)), F.lit(SENTENCE_WITH_END), 0)
-    words = F.filter(F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(token), 0)), lambda a: F.size(a) > 0)
-    spread = scripts.select(key, F.posexplode(words).alias("sentence", "words"))
-    level = spread.select(key, "sentence", F.posexplode("words").alias("at", "phrase"))
-    found = None
-    for n in range(1, max_words + 1):
-        counts = (level.groupBy(key, "phrase").agg(F.count(F.lit(1)).alias("n"))     # one row per script first
-                  .groupBy("phrase").agg(F.count(F.lit(1)).alias("n_scripts"), F.sum("n").alias("n_hits"))
-                  .filter(F.col("n_scripts") >= min_scripts))
-        rows = counts.withColumn("n_words", F.lit(n))
-        found = rows if found is None else found.unionByName(rows)
-        if n < max_words:
-            kept = level.join(counts.select("phrase"), "phrase", "left_semi")
-            after = F.lead(F.struct("at", "phrase")).over(Window.partitionBy(key, "sentence").orderBy("at"))
-            # the next frequent phrase begins one word on: both parts of the longer one are frequent
-            level = (kept.withColumn("after", after).filter(F.col("after.at") == F.col("at") + 1)
-                     .select(key, "sentence", "at", F.concat("phrase", F.lit(" "), F.substring_index("after.phrase", " ", -1)).alias("phrase")))
-    longer = found.filter("n_words > 1")
-    inner = longer.select(F.explode(F.array(F.regexp_replace("phrase", " [^ ]+$", ""), F.regexp_replace("phrase", "^[^ ]+ ", ""))).alias("phrase"),
-                          "n_scripts", "n_hits")
-    return found.join(inner, ["phrase", "n_scripts", "n_hits"], "left_anti").select("phrase", "n_words", "n_scripts", "n_hits")
+    words = _script_words(scripts, key, text, token)
+    filters: dict[int, bytes] = {}
+    for n in range(1, max_words):
+        filters[n] = _filter_bits(_phrase_counts(words, (n,), filters, min_scripts, token), "phrase")
+    found = _phrase_counts(words, tuple(range(1, max_words + 1)), filters, min_scripts, token)
+    # a phrase beside the phrases that its longer neighbours hold: one pass over what was found
+    shorter = F.when(F.col("n_words") > 1, F.array(*[F.struct(F.regexp_replace("phrase", p, "").alias("phrase"), F.lit(None).cast("int").alias("n_words"))
+                                                     for p in (" [^ ]+$", "^[^ ]+ ")])).otherwise(F.array())
+    both = found.select(F.inline(F.concat(F.array(F.struct("phrase", "n_words")), shorter)), "n_scripts", "n_hits")
+    return (both.groupBy("phrase", "n_scripts", "n_hits").agg(F.count(F.lit(1)).alias("n"), F.max("n_words").alias("n_words"))
+            .filter("n = 1 and n_words is not null").select("phrase", "n_words", "n_scripts", "n_hits"))
+
+
+# Words whose pairs give the bound on the best phrases (any will do; the more, the closer the bound).
+BOUND_WORDS = 1000
+
+
+def scripts_of_the_best(scripts: DataFrame, n: int, key: str = "script_id", text: str = "text", min_scripts: int = 2,
+                        token: str = TOKEN) -> int:
+    """A number of scripts that at least ``n`` pairs of words reach, ``min_scripts`` at least: the ``n``-th
+    largest count among the pairs of the words that stand in most scripts."""
+    words = _script_words(scripts, key, text, token)
+    spread = (_phrase_counts(words, (1,), {}, min_scripts, token).orderBy(F.col("n_scripts").desc(), "phrase").limit(BOUND_WORDS))
+    pairs = _phrase_counts(words, (2,), {1: _filter_bits(spread, "phrase")}, min_scripts, token)
+    best = pairs.orderBy(F.col("n_scripts").desc()).limit(n).agg(F.count(F.lit(1)).alias("n"), F.min("n_scripts").alias("least")).first()
+    return best["least"] if n and best["n"] == n else min_scripts
 
 
 def rulebook_feedback(scripts: DataFrame, rules: DataFrame, key: str = "script_id", text: str = "text", k: int = 10,
                       min_scripts: int = 2, max_words: int = 4) -> DataFrame:
     """The ``k`` phrases of two words and more that stand in most scripts (then most
-    often) and that the rulebook does not list yet."""
+    often) and that the rulebook does not list yet.
+
+    Every frequent pair of words lies in a closed phrase that stands in as many
+    scripts, and a phrase holds at most ``max_words - 1`` pairs.  So where
+    (k + listed phrases) * (max_words - 1) pairs stand in s scripts, k phrases that
+    are not listed do, too, and phrases in fewer scripts are not among the k.
+    """
     known = rules.select(F.trim(F.lower("phrase")).alias("phrase")).distinct()
-    return (frequent_phrases(scripts, key, text, min_scripts, max_words).filter("n_words > 1").join(known, "phrase", "left_anti")
+    pairs = (k + known.filter(F.col("phrase").contains(" ")).count()) * max(1, max_words - 1)
+    least = max(min_scripts, scripts_of_the_best(scripts, pairs, key, text, min_scripts))
+    return (frequent_phrases(scripts, key, text, least, max_words).filter("n_words > 1").join(known, "phrase", "left_anti")
             .orderBy(F.col("n_scripts").desc(), F.col("n_hits").desc(), "phrase").limit(k))

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkwell.operators import rules as R
@@ -108,3 +109,62 @@ def test_frequent_phrases_equal_a_brute_force_miner(spark):
     got = {tuple(x) for x in R.frequent_phrases(docs, min_scripts=4).collect()}
     assert len(want) > 100 and (sorted(got - want)[:8], sorted(want - got)[:8]) == ([], [])
     assert R.frequent_phrases(docs.limit(0)).count() == 0
+
+
+def _brute_phrases(rows, min_scripts, max_words):
+    """rows: (key, text) → the closed phrases, counted by hand."""
+    import re
+    from collections import Counter, defaultdict
+    hits, scripts = Counter(), defaultdict(set)
+    for key, text in rows:
+        for sentence in re.findall(r"[^。！？!?.\n]+", (text or "").lower()):
+            w = re.findall(r"[a-z]+", sentence)
+            for n in range(1, max_words + 1):
+                for i in range(len(w) - n + 1):
+                    hits[tuple(w[i:i + n])] += 1
+                    scripts[tuple(w[i:i + n])].add(key)
+    frequent = {p: (len(scripts[p]), hits[p]) for p in hits if len(scripts[p]) >= min_scripts}
+    held = {(q, c) for p, c in frequent.items() if len(p) > 1 for q in (p[1:], p[:-1])}
+    return {(" ".join(p), len(p), *c) for p, c in frequent.items() if (p, c) not in held}
+
+
+def _made_scripts(n):
+    import random
+    rng = random.Random(11)
+    words = ["ab", "cd", "ef", "gh", "ij", "kl", "mn", "op"]
+    texts = [" ".join(rng.choices(words, range(8, 0, -1), k=rng.randint(0, 30))).replace("op", "op.").replace("mn ef", "mn\nef") for _ in range(n)]
+    # keys come again with other texts and with the same, some are null
+    return [(None if i % 17 == 0 else i % (n - 9), t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, texts[3]), (900, None), (901, "")]
+
+
+@pytest.mark.parametrize("chunk_words", [40, 1_000_000])
+def test_frequent_phrases_with_repeated_and_null_keys(spark, monkeypatch, chunk_words):
+    monkeypatch.setattr(R, "CHUNK_WORDS", chunk_words)
+    rows = _made_scripts(80)
+    df = spark.createDataFrame(rows, "script_id long, text string").repartition(3)
+    got = {tuple(r) for r in R.frequent_phrases(df, min_scripts=4, max_words=3).collect()}
+    assert got == _brute_phrases(rows, 4, 3) and len(got) > 50
+    # another pattern of words goes the other way of cutting sentences
+    assert {tuple(r) for r in R.frequent_phrases(df, min_scripts=4, max_words=3, token="[a-z]+").collect()} == got
+
+
+def test_frequent_phrases_shuffle_counts_and_no_words(spark, tmp_path):
+    """What goes between tasks is one row per phrase and task, not one per word."""
+    df = spark.createDataFrame([(i, "the same few words again and again. " * 200) for i in range(40)], "script_id long, text string").repartition(2)
+    assert "Window" not in R.frequent_phrases(df)._jdf.queryExecution().toString()
+    words = R._script_words(df, "script_id", "text", R.TOKEN)
+    counts = words.mapInArrow(R._count_grams((1, 2, 3, 4), {}, frozenset(R.SENTENCE_BREAKS)), R._GRAM_COUNTS)
+    assert counts.count() <= 2 * 30 and counts.agg({"hits": "sum"}).first()[0] == 40 * 200 * (7 + 6 + 5 + 4)
+
+
+@pytest.mark.parametrize("k", [1, 12, 500])
+def test_rulebook_feedback_loses_nothing_to_its_bound(spark, k):
+    rows = _made_scripts(60)
+    listed = ["ab cd", " CD ab ", "ab", "ab ab cd"]
+    df = spark.createDataFrame(rows, "script_id long, text string")
+    rules = spark.createDataFrame([("x", p, None, None) for p in listed], R.RULES_SCHEMA)
+    want = sorted((p for p in _brute_phrases(rows, 3, 4) if p[1] > 1 and p[0] not in {x.strip().lower() for x in listed}),
+                  key=lambda p: (-p[2], -p[3], p[0]))[:k]
+    assert [tuple(r) for r in R.rulebook_feedback(df, rules, k=k, min_scripts=3).collect()] == want
+    if k == 1:
+        assert R.scripts_of_the_best(df, 9, min_scripts=3) > 3

@@ -346,10 +346,12 @@ def _count_grams(wanted: tuple[int, ...], filters: dict[int, bytes], marks: froz
             slot = np.fromiter((crc32(x.encode("utf-8", "surrogatepass")) for x in phrases), np.int64, len(phrases)) & (n_bits - 1)
             return (bits[n][slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
-        def counted(n, phrases, code, row, parts):
+        def counted(n, phrases, code, row, parts, copies):
             """One row per phrase for all scripts without a part, one per phrase and script for the others."""
             at, hits = np.unique(row * np.int64(len(phrases)) + code, return_counts=True)
-            code, row = at % max(1, len(phrases)), at // max(1, len(phrases))
+            code, row = at % len(phrases), at // len(phrases)
+            if n == 1:
+                hits = hits * copies[row]
             own = np.array([x is not None for x in parts], bool)[row]
             scripts = np.bincount(code[~own], minlength=len(phrases))
             total = np.bincount(code[~own], hits[~own], minlength=len(phrases)).astype(np.int64)
@@ -362,7 +364,7 @@ def _count_grams(wanted: tuple[int, ...], filters: dict[int, bytes], marks: froz
                  pa.array(np.concatenate([total[seen], hits[own]]).astype(np.int64))],
                 names=["part", "phrase", "n_words", "scripts", "hits"])
 
-        def grams(column, sizes, parts):
+        def grams(column, sizes, parts, copies):
             encoded = column.flatten().dictionary_encode()
             words = encoded.dictionary.to_pylist()
             word = pc.fill_null(encoded.indices, -1).to_numpy().astype(np.int64)
@@ -387,14 +389,14 @@ def _count_grams(wanted: tuple[int, ...], filters: dict[int, bytes], marks: froz
                 if not len(pos):
                     return
                 if n in wanted:
-                    yield counted(n, phrases, code, script[pos], parts)
+                    yield counted(n, phrases, code, script[pos], parts, copies)
 
         for batch in batches:
-            column, parts = batch.column("words"), batch.column("part").to_pylist()
+            column, parts, copies = batch.column("words"), batch.column("part").to_pylist(), batch.column("copies").to_numpy()
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
             ends = [*(np.nonzero(np.diff(np.cumsum(sizes) // chunk_words))[0] + 1).tolist(), len(sizes)]
             for a, b in zip([0, *ends], ends, strict=False):
-                yield from grams(column.slice(a, b - a), sizes[a:b], parts[a:b])
+                yield from grams(column.slice(a, b - a), sizes[a:b], parts[a:b], copies[a:b])
 
     return run
 
@@ -409,20 +411,28 @@ def _phrase_counts(words: DataFrame, wanted: tuple[int, ...], filters: dict[int,
 
 
 def _script_words(scripts: DataFrame, key: str, text: str, token: str) -> DataFrame:
-    """``part, words array<string>``: ``part`` names the key where it may come again; the words of a
-    sentence are followed by null, or those of all sentences have the marks between them as elements."""
-    lower = F.lower(F.col(text))
+    """``part, copies, words array<string>``: ``part`` names the key where it may come again; the words of a
+    sentence are followed by null, or those of all sentences have the marks between them as elements.
+
+    A text that comes again under its key is one row with its ``copies``: its words count as often
+    as they come, its longer phrases once.
+    """
+    lower = F.lower("text")
     if token == TOKEN:                  # such tokens hold no mark: one pass finds both
         words = F.regexp_extract_all(lower, F.lit(f"{TOKEN}|[{SENTENCE_BREAKS}]"), F.lit(0))
     else:
         words = F.flatten(F.transform(F.regexp_extract_all(lower, F.lit(SENTENCE_WITH_END), F.lit(0)), lambda s: F.concat(
             F.regexp_extract_all(s, F.lit(token), F.lit(0)), F.array(F.lit(None).cast("string")))))
     name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
-    repeated = scripts.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    if repeated.isEmpty():
-        return scripts.select(F.lit(None).cast("string").alias("part"), words.alias("words"))
-    twice = _may_be_in(_filter_bits(repeated, "name"))
-    return scripts.select(F.when(twice(name), name).alias("part"), words.alias("words"))
+    named = scripts.select(name.alias("name"), F.col(text).alias("text"))
+    found = named.select(F.lit(None).cast("string").alias("part"), F.lit(1).cast("long").alias("copies"), "text")
+    repeated = named.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        twice = _may_be_in(_filter_bits(repeated, "name"))("name")
+        again = named.filter(twice).groupBy("name", "text").agg(F.count(F.lit(1)).alias("copies"))
+        found = (named.filter(~twice).select(F.lit(None).cast("string").alias("part"), F.lit(1).cast("long").alias("copies"), "text")
+                .unionByName(again.select(F.col("name").alias("part"), "copies", "text")))
+    return found.select("part", "copies", words.alias("words"))
 
 
 def _may_be_in(bits: bytes):

@@ -116,12 +116,12 @@ def _brute_phrases(rows, min_scripts, max_words):
     import re
     from collections import Counter, defaultdict
     hits, scripts = Counter(), defaultdict(set)
-    for key, text in rows:
+    for (key, text), copies in Counter(rows).items():      # a text that comes again under its key: words count again
         for sentence in re.findall(r"[^。！？!?.\n]+", (text or "").lower()):
             w = re.findall(r"[a-z]+", sentence)
             for n in range(1, max_words + 1):
                 for i in range(len(w) - n + 1):
-                    hits[tuple(w[i:i + n])] += 1
+                    hits[tuple(w[i:i + n])] += copies if n == 1 else 1
                     scripts[tuple(w[i:i + n])].add(key)
     frequent = {p: (len(scripts[p]), hits[p]) for p in hits if len(scripts[p]) >= min_scripts}
     held = {(q, c) for p, c in frequent.items() if len(p) > 1 for q in (p[1:], p[:-1])}

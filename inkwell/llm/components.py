@@ -71,10 +71,14 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
 
 
 def shared_buckets(buckets: DataFrame, name: str) -> DataFrame:
-    """``(key, node)`` rows of buckets with two or more nodes, with the bucket's ``first`` node."""
+    """``(key, node)`` rows of buckets with two or more nodes, with the bucket's ``first`` node.
+
+    Not broadcast: the planner does not see how many keys a node was exploded into, so
+    millions of keys would pass as a small table and fill the driver.
+    """
     ends = (buckets.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
             .filter("first < last").select("key", "first"))
-    return materialize(buckets.join(ends, "key"), f"{name}-buckets")
+    return materialize(buckets.join(ends.hint("merge"), "key"), f"{name}-buckets")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:

@@ -232,7 +232,7 @@ def near_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                             "simhash")
     within = lambda x, y: F.bit_count(x["node"].bitwiseXOR(y["node"])) <= radius
     groups = link(shared, score, lambda pairs: pairs, "simhash", within).withColumnRenamed("node", "fp")
-    return (nodes.join(groups, "fp", "left").join(link_counts(shared, radius), "fp", "left")
+    return (nodes.join(groups.hint("merge"), "fp", "left").join(link_counts(shared, radius), "fp", "left")
             .select("fp", F.coalesce("component", "fp").alias("near_class"),
                     (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from inkwell.llm import simhash
+from inkwell.llm import components, simhash
 from inkwell.llm.components import connected_components, link, shared_buckets
 
 
@@ -126,3 +126,13 @@ def test_fingerprints_equal_a_plain_computation(spark):
         plain = sum((votes[8 * (b // 8) + b % 8] > 0) << (8 * (b // 8) + 7 - (7 - b % 8)) for b in range(simhash.BITS))
         near_zero = {b for b in range(simhash.BITS) if abs(votes[b]) < 1e-2}
         assert all((got ^ plain) >> b & 1 == 0 for b in range(simhash.BITS) if b not in near_zero)
+
+
+def test_exploded_buckets_are_not_broadcast(spark, monkeypatch):
+    """Twenty keys a node pass as a table of the nodes' size: joined by broadcast they fill the driver."""
+    written = {}
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.setdefault(name, df))
+    nodes = spark.range(1, 10, 4).withColumnRenamed("id", "node")
+    shared = shared_buckets(nodes.select("node", F.explode(F.array(F.lit(7), F.col("node") % 8)).alias("key")), "x")
+    assert "BroadcastHashJoin" not in written["x-buckets"]._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.key, r.node, r["first"]) for r in shared.collect()) == [(1, 1, 1), (1, 9, 1), (7, 1, 1), (7, 5, 1), (7, 9, 1)]

@@ -153,3 +153,31 @@ def test_lists_of_a_task_keep_every_key(monkeypatch, chunk):
     keys, counts = html_extract.merge(*(np.concatenate(c) for c in zip(*found, strict=True)))
     assert [len(keys), sorted(counts.tolist())] == [5 * 23 + 1, [2] + [4] * 115]
     assert (np.diff(keys.astype(object)) > 0).all()
+
+
+def test_boilerplate_inside_articles_is_decided_by_the_array(spark):
+    """What a host names as surroundings elsewhere is taken out of most of its articles, whole blocks only, and nothing else."""
+    rng = random.Random(9)
+    line, tip, own = "Sign up to the letter that we send to all of our readers once a week.", "Read on", [prose(rng, 30) for _ in range(24)]
+    box = f"<div class='newsletter'>{line}</div><footer>{tip}</footer>"
+
+    def page(i, *blocks, around=""):
+        return f"<body>{around}<article><p>{own[i]}</p>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article></body>"
+
+    pages = [(i, f"http://a.example/{i}", page(i, line, tip, around=box if i < 2 else "")) for i in range(5)]
+    pages += [(5, "http://a.example/5", article(line))]                                              # no region loses all of it
+    pages += [(6, "http://a.example/0?again", pages[0][2])]
+    pages += [(7, "http://a.example/7", f"<body><article>{own[6]}</article><div class='content'><p>{own[7]} {own[8]} {own[9]} {own[23]}</p><p>{line}</p></div></body>")]
+    # the surroundings of another host do not count
+    pages += [(10 + i, f"http://b.example/{i}", page(10 + i, line)) for i in range(4)]
+    # two of six articles have it, and mirrors of one are one
+    pages += [(14 + i, f"http://c.example/{i}", page(14 + i, *[line] * (i < 2), around=box)) for i in range(6)]
+    pages += [(24 + i, f"http://c.example/0?{i}", pages[-6][2]) for i in range(4)]
+    # a headline that all pages of the host show in a menu; a longer block that only begins like a notice
+    pages += [(30 + i, f"http://d.example/{i}", page(20 + i, f"{line} {own[i]} and more", around=f"<nav>{own[20]}</nav>{box}")) for i in range(3)]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == ({i: own[i] for i in range(5)} | {5: line, 6: own[0], 7: f"{own[7]} {own[8]} {own[9]} {own[23]}"}
+                   | {10 + i: f"{own[10 + i]} {line}" for i in range(4)}
+                   | {14 + i: f"{own[14 + i]} {line}" if i < 2 else own[14 + i] for i in range(6)}
+                   | {24 + i: f"{own[14]} {line}" for i in range(4)}
+                   | {30 + i: f"{own[20 + i]} {line} {own[i]} and more" for i in range(3)})

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import PY_SPACE, count_literal, split_sentences, ustrip
-from inkwell.operators.grams import anchored, with_grams
+from inkwell.operators.grams import TEXT_WIDTHS, anchored, gram_filter, passing_grams
 
 # ---------------------------------------------------------------- fixed values
 # The rulebook's forbidden phrases by class, with the recommended
@@ -113,12 +113,15 @@ def phrase_hits_index(scripts: DataFrame, rules: DataFrame, key: str = "script_i
     The same rows as ``phrase_hits`` for rule tables of any size: texts and phrases
     meet on the phrases' rarest grams (``grams``, rows without the
     text), the candidates of a text are counted on the text, and classes come back by
-    phrase.  No table of rules is held by the driver or carried by every row.
+    phrase.  No table of rules is held by the driver or carried by every row.  A text
+    sends only the grams that phrases may be filed under: the phrases are filed while the plan
+    is built, for the filter.
     """
     listed = rules.filter(~F.col("rule_class").isin(*NOT_FORBIDDEN) & (F.length("phrase") > 0)).select("rule_class", "phrase").distinct()
     t = F.col(text)
-    grams = with_grams(scripts.select(F.col(key).alias("_key"), t), t).select("_key", "gram")
-    candidates = grams.join(anchored(listed, "phrase"), "gram").groupBy("_key").agg(F.collect_set("phrase").alias("_phrases"))
+    filed = anchored(listed, "phrase", TEXT_WIDTHS)
+    grams = passing_grams(scripts.select(F.col(key).alias("_key"), t.alias("_text")), "_key", "_text", gram_filter(filed))
+    candidates = grams.join(filed, "gram").groupBy("_key").agg(F.collect_set("phrase").alias("_phrases"))
     own = scripts.select(F.col(key), t.alias("_t"))
     counted = own.join(candidates, own[key].eqNullSafe(candidates["_key"])).select(F.col(key), "_phrases", _occurrences()("_t", "_phrases").alias("_n"))
     hits = F.filter(F.arrays_zip("_phrases", "_n"), lambda h: h["_n"] > 0)

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkwell.operators import grams as G
@@ -68,3 +69,22 @@ def test_candidates_are_counted_outside_interpreted_functions(spark):
         [(1, c, "aa", n) for c in "cd" for n in (2, 1)] + [(1, "c", "\U0001f600x", 2)])
     plan = hits._jdf.queryExecution().optimizedPlan().toString()
     assert "transform(" not in plan and "replace(" not in plan
+
+
+@pytest.mark.parametrize("held", [1, 7, 10 ** 6])
+def test_texts_send_only_grams_that_patterns_are_filed_under(spark, monkeypatch, held):
+    """No contained pattern is missed, whatever its length, and a text's other grams stay in its task."""
+    monkeypatch.setattr(G, "HELD_ROWS", held)
+    rng = random.Random(5)
+    letters = "abcdefgh美股😀é \n"
+    texts = [(i % 40, "".join(rng.choice(letters) for _ in range(rng.randrange(0, 200)))) for i in range(60)] + [(99, None), (100, ""), (None, "abc")]
+    patterns = {x[a:a + n] for _, x in texts if x for n in (1, 2, 3, 5, 6, 9) for a in [rng.randrange(len(x))]} - {""}
+    t = spark.createDataFrame(texts, "id int, text string")
+    filed = G.anchored(spark.createDataFrame([(x,) for x in patterns], "p string"), "p", G.TEXT_WIDTHS)
+    grams = G.passing_grams(t, "id", "text", G.gram_filter(filed))
+    met = {(r.id, r.p) for r in grams.join(filed, "gram").collect()}
+    assert filed.count() == len(patterns) and {(i, x) for i, text in texts for x in patterns if x in (text or "")} <= met
+    one = G.anchored(spark.createDataFrame([("abcdefgh",)], "p string"), "p", G.TEXT_WIDTHS)
+    sent = G.passing_grams(spark.createDataFrame([(1, "x abcdefgh y" * 9), (2, "b c d e f g h " * 50)], "id int, text string"),
+                           "id", "text", G.gram_filter(one)).collect()
+    assert [r.id for r in sent] == [1]
